@@ -36,6 +36,11 @@ def percent(part: Column, total: Column) -> Column:
     return F.round(part / total * 100, 1)
 
 
+def steady(mean: Column) -> Column:
+    """A mean without the float noise that depends on the order of summation."""
+    return F.round(mean, 9)
+
+
 def is_scorable(text: Column) -> Column:
     return F.length(text) > MIN_TEXT_LENGTH
 

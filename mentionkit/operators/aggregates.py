@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentionkit.functions.scores import is_negative, is_neutral, is_positive, percent
+from mentionkit.functions.scores import is_negative, is_neutral, is_positive, percent, steady
 from mentionkit.functions.times import post_date, week_start
 
 SCORE = "sentiment_score"
@@ -43,7 +43,7 @@ def daily_rollup(scored: DataFrame) -> DataFrame:
 
 
 def _mean() -> Column:
-    return F.sum("total") / F.sum("n")
+    return steady(F.sum("total") / F.sum("n"))
 
 
 def daily_from_rollup(rollup: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def sentiment_daily(scored: DataFrame) -> DataFrame:
         .groupBy("tool", post_date(F.col("created_at")).alias("post_date"))
         .agg(
             n.alias("post_count"),
-            F.round(F.avg(s), 3).alias("avg_sentiment"),
+            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
             percent(F.count_if(is_positive(s)), n).alias("positive_pct"),
             percent(F.count_if(is_negative(s)), n).alias("negative_pct"),
             percent(F.count_if(is_neutral(s)), n).alias("neutral_pct"),
@@ -106,7 +106,7 @@ def sentiment_by_source(scored: DataFrame) -> DataFrame:
         .groupBy("tool", "source")
         .agg(
             F.count(F.lit(1)).alias("post_count"),
-            F.round(F.avg(s), 3).alias("avg_sentiment"),
+            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
             F.round(F.min(s), 3).alias("min_sentiment"),
             F.round(F.max(s), 3).alias("max_sentiment"),
         )
@@ -119,7 +119,7 @@ def leaderboard(scored: DataFrame) -> DataFrame:
     per_tool = (
         scored_only(scored)
         .groupBy("tool")
-        .agg(n.alias("total_mentions"), F.avg(s).alias("_mean"), percent(F.count_if(is_positive(s)), n).alias("positive_pct"))
+        .agg(n.alias("total_mentions"), steady(F.avg(s)).alias("_mean"), percent(F.count_if(is_positive(s)), n).alias("positive_pct"))
     )
     return _ranked(per_tool)
 
@@ -141,7 +141,7 @@ def weekly_trend(scored: DataFrame) -> DataFrame:
     per_week = (
         scored_only(scored)
         .groupBy("tool", week_start(F.col("created_at")).alias("week_start"))
-        .agg(F.count(F.lit(1)).alias("post_count"), F.round(F.avg(SCORE), 3).alias("avg_sentiment"))
+        .agg(F.count(F.lit(1)).alias("post_count"), F.round(steady(F.avg(SCORE)), 3).alias("avg_sentiment"))
     )
     return _with_change(per_week)
 
@@ -155,7 +155,7 @@ def _with_change(per_week: DataFrame) -> DataFrame:
 def scoring_summary(scored: DataFrame) -> DataFrame:
     """Rows and mean score per tool; rows without a score are counted, too."""
     return scored.groupBy("tool").agg(
-        F.count(F.lit(1)).alias("rows_scored"), F.round(F.avg(SCORE), 2).alias("avg_sentiment")
+        F.count(F.lit(1)).alias("rows_scored"), F.round(steady(F.avg(SCORE)), 2).alias("avg_sentiment")
     )
 
 

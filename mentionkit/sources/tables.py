@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,13 +14,21 @@ class Tables:
     """Named tables under an optional prefix, in one file format.
 
     ``prefix`` is a catalog or a start of the schema name; ``fmt`` any format the
-    session can write. One writer per table is assumed for plain file formats.
+    session can write. Plain file formats take one writer per table at a time:
+    threads of this object wait for each other, other applications are not seen.
     """
 
     def __init__(self, spark: SparkSession, prefix: str = "", fmt: str = "parquet") -> None:
         self.spark = spark
         self.prefix = prefix
         self.fmt = fmt
+        self._locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
+
+    def on(self, spark: SparkSession) -> Tables:
+        """The same tables seen from another session, such as that of a micro-batch."""
+        other = Tables(spark, self.prefix, self.fmt)
+        other._locks = self._locks
+        return other
 
     def name(self, table: str) -> str:
         return f"{self.prefix}{table}"
@@ -26,6 +37,8 @@ class Tables:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
+        # another session may have appended files since this one listed them
+        self.spark.catalog.refreshTable(self.name(table))
         return self.spark.read.table(self.name(table))
 
     def read_if_exists(self, table: str) -> DataFrame | None:
@@ -48,6 +61,10 @@ class Tables:
         ``evolve``, columns the table lacks are added to it first; columns the frame
         lacks are NULL.
         """
+        with self._locks[table]:
+            return self._append(df, table, evolve)
+
+    def _append(self, df: DataFrame, table: str, evolve: bool) -> int:
         self.ensure(table, df.schema)
         name = self.name(table)
         target = self.spark.read.table(name).schema

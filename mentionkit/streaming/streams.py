@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
-from mentionkit.functions.scores import is_positive, percent
+from mentionkit.functions.scores import is_positive, percent, steady
 from mentionkit.operators.aggregates import SCORE, scored_only
 from mentionkit.operators.keys import MENTION_KEY, SALTS, keep_first, not_in
 from mentionkit.operators.refine import Source, find_mentions, normalise, refine
@@ -50,7 +50,7 @@ def daily_stream(scored: DataFrame, delay: str, time: str = "created_at") -> Dat
         .groupBy("tool", F.window(time, "1 day").alias("_day"))
         .agg(
             n.alias("post_count"),
-            F.round(F.avg(s), 3).alias("avg_sentiment"),
+            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
             percent(F.count_if(is_positive(s)), n).alias("positive_pct"),
         )
         .select("tool", F.to_date("_day.start").alias("post_date"), "post_count", "avg_sentiment", "positive_pct")
@@ -70,8 +70,9 @@ def land_stream(
     tables.ensure(table, schema)
 
     def write(batch: DataFrame, _: int) -> None:
+        own = tables.on(batch.sparkSession)
         rows = keep_first(flatten(batch), keys, [F.desc("ingested_at")])
-        tables.append(not_in(rows, tables.read(table), keys), table, evolve=True)
+        own.append(not_in(rows, own.read(table), keys), table, evolve=True)
 
     return _run(payload, write, checkpoint)
 
@@ -88,8 +89,9 @@ def refine_stream(
     tables.ensure(source.silver_table, schemas.SILVER)
 
     def write(batch: DataFrame, _: int) -> None:
+        own = tables.on(batch.sparkSession)
         silver = refine(batch, source, catalog, **options)
-        tables.append(not_in(silver, tables.read(source.silver_table), MENTION_KEY), source.silver_table)
+        own.append(not_in(silver, own.read(source.silver_table), MENTION_KEY), source.silver_table)
 
     return _run(bronze, write, checkpoint)
 

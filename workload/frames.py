@@ -160,7 +160,7 @@ def hn_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     comment = F.struct(
         F.concat(F.col("object_id"), F.lit("-c")).alias("objectID"),
-        F.when(F.col("num_comments") % 3 == 0, F.lit("")).otherwise(F.upper("text")).alias("comment_text"),
+        F.when(F.col("num_comments") % 3 == 0, F.lit("")).otherwise(F.lower("text")).alias("comment_text"),
         F.lit(None).cast("string").alias("story_text"),
         *common,
     )
@@ -173,7 +173,7 @@ SELECT object_id, query_tool, title, coalesce(nullif(text, ''), title) AS text,
 FROM ({HN_BRONZE})
 UNION ALL
 SELECT object_id || '-c', query_tool, title,
-       CASE WHEN num_comments % 3 = 0 OR text = '' THEN title ELSE upper(text) END, author, points, num_comments, url,
+       CASE WHEN num_comments % 3 = 0 OR text = '' THEN title ELSE lower(text) END, author, points, num_comments, url,
        hn_created_at, CASE WHEN num_comments % 3 = 0 OR text = '' THEN 'story' ELSE 'comment' END,
        TIMESTAMP '2025-06-01'
 FROM ({HN_BRONZE})

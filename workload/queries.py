@@ -503,28 +503,28 @@ def _(spark, sf):
 
 _S = f"({scored_sql()})"
 _DAILY = f"""
-SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(avg(sentiment_score), 3) AS avg_sentiment,
+SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
        round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct,
        round(count(*) FILTER (sentiment_score < -0.2) / count(*) * 100, 1) AS negative_pct,
        round(count(*) FILTER (sentiment_score BETWEEN -0.2 AND 0.2) / count(*) * 100, 1) AS neutral_pct
 FROM {{}} WHERE sentiment_score IS NOT NULL GROUP BY ALL
 """
 _BY_SOURCE = """
-SELECT tool, source, count(*) AS post_count, round(avg(sentiment_score), 3) AS avg_sentiment,
+SELECT tool, source, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
        round(min(sentiment_score), 3) AS min_sentiment, round(max(sentiment_score), 3) AS max_sentiment
 FROM {} WHERE sentiment_score IS NOT NULL GROUP BY ALL
 """
 _LEADERBOARD = """
-SELECT tool, count(*) AS total_mentions, round(avg(sentiment_score), 3) AS avg_sentiment,
+SELECT tool, count(*) AS total_mentions, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
        round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct,
-       rank() OVER (ORDER BY avg(sentiment_score) DESC) AS sentiment_rank
+       rank() OVER (ORDER BY round(avg(sentiment_score), 9) DESC) AS sentiment_rank
 FROM {} WHERE sentiment_score IS NOT NULL GROUP BY tool
 """
 _WEEKLY = """
 SELECT *, round(avg_sentiment - lag(avg_sentiment) OVER (PARTITION BY tool ORDER BY week_start), 3)
           AS sentiment_change_from_prior_week
 FROM (SELECT tool, date_trunc('week', created_at)::TIMESTAMP AS week_start, count(*) AS post_count,
-             round(avg(sentiment_score), 3) AS avg_sentiment
+             round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment
       FROM {} WHERE sentiment_score IS NOT NULL GROUP BY ALL)
 """
 _TOP = """
@@ -570,7 +570,7 @@ def _faulty(spark: SparkSession, sf: str) -> DataFrame:
     return scored(spark, sf, frames.faulty_score())
 
 
-@query("scoring_summary", f"SELECT tool, count(*) AS rows_scored, round(avg(sentiment_score), 2) AS avg_sentiment FROM {_FAULTY} GROUP BY ALL")
+@query("scoring_summary", f"SELECT tool, count(*) AS rows_scored, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 2)::DOUBLE AS avg_sentiment FROM {_FAULTY} GROUP BY ALL")
 def _(spark, sf):
     return agg.scoring_summary(_faulty(spark, sf))
 
@@ -845,7 +845,7 @@ def _(spark, sf):
 @query(
     "stream_daily",
     f"""
-    SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(avg(sentiment_score), 3) AS avg_sentiment,
+    SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
            round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct
     FROM {_S} WHERE created_at::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events) GROUP BY ALL
     """,
