@@ -80,11 +80,21 @@ def parse_score(reply: Column) -> Column:
 def lexicon_score(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
     """(p - n) / (p + n) over the words of the whole text that are on either list; 0 if none is.
 
-    Words are runs of a-z in the lowercased text.
+    Words are runs of a-z in the lowercased text. One pass picks the listed words,
+    the counts are taken over those.
     """
-
-    def hits(words: Sequence[str]) -> Column:
-        return F.regexp_count(F.lower(text), F.lit(rf"(?<![a-z])(?:{'|'.join(sorted(words))})(?![a-z])"))
-
-    p, n = hits(positive), hits(negative)
-    return F.when(p + n == 0, F.lit(0.0)).otherwise(F.round((p - n) / (p + n), 3))
+    words = sorted({*positive, *negative})
+    initials = "".join(sorted({w[0] for w in words}))
+    # the look ahead at the first letter rejects most positions at once
+    listed = rf"(?=[{initials}])(?<![a-z])(?:{'|'.join(words)})(?![a-z])"
+    found = F.regexp_extract_all(F.lower(text), F.lit(listed), F.lit(0))
+    return F.aggregate(
+        found,
+        F.struct(F.lit(0).alias("p"), F.lit(0).alias("n")),
+        lambda acc, w: F.struct(
+            (acc["p"] + w.isin(*positive).cast("int")).alias("p"), (acc["n"] + w.isin(*negative).cast("int")).alias("n")
+        ),
+        lambda acc: F.when(acc["p"] + acc["n"] == 0, F.lit(0.0)).otherwise(
+            F.round((acc["p"] - acc["n"]) / (acc["p"] + acc["n"]), 3)
+        ),
+    )

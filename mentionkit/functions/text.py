@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from mentionkit.functions.entities import decode_entities
 
-# The characters Python's ``\s`` matches, apart from the plain space.
-_OTHER_SPACE = r"\x09-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Fixed value: what Python's ``\\s`` matches, written for Java's regex.
+_SPACE = r"[\s\x1c-\x1f]"
+_SPACE_RUN = rf"(?U){_SPACE}+"
+# whitespace that is not a single plain space
+_UNEVEN_SPACE = rf"(?U){_SPACE}(?:(?<! )|(?= ))"
+# Fixed value: the same characters, for trimming.
 _SPACE_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
-# a lone space is already normal, so only the runs that change are matched
-_SPACE_RUN = rf"[{_OTHER_SPACE}][ {_OTHER_SPACE}]*| [ {_OTHER_SPACE}]+"
 
 # Tag, link and emphasis patterns.
 _TAG = r"<[^>]+>"
 _MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
-_EMPHASIS = "*_~`"
+_EMPHASIS = "[*_~`]"
+_MARKDOWN_MARKS = ("[", "*", "_", "~", "`")
 
 
 def empty_to_null(text: Column) -> Column:
@@ -41,7 +47,7 @@ def unlink_markdown(text: Column) -> Column:
 
 
 def drop_emphasis(text: Column) -> Column:
-    return F.translate(text, _EMPHASIS, "")
+    return F.regexp_replace(text, _EMPHASIS, "")
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -51,8 +57,9 @@ def collapse_whitespace(text: Column) -> Column:
 def clean_text(text: Column, markdown: bool = False) -> Column:
     """Readable text: references decoded, tags gone, whitespace single; NULL if nothing is left.
 
-    Decoding comes first, so that encoded tags go, too. ``text`` is read several
-    times to skip the steps it does not need; pass a plain column.
+    Decoding comes first, so that encoded tags go, too. A text without any of the
+    marks in question takes the short way round the regular expressions. ``text``
+    is read several times for that; pass a plain column.
     """
     body = (
         F.when(F.contains(text, F.lit("&")), strip_tags(decode_entities(text)))
@@ -61,7 +68,11 @@ def clean_text(text: Column, markdown: bool = False) -> Column:
     )
     if markdown:
         body = drop_emphasis(unlink_markdown(body))
-    return empty_to_null(F.trim(collapse_whitespace(body)))
+
+    one_line = F.replace(text, F.lit("\n"), F.lit(" "))
+    marks = ("&", "<", *(_MARKDOWN_MARKS if markdown else ()))
+    uneven = reduce(or_, [F.contains(text, F.lit(m)) for m in marks]) | one_line.rlike(_UNEVEN_SPACE)
+    return empty_to_null(F.trim(F.when(uneven, collapse_whitespace(body)).otherwise(one_line)))
 
 
 def first_filled(*texts: Column) -> Column:
