@@ -12,12 +12,12 @@ _SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints, or one of our own in local mode."""
-    folder = spark.conf.get(_SETTING, None)
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="mentionkit-")
-        spark.conf.set(_SETTING, folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mentionkit-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 

@@ -1,0 +1,144 @@
+import uuid
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from mentionkit import schemas
+from mentionkit.catalog import AI_TOOLS
+from mentionkit.operators.audit import AUDIT_TABLE
+from mentionkit.operators.refine import HACKERNEWS, SOURCES
+from mentionkit.operators.scoring import lexicon_scorer
+from mentionkit.plans import gold
+from mentionkit.plans.land import land_hackernews, land_producthunt
+from mentionkit.plans.run import run_all
+from mentionkit.plans.silver import MARK_TABLE, refine_source, stored_mark
+from mentionkit.sources.tables import Tables
+
+RUN = datetime(2025, 6, 1)
+SCORER = lexicon_scorer(["good"], ["bad"])
+
+
+@pytest.fixture
+def tables(spark):
+    return Tables(spark, prefix=f"p_{uuid.uuid4().hex[:8]}_")
+
+
+def pages(spark, *hits, tool="v0"):
+    """hits of (id, created, text)"""
+    rows = [(tool, [(i, "title", None, text, "me", 1, 2, "u", created) for i, created, text in hits])]
+    return spark.createDataFrame(rows, schemas.HN_PAGE)
+
+
+def audit(tables):
+    return [tuple(r)[1:] for r in tables.read(AUDIT_TABLE).orderBy("run_timestamp").collect()]
+
+
+def test_landing_is_incremental_per_search_term(spark, tables):
+    first = pages(spark, ("1", "2025-01-02T00:00:00Z", "x"), ("2", "2025-01-01T00:00:00Z", "x"))
+    assert land_hackernews(tables, first, RUN) == 2
+    assert land_hackernews(tables, first, RUN) == 0
+    later = pages(spark, ("3", "2025-01-02T00:00:00Z", "at the mark"), ("4", "2025-01-03T00:00:00Z", "x"))
+    assert land_hackernews(tables, later, RUN) == 1
+    # another term has no mark yet: its old rows are taken
+    assert land_hackernews(tables, pages(spark, ("5", "2020-01-01T00:00:00Z", "x"), tool="Claude"), RUN) == 1
+    assert [r[2] for r in audit(tables)] == [2, 0, 1, 1]
+
+
+def test_late_comment_does_not_hide_older_posts(spark, tables):
+    def page(i, created, comment_created):
+        comment = ((f"c{i}", "body", comment_created, None),)
+        edge = ((i, "n", "t", "d", 1, 1, "u", created, ([(comment[0],)],)),)
+        return spark.createDataFrame([((([edge], (False, None)),),)], schemas.PH_PAGE)
+
+    assert land_producthunt(tables, page("1", "2025-01-01T00:00:00Z", "2025-09-01T00:00:00Z"), RUN) == 2
+    assert land_producthunt(tables, page("2", "2025-01-02T00:00:00Z", "2025-01-02T00:00:00Z"), RUN) == 2
+    assert land_producthunt(tables, page("2", "2025-01-02T00:00:00Z", "2025-01-02T00:00:00Z"), RUN) == 0
+
+
+def _bronze(tables, *rows):
+    """rows of (id, text, ingested_at)"""
+    full = [{"object_id": i, "text": t, "ingested_at": at, "hn_created_at": "2025-01-01T00:00:00Z"} for i, t, at in rows]
+    df = tables.spark.createDataFrame([tuple(r.get(f.name) for f in schemas.HN_RAW) for r in full], schemas.HN_RAW)
+    tables.append(df, HACKERNEWS.bronze_table)
+
+
+def test_refining_is_incremental(spark, tables):
+    _bronze(tables, ("1", "chatgpt", RUN), ("2", "nothing", RUN + timedelta(hours=1)))
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 1
+    # the mark covers rows without a match as well
+    assert stored_mark(tables, HACKERNEWS) == RUN + timedelta(hours=1)
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 0
+    # a post landed again, a new one, and one at the mark that came too late
+    _bronze(tables, ("1", "chatgpt", RUN + timedelta(days=1)), ("3", "chatgpt", RUN + timedelta(days=1)), ("4", "chatgpt", RUN + timedelta(hours=1)))
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 1
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN, look_back=timedelta(days=7)) == 1
+    silver = tables.read(HACKERNEWS.silver_table)
+    assert sorted(r.post_id for r in silver.collect()) == ["1", "3", "4"]
+    assert [r[2:4] for r in audit(tables)] == [(1, "success"), (0, "success"), (1, "success"), (1, "success")]
+
+
+def test_crash_before_the_mark_adds_nothing_twice(spark, tables, monkeypatch):
+    _bronze(tables, ("1", "chatgpt", RUN))
+    original = Tables.append
+
+    def failing(self, df, table, evolve=False):
+        if table == MARK_TABLE:
+            raise OSError("disk gone")
+        return original(self, df, table, evolve)
+
+    monkeypatch.setattr(Tables, "append", failing)
+    with pytest.raises(OSError):
+        refine_source(tables, HACKERNEWS, AI_TOOLS, RUN)
+    monkeypatch.undo()
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 0
+    assert tables.read(HACKERNEWS.silver_table).count() == 1
+    assert audit(tables)[0][3:] == ("failed", "disk gone")
+
+
+def _submissions(spark):
+    row = {"query_tool": "v0", "id": "r1", "subreddit": "webdev", "title": "v0.dev is good", "selftext": None, "author": "a", "permalink": "/r", "created_utc": 1.74e9}
+    return spark.createDataFrame([tuple(row.get(f.name) for f in schemas.REDDIT_SUBMISSION)], schemas.REDDIT_SUBMISSION)
+
+
+def test_whole_run(spark, tables):
+    payloads = {
+        "hackernews": pages(spark, ("1", "2025-01-02T00:00:00Z", "chatgpt is good, claude.ai bad"), ("2", "2025-01-03T00:00:00Z", "nothing here")),
+        "reddit": _submissions(spark),
+    }
+    first = run_all(tables, payloads, AI_TOOLS, SCORER, RUN)
+    assert first.landed == {"hackernews": 2, "reddit": 1}
+    assert first.refined == {"hackernews": 2, "reddit": 1}
+    assert (first.scoring.scored, first.scoring.remaining) == (3, 0)
+    assert all(r.passed for r in first.quality.collect())
+    counts = {r.table_name: r.row_count for r in first.counts.collect()}
+    assert counts == {"sentiment_by_tool_daily": 3, "sentiment_by_tool_source": 3, "tool_leaderboard": 3, "sentiment_trend_weekly": 3, "top_posts_by_tool": 6}
+    board = {r.tool: r.sentiment_rank for r in tables.read("tool_leaderboard").collect()}
+    assert board == {"v0": 1, "ChatGPT": 2, "Claude": 2}
+
+    second = run_all(tables, payloads, AI_TOOLS, SCORER, RUN)
+    assert (second.landed, second.refined, second.scoring.scored) == ({"hackernews": 0, "reddit": 0}, {"hackernews": 0, "reddit": 0}, 0)
+    layers = {(r[0], r[1]) for r in audit(tables)}
+    assert layers == {("hackernews", "bronze"), ("hackernews", "silver"), ("reddit", "bronze"), ("reddit", "silver"), ("all", "gold"), ("all", "gold_dq_check")}
+
+
+def test_failed_checks_are_logged_not_raised(spark, tables):
+    row = {"post_id": "1", "tool": "ChatGPT", "created_at": datetime(2020, 1, 1), "sentiment_score": 3.0}
+    df = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.SCORED)], schemas.SCORED)
+    tables.append(df, gold.SCORED_TABLE)
+    gold.check_quality(tables, AI_TOOLS)
+    (logged,) = audit(tables)
+    assert logged[:4] == ("all", "gold_dq_check", 1, "failed") and logged[4].count(";") == 1
+
+
+def test_scored_sources_are_a_choice():
+    assert [s.name for s in gold.SCORED_SOURCES] == ["hackernews", "reddit"]
+    assert [s.name for s in SOURCES] == ["hackernews", "reddit", "producthunt"]
+
+
+def test_reports_use_a_stored_rollup(spark, tables):
+    row = {"post_id": "1", "tool": "v0", "source": "reddit", "created_at": RUN, "sentiment_score": 0.5}
+    df = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.SCORED)], schemas.SCORED)
+    frames = gold.report_frames(df)
+    assert all("/rollup-" in f.inputFiles()[0] for n, f in frames.items() if n != "top_posts_by_tool")
+    assert frames["tool_leaderboard"].select(F.col("total_mentions")).first()[0] == 1
