@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from mentionkit.functions.entities import decode_entities
 
-# Fixed value: what Python's ``\\s`` matches, written for Java's regex.
+# Fixed value: what Python's ``\s`` matches, written for Java's regex.
 _SPACE = r"[\s\x1c-\x1f]"
 _SPACE_RUN = rf"(?U){_SPACE}+"
-# whitespace that is not a single plain space
-_UNEVEN_SPACE = rf"(?U){_SPACE}(?:(?<! )|(?= ))"
+# whitespace other than a plain space
+_OTHER_SPACE = r"(?U)[\s\x1c-\x1f&&[^ ]]"
 # Fixed value: the same characters, for trimming.
 _SPACE_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -71,8 +71,9 @@ def clean_text(text: Column, markdown: bool = False) -> Column:
 
     one_line = F.replace(text, F.lit("\n"), F.lit(" "))
     marks = ("&", "<", *(_MARKDOWN_MARKS if markdown else ()))
-    uneven = reduce(or_, [F.contains(text, F.lit(m)) for m in marks]) | one_line.rlike(_UNEVEN_SPACE)
-    return empty_to_null(F.trim(F.when(uneven, collapse_whitespace(body)).otherwise(one_line)))
+    involved = reduce(or_, [F.contains(text, F.lit(m)) for m in marks])
+    uneven = F.contains(one_line, F.lit("  ")) | one_line.rlike(_OTHER_SPACE)
+    return empty_to_null(F.trim(F.when(involved | uneven, collapse_whitespace(body)).otherwise(one_line)))
 
 
 def first_filled(*texts: Column) -> Column:

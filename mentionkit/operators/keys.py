@@ -7,6 +7,8 @@ inside each task before the shuffle, or the key is salted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +45,23 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def not_in_history(
+    increment: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Like ``not_in`` for a stored increment that is small next to what it is checked against.
+
+    The history is first cut down to the keys of the increment, so that a short
+    increment does not make all earlier keys travel.
+    """
+    wanted = increment.select(*keys).distinct()
+    if fits(increment, max_broadcast_rows):
+        history = history.select(*keys).join(F.broadcast(wanted), list(keys), "left_semi")
+    return not_in(increment, history, keys)
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -57,12 +76,16 @@ def lookup(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
+    # equal keys include two NULLs: a row without a key has a mark like any other
+    theirs = {k: f"_their_{k}" for k in keys}
+    table = table.withColumnsRenamed(theirs)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(t)) for k, t in theirs.items()])
     if fits(table, max_broadcast_rows):
-        return df.join(F.broadcast(table), list(keys), how)
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return df.join(F.broadcast(table), same, how).drop(*theirs.values())
+    salted = table.withColumn("_their_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # Taken from row and task: copies of a row in different tasks get different salts,
     # and a task that runs again repeats its own.
     columns = [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
     salt = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    return df.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
-
+    joined = df.withColumn("_salt", salt).join(salted, same & (F.col("_salt") == F.col("_their_salt")), how)
+    return joined.drop("_salt", "_their_salt", *theirs.values())

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mentionkit import schemas
 from mentionkit.functions.scores import MAX_PROMPT_CHARS, build_prompt, is_scorable, lexicon_score, parse_score
 from mentionkit.operators.aggregates import SCORE
-from mentionkit.operators.keys import MENTION_KEY, keep_first, not_in
+from mentionkit.operators.keys import MAX_BROADCAST_ROWS, MENTION_KEY, fits, keep_first, not_in
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
@@ -58,11 +58,29 @@ def pending(silver: DataFrame, scored: DataFrame | None) -> DataFrame:
 
     Copies are reduced before the join, which reuses their partitioning.
     """
-    candidates = silver.filter(is_scorable(F.col("text")))
-    unique = keep_first(candidates, MENTION_KEY, [F.desc_nulls_last("ingested_at")])
+    unique = _one_copy(silver.filter(is_scorable(F.col("text"))))
     return unique if scored is None else not_in(unique, scored, MENTION_KEY)
 
 
+def pending_increment(silver: DataFrame, scored: DataFrame) -> DataFrame:
+    """The rows of ``pending``, found by keys first.
+
+    Most mentions have been scored by an earlier run. Comparing the key columns alone
+    finds the few that have not; their texts are then picked out of one scan, without
+    a shuffle of the others. If the open keys are too many to broadcast (a first
+    run), copies are reduced first and the join reuses that shuffle.
+    """
+    open_keys = store(not_in(silver.select(*MENTION_KEY).distinct(), scored, MENTION_KEY), "open-keys")
+    candidates = silver.filter(is_scorable(F.col("text")))
+    if fits(open_keys, MAX_BROADCAST_ROWS):
+        return _one_copy(candidates.join(F.broadcast(open_keys), list(MENTION_KEY), "left_semi"))
+    return _one_copy(candidates).join(open_keys, list(MENTION_KEY), "left_semi")
+
+
+def _one_copy(mentions: DataFrame) -> DataFrame:
+    return keep_first(mentions, MENTION_KEY, [F.desc_nulls_last("ingested_at")])
+
+
 def as_scored(df: DataFrame) -> DataFrame:
     return df.select(*schemas.SCORED.names)
 
@@ -95,7 +113,7 @@ def score_pending(
     """
     started = time.monotonic()
     tables.ensure(scored_table, schemas.SCORED)
-    todo = pending(silver, tables.read(scored_table)).withColumn("_slot", _slot())
+    todo = pending_increment(silver, tables.read(scored_table)).withColumn("_slot", _slot())
     todo = store(todo.sortWithinPartitions("_slot"), "pending")
     total = todo.count()
     batches = math.ceil(total / batch_rows)

@@ -2,51 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mentionkit import schemas
 from mentionkit.functions.times import parse_iso
 from mentionkit.operators.audit import AuditLog
 from mentionkit.operators.marks import marks_by_key, read_mark
-from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT
+from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, Source
 from mentionkit.sources import landing
 from mentionkit.sources.tables import Tables
 
 BRONZE = "bronze"
+LANDING_MARKS = "landing_marks"
 
 
 def land_hackernews(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
-    table = HACKERNEWS.bronze_table
-    landed = tables.read_if_exists(table)
-    marks = None if landed is None else marks_by_key(landed, ["query_tool"], parse_iso(F.col("hn_created_at")))
+    marks = landing_marks(tables, HACKERNEWS, ["query_tool"], parse_iso(F.col("hn_created_at")))
     rows = landing.hn_new(landing.hn_rows(pages, ingested_at), marks)
-    return _append(tables, rows, table, schemas.HN_RAW, HACKERNEWS.name)
+    return _append(tables, rows, schemas.HN_RAW, HACKERNEWS)
 
 
 def land_reddit(tables: Tables, submissions: DataFrame, ingested_at: datetime | None = None) -> int:
-    table = REDDIT.bronze_table
-    landed = tables.read_if_exists(table)
-    keys = ["subreddit", "query_tool"]
-    marks = None if landed is None else marks_by_key(landed, keys, F.col("reddit_created_utc"))
+    marks = landing_marks(tables, REDDIT, ["subreddit", "query_tool"], F.col("reddit_created_utc"))
     rows = landing.reddit_new(landing.reddit_rows(submissions, ingested_at), marks)
-    return _append(tables, rows, table, schemas.REDDIT_RAW, REDDIT.name)
+    return _append(tables, rows, schemas.REDDIT_RAW, REDDIT)
 
 
 def land_producthunt(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
     """The mark is taken over posts only: comments are younger than the posts they belong to."""
-    table = PRODUCTHUNT.bronze_table
-    landed = tables.read_if_exists(table)
-    posts_only = None if landed is None else landed.filter("object_type = 'post'")
-    mark = read_mark(posts_only, parse_iso(F.col("ph_created_at")))
-    posts = landing.producthunt_new(landing.producthunt_posts(pages), mark)
-    return _append(tables, landing.producthunt_rows(posts, ingested_at), table, schemas.PRODUCTHUNT_RAW, PRODUCTHUNT.name)
-
-
-def _append(tables: Tables, rows: DataFrame, table: str, schema, source: str) -> int:
-    with AuditLog(tables).step(source, BRONZE) as step:
-        tables.ensure(table, schema)
-        step.rows = tables.append(rows, table, evolve=True)
+    is_post = F.col("object_type") == "post"
+    marks = landing_marks(tables, PRODUCTHUNT, [], parse_iso(F.col("ph_created_at")), is_post)
+    posts = landing.producthunt_new(landing.producthunt_posts(pages), read_mark(marks, F.col("mark")))
+    return _append(tables, landing.producthunt_rows(posts, ingested_at), schemas.PRODUCTHUNT_RAW, PRODUCTHUNT)
+
+
+def landing_marks(
+    tables: Tables,
+    source: Source,
+    keys: Sequence[str],
+    time: Column,
+    counts: Column | None = None,
+) -> DataFrame | None:
+    """Mark per source key of what has landed; None before the first run.
+
+    The bronze table stays the truth. What it held at the last run is summed up in a
+    small table, so only rows ingested since then are read again; those at the border
+    are read twice, which a maximum does not mind.
+    """
+    landed = tables.read_if_exists(source.bronze_table)
+    if landed is None:
+        return None
+    tables.ensure(LANDING_MARKS, schemas.LANDING_MARK_SCHEMA)
+    own = F.col("source") == source.name
+    covered = read_mark(tables.read(LANDING_MARKS).filter(own), F.col("covered_until"))
+    tail = landed if covered is None else landed.filter(F.col("ingested_at") >= F.lit(covered))
+    if counts is not None:
+        tail = tail.filter(counts)
+    fresh = tail.groupBy(*keys).agg(F.max(time).alias("mark"), F.max("ingested_at").alias("covered_until"))
+    tables.append(fresh.withColumn("source", F.lit(source.name)), LANDING_MARKS)
+    return marks_by_key(tables.read(LANDING_MARKS).filter(own), keys, F.col("mark"))
+
+
+def _append(tables: Tables, rows: DataFrame, schema: T.StructType, source: Source) -> int:
+    with AuditLog(tables).step(source.name, BRONZE) as step:
+        tables.ensure(source.bronze_table, schema)
+        step.rows = tables.append(rows, source.bronze_table, evolve=True)
     return step.rows

@@ -14,9 +14,9 @@ from mentionkit.operators.audit import AuditLog
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, SOURCES, Source
 from mentionkit.operators.scoring import Scorer, ScoringRun
 from mentionkit.plans import gold
-from mentionkit.plans.land import land_hackernews, land_producthunt, land_reddit
+from mentionkit.plans.land import LANDING_MARKS, land_hackernews, land_producthunt, land_reddit
 from mentionkit.plans.silver import MARK_TABLE, refine_source
-from mentionkit.schemas import MARK_SCHEMA
+from mentionkit.schemas import LANDING_MARK_SCHEMA, MARK_SCHEMA
 from mentionkit.sources.tables import Tables
 
 LAND: Mapping[str, Callable[[Tables, DataFrame, datetime | None], int]] = {
@@ -52,6 +52,7 @@ def run_all(
     # created up front, as the branches would race for them
     AuditLog(tables).ensure()
     tables.ensure(MARK_TABLE, MARK_SCHEMA)
+    tables.ensure(LANDING_MARKS, LANDING_MARK_SCHEMA)
 
     def branch(source: Source) -> tuple[int, int]:
         landed = LAND[source.name](tables, payloads[source.name], run_time)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
 from mentionkit.operators.audit import AuditLog
-from mentionkit.operators.keys import MENTION_KEY, not_in
+from mentionkit.operators.keys import MENTION_KEY, not_in_history
 from mentionkit.operators.marks import newer_than, read_mark
 from mentionkit.operators.refine import Source, refine
+from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 SILVER = "silver"
@@ -59,7 +60,8 @@ def refine_source(
         cleaned_at = cleaned_at or datetime.now(timezone.utc)
         tables.ensure(source.silver_table, schemas.SILVER)
         silver = refine(fresh.filter(time <= F.lit(upper)), source, catalog, cleaned_at, **options)
-        new = not_in(silver, tables.read(source.silver_table), MENTION_KEY)
+        increment = store(silver, "increment")
+        new = not_in_history(increment, tables.read(source.silver_table), MENTION_KEY)
         step.rows = tables.append(new, source.silver_table, evolve=True)
         row = (source.name, SILVER, upper, cleaned_at)
         tables.append(tables.spark.createDataFrame([row], schemas.MARK_SCHEMA), MARK_TABLE)

@@ -101,6 +101,9 @@ AUDIT_SCHEMA = table(
     status="string", error_message="string",
 )
 MARK_SCHEMA = table(source="string", layer="string", mark="timestamp", run_timestamp="timestamp")
+LANDING_MARK_SCHEMA = table(
+    source="string", subreddit="string", query_tool="string", mark="timestamp", covered_until="timestamp",
+)
 ALIAS_SCHEMA = table(tool="string", alias="string", tier="string")
 START_DATE_SCHEMA = table(tool="string", launch_date="date")
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentionkit.operators import keys, marks
-from mentionkit.operators.keys import keep_first, lookup, not_in
+from mentionkit.operators.keys import keep_first, lookup, not_in, not_in_history
 
 
 @pytest.fixture
@@ -52,6 +52,14 @@ def test_lookup_gives_the_same_by_broadcast_and_by_salt(spark, skewed, limit, ho
     assert joined.count() == (12000 if how == "left" else 4001)
 
 
+@pytest.mark.parametrize("limit", [10, 1])
+def test_lookup_matches_missing_keys(spark, limit):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    table = spark.createDataFrame([(None, 20), ("a", 10)], "k string, extra int")
+    got = lookup(df, table, ["k"], max_broadcast_rows=limit).orderBy("v").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 10), (None, 2, 20), ("b", 3, None)]
+
+
 def test_salts_spread_identical_rows(spark):
     same = spark.range(800).repartition(8).select(F.lit("hot").alias("k"))
     table = spark.createDataFrame([("hot", 1), ("x", 2)], "k string, extra int")
@@ -99,3 +107,11 @@ def test_mark_reaches_the_scan(spark, tmp_path):
 
 def test_fits(spark):
     assert keys.fits(spark.range(5), 5) and not keys.fits(spark.range(6), 5)
+
+
+@pytest.mark.parametrize("limit", [100, 1])
+def test_history_is_cut_to_the_increment(spark, skewed, limit):
+    increment = spark.createDataFrame([("hot", "T", 1), ("new", "T", 2), ("5", "U", 3), ("new", "T", 4)], skewed.schema)
+    fresh = not_in_history(increment, skewed, ["post_id", "tool"], limit)
+    assert sorted(r["v"] for r in fresh.collect()) == [2, 3, 4]
+    assert ("LeftSemi" in _plan(fresh)) == (limit == 100)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mentionkit import schemas
 from mentionkit.functions import scores
 from mentionkit.operators import scoring
-from mentionkit.operators.scoring import lexicon_scorer, model_scorer, pending, score_pending
+from mentionkit.operators.scoring import lexicon_scorer, model_scorer, pending, pending_increment, score_pending
 from mentionkit.sources.tables import Tables
 
 T = datetime(2025, 1, 1)
@@ -71,6 +71,16 @@ def test_pending(spark):
     assert pending(everything, None).count() == 5
 
 
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_pending_by_keys_first_is_the_same(spark, monkeypatch, limit):
+    monkeypatch.setattr(scoring, "MAX_BROADCAST_ROWS", limit)
+    rows = silver(spark, 60).unionByName(silver(spark, 20)).unionByName(silver(spark, 3, text="").withColumn("post_id", F.concat(F.lit("s"), "post_id")))
+    done = silver(spark, 30).select("post_id", "tool")
+    a, b = pending(rows, done), pending_increment(rows, done)
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 30
+
+
 def test_stop_and_resume(spark, tables):
     frame = silver(spark)
     first = score_pending(frame, tables, "gold", SCORER, batch_rows=30, max_batches=2)
