@@ -82,7 +82,7 @@ def reddit_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     minutes = F.col("conv_id") * 1440 + F.col("turn")
     return c.select(
-        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("object_id"),
+        F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("object_id"),
         F.lit("term").alias("query_tool"),
         F.col("role").alias("subreddit"),
         F.concat(F.lit("Thread *"), F.col("conv_id").cast("string"), F.lit("*")).alias("title"),
@@ -99,7 +99,7 @@ def reddit_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REDDIT_BRONZE = """
-SELECT conv_id || '-' || turn AS object_id, 'term' AS query_tool, role AS subreddit,
+SELECT 'c' || conv_id || '-' || turn AS object_id, 'term' AS query_tool, role AS subreddit,
        'Thread *' || conv_id || '*' AS title, nullif(text, '') AS text, role AS author, conv_id AS score,
        turn AS num_comments, NULL::VARCHAR AS url, 'https://reddit.com/r/' || role AS permalink,
        TIMESTAMP '2023-01-01' + to_minutes(conv_id * 1440 + turn) AS reddit_created_utc,
@@ -317,7 +317,8 @@ def silver_sql(source: str, bronze: str, columns: dict[str, str], markdown: bool
 SELECT post_id, source, tool, object_type, title, text, author, score, num_comments, url, created_at, ingested_at,
        TIMESTAMP '2025-06-01' AS cleaned_at
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY post_id, tool ORDER BY ingested_at DESC) AS copy
+  SELECT *, row_number() OVER (PARTITION BY post_id, tool ORDER BY ingested_at DESC, author NULLS FIRST,
+    score NULLS FIRST, num_comments NULLS FIRST, url NULLS FIRST) AS copy
   FROM (
     SELECT {picked}, '{source}' AS source, object_type, t0 AS title, {body} AS text, ingested_at,
            lower(concat_ws(' ', t0, x)) AS l
@@ -328,31 +329,30 @@ FROM (
 """
 
 
-SILVER_HN = silver_sql(
-    "hackernews",
-    HN_BRONZE,
-    {
-        "post_id": "object_id", "author": "author", "score": "points::INT", "num_comments": "num_comments::INT",
-        "url": "url", "created_at": "strptime(hn_created_at, '%Y-%m-%dT%H:%M:%SZ')",
-    },
-)
-SILVER_REDDIT = silver_sql(
-    "reddit",
-    REDDIT_BRONZE,
-    {
-        "post_id": "object_id", "author": "author", "score": "score::INT", "num_comments": "num_comments::INT",
-        "url": "permalink", "created_at": "reddit_created_utc",
-    },
-    markdown=True,
-    title_stands_in=True,
-)
-SILVER_PRODUCTHUNT = silver_sql(
-    "producthunt",
-    PRODUCTHUNT_BRONZE,
-    {
-        "post_id": "object_id", "author": "author", "score": "votes_count::INT", "num_comments": "num_comments::INT",
-        "url": "url", "created_at": "strptime(ph_created_at, '%Y-%m-%dT%H:%M:%SZ')",
-    },
+_HN_COLUMNS = {
+    "post_id": "object_id", "author": "author", "score": "points::INT", "num_comments": "num_comments::INT",
+    "url": "url", "created_at": "strptime(hn_created_at, '%Y-%m-%dT%H:%M:%SZ')",
+}
+_REDDIT_COLUMNS = {
+    "post_id": "object_id", "author": "author", "score": "score::INT", "num_comments": "num_comments::INT",
+    "url": "permalink", "created_at": "reddit_created_utc",
+}
+_PRODUCTHUNT_COLUMNS = {
+    "post_id": "object_id", "author": "author", "score": "votes_count::INT", "num_comments": "num_comments::INT",
+    "url": "url", "created_at": "strptime(ph_created_at, '%Y-%m-%dT%H:%M:%SZ')",
+}
+SILVER_HN = silver_sql("hackernews", HN_BRONZE, _HN_COLUMNS)
+SILVER_REDDIT = silver_sql("reddit", REDDIT_BRONZE, _REDDIT_COLUMNS, markdown=True, title_stands_in=True)
+SILVER_PRODUCTHUNT = silver_sql("producthunt", PRODUCTHUNT_BRONZE, _PRODUCTHUNT_COLUMNS)
+
+# silver rows of all sources when bronze comes from the payloads
+SILVER_LANDED = " UNION ALL ".join(
+    f"({sql})"
+    for sql in (
+        silver_sql("hackernews", HN_LANDED, _HN_COLUMNS),
+        silver_sql("reddit", REDDIT_LANDED, _REDDIT_COLUMNS, markdown=True, title_stands_in=True),
+        silver_sql("producthunt", PRODUCTHUNT_LANDED, _PRODUCTHUNT_COLUMNS),
+    )
 )
 
 
