@@ -35,9 +35,10 @@ def _named() -> dict[str, str]:
 
 
 @lru_cache(maxsize=1)
-def _open_named() -> dict[str, str]:
-    """References that count without a semicolon."""
-    return {k: v for k, v in html5.items() if not k.endswith(";")}
+def _open_name() -> str:
+    """Pattern for the longest reference at the start that counts without a semicolon."""
+    names = sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)
+    return f"^(?:{'|'.join(names)})"
 
 
 @lru_cache(maxsize=1)
@@ -49,51 +50,41 @@ def _irregular_code_points() -> dict[str, str]:
     return {str(n): v for n, v in decoded.items() if v != chr(n)}
 
 
-def _code_point(n: Column) -> Column:
+def _character(n: Column) -> Column:
     """Character for a code point given as bigint; NULL means out of range."""
-    regular = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     surrogate_or_outside = n.isNull() | n.between(0xD800, 0xDFFF) | (n > _MAX_CODE_POINT)
-    return F.when(surrogate_or_outside, F.lit(_REPLACEMENT)).otherwise(
-        F.coalesce(_literal_map(_irregular_code_points())[n.cast("string")], regular)
-    )
+    regular = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    irregular = _literal_map(_irregular_code_points())[n.cast("string")]
+    return F.when(surrogate_or_outside, F.lit(_REPLACEMENT)).otherwise(F.coalesce(irregular, regular))
+
+
+# hexadecimal or decimal digits without leading zeros
+_NUMERIC = r"^#(?:[xX]0*([0-9a-fA-F]+)|0*([0-9]+));?"
 
 
-def _numeric(part: Column, pattern: str, max_digits: int, to_bigint) -> Column:
-    """Decode a numeric reference at the start of ``part`` (text after the '&')."""
-    ref = F.regexp_extract(part, f"^({pattern});?", 0)
-    digits = F.regexp_replace(F.regexp_extract(part, f"^{pattern}", 0), "^#[xX]?0*", "")
-    # longer numbers are outside the code space; NULL keeps the cast in range
-    number = F.when(digits == "", F.lit(0).cast("bigint")).when(F.length(digits) <= max_digits, to_bigint(digits))
-    return F.concat(_code_point(number), F.substr(part, F.length(ref) + 1))
+def _numeric(part: Column) -> Column:
+    """Decode a numeric reference at the start of ``part`` (the text after an '&')."""
+    hexadecimal, decimal = F.regexp_extract(part, _NUMERIC, 1), F.regexp_extract(part, _NUMERIC, 2)
+    # longer numbers are outside the code space; NULL keeps the conversions in range
+    number = F.when(hexadecimal == "", F.when(F.length(decimal) <= 10, decimal)).otherwise(
+        F.conv(F.when(F.length(hexadecimal) <= 8, hexadecimal), 16, 10)
+    )
+    return F.concat(_character(number.cast("bigint")), F.regexp_replace(part, _NUMERIC, ""))
 
 
 def _named_reference(part: Column) -> Column:
     name = F.regexp_extract(part, r"^[^\t\n\f <&#;]{1,32};?", 0)
-    whole = F.concat(_literal_map(_named())[name], F.substr(part, F.length(name) + 1))
-    lengths = sorted({len(k) for k in _open_named()}, reverse=True)
-    open_map = _literal_map(_open_named())
-    run_on = [
-        F.when(F.length(name) > n, F.concat(open_map[F.left(name, F.lit(n))], F.substr(part, F.lit(n + 1))))
-        for n in lengths
-    ]
-    return F.coalesce(whole, *run_on, F.concat(F.lit("&"), part))
-
-
-def _decode_part(part: Column) -> Column:
-    hexadecimal = _numeric(part, "#[xX][0-9a-fA-F]+", 8, lambda d: F.conv(d, 16, 10).cast("bigint"))
-    decimal = _numeric(part, "#[0-9]+", 10, lambda d: d.cast("bigint"))
-    return (
-        F.when(part.rlike("^#[xX][0-9a-fA-F]"), hexadecimal)
-        .when(part.rlike("^#[0-9]"), decimal)
-        .otherwise(_named_reference(part))
-    )
+    named = _literal_map(_named())
+    known = F.when(named[name].isNotNull(), name).otherwise(F.regexp_extract(name, _open_name(), 0))
+    return F.concat(F.coalesce(named[known], F.lit("&")), F.substr(part, F.length(known) + 1))
+
+
+def _decode_part(part: Column, i: Column) -> Column:
+    numeric = part.rlike("^#(?:[0-9]|[xX][0-9a-fA-F])")
+    return F.when(i == 0, part).when(numeric, _numeric(part)).otherwise(_named_reference(part))
 
 
 def decode_entities(text: Column) -> Column:
     """Replace HTML character references; a text without '&' passes through."""
-    parts = F.split(text, "&")
-    decoded = F.concat(
-        F.element_at(parts, 1),
-        F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _decode_part), ""),
-    )
+    decoded = F.array_join(F.transform(F.split(text, "&"), _decode_part), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
