@@ -9,6 +9,7 @@ from the standard library, so none is spelled out here.
 from __future__ import annotations
 
 import html
+import json
 from functools import lru_cache
 from html.entities import html5
 
@@ -17,21 +18,15 @@ from pyspark.sql import functions as F
 
 _REPLACEMENT = "\ufffd"
 _MAX_CODE_POINT = 0x10FFFF
-# separators of the literal lookup tables; neither occurs in a name or a value
-_ENTRY, _FIELD = "\x02", "\x03"
-# names written most often, placed first because a map lookup reads in order
-_FREQUENT = ("amp;", "quot;", "lt;", "gt;", "nbsp;", "apos;")
-
-
-def _literal_map(entries: dict[str, str]) -> Column:
-    # one foldable expression instead of two literals per entry
-    text = _ENTRY.join(f"{k}{_FIELD}{v}" for k, v in entries.items())
-    return F.str_to_map(F.lit(text), F.lit(_ENTRY), F.lit(_FIELD))
 
 
 @lru_cache(maxsize=1)
-def _named() -> dict[str, str]:
-    return {k: html5[k] for k in _FREQUENT} | html5
+def _named() -> str:
+    """Names and their text by first letter: a map is searched entry by entry, so it is kept short."""
+    by_letter = {}
+    for name, value in html5.items():
+        by_letter.setdefault(name[0], {})[name] = value
+    return json.dumps(by_letter)
 
 
 @lru_cache(maxsize=1)
@@ -42,19 +37,19 @@ def _open_name() -> str:
 
 
 @lru_cache(maxsize=1)
-def _irregular_code_points() -> dict[str, str]:
+def _irregular_code_points() -> str:
     """Code points that do not stand for themselves, found by trying those that may."""
     candidates = [*range(0xA0), *range(0xFDD0, 0xFDF0)]
     candidates += [(plane << 16) + low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
     decoded = {n: html.unescape(f"&#{n};") for n in candidates}
-    return {str(n): v for n, v in decoded.items() if v != chr(n)}
+    return json.dumps({str(n): v for n, v in decoded.items() if v != chr(n)})
 
 
 def _character(n: Column) -> Column:
     """Character for a code point given as bigint; NULL means out of range."""
     surrogate_or_outside = n.isNull() | n.between(0xD800, 0xDFFF) | (n > _MAX_CODE_POINT)
     regular = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    irregular = _literal_map(_irregular_code_points())[n.cast("string")]
+    irregular = F.from_json(F.lit(_irregular_code_points()), "map<string,string>")[n.cast("string")]
     return F.when(surrogate_or_outside, F.lit(_REPLACEMENT)).otherwise(F.coalesce(irregular, regular))
 
 
@@ -74,14 +69,22 @@ def _numeric(part: Column) -> Column:
 
 def _named_reference(part: Column) -> Column:
     name = F.regexp_extract(part, r"^[^\t\n\f <&#;]{1,32};?", 0)
-    named = _literal_map(_named())
-    known = F.when(named[name].isNotNull(), name).otherwise(F.regexp_extract(name, _open_name(), 0))
-    return F.concat(F.coalesce(named[known], F.lit("&")), F.substr(part, F.length(known) + 1))
+    run_on = F.regexp_extract(name, _open_name(), 0)
+    named = F.from_json(F.lit(_named()), "map<string,map<string,string>>")[F.left(part, F.lit(1))]
+    return F.coalesce(
+        F.concat(named[name], F.substr(part, F.length(name) + 1)),
+        F.concat(named[run_on], F.substr(part, F.length(run_on) + 1)),
+        F.concat(F.lit("&"), part),
+    )
 
 
 def _decode_part(part: Column, i: Column) -> Column:
-    numeric = part.rlike("^#(?:[0-9]|[xX][0-9a-fA-F])")
-    return F.when(i == 0, part).when(numeric, _numeric(part)).otherwise(_named_reference(part))
+    return (
+        F.when(i == 0, part)
+        .when(part.rlike("^[A-Za-z]"), _named_reference(part))
+        .when(part.rlike("^#(?:[0-9]|[xX][0-9a-fA-F])"), _numeric(part))
+        .otherwise(F.concat(F.lit("&"), part))
+    )
 
 
 def decode_entities(text: Column) -> Column:
