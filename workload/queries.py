@@ -490,7 +490,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Stop after two batches, resume, run once more with nothing left."""
     tables = _fresh_tables(spark)
-    silver = _silver_hn(spark, sf)
+    tables.append(_silver_hn(spark, sf), refine.HACKERNEWS.silver_table)
+    silver = tables.read(refine.HACKERNEWS.silver_table)
     scorer = lexicon_scorer(POSITIVE, NEGATIVE)
     first = score_pending(silver, tables, gold.SCORED_TABLE, scorer, batch_rows=100, max_batches=2)
     left = max(1, first.remaining // 2)
