@@ -149,13 +149,14 @@ def _(spark, sf):
 @query(
     "match_multi",
     f"""
-    SELECT doc_id, string_agg(tool, ',' ORDER BY tool) AS tools FROM {_DOCS}, {TOOLS}
-    WHERE {matches_sql()} GROUP BY doc_id
+    SELECT doc_id, string_agg(tool, ',' ORDER BY tool) AS tools FROM {_DOCS}
+    LEFT JOIN {TOOLS} ON {matches_sql()} GROUP BY doc_id
     """,
 )
 def _(spark, sf):
     joined = F.nullif(F.array_join("matched_tools", ","), F.lit(""))
-    return _matched(spark, sf, CATALOG).select("doc_id", joined.alias("tools")).filter("tools IS NOT NULL")
+    # a filter on the result would be pushed below and match a second time
+    return _matched(spark, sf, CATALOG).select("doc_id", joined.alias("tools"))
 
 
 @query(
