@@ -57,8 +57,9 @@ def seeds(found: list[str], cache: dict[str, int]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _place(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def _place(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where in a table of a power of two the hashes belong: their first bits."""
+    return (hashes.view(np.uint64) >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
 
 
 def _seed_rows(df: DataFrame, key: str, table=None) -> DataFrame:
@@ -73,7 +74,7 @@ def _seed_rows(df: DataFrame, key: str, table=None) -> DataFrame:
         for t in texts:
             w = words(t)
             h = seeds(w, cache)
-            pos = np.arange(len(h)) if bits is None else np.flatnonzero(bits[_place(h)])
+            pos = np.arange(len(h)) if bits is None else np.flatnonzero(bits[_place(h, bits)])
             out.append((len(w), pos.astype(np.int32), h[pos]))
         return pd.DataFrame(out, columns=["n", "pos", "seed"])
 

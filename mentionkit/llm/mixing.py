@@ -81,10 +81,10 @@ def with_rank(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Join each row to its source; add ``_whole`` copies and the rank ``_z`` for one more, in [0, 1]."""
     names = [c for c in rows.columns if c != "source"]
     joined = rows.alias("r").join(sources.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
-    expected = F.least(F.col("target") / F.col("source_size") * F.col("_g") / F.col("mean_g"), F.lit(MOST_COPIES))
-    expected = F.when((F.col("source_size") > 0) & (F.col("mean_g") > 0), expected).otherwise(0.0)
+    share = F.try_divide("target", F.col("source_size").cast("double")) * F.try_divide("_g", "mean_g")
+    expected = F.coalesce(F.least(share, F.lit(MOST_COPIES)), F.lit(0.0))
     part = F.col("_expected") - F.col("_whole")
-    odds = F.col("_u") / (1 - F.col("_u")) / (part / (1 - part))
+    odds = F.try_divide(F.col("_u") / (1 - F.col("_u")), part / (1 - part))
     return (
         joined.select("r.source", *[f"r.{c}" for c in names], *[f"s.{c}" for c in sources.columns if c != "source"])
         .withColumn("_expected", expected)
@@ -151,7 +151,7 @@ def plan(narrow: DataFrame, weights=WEIGHTS, share=SHARE) -> DataFrame:
     """
     sums = narrow.groupBy("source").agg(
         F.sum("_size").alias("source_size"),
-        (F.sum(F.col("_g") * F.col("_size")) / F.sum("_size")).alias("mean_g"),
+        F.try_divide(F.sum(F.col("_g") * F.col("_size")), F.sum("_size").cast("double")).alias("mean_g"),
     )
     goals = targets(sums.select("source", "source_size"), weights, share).alias("t")
     sources = (

@@ -1,8 +1,8 @@
 """Toxic passages by maximal scoring segments over token log-odds.
 
-A token's score is the log-odds of the toxic class given that it occurs, from counts of documents, under Dirichlet priors in two steps: a word's
-prior is the rate of its first five letters, and theirs is the rate of all words. So a new word of a known stem has a score, and a word seen
-once says little. A fixed drift is taken off every token; a linear scan (Ruzzo and Tompa) then gives all maximal segments of a text. The scale
+A token's score is the log-odds of the toxic class given that it occurs, from counts of documents, under a chain of Dirichlet priors: a word's
+prior is the rate of its first eight letters, theirs that of its first seven, and so on down to four and to the rate of all words. So a new word of a
+known stem has a score, and a word seen once says little. A fixed drift is taken off every token; a linear scan (Ruzzo and Tompa) then gives all maximal segments of a text. The scale
 of segment scores in clean text is that of an extreme-value law: lambda solves sum p(s) exp(lambda s) = 1 over the token scores of clean text, K follows from the
 greatest segments of clean texts. A text's evidence is the least p-value over the sums of its best r segments, each
 corrected for the text's length (Karlin and Altschul); a logistic curve turns it into a score.
@@ -28,14 +28,16 @@ from pyspark.sql import functions as F
 
 from mentionkit.llm.common import small_batches, text_of
 from mentionkit.llm.quality import labelled_sample
+from mentionkit.sources.shared import store
 
 SAMPLE = 20_000
 VOCABULARY = 500_000
-STEM = 5
+STEMS = (4, 5, 6, 7, 8)
 TOXIC = 0.7
 DRIFT = 1.0
 """Taken off each token's score, so that a segment has to be dense in telling tokens."""
-_STEM_PRIOR, _WORD_PRIOR = 4.0, 2.0
+_PRIOR = 4.0
+"""Documents that a prior weighs as much as."""
 _MOST_SEGMENTS = 64
 _TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -80,20 +82,30 @@ def segments(scores: list[float]) -> list[tuple[float, int, int]]:
 class Model:
     words: dict[str, float]
     stems: dict[str, float]
-    other: float
     scale: float = 1.0
     log_k: float = 0.0
     slope: float = 1.0
     offset: float = 0.0
 
     def scores(self, found: list[str]) -> list[float]:
-        words, stems, other = self.words, self.stems, self.other
-        out = []
+        """Per token; the k-th time a telling word comes it counts 1/k, as its own repeats are no new evidence."""
+        words, seen, out = self.words, {}, []
         for t in found:
             s = words.get(t)
-            out.append((stems.get(t[:STEM], other) if s is None else s) - DRIFT)
+            s = (self.of_stem(t) if s is None else s) - DRIFT
+            if s > 0:
+                seen[t] = k = seen.get(t, 0) + 1
+                s /= k
+            out.append(s)
         return out
 
+    def of_stem(self, word: str) -> float:
+        for n in reversed(STEMS):
+            s = self.stems.get(word[:n])
+            if s is not None:
+                return s
+        return 0.0
+
     def evidence(self, found: list[tuple[float, int, int]], n: int) -> float:
         """-log of the least p-value over the sums of the best segments."""
         if not found or not n:
@@ -102,11 +114,10 @@ class Model:
         top, total = 0.0, 0.0
         for r, s in enumerate(best, 1):
             total += self.scale * s - self.log_k - math.log(n)
-            t = total + math.lgamma(r + 1)
-            if t <= 0:
+            if total <= r * (r - 1):  # the law holds in the tail only
                 continue
             # P(T) = exp(-T) T^(r-1) / (r! (r-1)!), and a price for choosing r
-            log_p = -t + (r - 1) * math.log(t) - math.lgamma(r + 1) - math.lgamma(r)
+            log_p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
             top = max(top, -log_p - r * math.log(2))
         return top
 
@@ -130,18 +141,20 @@ def passages(model: Model, text: str, least: float = 3.0) -> list[tuple[int, int
     return out
 
 
-def _counts(sample: DataFrame) -> tuple[list, list]:
-    """Per word and per stem: documents and toxic documents it occurs in; the most frequent ones."""
+def _counts(sample: DataFrame) -> tuple[list, list, tuple]:
+    """Per word and per stem: documents and toxic documents it occurs in, for the most frequent ones; and the sums over all words."""
 
     @F.pandas_udf("array<string>")
     def distinct(texts: pd.Series) -> pd.Series:
         return pd.Series([sorted(set(tokens(t))) for t in texts])
 
     rows = sample.select("y", F.explode(distinct(text_of())).alias("w"))
-    words = rows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k"))
-    stems = words.groupBy(F.substring("w", 1, STEM).alias("w")).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    words = store(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")), "toxic-words")
+    prefixes = F.explode(F.array_distinct(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.substr("w", F.lit(1), n))))
+    stems = words.select(prefixes.alias("w"), "n", "k").groupBy("w").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     top = lambda df: df.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
-    return top(words), top(stems)
+    # a word of one document says no more than its stem
+    return top(words.where("n > 1")), top(stems), words.agg(F.sum("n"), F.sum("k")).first()
 
 
 def _log_odds(p: float) -> float:
@@ -153,18 +166,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     learn = labels.where(~held_out(F.col("doc_id")))
     sample = labelled_sample(docs, learn, "toxic", SAMPLE).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     part = F.xxhash64(F.lit("part"), "doc_id") % 3 == 0
-    words, stems = _counts(sample.where(~part))
-    seen, toxic = sum(n for _, n, _ in stems), sum(k for _, _, k in stems)
+    words, stems, (seen, toxic) = _counts(sample.where(~part))
     if not toxic or toxic == seen:
         return None
     rate = toxic / seen
-    stem_rate = {w: (k + _STEM_PRIOR * rate) / (n + _STEM_PRIOR) for w, n, k in stems}
+    smoothed = lambda k, n, prior: (k + _PRIOR * prior) / (n + _PRIOR)
+    rates: dict[str, float] = {}
+
+    def known(stem: str) -> float:
+        """The rate of the longest known stem."""
+        for n in reversed(STEMS):
+            if n <= len(stem) and stem[:n] in rates:
+                return rates[stem[:n]]
+        return rate
+
+    for w, n, k in sorted(stems, key=lambda r: len(r[0])):
+        rates[w] = smoothed(k, n, known(w[:-1]))
     base = _log_odds(rate)
-    word_score = {}
-    for w, n, k in words:
-        p = (k + _WORD_PRIOR * stem_rate.get(w[:STEM], rate)) / (n + _WORD_PRIOR)
-        word_score[w] = _log_odds(p) - base
-    model = Model(word_score, {w: _log_odds(p) - base for w, p in stem_rate.items()}, 0.0)
+    word_score = {w: _log_odds(smoothed(k, n, known(w))) - base for w, n, k in words}
+    model = Model(word_score, {w: _log_odds(p) - base for w, p in rates.items()})
     return _calibrated(model, sample.where(part))
 
 

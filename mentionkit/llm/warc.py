@@ -256,7 +256,8 @@ def save(archives: DataFrame, folder: str) -> None:
         target, base = fs.FileSystem.from_uri(folder)
         target.create_dir(base, recursive=True)
         for row in rows:
-            with target.open_output_stream(f"{base}/{row['name']}") as out:
+            # the content is compressed already, whatever the name says
+            with target.open_output_stream(f"{base}/{row['name']}", compression=None) as out:
                 out.write(bytes(row["content"]))
 
     archives.select("name", "content").foreachPartition(put)
