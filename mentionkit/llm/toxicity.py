@@ -8,7 +8,7 @@ greatest segments of clean texts. A text's evidence is the least p-value over th
 corrected for the text's length (Karlin and Altschul); a logistic curve turns it into a score.
 
 Counts and calibration are learned on disjoint parts of at most ``SAMPLE`` labelled rows, chosen by hash among those not held out; at most ``VOCABULARY``
-words and stems, the most frequent ones, are kept, so what is broadcast is bounded. Scoring reads whole texts and nothing but them.
+words and as many stems that speak for toxicity, the most frequent ones, are kept, so what is broadcast is bounded. Scoring reads whole texts and nothing but them.
 
 Defined results: NULL and empty texts have no evidence and the score of the curve at zero; without labels of both classes every score is 0;
 repeated rows are scored alike; no documents give no rows.
@@ -31,7 +31,7 @@ from mentionkit.llm.quality import labelled_sample
 from mentionkit.sources.shared import store
 
 SAMPLE = 20_000
-VOCABULARY = 500_000
+VOCABULARY = 200_000
 STEMS = (4, 5, 6, 7, 8)
 TOXIC = 0.7
 DRIFT = 1.0
@@ -141,8 +141,11 @@ def passages(model: Model, text: str, least: float = 3.0) -> list[tuple[int, int
     return out
 
 
-def _counts(sample: DataFrame) -> tuple[list, list, tuple]:
-    """Per word and per stem: documents and toxic documents it occurs in, for the most frequent ones; and the sums over all words."""
+def _counts(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, float | None]:
+    """Words and stems, ``w, n, k``: documents and toxic documents they occur in; and the share of toxic ones over all words.
+
+    Only those above that share are kept: to the others an average word's score does no harm, as a segment never gains by them.
+    """
 
     @F.pandas_udf("array<string>")
     def distinct(texts: pd.Series) -> pd.Series:
@@ -150,11 +153,15 @@ def _counts(sample: DataFrame) -> tuple[list, list, tuple]:
 
     rows = sample.select("y", F.explode(distinct(text_of())).alias("w"))
     words = store(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")), "toxic-words")
+    seen, toxic = words.agg(F.sum("n"), F.sum("k")).first()
+    if not toxic or toxic == seen:
+        return None, None, None
     prefixes = F.explode(F.array_distinct(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.substr("w", F.lit(1), n))))
     stems = words.select(prefixes.alias("w"), "n", "k").groupBy("w").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    top = lambda df: df.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
+    above = F.col("k") > F.col("n") * F.lit(toxic / seen)
+    top = lambda df: df.where(above).orderBy(F.desc("n"), "w").limit(VOCABULARY).toPandas()
     # a word of one document says no more than its stem
-    return top(words.where("n > 1")), top(stems), words.agg(F.sum("n"), F.sum("k")).first()
+    return top(words.where("n > 1")), top(stems), toxic / seen
 
 
 def _log_odds(p: float) -> float:
@@ -166,10 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     learn = labels.where(~held_out(F.col("doc_id")))
     sample = labelled_sample(docs, learn, "toxic", SAMPLE).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     part = F.xxhash64(F.lit("part"), "doc_id") % 3 == 0
-    words, stems, (seen, toxic) = _counts(sample.where(~part))
-    if not toxic or toxic == seen:
+    words, stems, rate = _counts(sample.where(~part))
+    if rate is None:
         return None
-    rate = toxic / seen
     smoothed = lambda k, n, prior: (k + _PRIOR * prior) / (n + _PRIOR)
     rates: dict[str, float] = {}
 
@@ -180,10 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 return rates[stem[:n]]
         return rate
 
-    for w, n, k in sorted(stems, key=lambda r: len(r[0])):
+    for w, n, k in sorted(stems[["w", "n", "k"]].itertuples(index=False, name=None), key=lambda r: len(r[0])):
         rates[w] = smoothed(k, n, known(w[:-1]))
     base = _log_odds(rate)
-    word_score = {w: _log_odds(smoothed(k, n, known(w))) - base for w, n, k in words}
+    word_score = {w: _log_odds(smoothed(k, n, known(w))) - base for w, n, k in words[["w", "n", "k"]].itertuples(index=False, name=None)}
     model = Model(word_score, {w: _log_odds(p) - base for w, p in rates.items()})
     return _calibrated(model, sample.where(part))
 
