@@ -166,13 +166,16 @@ def group_report(docs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The document of least doc_id of each group. Of rows that share that doc_id one stays, the one of least text hash.
 
-    Only narrow rows are grouped. The texts are joined to the list of kept ids, which is stored first, so that its size is known when the join is planned.
+    Only narrow rows are grouped; the texts are shuffled once, to meet the list of kept ids. Documents without an id have nothing to be kept by and go.
     """
     groups = near_groups(docs)
     rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     kept = store(groups.where("doc_id = component_id").select("doc_id").distinct().join(rows, "doc_id"), "simhash-kept")
     own = docs.columns
-    out = docs.alias("d").join(kept.select(F.col("doc_id").alias("_id"), "_n"), F.col("doc_id") == F.col("_id"))
+    # one plan at every size: the ids to keep are nearly as many as the documents, so both sides are shuffled once
+    ids = kept.select(F.col("doc_id").alias("_id"), "_n").hint("merge")
+    out = docs.alias("d").join(ids, F.col("doc_id") == F.col("_id"))
     single = out.where("_n = 1").select("d.*")
     ties = out.where("_n > 1").select("d.*").groupBy("doc_id").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("_r"))
     return single.unionAll(ties.select("_r.*"))
+
