@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bucket limits, shortest text worth scoring, text sent per model call.
+# Bucket limits, shortest text worth scoring.
 NEUTRAL_LIMIT = 0.2
 MIN_TEXT_LENGTH = 10
-MAX_PROMPT_CHARS = 800
 
 PROMPT_TEMPLATE = (
     'Rate how the post below feels about "{tool}". Judge "{tool}" alone: ignore opinions on other products, '
@@ -48,13 +47,13 @@ def is_scorable(text: Column) -> Column:
 def build_prompt(
     text: Column,
     tool: Column,
-    max_chars: int | None = MAX_PROMPT_CHARS,
+    max_chars: int | None = None,
     template: str = PROMPT_TEMPLATE,
 ) -> Column:
     """Prompt for one (post, entity).
 
-    ``max_chars`` is the budget per model call; None sends the whole text. A
-    closing tag inside the post cannot end the text block early.
+    The whole text is sent unless the caller sets a budget per model call with
+    ``max_chars``. A closing tag inside the post cannot end the text block early.
     """
     body = text if max_chars is None else F.left(text, F.lit(max_chars))
     body = F.replace(body, F.lit("</text>"), F.lit("< /text>"))

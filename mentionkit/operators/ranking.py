@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from mentionkit.operators.aggregates import SCORE, scored_only
 from mentionkit.operators.keys import MENTION_KEY
+from mentionkit.sources.shared import store
 
-# Posts per tool and end, labels, rows per scoring batch, sampled violations.
+# Posts per tool and end, labels, rows per scoring batch.
 TOP_POSTS = 5
 MOST_POSITIVE = "most_positive"
 MOST_NEGATIVE = "most_negative"
 BATCH_ROWS = 500
-VIOLATION_SAMPLE = 5
 
 _TOP_COLUMNS = ("tool", "source", "title", "url", SCORE, "created_at", "post_id")
 
@@ -41,14 +41,25 @@ def top_bottom_posts(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
     return end(F.desc(SCORE), MOST_POSITIVE).unionByName(end(F.asc(SCORE), MOST_NEGATIVE)).drop("post_id")
 
 
-def next_batch(pending: DataFrame, rows: int = BATCH_ROWS, keys: Sequence[str] = MENTION_KEY) -> DataFrame:
-    """The first ``rows`` rows by key; each task keeps that many at most."""
-    return pending.orderBy(*keys).limit(rows)
+def in_batches(pending: DataFrame, rows: int = BATCH_ROWS, keys: Sequence[str] = MENTION_KEY) -> DataFrame:
+    """All rows with the number of their ``batch``: exactly ``rows`` rows each by key order, but for the last.
 
-
-def violation_sample(violations: DataFrame, keys: Sequence[str] = MENTION_KEY, rows: int = VIOLATION_SAMPLE) -> DataFrame:
-    """A few violating rows for a report, the same ones every time."""
-    return violations.orderBy(*keys).limit(rows)
+    The rows are dealt out by key range and stored; a row's place is its place within its range after the rows of
+    all earlier ranges, of which there are as many as partitions.
+    """
+    dealt = store(pending.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "batches")
+    before = Window.partitionBy().orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rest = [c for c in pending.columns if c not in keys]
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys, *rest)) + F.col("_before") - 1
+    numbered = dealt.join(ranges, "_range").withColumn("batch", F.floor(place / rows).cast("long"))
+    return numbered.select(*pending.columns, "batch")
+
+
+def violations_in_order(violations: DataFrame, keys: Sequence[str] = MENTION_KEY) -> DataFrame:
+    """Every violating row, by key; how many are shown is up to the display."""
+    return violations.orderBy(*keys)
 
 
 # How each report is read. A table has no lasting order, so it is applied on reading.

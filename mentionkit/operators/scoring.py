@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionkit import schemas
-from mentionkit.functions.scores import MAX_PROMPT_CHARS, build_prompt, is_scorable, lexicon_score, parse_score
+from mentionkit.functions.scores import build_prompt, is_scorable, lexicon_score, parse_score
 from mentionkit.operators.aggregates import SCORE
 from mentionkit.operators.keys import MAX_BROADCAST_ROWS, MENTION_KEY, fits, keep_first, not_in
 from mentionkit.sources.shared import store
@@ -25,9 +25,6 @@ from mentionkit.sources.tables import Tables
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-# Fixed value: minutes after which no further batch is started.
-MAX_RUNTIME_MINUTES = 45
-
 
 def lexicon_scorer(positive: Sequence[str], negative: Sequence[str]) -> Scorer:
     return lambda df: df.withColumn(SCORE, lexicon_score(F.col("text"), positive, negative))
@@ -35,7 +32,7 @@ def lexicon_scorer(positive: Sequence[str], negative: Sequence[str]) -> Scorer:
 
 def model_scorer(
     reply_to: Callable[[list[str]], list[str]],
-    max_chars: int | None = MAX_PROMPT_CHARS,
+    max_chars: int | None = None,
 ) -> Scorer:
     """Score by asking a model: ``reply_to`` answers a list of prompts, once per Arrow batch.
 
@@ -47,6 +44,9 @@ def model_scorer(
         for prompts in batches:
             yield pd.Series(reply_to(prompts.tolist()), dtype=object)
 
+    # a model is no function of its prompt, and each call costs: a filter on the score must not make a second one
+    ask = ask.asNondeterministic()
+
     def score(df: DataFrame) -> DataFrame:
         return df.withColumn(SCORE, parse_score(ask(build_prompt(F.col("text"), F.col("tool"), max_chars))))
 
@@ -70,8 +70,9 @@ def pending_increment(silver: DataFrame, scored: DataFrame) -> DataFrame:
     a shuffle of the others. If the open keys are too many to broadcast (a first
     run), copies are reduced first and the join reuses that shuffle.
     """
-    open_keys = store(not_in(silver.select(*MENTION_KEY).distinct(), scored, MENTION_KEY), "open-keys")
     candidates = silver.filter(is_scorable(F.col("text")))
+    # mentions that cannot be scored would stay open for ever
+    open_keys = store(not_in(candidates.select(*MENTION_KEY).distinct(), scored, MENTION_KEY), "open-keys")
     if fits(open_keys, MAX_BROADCAST_ROWS):
         return _one_copy(candidates.join(F.broadcast(open_keys), list(MENTION_KEY), "left_semi"))
     return _one_copy(candidates).join(open_keys, list(MENTION_KEY), "left_semi")
@@ -90,6 +91,8 @@ class ScoringRun:
     scored: int
     remaining: int
     batches: int
+    complete: bool = True
+    """False if a limit ended the run before every pending row was tried."""
 
 
 def score_pending(
@@ -99,14 +102,15 @@ def score_pending(
     scorer: Scorer,
     batch_rows: int = 1_000_000,
     max_batches: int | None = None,
-    max_minutes: float = MAX_RUNTIME_MINUTES,
+    max_minutes: float | None = None,
     store_unparsed: bool = True,
 ) -> ScoringRun:
     """Score what is pending and append it batch by batch.
 
     The pending rows are found once and written to the shared folder, ordered by
     the slot that assigns them to a batch, so that a batch reads its own part only.
-    A run that stops, or dies, leaves the rest pending for the next one.
+    A run that stops, or dies, leaves the rest pending for the next one. All batches
+    are run unless ``max_batches`` or ``max_minutes`` is given.
 
     ``store_unparsed=False`` leaves rows without a usable score out of the table, so
     that they are tried again.
@@ -119,7 +123,7 @@ def score_pending(
     batches = math.ceil(total / batch_rows)
     done = batch = 0
     while batch < batches and (max_batches is None or batch < max_batches):
-        if time.monotonic() - started >= max_minutes * 60:
+        if max_minutes is not None and time.monotonic() - started >= max_minutes * 60:
             break
         rows = todo.filter(F.col("_slot").between(*_slots_of(batch, batches)))
         scored = as_scored(scorer(rows))
@@ -127,7 +131,7 @@ def score_pending(
             scored = scored.filter(F.col(SCORE).isNotNull())
         done += tables.append(scored, scored_table)
         batch += 1
-    return ScoringRun(scored=done, remaining=total - done, batches=batch)
+    return ScoringRun(scored=done, remaining=total - done, batches=batch, complete=batch == batches)
 
 
 _SLOTS = 1 << 20

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
 from mentionkit.operators import aggregates as agg
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
@@ -29,8 +30,13 @@ def score_sources(
     scored_table: str = SCORED_TABLE,
     **limits,
 ) -> ScoringRun:
+    """Score the pending rows of the given sources' silver tables, as far as these exist."""
     with AuditLog(tables).step(ALL_SOURCES, GOLD) as step:
-        silver = union_sources(*[tables.read(s.silver_table) for s in sources])
+        there = [tables.read(s.silver_table) for s in sources if tables.exists(s.silver_table)]
+        if not there:
+            tables.ensure(scored_table, schemas.SCORED)
+            return ScoringRun(scored=0, remaining=0, batches=0)
+        silver = union_sources(*there)
         run = score_pending(silver, tables, scored_table, scorer, **limits)
         step.rows = run.scored
     return run

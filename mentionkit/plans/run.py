@@ -32,7 +32,8 @@ class RunResult:
     refined: dict[str, int]
     scoring: ScoringRun
     quality: DataFrame
-    counts: DataFrame
+    counts: DataFrame | None
+    """Row counts of the reports; None if a limited run left them as they were."""
 
 
 def run_all(
@@ -42,12 +43,18 @@ def run_all(
     scorer: Scorer,
     run_time: datetime | None = None,
     scored_sources: Sequence[Source] = gold.SCORED_SOURCES,
+    partial_reports: bool = False,
     **limits,
 ) -> RunResult:
-    """``payloads`` maps source names to landed frames.
+    """``payloads`` maps source names to landed frames: all, some or none of the sources.
 
-    The sources do not depend on each other; their jobs are submitted side by side.
+    The sources do not depend on each other; their jobs are submitted side by side. Scoring reads the silver tables
+    of all ``scored_sources`` that exist, so rows that an earlier run left pending do not wait for their source. If
+    limits end the scoring early, the reports are left as they were unless ``partial_reports`` is set.
     """
+    unknown = set(payloads) - set(LAND)
+    if unknown:
+        raise ValueError(f"unknown sources {sorted(unknown)}")
     chosen = [s for s in SOURCES if s.name in payloads]
     # created up front, as the branches would race for them
     AuditLog(tables).ensure()
@@ -58,14 +65,14 @@ def run_all(
         landed = LAND[source.name](tables, payloads[source.name], run_time)
         return landed, refine_source(tables, source, catalog, run_time)
 
-    with ThreadPoolExecutor(len(chosen)) as pool:
+    with ThreadPoolExecutor(max(1, len(chosen))) as pool:
         done = dict(zip([s.name for s in chosen], pool.map(branch, chosen)))
 
-    scoring = gold.score_sources(tables, scorer, [s for s in scored_sources if s in chosen], **limits)
+    scoring = gold.score_sources(tables, scorer, scored_sources, **limits)
     return RunResult(
         landed={name: landed for name, (landed, _) in done.items()},
         refined={name: refined for name, (_, refined) in done.items()},
         scoring=scoring,
         quality=gold.check_quality(tables, catalog),
-        counts=gold.rebuild_reports(tables),
+        counts=gold.rebuild_reports(tables) if scoring.complete or partial_reports else None,
     )

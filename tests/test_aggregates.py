@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.operators import aggregates as agg
-from mentionkit.operators.ranking import in_report_order, next_batch, top_bottom_posts
+from mentionkit.operators.ranking import in_batches, in_report_order, top_bottom_posts
 
 NAN = float("nan")
 
@@ -102,8 +102,10 @@ def test_report_order(posts):
     assert (weekly.tool, str(weekly.week_start)[:10]) == ("A", "2024-01-15")
 
 
-def test_exact_batch(posts):
-    assert [r.post_id for r in next_batch(posts, 3).collect()] == ["0000", "0001", "0002"]
+def test_exact_batches_hold_all_rows(posts):
+    rows = in_batches(posts.repartition(5), 3).orderBy("post_id", "tool").collect()
+    assert len(rows) == posts.count()
+    assert [r.batch for r in rows] == [i // 3 for i in range(len(rows))]
 
 
 def test_counts(spark):

@@ -70,17 +70,13 @@ def test_exclusions_per_entity(spark):
 
 
 def brute_force(text, catalog):
-    if not text:
-        return []
-    text = text.lower()
-    if any(p in text for p in catalog.exclusions):
-        return []
-    context = any(k in text for k in catalog.context)
-    return sorted(
-        e.name
-        for e in catalog.entities
-        if any(a in text for a in e.strong) or (context and any(a in text for a in e.weak))
-    )
+    """Set algebra: the rows (tool, tier, alias) whose alias and tier are both among those that count."""
+    lowered = (text or "").lower()
+    rows = {(e.name, tier, alias) for e in catalog.entities for tier in ("strong", "weak") for alias in getattr(e, tier)}
+    said = {w for w in {*catalog.context, *catalog.exclusions, *(alias for _, _, alias in rows)} if lowered.count(w)}
+    tiers = {"strong"} | {"weak" for _ in said & set(catalog.context)}
+    tools = {name for name, tier, alias in rows if alias in said and tier in tiers}
+    return sorted(tools if said.isdisjoint(catalog.exclusions) else ())
 
 
 def _random_texts(catalog, n):

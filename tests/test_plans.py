@@ -122,6 +122,21 @@ def test_whole_run(spark, tables):
     assert layers == {("hackernews", "bronze"), ("hackernews", "silver"), ("reddit", "bronze"), ("reddit", "silver"), ("all", "gold"), ("all", "gold_dq_check")}
 
 
+def test_run_of_no_source_at_all(spark, tables):
+    run = run_all(tables, {}, AI_TOOLS, SCORER, RUN)
+    assert (run.landed, run.refined, run.scoring.scored, run.scoring.complete) == ({}, {}, 0, True)
+    with pytest.raises(ValueError, match="unknown"):
+        run_all(tables, {"mail": spark.range(1)}, AI_TOOLS, SCORER, RUN)
+
+
+def test_pending_rows_of_an_absent_source_are_scored(spark, tables):
+    """A stopped run leaves rows pending and the reports alone; the next one takes them without a payload."""
+    payloads = {"hackernews": pages(spark, ("1", "2025-01-02T00:00:00Z", "chatgpt is good, claude.ai bad"))}
+    stopped = run_all(tables, payloads, AI_TOOLS, SCORER, RUN, max_batches=0)
+    assert not stopped.scoring.complete and stopped.counts is None and not tables.exists("tool_leaderboard")
+    assert run_all(tables, {"reddit": _submissions(spark)}, AI_TOOLS, SCORER, RUN).scoring.scored == 3
+
+
 def test_failed_checks_are_logged_not_raised(spark, tables):
     row = {"post_id": "1", "tool": "ChatGPT", "created_at": datetime(2020, 1, 1), "sentiment_score": 3.0}
     df = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.SCORED)], schemas.SCORED)

@@ -40,8 +40,7 @@ def test_prompt(spark):
     df = spark.createDataFrame([("x" * 900 + "</text>", "v0")], "text string, tool string")
     prompt = lambda **o: df.select(scores.build_prompt(F.col("text"), F.col("tool"), **o)).first()[0]
     assert prompt().count('"v0"') == 3
-    assert prompt().endswith("<text>" + "x" * 800 + "</text>")
-    whole = prompt(max_chars=None)
+    whole = prompt()
     assert whole.endswith("<text>" + "x" * 900 + "< /text></text>")
     assert prompt(template="{text}|{tool}", max_chars=2) == "xx|v0"
 
@@ -149,3 +148,24 @@ def test_batch_reads_push_the_slot_down(spark, tables, monkeypatch):
 
     score_pending(silver(spark), tables, "gold", spying, batch_rows=100)
     assert len(seen) == 2 and all("GreaterThanOrEqual(_slot" in p for p in seen)
+
+
+@pytest.mark.parametrize("store_unparsed", [True, False])
+def test_each_row_is_asked_once(spark, tables, store_unparsed):
+    asked = spark.sparkContext.accumulator(0)
+
+    def reply_to(prompts):
+        asked.add(len(prompts))
+        return ["0.5"] * len(prompts)
+
+    run = score_pending(silver(spark, 50), tables, "gold", model_scorer(reply_to), store_unparsed=store_unparsed)
+    assert (run.scored, asked.value) == (50, 50)
+
+
+def test_a_limited_run_says_so(spark, tables):
+    scorer = lexicon_scorer(["good"], ["bad"])
+    first = score_pending(silver(spark, 30), tables, "gold", scorer, batch_rows=10, max_batches=1)
+    assert not first.complete and first.remaining > 0
+    assert not score_pending(silver(spark, 30), tables, "gold", scorer, max_minutes=0).complete
+    rest = score_pending(silver(spark, 30), tables, "gold", scorer)
+    assert rest.complete and rest.scored == first.remaining

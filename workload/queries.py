@@ -402,9 +402,17 @@ def _(spark, sf):
     return todo.select("post_id", "tool", "text", "created_at")
 
 
-@query("batch_limit", f"SELECT post_id, tool, sentiment_score FROM ({scored_sql()}) ORDER BY post_id, tool LIMIT 500")
+@query(
+    "batch_limit",
+    f"""
+    SELECT post_id, tool, sentiment_score, (row_number() OVER (ORDER BY post_id, tool) - 1) // 500 AS batch
+    FROM ({scored_sql()})
+    """,
+)
 def _(spark, sf):
-    return ranking.next_batch(scored(spark, sf)).select("post_id", "tool", "sentiment_score")
+    """All rows, in exact batches."""
+    rows = scored(spark, sf).select("post_id", "tool", "sentiment_score")
+    return ranking.in_batches(rows)
 
 
 def _prompt_sql(text: str) -> str:
@@ -412,16 +420,15 @@ def _prompt_sql(text: str) -> str:
     return "'" + template.replace("{text}", f"' || replace({text}, '</text>', '< /text>') || '") + "'"
 
 
-@query("prompt_text", f"SELECT post_id, tool, {_prompt_sql('left(text, 800)')} AS prompt FROM ({frames.SILVER_HN})")
+@query("prompt_text", f"SELECT post_id, tool, {_prompt_sql('text')} AS prompt FROM ({frames.SILVER_HN})")
 def _(spark, sf):
-    """The text is cut to what the reviewed call budget allows; that is the operator."""
     prompt = scores.build_prompt(F.col("text"), F.col("tool"))
     return _silver_hn(spark, sf).select("post_id", "tool", prompt.alias("prompt"))
 
 
 @query("prompt_whole_text", f"SELECT post_id, tool, {_prompt_sql('text')} AS prompt FROM ({frames.SILVER_PRODUCTHUNT})")
 def _(spark, sf):
-    prompt = scores.build_prompt(F.col("text"), F.col("tool"), max_chars=None)
+    prompt = scores.build_prompt(F.col("text"), F.col("tool"))
     return _silver_producthunt(spark, sf).select("post_id", "tool", prompt.alias("prompt"))
 
 
@@ -473,7 +480,7 @@ query("scored_mentions", _SCORED_DOCS)(_scored_docs)
 @query(
     "model_scored_mentions",
     f"""
-    SELECT post_id, tool, round(length({_prompt_sql('left(text, 800)')}) / 2000.0::DOUBLE, 4) AS sentiment_score
+    SELECT post_id, tool, round(length({_prompt_sql('text')}) / 2000.0::DOUBLE, 4) AS sentiment_score
     FROM ({frames.SILVER_HN}) WHERE length(text) > 10
     """,
 )
@@ -697,11 +704,11 @@ def _(spark, sf):
 
 @query(
     "dq_violation_sample",
-    f"SELECT post_id, tool, n FROM (SELECT post_id, tool, count(*) AS n FROM {_REPEATED} GROUP BY ALL HAVING count(*) > 1) ORDER BY post_id, tool LIMIT 5",
+    f"SELECT post_id, tool, n FROM (SELECT post_id, tool, count(*) AS n FROM {_REPEATED} GROUP BY ALL HAVING count(*) > 1)",
 )
 def _(spark, sf):
-    """The sample of at most five rows that a report shows."""
-    return ranking.violation_sample(quality.duplicate_keys(_repeated(spark, sf)))
+    """Every violating row, in the order a report shows them."""
+    return ranking.violations_in_order(quality.duplicate_keys(_repeated(spark, sf)))
 
 
 _METRICS = f"""
@@ -891,3 +898,13 @@ def _(spark, sf):
     for _ in range(2):
         run_all(tables, payloads, CATALOG, scorer, RUN_TIME, scored_sources=refine.SOURCES)
     return tables.read("tool_leaderboard")
+
+
+@query("run_producthunt_only", _LEADERBOARD.format(f"({_SCORED_LANDED} AND source = 'producthunt')"))
+def _(spark, sf):
+    """One source alone, then a run without any payload: what is there stays."""
+    tables = _fresh_tables(spark)
+    scorer = lexicon_scorer(POSITIVE, NEGATIVE)
+    for payloads in ({"producthunt": frames.producthunt_pages(spark, sf)}, {}):
+        run_all(tables, payloads, CATALOG, scorer, RUN_TIME, scored_sources=refine.SOURCES)
+    return tables.read("tool_leaderboard")
