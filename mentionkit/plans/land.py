@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from mentionkit import schemas
 from mentionkit.functions.times import parse_iso
 from mentionkit.operators.audit import AuditLog
-from mentionkit.operators.marks import marks_by_key, read_mark
+from mentionkit.operators.marks import marks_by_key, not_yet_landed, read_mark
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, Source
 from mentionkit.sources import landing
 from mentionkit.sources.tables import Tables
@@ -23,13 +23,15 @@ LANDING_MARKS = "landing_marks"
 
 def land_hackernews(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
     marks = landing_marks(tables, HACKERNEWS, ["query_tool"], parse_iso(F.col("hn_created_at")))
-    rows = landing.hn_new(landing.hn_rows(pages, ingested_at), marks)
+    rows = landing.hn_new(landing.hn_rows(pages, ingested_at), marks, keep_undated=True)
+    rows = _not_landed(tables, rows, HACKERNEWS, ["object_id", "query_tool"])
     return _append(tables, rows, schemas.HN_RAW, HACKERNEWS)
 
 
 def land_reddit(tables: Tables, submissions: DataFrame, ingested_at: datetime | None = None) -> int:
     marks = landing_marks(tables, REDDIT, ["subreddit", "query_tool"], F.col("reddit_created_utc"))
-    rows = landing.reddit_new(landing.reddit_rows(submissions, ingested_at), marks)
+    rows = landing.reddit_new(landing.reddit_rows(submissions, ingested_at), marks, keep_undated=True)
+    rows = _not_landed(tables, rows, REDDIT, ["object_id", "query_tool", "subreddit"])
     return _append(tables, rows, schemas.REDDIT_RAW, REDDIT)
 
 
@@ -68,6 +70,12 @@ def landing_marks(
     return marks_by_key(tables.read(LANDING_MARKS).filter(own), keys, F.col("mark"))
 
 
+def _not_landed(tables: Tables, rows: DataFrame, source: Source, keys: Sequence[str]) -> DataFrame:
+    """Undated rows may have landed before: their keys decide."""
+    landed = tables.read_if_exists(source.bronze_table)
+    return rows if landed is None else not_yet_landed(rows, landed, keys)
+
+
 def _append(tables: Tables, rows: DataFrame, schema: T.StructType, source: Source) -> int:
     with AuditLog(tables).step(source.name, BRONZE) as step:
         tables.ensure(source.bronze_table, schema)

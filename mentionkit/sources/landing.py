@@ -121,16 +121,16 @@ _PH_ITEMS = T.ArrayType(
 # -- cutoffs: only what the bronze table does not have yet --------------------
 
 
-def hn_new(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
-    """Hits created strictly after the mark of their search term."""
+def hn_new(rows: DataFrame, marks: DataFrame | None, **options) -> DataFrame:
+    """Hits created strictly after the mark of their search term; ``options`` as in ``newer_than_marks``."""
     time = parse_iso(F.col("hn_created_at"))
-    return rows if marks is None else newer_than_marks(rows, marks, ["query_tool"], time)
+    return rows if marks is None else newer_than_marks(rows, marks, ["query_tool"], time, **options)
 
 
-def reddit_new(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
-    """Submissions created strictly after the mark of their (subreddit, search term)."""
+def reddit_new(rows: DataFrame, marks: DataFrame | None, **options) -> DataFrame:
+    """Submissions created strictly after the mark of their (subreddit, search term); ``options`` likewise."""
     keys = ["subreddit", "query_tool"]
-    return rows if marks is None else newer_than_marks(rows, marks, keys, F.col("reddit_created_utc"))
+    return rows if marks is None else newer_than_marks(rows, marks, keys, F.col("reddit_created_utc"), **options)
 
 
 def producthunt_new(posts: DataFrame, mark: datetime | None) -> DataFrame:

@@ -96,6 +96,13 @@ def test_crash_before_the_mark_adds_nothing_twice(spark, tables, monkeypatch):
     assert audit(tables)[0][3:] == ("failed", "disk gone")
 
 
+def test_undated_rows_land_once(spark, tables):
+    assert land_hackernews(tables, pages(spark, ("1", "2025-01-02T00:00:00Z", "x")), RUN) == 1
+    more = pages(spark, ("1", "2025-01-02T00:00:00Z", "x"), ("2", None, "y"), ("3", "no date", "z"), ("4", "2025-01-01T00:00:00Z", "old"))
+    assert land_hackernews(tables, more, RUN) == 2
+    assert land_hackernews(tables, more, RUN) == 0
+
+
 def _submissions(spark):
     row = {"query_tool": "v0", "id": "r1", "subreddit": "webdev", "title": "v0.dev is good", "selftext": None, "author": "a", "permalink": "/r", "created_utc": 1.74e9}
     return spark.createDataFrame([tuple(row.get(f.name) for f in schemas.REDDIT_SUBMISSION)], schemas.REDDIT_SUBMISSION)
