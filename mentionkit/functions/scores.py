@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -35,9 +36,13 @@ def percent(part: Column, total: Column) -> Column:
     return F.round(part / total * 100, 1)
 
 
-def steady(mean: Column) -> Column:
-    """A mean without the float noise that depends on the order of summation."""
-    return F.round(mean, 9)
+def exact(score: Column) -> Column:
+    """A score as a decimal: sums and means of these do not depend on the order, so a tie is rounded the same every time."""
+    return score.cast("decimal(38,15)")
+
+
+def rounded_mean(mean: Column, places: int) -> Column:
+    return F.round(mean, places).cast("double")
 
 
 def is_scorable(text: Column) -> Column:
@@ -79,10 +84,15 @@ def parse_score(reply: Column) -> Column:
 def lexicon_score(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
     """(p - n) / (p + n) over the words of the whole text that are on either list; 0 if none is.
 
-    Words are runs of a-z in the lowercased text. One pass picks the listed words,
-    the counts are taken over those.
+    Words are runs of a-z in the lowercased text; a listed word that is none is refused, as it would never be found.
+    One pass picks the listed words, the counts are taken over those.
     """
     words = sorted({*positive, *negative})
+    unfit = [w for w in words if not re.fullmatch("[a-z]+", w)]
+    if unfit:
+        raise ValueError(f"not runs of a-z: {unfit}")
+    if not words:
+        return F.when(text.isNotNull(), F.lit(0.0))
     initials = "".join(sorted({w[0] for w in words}))
     # the look ahead at the first letter rejects most positions at once
     listed = rf"(?=[{initials}])(?<![a-z])(?:{'|'.join(words)})(?![a-z])"

@@ -13,15 +13,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentionkit.functions.scores import is_negative, is_neutral, is_positive, percent, steady
+from mentionkit.functions.scores import exact, is_negative, is_neutral, is_positive, percent, rounded_mean
 from mentionkit.functions.times import post_date, week_start
 
 SCORE = "sentiment_score"
 
 
+# beyond the range of any scale, and of the decimals that means are taken over
+MAX_SCORE = 1e15
+
+
+def is_usable(score: Column) -> Column:
+    """NaN, which would rank above every number, and what is too large to be added exactly count as no score."""
+    return F.abs(score) < MAX_SCORE
+
+
 def scored_only(scored: DataFrame) -> DataFrame:
-    """Rows with a usable score. NaN counts as none: it would rank above every number."""
-    return scored.filter(F.col(SCORE).isNotNull() & ~F.isnan(SCORE))
+    """Rows with a usable score."""
+    return scored.filter(is_usable(F.col(SCORE)))
 
 
 def daily_rollup(scored: DataFrame) -> DataFrame:
@@ -32,7 +41,7 @@ def daily_rollup(scored: DataFrame) -> DataFrame:
         .groupBy("tool", "source", post_date(F.col("created_at")).alias("post_date"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(s).alias("total"),
+            F.sum(exact(s)).alias("total"),
             F.min(s).alias("low"),
             F.max(s).alias("high"),
             F.count_if(is_positive(s)).alias("positive"),
@@ -43,14 +52,14 @@ def daily_rollup(scored: DataFrame) -> DataFrame:
 
 
 def _mean() -> Column:
-    return steady(F.sum("total") / F.sum("n"))
+    return F.sum("total") / F.sum("n")
 
 
 def daily_from_rollup(rollup: DataFrame) -> DataFrame:
     n = F.sum("n")
     return rollup.groupBy("tool", "post_date").agg(
         n.alias("post_count"),
-        F.round(_mean(), 3).alias("avg_sentiment"),
+        rounded_mean(_mean(), 3).alias("avg_sentiment"),
         percent(F.sum("positive"), n).alias("positive_pct"),
         percent(F.sum("negative"), n).alias("negative_pct"),
         percent(F.sum("neutral"), n).alias("neutral_pct"),
@@ -60,7 +69,7 @@ def daily_from_rollup(rollup: DataFrame) -> DataFrame:
 def by_source_from_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.groupBy("tool", "source").agg(
         F.sum("n").alias("post_count"),
-        F.round(_mean(), 3).alias("avg_sentiment"),
+        rounded_mean(_mean(), 3).alias("avg_sentiment"),
         F.round(F.min("low"), 3).alias("min_sentiment"),
         F.round(F.max("high"), 3).alias("max_sentiment"),
     )
@@ -78,7 +87,7 @@ def leaderboard_from_rollup(rollup: DataFrame) -> DataFrame:
 
 def weekly_from_rollup(rollup: DataFrame) -> DataFrame:
     per_week = rollup.groupBy("tool", week_start(F.col("post_date")).alias("week_start")).agg(
-        F.sum("n").alias("post_count"), F.round(_mean(), 3).alias("avg_sentiment")
+        F.sum("n").alias("post_count"), rounded_mean(_mean(), 3).alias("avg_sentiment")
     )
     return _with_change(per_week)
 
@@ -91,7 +100,7 @@ def sentiment_daily(scored: DataFrame) -> DataFrame:
         .groupBy("tool", post_date(F.col("created_at")).alias("post_date"))
         .agg(
             n.alias("post_count"),
-            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
+            rounded_mean(F.avg(exact(s)), 3).alias("avg_sentiment"),
             percent(F.count_if(is_positive(s)), n).alias("positive_pct"),
             percent(F.count_if(is_negative(s)), n).alias("negative_pct"),
             percent(F.count_if(is_neutral(s)), n).alias("neutral_pct"),
@@ -106,7 +115,7 @@ def sentiment_by_source(scored: DataFrame) -> DataFrame:
         .groupBy("tool", "source")
         .agg(
             F.count(F.lit(1)).alias("post_count"),
-            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
+            rounded_mean(F.avg(exact(s)), 3).alias("avg_sentiment"),
             F.round(F.min(s), 3).alias("min_sentiment"),
             F.round(F.max(s), 3).alias("max_sentiment"),
         )
@@ -119,7 +128,7 @@ def leaderboard(scored: DataFrame) -> DataFrame:
     per_tool = (
         scored_only(scored)
         .groupBy("tool")
-        .agg(n.alias("total_mentions"), steady(F.avg(s)).alias("_mean"), percent(F.count_if(is_positive(s)), n).alias("positive_pct"))
+        .agg(n.alias("total_mentions"), F.avg(exact(s)).alias("_mean"), percent(F.count_if(is_positive(s)), n).alias("positive_pct"))
     )
     return _ranked(per_tool)
 
@@ -130,7 +139,7 @@ def _ranked(per_tool: DataFrame) -> DataFrame:
     return per_tool.select(
         "tool",
         "total_mentions",
-        F.round("_mean", 3).alias("avg_sentiment"),
+        rounded_mean(F.col("_mean"), 3).alias("avg_sentiment"),
         "positive_pct",
         rank.cast("bigint").alias("sentiment_rank"),
     )
@@ -141,7 +150,7 @@ def weekly_trend(scored: DataFrame) -> DataFrame:
     per_week = (
         scored_only(scored)
         .groupBy("tool", week_start(F.col("created_at")).alias("week_start"))
-        .agg(F.count(F.lit(1)).alias("post_count"), F.round(steady(F.avg(SCORE)), 3).alias("avg_sentiment"))
+        .agg(F.count(F.lit(1)).alias("post_count"), rounded_mean(F.avg(exact(F.col(SCORE))), 3).alias("avg_sentiment"))
     )
     return _with_change(per_week)
 
@@ -154,8 +163,9 @@ def _with_change(per_week: DataFrame) -> DataFrame:
 
 def scoring_summary(scored: DataFrame) -> DataFrame:
     """Rows and mean score per tool; rows without a score are counted, too."""
+    usable = F.when(is_usable(F.col(SCORE)), F.col(SCORE))
     return scored.groupBy("tool").agg(
-        F.count(F.lit(1)).alias("rows_scored"), F.round(steady(F.avg(SCORE)), 2).alias("avg_sentiment")
+        F.count(F.lit(1)).alias("rows_scored"), rounded_mean(F.avg(exact(usable)), 2).alias("avg_sentiment")
     )
 
 

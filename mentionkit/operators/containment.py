@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionkit.operators.keys import MAX_BROADCAST_ROWS, lookup
+from mentionkit.operators.keys import lookup
 
 ANCHOR_CHARS = 6
 
@@ -28,7 +28,6 @@ def alias_hits(
     keys: Sequence[str],
     lowered: str,
     aliases: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """(keys, tool, alias, tier) for every alias that occurs in a text, once per key.
 
@@ -39,12 +38,12 @@ def alias_hits(
     # at most ANCHOR_CHARS values
     lengths = [r["n"] for r in anchored.select(F.length("_anchor").alias("n")).distinct().collect()]
 
-    distinct_texts = texts.select(*keys, lowered).distinct().withColumn("_text", F.xxhash64(lowered))
+    hashed = texts.select(*keys, lowered, F.xxhash64(lowered).alias("_text"))
     grams = F.flatten(F.array(*[_anchors_in(F.col(lowered), n) for n in sorted(lengths)]))
-    # the text stays behind: only its hash travels with the anchors
-    narrow = distinct_texts.select(*keys, "_text", F.explode_outer(grams).alias("_anchor"))
-    per_text = lookup(narrow, anchored, ["_anchor"], "inner", max_broadcast_rows).drop("_anchor")
-    checked = distinct_texts.join(per_text, [*keys, "_text"])
+    # the text stays behind: only its hash travels with the anchors, and texts are shuffled once, to be checked
+    narrow = hashed.select(*keys, "_text", F.explode_outer(grams).alias("_anchor"))
+    per_text = lookup(narrow, anchored, ["_anchor"], "inner").drop("_anchor").distinct()
+    checked = hashed.join(per_text, [*keys, "_text"])
     return checked.filter(F.contains(F.col(lowered), F.col("alias"))).select(*keys, "tool", "alias", "tier").distinct()
 
 

@@ -1,7 +1,8 @@
 """Row identity: deduplication, anti-joins and joins to small tables.
 
-All of them keep one hot key from landing in one task: rows of a key are reduced
-inside each task before the shuffle, or the key is salted.
+Rows of a key are reduced inside each task before the shuffle, so a hot key does not land in one task; joins leave
+the choice of a broadcast, by bytes, and the split of skewed partitions to adaptive execution.
+No function here starts a job.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Within the silver table of one source, and over all sources: ids of two sources may be equal.
 MENTION_KEY = ("post_id", "tool")
+SCORED_KEY = ("source", "post_id", "tool")
 
-# A looked-up table is broadcast up to this many rows; beyond, the join is salted.
-MAX_BROADCAST_ROWS = 100_000
 SALTS = 32
 
 
@@ -27,65 +28,48 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
     at most one row per key, however many copies a key has.
     """
     rest = [F.col(c) for c in df.columns if c not in keys]
+    if not order and not rest:
+        return df.distinct()
     window = Window.partitionBy(*keys).orderBy(*order, *rest)
     return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
 
 
-def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _same(keys: Sequence[str], nulls_equal: bool = True) -> Column:
+    """Equal keys; the other side's carry a prefix."""
+    theirs = [F.col(f"_their_{k}") for k in keys]
+    return reduce(and_, [F.col(k).eqNullSafe(t) if nulls_equal else F.col(k) == t for k, t in zip(keys, theirs)])
+
+
+def _theirs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_their_{k}" for k in keys})
+
+
+def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], nulls_equal: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing``.
 
     Only the key columns of ``existing`` are read; they are reduced to distinct
-    keys on the way to the shuffle that the join uses as well.
+    keys on the way to the shuffle that the join uses as well. Keys that may be NULL need ``nulls_equal``, or rows
+    without one are always new; other keys share shuffles with their neighbours only without it.
     """
-    return df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(_theirs(existing.select(*keys).distinct(), keys), _same(keys, nulls_equal), "left_anti")
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def among(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``wanted``; keys are not NULL."""
+    return df.join(_theirs(wanted.select(*keys).distinct(), keys), _same(keys, False), "left_semi")
 
 
-def not_in_history(
-    increment: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def not_in_history(increment: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Like ``not_in`` for a stored increment that is small next to what it is checked against.
 
-    The history is first cut down to the keys of the increment, so that a short
-    increment does not make all earlier keys travel.
-    """
-    wanted = increment.select(*keys).distinct()
-    if fits(increment, max_broadcast_rows):
-        history = history.select(*keys).join(F.broadcast(wanted), list(keys), "left_semi")
-    return not_in(increment, history, keys)
-
-
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a looked-up table, safe for hot keys in ``df``.
-
-    The table is broadcast if it is counted to fit. Otherwise it is repeated once
-    per salt and joined on (key, salt), so a hot key spreads over that many tasks.
+    The history is first cut down to the keys of the increment. The size of a stored increment is known from its files,
+    so a short one is broadcast and earlier keys do not travel; a long one meets them in a shuffle. Keys are not NULL.
     """
+    return not_in(increment, among(history.select(*keys), increment, keys), keys)
+
+
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a looked-up table; a row without a key meets the entry without one."""
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    # equal keys include two NULLs: a row without a key has a mark like any other
-    theirs = {k: f"_their_{k}" for k in keys}
-    table = table.withColumnsRenamed(theirs)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(t)) for k, t in theirs.items()])
-    if fits(table, max_broadcast_rows):
-        return df.join(F.broadcast(table), same, how).drop(*theirs.values())
-    salted = table.withColumn("_their_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # Taken from row and task: copies of a row in different tasks get different salts,
-    # and a task that runs again repeats its own.
-    columns = [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
-    salt = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    joined = df.withColumn("_salt", salt).join(salted, same & (F.col("_salt") == F.col("_their_salt")), how)
-    return joined.drop("_salt", "_their_salt", *theirs.values())
+    return df.join(_theirs(table, keys), _same(keys), how).drop(*[f"_their_{k}" for k in keys])

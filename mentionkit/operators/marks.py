@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,32 @@ def newer_than_marks(
     return joined.filter(fresh).drop("mark")
 
 
+def unlanded(
+    df: DataFrame,
+    landed: DataFrame,
+    marks: DataFrame,
+    mark_keys: Sequence[str],
+    time: Column,
+    keys: Sequence[str],
+) -> DataFrame:
+    """Rows of ``df`` that ``landed`` does not hold, with the marks as a short cut.
+
+    What lies after the mark of its own key cannot have landed. The rest - at the mark, late or undated - is compared by
+    ``keys``, and a row without its first key by all columns but those that a run adds. No row is left out for its time.
+    """
+    marked = lookup(df, marks, mark_keys).withColumn("_after", F.col("mark").isNull() | F.coalesce(time > F.col("mark"), F.lit(False)))
+    marked = marked.drop("mark")
+    before = marked.filter(~F.col("_after"))
+    identified = F.col(keys[0]).isNotNull()
+    content = [c for c in df.columns if c != "ingested_at"]
+    parts = [
+        marked.filter("_after"),
+        not_yet_landed(before.filter(identified), landed, keys),
+        not_yet_landed(before.filter(~identified), landed.filter(~identified), content),
+    ]
+    return reduce(DataFrame.unionByName, parts).drop("_after")
+
+
 def not_yet_landed(df: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is new, whatever their time: also takes rows that arrive late."""
-    return not_in(df, landed, keys)
+    return not_in(df, landed, keys, nulls_equal=True)

@@ -6,6 +6,8 @@ table; only the uniqueness check needs a shuffle of its own.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +39,9 @@ def before_launch(scored: DataFrame, starts: DataFrame) -> DataFrame:
     return joined.filter(F.col("created_at") < F.col("launch_date").cast("timestamp"))
 
 
-def duplicate_keys(scored: DataFrame) -> DataFrame:
-    """(post_id, tool) pairs that occur more than once, with their count."""
-    return scored.groupBy(*MENTION_KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def duplicate_keys(scored: DataFrame, keys: Sequence[str] = MENTION_KEY) -> DataFrame:
+    """Keys that occur more than once, with their count."""
+    return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def null_rate(scored: DataFrame) -> DataFrame:
@@ -63,11 +65,23 @@ def quality_metrics(scored: DataFrame, catalog: EntityCatalog) -> DataFrame:
     ).withColumn("null_pct", F.coalesce(F.round(F.try_divide(F.col("null_scores") * 100, "total_rows"), 2), F.lit(0.0)))
 
 
-def quality_report(scored: DataFrame, catalog: EntityCatalog, max_null_pct: float = MAX_NULL_PCT) -> DataFrame:
-    """One row per check: violations, rows looked at, whether it passed, what was found."""
+def quality_report(
+    scored: DataFrame,
+    catalog: EntityCatalog,
+    max_null_pct: float = MAX_NULL_PCT,
+    keys: Sequence[str] = MENTION_KEY,
+) -> DataFrame:
+    """One row per check: violations, rows looked at, whether it passed, what was found.
+
+    A column that is missing is a violation of its own and counts as NULL in the other checks.
+    """
+    missing = missing_scored_columns(scored)
+    scored = scored.withColumns({c: F.lit(None).cast(schemas.SCORED[c].dataType) for c in missing})
+    share = F.concat(F.lit("rows without a score ("), "null_pct", F.lit(f" %), above {max_null_pct:g} %"))
     checks = [
+        ("columns", "missing", F.col("missing") == 0, f"missing columns: {', '.join(missing)}"),
         ("score_range", "out_of_range", F.col("out_of_range") == 0, "rows with a score outside [-1, 1]"),
-        ("null_rate", "null_scores", F.col("null_pct") <= max_null_pct, f"rows without a score, above {max_null_pct:g} %"),
+        ("null_rate", "null_scores", F.col("null_pct") <= max_null_pct, share),
         ("launch_dates", "before_launch", F.col("before_launch") == 0, "rows dated before the launch of their tool"),
         ("not_empty", "empty", F.col("total_rows") > 0, "empty table"),
     ]
@@ -77,20 +91,23 @@ def quality_report(scored: DataFrame, catalog: EntityCatalog, max_null_pct: floa
             F.col(count).alias("violations"),
             F.col("total_rows").alias("total"),
             passed.alias("passed"),
-            F.when(~passed, F.concat_ws(" ", F.col(count), F.lit(issue))).alias("detail"),
+            F.when(~passed, F.concat_ws(" ", F.col(count), issue if isinstance(issue, Column) else F.lit(issue))).alias("detail"),
         )
         for name, count, passed, issue in checks
     ]
-    metrics = quality_metrics(scored, catalog).withColumn("empty", F.when(F.col("total_rows") == 0, 1).otherwise(0).cast("bigint"))
+    metrics = quality_metrics(scored, catalog).withColumns({
+        "empty": F.when(F.col("total_rows") == 0, 1).otherwise(0).cast("bigint"),
+        "missing": F.lit(len(missing)).cast("bigint"),
+    })
     one_pass = metrics.select(F.inline(F.array(*rows)))
 
-    repeated = duplicate_keys(scored).agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    repeated = duplicate_keys(scored, keys).agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     unique = repeated.select(
         F.lit("unique_keys").alias("check"),
         "violations",
         "total",
         (F.col("violations") == 0).alias("passed"),
-        F.when(F.col("violations") > 0, F.concat_ws(" ", "violations", F.lit("repeated (post_id, tool) pairs"))).alias("detail"),
+        F.when(F.col("violations") > 0, F.concat_ws(" ", "violations", F.lit(f"repeated ({', '.join(keys)}) pairs"))).alias("detail"),
     )
     return one_pass.unionByName(unique)
 

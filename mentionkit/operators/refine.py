@@ -17,9 +17,6 @@ from mentionkit.functions.text import clean_text
 from mentionkit.functions.times import parse_iso
 from mentionkit.operators.keys import MENTION_KEY, keep_first, lookup
 
-# Above this many start dates the guard joins a table instead of using a literal map.
-MAX_LITERAL_STARTS = 500
-
 
 @dataclass(frozen=True)
 class Source:
@@ -106,8 +103,6 @@ def launch_guard(mentions: DataFrame, catalog: EntityCatalog, time: str = "creat
     The start date itself is kept; an undated mention is dropped if its entity has
     a start date; an entity without one is not guarded.
     """
-    if len(catalog.starts) > MAX_LITERAL_STARTS:
-        return launch_guard_by_table(mentions, catalog.starts_df(mentions.sparkSession), time)
     start = catalog.start_of(F.col("tool"))
     return mentions.filter(start.isNull() | (F.col(time) >= start))
 
@@ -120,11 +115,20 @@ def launch_guard_by_table(mentions: DataFrame, starts: DataFrame, time: str = "c
 
 
 def find_mentions(normalised: DataFrame, catalog: EntityCatalog, **options) -> DataFrame:
-    """One row per (row, matched entity), guarded by start dates; stateless, so fit for streams."""
+    """One row per (row, matched entity), guarded by start dates; stateless, so fit for streams.
+
+    Rows without an id are left out: see ``without_id``.
+    """
+    normalised = normalised.filter(F.col("post_id").isNotNull())
     matched = with_matches(normalised, F.col("_match_text"), catalog, **options).drop("_match_text")
     return launch_guard(explode_matches(matched), catalog)
 
 
+def without_id(bronze: DataFrame, source: Source) -> DataFrame:
+    """Bronze rows that refinement rejects, as nothing tells their mentions apart."""
+    return bronze.filter(source.columns["post_id"]().isNull())
+
+
 def latest_copy(mentions: DataFrame) -> DataFrame:
     """One row per (post, entity): the copy ingested last."""
     return keep_first(mentions, MENTION_KEY, [F.desc_nulls_last("ingested_at")])

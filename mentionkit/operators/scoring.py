@@ -13,13 +13,13 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.functions.scores import build_prompt, is_scorable, lexicon_score, parse_score
 from mentionkit.operators.aggregates import SCORE
-from mentionkit.operators.keys import MAX_BROADCAST_ROWS, MENTION_KEY, fits, keep_first, not_in
+from mentionkit.operators.keys import SALTS, SCORED_KEY, among, keep_first, not_in
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
@@ -53,33 +53,36 @@ def model_scorer(
     return score
 
 
+def _scorable(silver: DataFrame) -> DataFrame:
+    return silver.filter(is_scorable(F.col("text")) & F.col("post_id").isNotNull())
+
+
 def pending(silver: DataFrame, scored: DataFrame | None) -> DataFrame:
     """Scorable mentions that have no scored row yet, one per key.
 
     Copies are reduced before the join, which reuses their partitioning.
     """
-    unique = _one_copy(silver.filter(is_scorable(F.col("text"))))
-    return unique if scored is None else not_in(unique, scored, MENTION_KEY)
+    unique = _one_copy(_scorable(silver))
+    return unique if scored is None else not_in(unique, scored, SCORED_KEY)
+
+
+def open_keys(silver: DataFrame, scored: DataFrame) -> DataFrame:
+    """Keys of the scorable mentions without a scored row; key columns only. Those that cannot be scored are never open."""
+    return not_in(_scorable(silver).select(*SCORED_KEY).distinct(), scored, SCORED_KEY)
 
 
-def pending_increment(silver: DataFrame, scored: DataFrame) -> DataFrame:
-    """The rows of ``pending``, found by keys first.
+def pending_by_key(silver: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``pending``, picked by stored open keys.
 
-    Most mentions have been scored by an earlier run. Comparing the key columns alone
-    finds the few that have not; their texts are then picked out of one scan, without
-    a shuffle of the others. If the open keys are too many to broadcast (a first
-    run), copies are reduced first and the join reuses that shuffle.
+    Most mentions have been scored by an earlier run. The few open keys are broadcast, by the size of their files, and
+    one scan picks their texts without a shuffle of the others; many keys (a first run) meet the texts in a shuffle
+    that the reduction of copies uses as well.
     """
-    candidates = silver.filter(is_scorable(F.col("text")))
-    # mentions that cannot be scored would stay open for ever
-    open_keys = store(not_in(candidates.select(*MENTION_KEY).distinct(), scored, MENTION_KEY), "open-keys")
-    if fits(open_keys, MAX_BROADCAST_ROWS):
-        return _one_copy(candidates.join(F.broadcast(open_keys), list(MENTION_KEY), "left_semi"))
-    return _one_copy(candidates).join(open_keys, list(MENTION_KEY), "left_semi")
+    return _one_copy(among(_scorable(silver), wanted, SCORED_KEY))
 
 
 def _one_copy(mentions: DataFrame) -> DataFrame:
-    return keep_first(mentions, MENTION_KEY, [F.desc_nulls_last("ingested_at")])
+    return keep_first(mentions, SCORED_KEY, [F.desc_nulls_last("ingested_at")])
 
 
 def as_scored(df: DataFrame) -> DataFrame:
@@ -107,9 +110,8 @@ def score_pending(
 ) -> ScoringRun:
     """Score what is pending and append it batch by batch.
 
-    The pending rows are found once and written to the shared folder, ordered by
-    the slot that assigns them to a batch, so that a batch reads its own part only.
-    A run that stops, or dies, leaves the rest pending for the next one. All batches
+    The open keys are found once; their rows are written to the shared folder with one folder per batch, so that a
+    batch opens its own files only. A run that stops, or dies, leaves the rest pending for the next one. All batches
     are run unless ``max_batches`` or ``max_minutes`` is given.
 
     ``store_unparsed=False`` leaves rows without a usable score out of the table, so
@@ -117,16 +119,16 @@ def score_pending(
     """
     started = time.monotonic()
     tables.ensure(scored_table, schemas.SCORED)
-    todo = pending_increment(silver, tables.read(scored_table)).withColumn("_slot", _slot())
-    todo = store(todo.sortWithinPartitions("_slot"), "pending")
-    total = todo.count()
+    wanted = store(open_keys(silver, tables.read(scored_table)), "open-keys")
+    # one pending row per open key
+    total = wanted.count()
     batches = math.ceil(total / batch_rows)
     done = batch = 0
+    todo = _by_batch(pending_by_key(silver, wanted), batches) if batches else None
     while batch < batches and (max_batches is None or batch < max_batches):
         if max_minutes is not None and time.monotonic() - started >= max_minutes * 60:
             break
-        rows = todo.filter(F.col("_slot").between(*_slots_of(batch, batches)))
-        scored = as_scored(scorer(rows))
+        scored = as_scored(scorer(todo.filter(F.col("_batch") == batch)))
         if not store_unparsed:
             scored = scored.filter(F.col(SCORE).isNotNull())
         done += tables.append(scored, scored_table)
@@ -134,13 +136,9 @@ def score_pending(
     return ScoringRun(scored=done, remaining=total - done, batches=batch, complete=batch == batches)
 
 
-_SLOTS = 1 << 20
-
-
-def _slot() -> Column:
-    return F.pmod(F.xxhash64(*MENTION_KEY), F.lit(_SLOTS)).cast("int")
-
-
-def _slots_of(batch: int, batches: int) -> tuple[int, int]:
-    """First and last slot of a batch; the batches split all slots evenly."""
-    return batch * _SLOTS // batches, (batch + 1) * _SLOTS // batches - 1
+def _by_batch(rows: DataFrame, batches: int) -> DataFrame:
+    """The rows, stored with one folder per batch; a batch is written by up to ``SALTS`` tasks."""
+    hashed = F.xxhash64(*SCORED_KEY)
+    batch = F.pmod(hashed, F.lit(batches)).cast("int")
+    part = F.pmod(F.shiftright(hashed, 32), F.lit(SALTS))
+    return store(rows.withColumn("_batch", batch).repartition("_batch", part), "pending", partition_by=["_batch"])

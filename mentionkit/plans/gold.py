@@ -10,6 +10,7 @@ from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
 from mentionkit.operators import aggregates as agg
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
+from mentionkit.operators.keys import SCORED_KEY
 from mentionkit.operators.quality import issue_summary, quality_report
 from mentionkit.operators.ranking import top_bottom_posts
 from mentionkit.operators.refine import HACKERNEWS, REDDIT, Source, union_sources
@@ -44,7 +45,7 @@ def score_sources(
 
 def check_quality(tables: Tables, catalog: EntityCatalog, scored_table: str = SCORED_TABLE) -> DataFrame:
     """Run the checks and log the outcome; a failed check is logged, not raised."""
-    report = store(quality_report(tables.read(scored_table), catalog), "quality")
+    report = store(quality_report(tables.read(scored_table), catalog, keys=SCORED_KEY), "quality")
     total = report.filter("check = 'not_empty'").first()["total"]
     issues = issue_summary(report).first()["issues"]
     AuditLog(tables).log(ALL_SOURCES, QUALITY, total, FAILED if issues else SUCCESS, issues)

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from mentionkit import schemas
 from mentionkit.functions.times import parse_iso
 from mentionkit.operators.audit import AuditLog
-from mentionkit.operators.marks import marks_by_key, not_yet_landed, read_mark
+from mentionkit.operators.keys import keep_first
+from mentionkit.operators.marks import marks_by_key, not_yet_landed, read_mark, unlanded
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, Source
 from mentionkit.sources import landing
+from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 BRONZE = "bronze"
@@ -22,27 +24,56 @@ LANDING_MARKS = "landing_marks"
 
 
 def land_hackernews(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
-    marks = landing_marks(tables, HACKERNEWS, ["query_tool"], parse_iso(F.col("hn_created_at")))
-    rows = landing.hn_new(landing.hn_rows(pages, ingested_at), marks, keep_undated=True)
-    rows = _not_landed(tables, rows, HACKERNEWS, ["object_id", "query_tool"])
-    return _append(tables, rows, schemas.HN_RAW, HACKERNEWS)
+    time, keys = parse_iso(F.col("hn_created_at")), ["object_id", "query_tool", "hn_created_at"]
+    rows = _once(landing.hn_rows(pages, ingested_at), keys)
+    return _append(tables, _new(tables, rows, HACKERNEWS, ["query_tool"], time, keys), schemas.HN_RAW, HACKERNEWS)
 
 
 def land_reddit(tables: Tables, submissions: DataFrame, ingested_at: datetime | None = None) -> int:
-    marks = landing_marks(tables, REDDIT, ["subreddit", "query_tool"], F.col("reddit_created_utc"))
-    rows = landing.reddit_new(landing.reddit_rows(submissions, ingested_at), marks, keep_undated=True)
-    rows = _not_landed(tables, rows, REDDIT, ["object_id", "query_tool", "subreddit"])
-    return _append(tables, rows, schemas.REDDIT_RAW, REDDIT)
+    time, keys = F.col("reddit_created_utc"), ["object_id", "query_tool", "subreddit", "reddit_created_utc"]
+    rows = _once(landing.reddit_rows(submissions, ingested_at), keys)
+    return _append(tables, _new(tables, rows, REDDIT, ["subreddit", "query_tool"], time, keys), schemas.REDDIT_RAW, REDDIT)
 
 
 def land_producthunt(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
-    """The mark is taken over posts only: comments are younger than the posts they belong to."""
-    is_post = F.col("object_type") == "post"
-    marks = landing_marks(tables, PRODUCTHUNT, [], parse_iso(F.col("ph_created_at")), is_post)
-    posts = landing.producthunt_new(landing.producthunt_posts(pages), read_mark(marks, F.col("mark")))
+    """New posts with their comments; the post alone decides, as comments are younger than what they belong to."""
+    posts = store(_once(landing.producthunt_posts(pages), ["id"]), "payload")
+    landed = tables.read_if_exists(PRODUCTHUNT.bronze_table)
+    if landed is not None:
+        is_post = F.col("object_type") == "post"
+        mark = read_mark(landing_marks(tables, PRODUCTHUNT, [], parse_iso(F.col("ph_created_at")), is_post), F.col("mark"))
+        after = F.lit(False) if mark is None else F.coalesce(parse_iso(F.col("createdAt")) > F.lit(mark), F.lit(False))
+        known = landed.filter(is_post).select(F.col("object_id").alias("id"))
+        posts = posts.filter(after).unionByName(not_yet_landed(posts.filter(~after), known, ["id"]))
     return _append(tables, landing.producthunt_rows(posts, ingested_at), schemas.PRODUCTHUNT_RAW, PRODUCTHUNT)
 
 
+def _once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A payload may hold a row twice; rows without an id are told apart by content.
+
+    The time of creation belongs to the key. It does not change, so where ids are unique it splits nothing.
+    """
+    identified = F.col(keys[0]).isNotNull()
+    content = [c for c in rows.columns if c != "ingested_at"]
+    return keep_first(rows.filter(identified), keys).unionByName(keep_first(rows.filter(~identified), content))
+
+
+def _new(
+    tables: Tables,
+    rows: DataFrame,
+    source: Source,
+    mark_keys: Sequence[str],
+    time: Column,
+    keys: Sequence[str],
+) -> DataFrame:
+    marks = landing_marks(tables, source, mark_keys, time)
+    if marks is None:
+        return rows
+    # the parts of a payload are judged apart: it is parsed once
+    rows = store(rows, "payload")
+    return unlanded(rows, tables.read(source.bronze_table), marks, mark_keys, time, keys)
+
+
 def landing_marks(
     tables: Tables,
     source: Source,
@@ -70,12 +101,6 @@ def landing_marks(
     return marks_by_key(tables.read(LANDING_MARKS).filter(own), keys, F.col("mark"))
 
 
-def _not_landed(tables: Tables, rows: DataFrame, source: Source, keys: Sequence[str]) -> DataFrame:
-    """Undated rows may have landed before: their keys decide."""
-    landed = tables.read_if_exists(source.bronze_table)
-    return rows if landed is None else not_yet_landed(rows, landed, keys)
-
-
 def _append(tables: Tables, rows: DataFrame, schema: T.StructType, source: Source) -> int:
     with AuditLog(tables).step(source.name, BRONZE) as step:
         tables.ensure(source.bronze_table, schema)

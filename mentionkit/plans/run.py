@@ -55,6 +55,9 @@ def run_all(
     unknown = set(payloads) - set(LAND)
     if unknown:
         raise ValueError(f"unknown sources {sorted(unknown)}")
+    zone = tables.spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z"):
+        raise ValueError(f"the session time zone is {zone}, days and start dates need UTC")
     chosen = [s for s in SOURCES if s.name in payloads]
     # created up front, as the branches would race for them
     AuditLog(tables).ensure()

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
-from mentionkit.operators.audit import AuditLog
+from mentionkit.operators.audit import FAILED, AuditLog
 from mentionkit.operators.keys import MENTION_KEY, not_in_history
-from mentionkit.operators.marks import newer_than, read_mark
-from mentionkit.operators.refine import Source, refine
+from mentionkit.operators.marks import read_mark
+from mentionkit.operators.refine import Source, refine, without_id
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
-SILVER = "silver"
+SILVER, REJECTED = "silver", "silver_rejected"
 MARK_TABLE = "refine_marks"
 
 
@@ -44,22 +44,28 @@ def refine_source(
 ) -> int:
     """Refine the bronze rows ingested since the last run and append the new mentions.
 
-    ``look_back`` re-reads that much before the mark for rows that were committed
-    late. Mentions already in silver are left out by key, so re-reading, or running
-    again after a crash between the two writes, adds nothing twice.
+    Rows at the mark are read again, as a second delivery may carry the same time; ``look_back`` re-reads that much
+    more before it for rows that were committed late. Mentions already in silver are left out by key, so re-reading,
+    or running again after a crash between the two writes, adds nothing twice. Rows without an id are rejected; their
+    number is logged if there are any.
     """
     with AuditLog(tables).step(source.name, SILVER) as step:
         time = F.col("ingested_at")
         mark = stored_mark(tables, source)
         since = mark - look_back if mark is not None else None
-        fresh = newer_than(tables.read(source.bronze_table), time, since)
+        bronze = tables.read(source.bronze_table)
+        fresh = bronze if since is None else bronze.filter(time >= F.lit(since))
         # the upper end is fixed first: rows that arrive meanwhile belong to the next run
         upper = read_mark(fresh, time)
         if upper is None:
             return 0
         cleaned_at = cleaned_at or datetime.now(timezone.utc)
         tables.ensure(source.silver_table, schemas.SILVER)
-        silver = refine(fresh.filter(time <= F.lit(upper)), source, catalog, cleaned_at, **options)
+        fresh = fresh.filter(time <= F.lit(upper))
+        rejected = without_id(fresh.filter(time > F.lit(mark)) if mark is not None else fresh, source).count()
+        if rejected:
+            AuditLog(tables).log(source.name, REJECTED, rejected, FAILED, f"{rejected} rows without an id")
+        silver = refine(fresh, source, catalog, cleaned_at, **options)
         increment = store(silver, "increment")
         new = not_in_history(increment, tables.read(source.silver_table), MENTION_KEY)
         step.rows = tables.append(new, source.silver_table, evolve=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +26,9 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, purpose: str) -> DataFrame:
+def store(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back: cut lineage, computed once."""
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# formats whose tables are folders of files without a log of versions
+_FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
 class Tables:
     """Named tables under an optional prefix, in one file format.
 
@@ -85,9 +90,23 @@ class Tables:
         return written.get["rows"]
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Rebuild the table from the frame, which must not read that table."""
+        """Rebuild the table from the frame.
+
+        With a plain file format the rows are written to a folder of their own, to which the table is then switched: a
+        reader sees all old or all new rows, and a run that dies before the switch leaves the old ones. The old folder
+        stays for those who still read it. Other formats overwrite in one step themselves.
+        """
         name = self.name(table)
-        database = name.rpartition(".")[0]
-        if database:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        df.write.format(self.fmt).mode("overwrite").saveAsTable(name)
+        if self.fmt not in _FILE_FORMATS:
+            df.write.format(self.fmt).mode("overwrite").saveAsTable(name)
+            return
+        self.ensure(table, df.schema)
+        if self.spark.read.table(name).schema.simpleString() != df.schema.simpleString():
+            raise ValueError(f"{name} has other columns than the rows that replace it")
+        folder = f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+        df.write.format(self.fmt).save(folder)
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        self.spark.catalog.refreshTable(name)
+
+    def drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")

@@ -3,7 +3,7 @@
 ``land_stream`` and ``refine_stream`` keep tables up to date from file streams.
 Each micro-batch goes through the batch operators, and rows whose key the target
 has already are left out, so a batch that is replayed after a failure adds
-nothing. The other functions are plain transformations of streaming frames.
+nothing; the target's keys are first cut down to those of the batch. The other functions are plain transformations of streaming frames.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
-from mentionkit.functions.scores import is_positive, percent, steady
-from mentionkit.operators.aggregates import SCORE, scored_only
-from mentionkit.operators.keys import MENTION_KEY, SALTS, keep_first, not_in
+from mentionkit.functions.scores import exact, is_positive, percent, rounded_mean
+from mentionkit.operators.aggregates import SCORE, daily_rollup, scored_only
+from mentionkit.operators.keys import MENTION_KEY, SALTS, keep_first, not_in, not_in_history
 from mentionkit.operators.refine import Source, find_mentions, normalise, refine
+from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 
@@ -50,13 +51,29 @@ def daily_stream(scored: DataFrame, delay: str, time: str = "created_at") -> Dat
         .groupBy("tool", F.window(time, "1 day").alias("_day"))
         .agg(
             n.alias("post_count"),
-            F.round(steady(F.avg(s)), 3).alias("avg_sentiment"),
+            rounded_mean(F.avg(exact(s)), 3).alias("avg_sentiment"),
             percent(F.count_if(is_positive(s)), n).alias("positive_pct"),
         )
         .select("tool", F.to_date("_day.start").alias("post_date"), "post_count", "avg_sentiment", "positive_pct")
     )
 
 
+def rollup_stream(scored: DataFrame, tables: Tables, table: str, checkpoint: str) -> StreamingQuery:
+    """Fold scored rows into additive daily rows, one set per micro-batch.
+
+    No day waits for a watermark and no late row is lost: ``daily_from_rollup`` and its kin over the table give the
+    reports of all rows so far. A replayed micro-batch is known by its number, so table and checkpoint belong together.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        own = tables.on(batch.sparkSession)
+        rows = daily_rollup(batch).withColumn("_batch", F.lit(number).cast("bigint"))
+        own.ensure(table, rows.schema)
+        own.append(not_in(rows, own.read(table), ["_batch"]), table)
+
+    return _run(scored, write, checkpoint)
+
+
 def land_stream(
     payload: DataFrame,
     flatten: Callable[[DataFrame], DataFrame],
@@ -71,8 +88,8 @@ def land_stream(
 
     def write(batch: DataFrame, _: int) -> None:
         own = tables.on(batch.sparkSession)
-        rows = keep_first(flatten(batch), keys, [F.desc("ingested_at")])
-        own.append(not_in(rows, own.read(table), keys), table, evolve=True)
+        rows = store(keep_first(flatten(batch), keys, [F.desc("ingested_at")]), "landed")
+        own.append(not_in_history(rows, own.read(table), keys), table, evolve=True)
 
     return _run(payload, write, checkpoint)
 
@@ -90,8 +107,8 @@ def refine_stream(
 
     def write(batch: DataFrame, _: int) -> None:
         own = tables.on(batch.sparkSession)
-        silver = refine(batch, source, catalog, **options)
-        own.append(not_in(silver, own.read(source.silver_table), MENTION_KEY), source.silver_table)
+        silver = store(refine(batch, source, catalog, **options), "refined")
+        own.append(not_in_history(silver, own.read(source.silver_table), MENTION_KEY), source.silver_table)
 
     return _run(bronze, write, checkpoint)
 

@@ -74,6 +74,14 @@ def test_mean_does_not_depend_on_order(spark):
     assert agg.sentiment_by_source(forward.coalesce(1)).collect() == agg.sentiment_by_source(backward.repartition(7)).collect()
 
 
+def test_means_are_rounded_once(spark):
+    """Just below a tie is rounded down, a tie up, and ranks go by the mean before rounding."""
+    rows = scored(spark, [("A", "x", "2024-01-01", 0.1234999999996), ("B", "x", "2024-01-01", 0.1235), ("C", "x", "2024-01-01", 0.1234999999997)])
+    for board in (agg.leaderboard(rows), agg.leaderboard_from_rollup(agg.daily_rollup(rows))):
+        got = {r.tool: (r.avg_sentiment, r.sentiment_rank) for r in board.collect()}
+        assert got == {"A": (0.123, 3), "B": (0.124, 1), "C": (0.123, 2)}
+
+
 def test_summary_counts_rows_without_a_score(posts):
     assert _rows(agg.scoring_summary(posts.filter("tool = 'B'")), "tool") == [("B", 2, 0.4)]
 

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from mentionkit.operators import keys, marks
+from mentionkit.operators import marks
 from mentionkit.operators.keys import keep_first, lookup, not_in, not_in_history
 
 
@@ -41,36 +41,47 @@ def test_dedup_and_anti_join_share_the_shuffle(spark, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
+@pytest.fixture(params=["10MB", "-1"])
+def threshold(spark, request):
+    """Joins by broadcast and by shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_gives_the_same_by_broadcast_and_by_salt(spark, skewed, limit, how):
+def test_lookup(spark, skewed, threshold, how):
     table = spark.createDataFrame([("hot", 1), ("5", 2), ("none", 3)], "post_id string, extra int")
-    joined = lookup(skewed, table, ["post_id"], how, max_broadcast_rows=limit)
+    joined = lookup(skewed, table, ["post_id"], how)
     assert joined.columns == ["post_id", "tool", "v", "extra"]
     assert joined.filter("extra = 1").count() == 4000
     assert joined.filter("extra = 2").count() == 1
     assert joined.count() == (12000 if how == "left" else 4001)
 
 
-@pytest.mark.parametrize("limit", [10, 1])
-def test_lookup_matches_missing_keys(spark, limit):
+def test_missing_keys_are_one_key(spark, threshold):
     df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
     table = spark.createDataFrame([(None, 20), ("a", 10)], "k string, extra int")
-    got = lookup(df, table, ["k"], max_broadcast_rows=limit).orderBy("v").collect()
+    got = lookup(df, table, ["k"]).orderBy("v").collect()
     assert [tuple(r) for r in got] == [("a", 1, 10), (None, 2, 20), ("b", 3, None)]
+    assert [r.v for r in not_in(df, table, ["k"], nulls_equal=True).collect()] == [3]
+    assert [r.v for r in marks.not_yet_landed(df, table, ["k"]).collect()] == [3]
 
 
-def test_salts_spread_identical_rows(spark):
-    same = spark.range(800).repartition(8).select(F.lit("hot").alias("k"))
-    table = spark.createDataFrame([("hot", 1), ("x", 2)], "k string, extra int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_no_function_starts_a_job(spark, skewed):
+    spark.sparkContext.setJobGroup("plans-only", "")
     try:
-        joined = lookup(same, table, ["k"], max_broadcast_rows=1)
-        assert joined.count() == 800
-        # several tasks hold rows of the one key
-        assert joined.select(F.spark_partition_id()).distinct().count() > 1
+        lookup(skewed, skewed.limit(3).withColumnRenamed("v", "w").drop("tool"), ["post_id"])
+        not_in_history(skewed, skewed, ["post_id"])
+        keep_first(skewed, ["post_id"])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans-only")
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_whole_rows_as_key(spark):
+    df = spark.createDataFrame([(1, [2]), (1, [2]), (1, [3])], "a int, b array<int>")
+    assert keep_first(df, ["a", "b"]).count() == 2
 
 
 def test_lookup_refuses_other_joins(spark, skewed):
@@ -105,13 +116,8 @@ def test_mark_reaches_the_scan(spark, tmp_path):
     assert fresh.count() == 4
 
 
-def test_fits(spark):
-    assert keys.fits(spark.range(5), 5) and not keys.fits(spark.range(6), 5)
-
-
-@pytest.mark.parametrize("limit", [100, 1])
-def test_history_is_cut_to_the_increment(spark, skewed, limit):
+def test_history_is_cut_to_the_increment(spark, skewed, threshold):
     increment = spark.createDataFrame([("hot", "T", 1), ("new", "T", 2), ("5", "U", 3), ("new", "T", 4)], skewed.schema)
-    fresh = not_in_history(increment, skewed, ["post_id", "tool"], limit)
+    fresh = not_in_history(increment, skewed, ["post_id", "tool"])
     assert sorted(r["v"] for r in fresh.collect()) == [2, 3, 4]
-    assert ("LeftSemi" in _plan(fresh)) == (limit == 100)
+    assert "LeftSemi" in _plan(fresh)

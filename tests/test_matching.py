@@ -95,17 +95,14 @@ def test_equals_brute_force(spark, monkeypatch):
     assert _match(spark, texts, AI_TOOLS) == want
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [1000, 2])
-def test_alias_table_equals_brute_force(spark, monkeypatch, max_broadcast_rows):
-    from mentionkit.operators import containment
-
-    # a short alias, copies of a key, and a tiny limit that forces the salted join
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_alias_table_equals_brute_force(spark, threshold):
+    # a short alias, copies of a key, joins by broadcast and by shuffle
     catalog = EntityCatalog((*AI_TOOLS.entities, Entity("X", ("x",))), AI_TOOLS.context, AI_TOOLS.exclusions)
     texts = _random_texts(catalog, 200)
     rows = [(i // 2, t.lower()) for i, t in enumerate(texts)] + [(500, "the x")] * 50
     df = spark.createDataFrame(rows, "id int, lowered string")
-    original = containment.alias_hits
-    monkeypatch.setattr(containment, "alias_hits", lambda *a: original(*a, max_broadcast_rows=max_broadcast_rows))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     lowered = F.col("lowered")
     got = mentions_by_table(
         df, ["id"], "lowered", catalog.aliases_df(spark),
@@ -113,6 +110,7 @@ def test_alias_table_equals_brute_force(spark, monkeypatch, max_broadcast_rows):
     )
     want = {(i, tool) for i, t in rows for tool in brute_force(t, catalog)}
     rows_got = [tuple(r) for r in got.collect()]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert set(rows_got) == want and len(rows_got) == len(want)
 
 

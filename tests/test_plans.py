@@ -39,10 +39,10 @@ def test_landing_is_incremental_per_search_term(spark, tables):
     assert land_hackernews(tables, first, RUN) == 2
     assert land_hackernews(tables, first, RUN) == 0
     later = pages(spark, ("3", "2025-01-02T00:00:00Z", "at the mark"), ("4", "2025-01-03T00:00:00Z", "x"))
-    assert land_hackernews(tables, later, RUN) == 1
+    assert land_hackernews(tables, later, RUN) == 2
     # another term has no mark yet: its old rows are taken
     assert land_hackernews(tables, pages(spark, ("5", "2020-01-01T00:00:00Z", "x"), tool="Claude"), RUN) == 1
-    assert [r[2] for r in audit(tables)] == [2, 0, 1, 1]
+    assert [r[2] for r in audit(tables)] == [2, 0, 2, 1]
 
 
 def test_late_comment_does_not_hide_older_posts(spark, tables):
@@ -69,13 +69,13 @@ def test_refining_is_incremental(spark, tables):
     # the mark covers rows without a match as well
     assert stored_mark(tables, HACKERNEWS) == RUN + timedelta(hours=1)
     assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 0
-    # a post landed again, a new one, and one at the mark that came too late
+    # a post landed again, a new one, and one at the mark
     _bronze(tables, ("1", "chatgpt", RUN + timedelta(days=1)), ("3", "chatgpt", RUN + timedelta(days=1)), ("4", "chatgpt", RUN + timedelta(hours=1)))
-    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 1
-    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN, look_back=timedelta(days=7)) == 1
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 2
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN, look_back=timedelta(days=7)) == 0
     silver = tables.read(HACKERNEWS.silver_table)
     assert sorted(r.post_id for r in silver.collect()) == ["1", "3", "4"]
-    assert [r[2:4] for r in audit(tables)] == [(1, "success"), (0, "success"), (1, "success"), (1, "success")]
+    assert [r[2:4] for r in audit(tables)] == [(1, "success"), (0, "success"), (2, "success"), (0, "success")]
 
 
 def test_crash_before_the_mark_adds_nothing_twice(spark, tables, monkeypatch):
@@ -99,10 +99,44 @@ def test_crash_before_the_mark_adds_nothing_twice(spark, tables, monkeypatch):
 def test_undated_rows_land_once(spark, tables):
     assert land_hackernews(tables, pages(spark, ("1", "2025-01-02T00:00:00Z", "x")), RUN) == 1
     more = pages(spark, ("1", "2025-01-02T00:00:00Z", "x"), ("2", None, "y"), ("3", "no date", "z"), ("4", "2025-01-01T00:00:00Z", "old"))
-    assert land_hackernews(tables, more, RUN) == 2
+    assert land_hackernews(tables, more, RUN) == 3
     assert land_hackernews(tables, more, RUN) == 0
 
 
+def test_one_payload_with_a_hit_twice(spark, tables):
+    hit = ("1", "2025-01-02T00:00:00Z", "x")
+    nameless = [(None, "2025-01-02T00:00:00Z", "x"), (None, "2025-01-02T00:00:00Z", "y"), (None, None, "y")]
+    assert land_hackernews(tables, pages(spark, hit, hit, *nameless, nameless[0]), RUN) == 4
+    assert land_hackernews(tables, pages(spark, hit, *nameless), RUN) == 0
+
+
+def test_undated_posts_land_once(spark, tables):
+    def page(*posts):
+        edges = [((i, "n", "t", "d", 1, 1, "u", created, None),) for i, created in posts]
+        return spark.createDataFrame([(((edges, (False, None)),),)], schemas.PH_PAGE)
+
+    assert land_producthunt(tables, page(("1", "2025-01-02T00:00:00Z"), ("2", None), ("2", None)), RUN) == 2
+    late = page(("1", "2025-01-02T00:00:00Z"), ("2", None), ("3", "2024-01-01T00:00:00Z"), ("4", "2025-01-02T00:00:00Z"))
+    assert land_producthunt(tables, late, RUN) == 2
+    assert land_producthunt(tables, late, RUN) == 0
+
+
+def test_rows_without_an_id_are_counted(spark, tables):
+    _bronze(tables, (None, "chatgpt", RUN), ("2", "chatgpt", RUN))
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 1
+    assert refine_source(tables, HACKERNEWS, AI_TOOLS, RUN) == 0
+    assert [r[:3] for r in audit(tables) if r[1] == "silver_rejected"] == [("hackernews", "silver_rejected", 1)]
+
+
+def test_time_zone_is_checked(spark, tables):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            run_all(tables, {}, AI_TOOLS, SCORER, RUN)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _submissions(spark):
     row = {"query_tool": "v0", "id": "r1", "subreddit": "webdev", "title": "v0.dev is good", "selftext": None, "author": "a", "permalink": "/r", "created_utc": 1.74e9}
     return spark.createDataFrame([tuple(row.get(f.name) for f in schemas.REDDIT_SUBMISSION)], schemas.REDDIT_SUBMISSION)

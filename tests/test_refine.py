@@ -49,12 +49,11 @@ def test_dates(spark):
     assert [(r.post_id, r.score) for r in _refined(bronze)] == [("0", None)]
 
 
-def test_guard_forms_agree(spark, monkeypatch):
+def test_guard_forms_agree(spark):
     rows = [(tool, ts) for tool in ("ChatGPT", "v0", "unknown") for ts in (datetime(2022, 1, 1), datetime(2023, 10, 1), None)]
     df = spark.createDataFrame(rows, "tool string, created_at timestamp")
     by_map = refine.launch_guard(df, AI_TOOLS)
-    monkeypatch.setattr(refine, "MAX_LITERAL_STARTS", 0)
-    by_table = refine.launch_guard(df, AI_TOOLS)
+    by_table = refine.launch_guard_by_table(df, AI_TOOLS.starts_df(spark))
     assert sorted(map(str, by_map.collect())) == sorted(map(str, by_table.collect()))
     assert by_map.count() == 1 + 1 + 3
 

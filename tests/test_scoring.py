@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.functions import scores
-from mentionkit.operators import scoring
-from mentionkit.operators.scoring import lexicon_scorer, model_scorer, pending, pending_increment, score_pending
+from mentionkit.operators.scoring import lexicon_scorer, model_scorer, open_keys, pending, pending_by_key, score_pending
 from mentionkit.sources.tables import Tables
 
 T = datetime(2025, 1, 1)
@@ -59,25 +58,39 @@ def test_lexicon(spark):
     assert got == [0.333, 0.0, 0.0, None, -0.333]
 
 
+def test_lexicon_refuses_what_it_would_never_find(spark):
+    with pytest.raises(ValueError, match="c\\+\\+"):
+        scores.lexicon_score(F.col("text"), ["c++"], [""])
+    df = spark.createDataFrame([("a",), (None,)], "text string")
+    assert [r[0] for r in df.select(scores.lexicon_score(F.col("text"), [], [])).collect()] == [0.0, None]
+
+
 def test_pending(spark):
     rows = silver(spark, 4).unionByName(silver(spark, 2))
     short = silver(spark, 1).withColumns({"post_id": F.lit("s"), "text": F.lit("0123456789")})
     eleven = silver(spark, 1).withColumns({"post_id": F.lit("e"), "text": F.lit("0123456789x")})
     none = silver(spark, 1).withColumns({"post_id": F.lit("n"), "text": F.lit(None).cast("string")})
-    done = spark.createDataFrame([("1", "v0"), ("2", "other"), ("1", "v0")], "post_id string, tool string")
+    done = [("hackernews", "1", "v0"), ("hackernews", "2", "other"), ("hackernews", "1", "v0"), ("reddit", "3", "v0")]
+    done = spark.createDataFrame(done, "source string, post_id string, tool string")
     everything = rows.unionByName(short).unionByName(eleven).unionByName(none)
     assert _keys(pending(everything, done)) == [("0", "v0"), ("2", "v0"), ("3", "v0"), ("e", "v0")]
     assert pending(everything, None).count() == 5
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
-def test_pending_by_keys_first_is_the_same(spark, monkeypatch, limit):
-    monkeypatch.setattr(scoring, "MAX_BROADCAST_ROWS", limit)
+def test_pending_by_keys_first_is_the_same(spark):
     rows = silver(spark, 60).unionByName(silver(spark, 20)).unionByName(silver(spark, 3, text="").withColumn("post_id", F.concat(F.lit("s"), "post_id")))
-    done = silver(spark, 30).select("post_id", "tool")
-    a, b = pending(rows, done), pending_increment(rows, done)
+    done = silver(spark, 30).select("source", "post_id", "tool")
+    a, b = pending(rows, done), pending_by_key(rows, open_keys(rows, done))
     assert a.columns == b.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 30
+    # what cannot be scored is not open
+    assert open_keys(rows, rows).isEmpty()
+
+
+def test_equal_ids_of_two_sources(spark, tables):
+    both = silver(spark, 5).unionByName(silver(spark, 5).withColumn("source", F.lit("reddit")))
+    assert score_pending(both, tables, "gold", SCORER).scored == 10
+    assert score_pending(both, tables, "gold", SCORER).scored == 0
 
 
 def test_stop_and_resume(spark, tables):
@@ -132,22 +145,19 @@ def test_unparsed_rows_can_be_tried_again(spark, tables):
     assert score_pending(silver(spark, 5), tables, "gold2", later).scored == 0
 
 
-def test_batches_cover_every_slot_once():
-    for n in (1, 3, 7):
-        spans = [scoring._slots_of(b, n) for b in range(n)]
-        assert spans[0][0] == 0 and spans[-1][1] == scoring._SLOTS - 1
-        assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
-
-
-def test_batch_reads_push_the_slot_down(spark, tables, monkeypatch):
+def test_a_batch_opens_its_own_files_only(spark, tables):
     seen = []
 
     def spying(df):
-        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((plan, df.select(F.input_file_name()).distinct().collect()))
         return SCORER(df)
 
     score_pending(silver(spark), tables, "gold", spying, batch_rows=100)
-    assert len(seen) == 2 and all("GreaterThanOrEqual(_slot" in p for p in seen)
+    assert len(seen) == 2
+    for batch, (plan, files) in enumerate(seen):
+        assert "PartitionFilters: [isnotnull(_batch" in plan
+        assert files and all(f"/_batch={batch}/" in f[0] for f in files)
 
 
 @pytest.mark.parametrize("store_unparsed", [True, False])

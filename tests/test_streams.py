@@ -79,3 +79,40 @@ def test_daily_windows_close_by_watermark(spark, tmp_path):
     streams.write_files(streams.daily_stream(stream, "6 hours"), out, str(tmp_path / "c")).awaitTermination()
     got = [tuple(r) for r in spark.read.parquet(out).select("tool", F.col("post_date").cast("string"), "post_count", "avg_sentiment", "positive_pct").orderBy("post_date").collect()]
     assert got == [("A", "2025-01-01", 1, 0.5, 100.0), ("A", "2025-01-02", 1, 0.1, 0.0)]
+
+
+def test_rollup_stream_keeps_every_day_and_survives_a_replay(spark, tables, tmp_path):
+    from mentionkit.operators.aggregates import sentiment_daily, daily_from_rollup
+
+    path, schema = str(tmp_path / "scored"), "tool string, source string, created_at timestamp, sentiment_score double"
+    days = [("A", "x", datetime(2025, 1, d, 5), d / 10) for d in (3, 1, 2, 3)]
+    for day in days:  # one file and one micro-batch each, the older ones late
+        spark.createDataFrame([day], schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = streams.rollup_stream(stream, tables, "rollup", str(tmp_path / "c"))
+    query.awaitTermination()
+    assert tables.read("rollup").select("_batch").distinct().count() == 4
+    want = sorted(map(tuple, sentiment_daily(spark.createDataFrame(days, schema)).collect()))
+    assert sorted(map(tuple, daily_from_rollup(tables.read("rollup")).collect())) == want
+    # the last batch runs again after a crash before its commit
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    (tmp_path / "c" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    commits[-1].unlink()
+    streams.rollup_stream(stream, tables, "rollup", str(tmp_path / "c")).awaitTermination()
+    assert sorted(map(tuple, daily_from_rollup(tables.read("rollup")).collect())) == want
+
+
+def test_a_long_history_is_cut_to_the_micro_batch(spark, tables, tmp_path, monkeypatch):
+    """The keys of the target meet those of the batch before any of them is shuffled."""
+    seen = []
+    original = Tables.append
+
+    def spying(self, df, table, evolve=False):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return original(self, df, table, evolve)
+
+    monkeypatch.setattr(Tables, "append", spying)
+    path = str(tmp_path / "bronze")
+    _write_bronze(spark, path, ("1", "chatgpt", T))
+    streams.refine_stream(_stream(spark, path), HACKERNEWS, AI_TOOLS, tables, str(tmp_path / "c")).awaitTermination()
+    assert len(seen) == 1 and "LeftSemi" in seen[0] and "LeftAnti" in seen[0]

@@ -2,6 +2,7 @@ import threading
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from mentionkit.operators.audit import AUDIT_TABLE, AuditLog
 from mentionkit.schemas import AUDIT_SCHEMA
@@ -43,6 +44,19 @@ def test_replace(spark, tables):
         assert tables.read("a").count() == n
 
 
+def test_replace_switches_at_once(spark, tables):
+    """Who has begun to read the old rows reads on; a write that fails leaves them."""
+    tables.replace(spark.range(3), "a")
+    begun = spark.read.table(tables.name("a"))
+    with pytest.raises(Exception, match="no more"):
+        tables.replace(spark.range(5).select(F.when(F.col("id") < 9, F.raise_error(F.lit("no more"))).cast("bigint").alias("id")), "a")
+    assert tables.read("a").count() == 3
+    tables.replace(tables.read("a").limit(2), "a")
+    assert (tables.read("a").count(), begun.count()) == (2, 3)
+    with pytest.raises(ValueError, match="other columns"):
+        tables.replace(spark.range(1).withColumnRenamed("id", "x"), "a")
+
+
 def test_database_prefix(spark):
     name = f"db_{uuid.uuid4().hex[:8]}"
     own = Tables(spark, prefix=f"{name}.")

@@ -21,9 +21,11 @@ from mentionkit.operators.containment import mentions_by_table
 from mentionkit.operators.keys import MENTION_KEY, keep_first
 from mentionkit.operators.scoring import as_scored, lexicon_scorer, model_scorer, pending, score_pending
 from mentionkit.plans import gold
+from mentionkit.plans.land import land_hackernews
 from mentionkit.plans.run import run_all
+from mentionkit.plans.silver import refine_source
 from mentionkit.sources import landing
-from mentionkit.sources.shared import new_folder
+from mentionkit.sources.shared import new_folder, store
 from mentionkit.sources.tables import Tables
 from mentionkit.streaming import streams
 from workload import frames
@@ -50,6 +52,15 @@ def _fresh_tables(spark: SparkSession) -> Tables:
     return Tables(spark, prefix=f"mk_{uuid.uuid4().hex[:12]}_")
 
 
+def _kept(tables: Tables, result: DataFrame) -> DataFrame:
+    """The result, stored; the tables of the call are dropped."""
+    rows = store(result, "result")
+    for found in tables.spark.catalog.listTables():
+        if found.name.startswith(tables.prefix):
+            tables.drop(found.name.removeprefix(tables.prefix))
+    return rows
+
+
 # -- scans and text ------------------------------------------------------------
 
 
@@ -380,19 +391,20 @@ def _(spark, sf):
 
 
 _SCORED_KEYS = """
-SELECT md5(text) AS post_id, tool FROM documents JOIN labels USING (doc_id), (VALUES ('T1'), ('T2')) t(tool)
+SELECT 'hackernews' AS source, md5(text) AS post_id, tool FROM documents JOIN labels USING (doc_id), (VALUES ('T1'), ('T2')) t(tool)
 """
 
 
 def _scored_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents count as scored for two of the three tools."""
     labelled = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
-    return labelled.select(F.md5("text").alias("post_id"), F.explode(F.array(F.lit("T1"), F.lit("T2"))).alias("tool"))
+    tools = F.explode(F.array(F.lit("T1"), F.lit("T2"))).alias("tool")
+    return labelled.select(F.lit("hackernews").alias("source"), F.md5("text").alias("post_id"), tools)
 
 
 _PENDING = f"""
 SELECT * FROM ({frames.SILVER_HN}) s WHERE length(text) > 10
-  AND NOT EXISTS (SELECT 1 FROM ({_SCORED_KEYS}) g WHERE g.post_id = s.post_id AND g.tool = s.tool)
+  AND NOT EXISTS (SELECT 1 FROM ({_SCORED_KEYS}) g WHERE g.source = s.source AND g.post_id = s.post_id AND g.tool = s.tool)
 """
 
 
@@ -505,35 +517,35 @@ def _(spark, sf):
     left = max(1, first.remaining // 2)
     score_pending(silver, tables, gold.SCORED_TABLE, scorer, batch_rows=left)
     score_pending(silver, tables, gold.SCORED_TABLE, scorer)
-    return tables.read(gold.SCORED_TABLE)
+    return _kept(tables, tables.read(gold.SCORED_TABLE))
 
 
 # -- aggregates ----------------------------------------------------------------------
 
 _S = f"({scored_sql()})"
 _DAILY = f"""
-SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
+SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(avg(sentiment_score::DECIMAL(38, 15)), 3) AS avg_sentiment,
        round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct,
        round(count(*) FILTER (sentiment_score < -0.2) / count(*) * 100, 1) AS negative_pct,
        round(count(*) FILTER (sentiment_score BETWEEN -0.2 AND 0.2) / count(*) * 100, 1) AS neutral_pct
 FROM {{}} WHERE sentiment_score IS NOT NULL GROUP BY ALL
 """
 _BY_SOURCE = """
-SELECT tool, source, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
+SELECT tool, source, count(*) AS post_count, round(avg(sentiment_score::DECIMAL(38, 15)), 3) AS avg_sentiment,
        round(min(sentiment_score), 3) AS min_sentiment, round(max(sentiment_score), 3) AS max_sentiment
 FROM {} WHERE sentiment_score IS NOT NULL GROUP BY ALL
 """
 _LEADERBOARD = """
-SELECT tool, count(*) AS total_mentions, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
+SELECT tool, count(*) AS total_mentions, round(avg(sentiment_score::DECIMAL(38, 15)), 3) AS avg_sentiment,
        round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct,
-       rank() OVER (ORDER BY round(avg(sentiment_score), 9) DESC) AS sentiment_rank
+       rank() OVER (ORDER BY avg(sentiment_score::DECIMAL(38, 15)) DESC) AS sentiment_rank
 FROM {} WHERE sentiment_score IS NOT NULL GROUP BY tool
 """
 _WEEKLY = """
 SELECT *, round(avg_sentiment - lag(avg_sentiment) OVER (PARTITION BY tool ORDER BY week_start), 3)
           AS sentiment_change_from_prior_week
 FROM (SELECT tool, date_trunc('week', created_at)::TIMESTAMP AS week_start, count(*) AS post_count,
-             round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment
+             round(avg(sentiment_score::DECIMAL(38, 15)), 3) AS avg_sentiment
       FROM {} WHERE sentiment_score IS NOT NULL GROUP BY ALL)
 """
 _TOP = """
@@ -579,7 +591,7 @@ def _faulty(spark: SparkSession, sf: str) -> DataFrame:
     return scored(spark, sf, frames.faulty_score())
 
 
-@query("scoring_summary", f"SELECT tool, count(*) AS rows_scored, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 2)::DOUBLE AS avg_sentiment FROM {_FAULTY} GROUP BY ALL")
+@query("scoring_summary", f"SELECT tool, count(*) AS rows_scored, round(avg(sentiment_score::DECIMAL(38, 15)), 2) AS avg_sentiment FROM {_FAULTY} GROUP BY ALL")
 def _(spark, sf):
     return agg.scoring_summary(_faulty(spark, sf))
 
@@ -595,7 +607,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    return agg.daily_rollup(_faulty(spark, sf)).withColumn("total", F.round("total", 6))
+    return agg.daily_rollup(_faulty(spark, sf)).withColumn("total", F.round("total", 6).cast("double"))
 
 
 @query("daily_from_rollup", _DAILY.format(_FAULTY))
@@ -635,7 +647,7 @@ def _(spark, sf):
     """Rebuild the five report tables and count them."""
     tables = _fresh_tables(spark)
     tables.append(_faulty(spark, sf), gold.SCORED_TABLE)
-    return gold.rebuild_reports(tables)
+    return _kept(tables, gold.rebuild_reports(tables))
 
 
 _COUNTED = ("documents", "conversations", "pages", "events", "labels", "orders", "lineitem")
@@ -731,7 +743,8 @@ WITH m AS ({_METRICS}), d AS (SELECT count(*) AS k, coalesce(sum(n), 0)::BIGINT
 SELECT 'score_range' AS check, out_of_range AS violations, total_rows AS total, out_of_range = 0 AS passed,
        CASE WHEN out_of_range > 0 THEN out_of_range || ' rows with a score outside [-1, 1]' END AS detail FROM m
 UNION ALL SELECT 'null_rate', null_scores, total_rows, null_pct <= 5,
-       CASE WHEN null_pct > 5 THEN null_scores || ' rows without a score, above 5 %' END FROM m
+       CASE WHEN null_pct > 5 THEN null_scores || ' rows without a score (' || null_pct || ' %), above 5 %' END FROM m
+UNION ALL SELECT 'columns', 0, total_rows, true, NULL FROM m
 UNION ALL SELECT 'launch_dates', before_launch, total_rows, before_launch = 0,
        CASE WHEN before_launch > 0 THEN before_launch || ' rows dated before the launch of their tool' END FROM m
 UNION ALL SELECT 'not_empty', (total_rows = 0)::BIGINT, total_rows, total_rows > 0,
@@ -799,27 +812,36 @@ def _(spark, sf):
         pass
     with log.step("producthunt", "silver"):
         pass
-    return log.read().drop("run_timestamp")
+    return _kept(tables, log.read().drop("run_timestamp"))
 
 
 # -- streams and the whole run ------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = table(spark, sf, name).schema
-    # the glob names one file; file streams list folders
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+STREAM_FILES = 4
+
+
+def _stream(spark: SparkSession, sf: str, name: str, files: int, by: str | None) -> DataFrame:
+    """A table as a stream, one micro-batch per file; rows that are equal in ``by`` come together."""
+    if files == 1:
+        schema = table(spark, sf, name).schema
+        # the glob names one file; file streams list folders
+        return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    given = table(spark, sf, name)
+    folder = new_folder(spark, "stream-input")
+    given.repartition(files, *([by] if by else [])).write.parquet(folder)
+    return spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 class _Streaming:
     """Stands in for the reader of the given tables, so that the frames above become streams."""
 
-    def __init__(self, spark: SparkSession, sf: str) -> None:
-        self.spark, self.sf, self.conf = spark, sf, spark.conf
+    def __init__(self, spark: SparkSession, sf: str, files: int = STREAM_FILES, by: str | None = None) -> None:
+        self.spark, self.sf, self.conf, self.files, self.by = spark, sf, spark.conf, files, by
         self.read = self
 
     def parquet(self, path: str) -> DataFrame:
-        return _stream(self.spark, self.sf, path.rpartition("/")[2].removesuffix(".parquet"))
+        return _stream(self.spark, self.sf, path.rpartition("/")[2].removesuffix(".parquet"), self.files, self.by)
 
 
 def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -830,11 +852,11 @@ def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 @query("stream_refine", f"SELECT * EXCLUDE (cleaned_at) FROM ({frames.SILVER_HN})")
 def _(spark, sf):
-    """Micro-batches into the silver table; the result equals the batch form."""
+    """Micro-batches into the silver table. Copies of a post come together: of those, as in the batch form, the last is kept."""
     tables = _fresh_tables(spark)
-    bronze = frames.hn_bronze(_Streaming(spark, sf), sf)
+    bronze = frames.hn_bronze(_Streaming(spark, sf, by="text"), sf)
     streams.refine_stream(bronze, refine.HACKERNEWS, CATALOG, tables, new_folder(spark, "checkpoint")).awaitTermination()
-    return tables.read(refine.HACKERNEWS.silver_table).drop("cleaned_at")
+    return _kept(tables, tables.read(refine.HACKERNEWS.silver_table).drop("cleaned_at"))
 
 
 @query("stream_mentions", _GUARDED)
@@ -852,16 +874,25 @@ def _(spark, sf):
 
 
 @query(
-    "stream_daily",
+    "stream_daily_closed",
     f"""
-    SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(round(avg(sentiment_score), 9)::DECIMAL(18, 9), 3)::DOUBLE AS avg_sentiment,
+    SELECT tool, created_at::DATE AS post_date, count(*) AS post_count, round(avg(sentiment_score::DECIMAL(38, 15)), 3) AS avg_sentiment,
            round(count(*) FILTER (sentiment_score > 0.2) / count(*) * 100, 1) AS positive_pct
     FROM {_S} WHERE created_at::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events) GROUP BY ALL
     """,
 )
 def _(spark, sf):
-    """Days the watermark has passed, each once."""
-    return _finished(spark, streams.daily_stream(scored(_Streaming(spark, sf), sf), "6 hours"))
+    """Days the watermark has passed, each once; ``stream_daily`` has all of them."""
+    return _finished(spark, streams.daily_stream(scored(_Streaming(spark, sf, files=1), sf), "6 hours"))
+
+
+@query("stream_daily", _DAILY.format(_S))
+def _(spark, sf):
+    """Every day of every micro-batch, folded."""
+    tables = _fresh_tables(spark)
+    rows = scored(_Streaming(spark, sf), sf)
+    streams.rollup_stream(rows, tables, "daily_rollup", new_folder(spark, "checkpoint")).awaitTermination()
+    return _kept(tables, agg.daily_from_rollup(tables.read("daily_rollup")))
 
 
 @query("stream_land", frames.REDDIT_LANDED)
@@ -879,7 +910,7 @@ def _(spark, sf):
         ["object_id", "query_tool", "subreddit"],
         new_folder(spark, "checkpoint"),
     ).awaitTermination()
-    return tables.read(refine.REDDIT.bronze_table)
+    return _kept(tables, tables.read(refine.REDDIT.bronze_table))
 
 
 _SCORED_LANDED = f"SELECT *, {lexicon_sql('text')} AS sentiment_score FROM ({frames.SILVER_LANDED}) WHERE length(text) > 10"
@@ -897,7 +928,7 @@ def _(spark, sf):
     scorer = lexicon_scorer(POSITIVE, NEGATIVE)
     for _ in range(2):
         run_all(tables, payloads, CATALOG, scorer, RUN_TIME, scored_sources=refine.SOURCES)
-    return tables.read("tool_leaderboard")
+    return _kept(tables, tables.read("tool_leaderboard"))
 
 
 @query("run_producthunt_only", _LEADERBOARD.format(f"({_SCORED_LANDED} AND source = 'producthunt')"))
@@ -907,4 +938,184 @@ def _(spark, sf):
     scorer = lexicon_scorer(POSITIVE, NEGATIVE)
     for payloads in ({"producthunt": frames.producthunt_pages(spark, sf)}, {}):
         run_all(tables, payloads, CATALOG, scorer, RUN_TIME, scored_sources=refine.SOURCES)
-    return tables.read("tool_leaderboard")
+    return _kept(tables, tables.read("tool_leaderboard"))
+
+
+# -- what the plans must not lose ----------------------------------------------------------
+
+
+def _pages_where(pages: DataFrame, keep) -> DataFrame:
+    return pages.withColumn("hits", F.filter("hits", keep))
+
+
+@query("land_late_rows", f"SELECT DISTINCT object_id, query_tool, hn_created_at FROM ({frames.HN_LANDED})")
+def _(spark, sf):
+    """The younger half lands first; the older half comes late, with all of the first once more."""
+    tables = _fresh_tables(spark)
+    pages = frames.hn_pages(spark, sf)
+    land_hackernews(tables, _pages_where(pages, lambda h: h["created_at"] >= "2024-03-01"), RUN_TIME)
+    land_hackernews(tables, pages, RUN_TIME)
+    return _kept(tables, tables.read(refine.HACKERNEWS.bronze_table).select("object_id", "query_tool", "hn_created_at"))
+
+
+@query(
+    "land_undated",
+    f"""
+    SELECT DISTINCT object_id, query_tool, CASE WHEN num_comments % 5 <> 0 THEN hn_created_at END AS hn_created_at
+    FROM ({frames.HN_LANDED})
+    """,
+)
+def _(spark, sf):
+    """Dated hits land, then those without a date, then all again."""
+    tables = _fresh_tables(spark)
+    undated = lambda h: h["num_comments"] % 5 == 0
+    dates = lambda h: h.withField("created_at", F.when(~undated(h), h["created_at"]))
+    pages = frames.hn_pages(spark, sf).withColumn("hits", F.transform("hits", dates))
+    for part in (_pages_where(pages, lambda h: ~undated(h)), _pages_where(pages, undated), pages):
+        land_hackernews(tables, part, RUN_TIME)
+    return _kept(tables, tables.read(refine.HACKERNEWS.bronze_table).select("object_id", "query_tool", "hn_created_at"))
+
+
+@query("refine_same_time", f"SELECT post_id, tool FROM ({frames.SILVER_LANDED}) WHERE source = 'hackernews'")
+def _(spark, sf):
+    """Two deliveries under one run time, each refined."""
+    tables = _fresh_tables(spark)
+    pages = frames.hn_pages(spark, sf)
+    for part in (_pages_where(pages, lambda h: h["created_at"] < "2024-03-01"), pages):
+        land_hackernews(tables, part, RUN_TIME)
+        refine_source(tables, refine.HACKERNEWS, CATALOG, RUN_TIME)
+    return _kept(tables, tables.read(refine.HACKERNEWS.silver_table).select("post_id", "tool"))
+
+
+@query(
+    "equal_ids_of_two_sources",
+    f"SELECT source, post_id, tool FROM ({frames.SILVER_HN}), (VALUES ('hackernews'), ('reddit')) t(source) WHERE length(text) > 10".replace(
+        "SELECT source, post_id", "SELECT t.source, post_id", 1
+    ),
+)
+def _(spark, sf):
+    """The mentions of one source under the name of another as well: both are scored."""
+    tables = _fresh_tables(spark)
+    silver = _silver_hn(spark, sf)
+    tables.append(silver, refine.HACKERNEWS.silver_table)
+    tables.append(silver.withColumn("source", F.lit("reddit")), refine.REDDIT.silver_table)
+    for _ in range(2):
+        gold.score_sources(tables, lexicon_scorer(POSITIVE, NEGATIVE))
+    return _kept(tables, tables.read(gold.SCORED_TABLE).select("source", "post_id", "tool"))
+
+
+_MISSING_ID = "doc_id % 7 = 0"
+
+
+@query(
+    "rows_without_id",
+    f"""
+    SELECT 'hackernews' AS source, 'silver_rejected' AS layer, count(*) AS rows_processed, 'failed' AS status,
+           count(*) || ' rows without an id' AS error_message FROM documents WHERE {_MISSING_ID}
+    UNION ALL SELECT 'hackernews', 'silver', count(*), 'success', NULL
+    FROM ({frames.silver_sql("hackernews", f"SELECT * FROM ({frames.HN_BRONZE}) WHERE split_part(url, '/', 4)::BIGINT % 7 <> 0", frames._HN_COLUMNS)})
+    """,
+)
+def _(spark, sf):
+    """The run log of a refinement in which every seventh row has no id."""
+    tables = _fresh_tables(spark)
+    number = F.element_at(F.split("url", "/"), -1).cast("bigint")
+    bronze = frames.hn_bronze(spark, sf).withColumn("object_id", F.when(number % 7 != 0, F.col("object_id")))
+    tables.append(bronze, refine.HACKERNEWS.bronze_table)
+    refine_source(tables, refine.HACKERNEWS, CATALOG, RUN_TIME)
+    return _kept(tables, AuditLog(tables).read().drop("run_timestamp"))
+
+
+@query(
+    "append_new_column",
+    "SELECT doc_id, text, NULL::VARCHAR AS lang FROM documents UNION ALL SELECT doc_id, NULL, lang FROM documents",
+)
+def _(spark, sf):
+    """The second append brings a column that the table lacks, and lacks one that it has."""
+    tables = _fresh_tables(spark)
+    docs = table(spark, sf, "documents")
+    tables.append(docs.select("doc_id", "text"), "docs")
+    tables.append(docs.select("lang", "doc_id"), "docs", evolve=True)
+    return _kept(tables, tables.read("docs"))
+
+
+_LINKED = "'*See* [' || url || '](' || url || ') and [' || page_id || '](#a) [] (' || url || ')'"
+
+
+@query("clean_markdown_links", f"SELECT page_id, {clean_sql('linked', markdown=True)} AS text FROM (SELECT page_id, {_LINKED} AS linked FROM pages)")
+def _(spark, sf):
+    url, number = F.col("url"), F.col("page_id").cast("string")
+    pieces = [F.lit("*See* ["), url, F.lit("]("), url, F.lit(") and ["), number, F.lit("](#a) [] ("), url, F.lit(")")]
+    return table(spark, sf, "pages").select("page_id", clean_text(F.concat(*pieces), markdown=True).alias("text"))
+
+
+@query(
+    "report_in_order",
+    f"SELECT *, row_number() OVER (ORDER BY avg_sentiment DESC, tool) - 1 AS place FROM ({_LEADERBOARD.format(_S)})",
+)
+def _(spark, sf):
+    """A report as it is read: the place of a row is its place in the output."""
+    shown = ranking.in_report_order(agg.leaderboard(scored(spark, sf)), "tool_leaderboard")
+    # a report of one row per tool fits one partition, which keeps its order
+    return shown.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@query(
+    "quality_log",
+    f"""
+    SELECT 'all' AS source, 'gold_dq_check' AS layer, count(*) AS rows_processed, 'failed' AS status,
+           (SELECT string_agg(detail, '; ' ORDER BY "check") FILTER (NOT passed) FROM ({_REPORT})) AS error_message
+    FROM {_FAULTY}
+    """.replace(_REPEATED, _FAULTY),
+)
+def _(spark, sf):
+    """The log row of the checks on a faulty table, as the plan writes it."""
+    tables = _fresh_tables(spark)
+    tables.append(_faulty(spark, sf), gold.SCORED_TABLE)
+    gold.check_quality(tables, EVENT_CATALOG)
+    return _kept(tables, AuditLog(tables).read().drop("run_timestamp"))
+
+
+@query(
+    "time_limited_scoring",
+    f"SELECT 0::BIGINT AS scored, count(*) AS remaining, 0::BIGINT AS batches, false AS complete FROM ({frames.SILVER_HN}) WHERE length(text) > 10",
+)
+def _(spark, sf):
+    """A run whose time is up at once: nothing is scored, and it says so."""
+    tables = _fresh_tables(spark)
+    run = score_pending(_silver_hn(spark, sf), tables, gold.SCORED_TABLE, lexicon_scorer(POSITIVE, NEGATIVE), max_minutes=0)
+    row = (run.scored, run.remaining, run.batches, run.complete)
+    return _kept(tables, spark.createDataFrame([row], "scored bigint, remaining bigint, batches bigint, complete boolean"))
+
+
+@query(
+    "report_contents",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS report, to_json(r)::VARCHAR AS content FROM (SELECT {columns} FROM ({sql.format(_FAULTY)})) r"
+        for name, columns, sql in (
+            ("sentiment_by_tool_daily", "tool, post_date::VARCHAR AS day, post_count", _DAILY),
+            ("sentiment_by_tool_source", "tool, source, post_count", _BY_SOURCE),
+            ("tool_leaderboard", "tool, total_mentions, sentiment_rank", _LEADERBOARD),
+            ("sentiment_trend_weekly", "tool, week_start::DATE::VARCHAR AS week, post_count", _WEEKLY),
+            ("top_posts_by_tool", "tool, category, url", _TOP),
+        )
+    ),
+)
+def _(spark, sf):
+    """The five report tables after two rebuilds, by content."""
+    tables = _fresh_tables(spark)
+    tables.append(_faulty(spark, sf), gold.SCORED_TABLE)
+    for _ in range(2):
+        gold.rebuild_reports(tables)
+    picked = {
+        "sentiment_by_tool_daily": ["tool", F.col("post_date").cast("string").alias("day"), "post_count"],
+        "sentiment_by_tool_source": ["tool", "source", "post_count"],
+        "tool_leaderboard": ["tool", "total_mentions", "sentiment_rank"],
+        "sentiment_trend_weekly": ["tool", F.to_date("week_start").cast("string").alias("week"), "post_count"],
+        "top_posts_by_tool": ["tool", "category", "url"],
+    }
+    parts = [
+        tables.read(name).select(F.lit(name).alias("report"), F.to_json(F.struct(*columns)).alias("content"))
+        for name, columns in picked.items()
+    ]
+    return _kept(tables, refine.union_sources(*parts))
