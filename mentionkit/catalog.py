@@ -11,8 +11,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mentionkit.schemas import ALIAS_SCHEMA, START_DATE_SCHEMA
 
@@ -107,10 +109,17 @@ class EntityCatalog:
             for tier, aliases in (("strong", e.strong), ("weak", e.weak))
             for alias in aliases
         ]
-        return spark.createDataFrame(rows, ALIAS_SCHEMA)
+        return _sized(spark, rows, ALIAS_SCHEMA)
 
     def starts_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.starts.items()), START_DATE_SCHEMA)
+        return _sized(spark, list(self.starts.items()), START_DATE_SCHEMA)
+
+
+def _sized(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """Rows as a frame whose size is known to the planner, so that the bytes decide whether it is broadcast."""
+    arrow = {"string": pa.string(), "date": pa.date32()}
+    columns = {f.name: pa.array([r[i] for r in rows], arrow[f.dataType.simpleString()]) for i, f in enumerate(schema)}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def catalog_key_gaps(aliases: DataFrame, starts: DataFrame) -> DataFrame:
