@@ -25,6 +25,9 @@ from mentionkit.sources.tables import Tables
 
 Scorer = Callable[[DataFrame], DataFrame]
 
+FILE_ROWS = 50_000
+"""Pending rows that one file of a batch should hold."""
+
 
 def lexicon_scorer(positive: Sequence[str], negative: Sequence[str]) -> Scorer:
     return lambda df: df.withColumn(SCORE, lexicon_score(F.col("text"), positive, negative))
@@ -124,8 +127,9 @@ def score_pending(
     total = wanted.count()
     batches = math.ceil(total / batch_rows)
     done = batch = 0
-    todo = _by_batch(pending_by_key(silver, wanted), batches) if batches else None
-    while batch < batches and (max_batches is None or batch < max_batches):
+    tried = batches if max_batches is None else min(batches, max_batches)
+    todo = _by_batch(pending_by_key(silver, wanted), batches, tried, total) if tried else None
+    while batch < tried:
         if max_minutes is not None and time.monotonic() - started >= max_minutes * 60:
             break
         scored = as_scored(scorer(todo.filter(F.col("_batch") == batch)))
@@ -136,9 +140,16 @@ def score_pending(
     return ScoringRun(scored=done, remaining=total - done, batches=batch, complete=batch == batches)
 
 
-def _by_batch(rows: DataFrame, batches: int) -> DataFrame:
-    """The rows, stored with one folder per batch; a batch is written by up to ``SALTS`` tasks."""
+def _by_batch(rows: DataFrame, batches: int, tried: int, total: int) -> DataFrame:
+    """The rows of the batches that this run tries, stored with one folder per batch.
+
+    A batch is written by as many tasks as give files of about ``FILE_ROWS`` rows, ``SALTS`` at most.
+    """
     hashed = F.xxhash64(*SCORED_KEY)
     batch = F.pmod(hashed, F.lit(batches)).cast("int")
-    part = F.pmod(F.shiftright(hashed, 32), F.lit(SALTS))
-    return store(rows.withColumn("_batch", batch).repartition("_batch", part), "pending", partition_by=["_batch"])
+    files = min(SALTS, math.ceil(total / batches / FILE_ROWS))
+    part = F.pmod(F.shiftright(hashed, 32), F.lit(files))
+    dealt = rows.withColumn("_batch", batch)
+    if tried < batches:
+        dealt = dealt.filter(F.col("_batch") < tried)
+    return store(dealt.repartition("_batch", part), "pending", partition_by=["_batch"])

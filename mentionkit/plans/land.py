@@ -87,13 +87,12 @@ def landing_marks(
     small table, so only rows ingested since then are read again; those at the border
     are read twice, which a maximum does not mind.
     """
-    landed = tables.read_if_exists(source.bronze_table)
-    if landed is None:
+    if not tables.exists(source.bronze_table):
         return None
     tables.ensure(LANDING_MARKS, schemas.LANDING_MARK_SCHEMA)
     own = F.col("source") == source.name
     covered = read_mark(tables.read(LANDING_MARKS).filter(own), F.col("covered_until"))
-    tail = landed if covered is None else landed.filter(F.col("ingested_at") >= F.lit(covered))
+    tail = tables.read_since(source.bronze_table, covered)
     if counts is not None:
         tail = tail.filter(counts)
     fresh = tail.groupBy(*keys).agg(F.max(time).alias("mark"), F.max("ingested_at").alias("covered_until"))

@@ -53,8 +53,7 @@ def refine_source(
         time = F.col("ingested_at")
         mark = stored_mark(tables, source)
         since = mark - look_back if mark is not None else None
-        bronze = tables.read(source.bronze_table)
-        fresh = bronze if since is None else bronze.filter(time >= F.lit(since))
+        fresh = tables.read_since(source.bronze_table, since)
         # the upper end is fixed first: rows that arrive meanwhile belong to the next run
         upper = read_mark(fresh, time)
         if upper is None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import threading
 import uuid
 from collections import defaultdict
+from collections.abc import Collection
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from pyspark.sql import types as T
 # formats whose tables are folders of files without a log of versions
 _FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
+TIME, DAY = "ingested_at", "_ingested_day"
+
 
 class Tables:
     """Named tables under an optional prefix, in one file format.
@@ -21,17 +25,21 @@ class Tables:
     ``prefix`` is a catalog or a start of the schema name; ``fmt`` any format the
     session can write. Plain file formats take one writer per table at a time:
     threads of this object wait for each other, other applications are not seen.
+
+    Tables named in ``by_day`` are created with a folder per day of ``ingested_at``, which ``read_since`` prunes by; one
+    that exists keeps the layout it has. The day is no column of what ``read`` returns.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str = "", fmt: str = "parquet") -> None:
+    def __init__(self, spark: SparkSession, prefix: str = "", fmt: str = "parquet", by_day: Collection[str] = ()) -> None:
         self.spark = spark
         self.prefix = prefix
         self.fmt = fmt
+        self.by_day = frozenset(by_day)
         self._locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def on(self, spark: SparkSession) -> Tables:
         """The same tables seen from another session, such as that of a micro-batch."""
-        other = Tables(spark, self.prefix, self.fmt)
+        other = Tables(spark, self.prefix, self.fmt, self.by_day)
         other._locks = self._locks
         return other
 
@@ -42,6 +50,19 @@ class Tables:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
+        return self._with_day(table).drop(DAY)
+
+    def read_since(self, table: str, since: datetime | None) -> DataFrame:
+        """The rows ingested at ``since`` or later; all of them if there is no mark yet."""
+        rows = self._with_day(table)
+        if since is not None:
+            rows = rows.filter(F.col(TIME) >= F.lit(since))
+            if DAY in rows.columns:
+                # a day more, so that sessions of another time zone miss nothing
+                rows = rows.filter(F.col(DAY) >= F.to_date(F.lit(since - timedelta(days=1))))
+        return rows.drop(DAY)
+
+    def _with_day(self, table: str) -> DataFrame:
         # another session may have appended files since this one listed them
         self.spark.catalog.refreshTable(self.name(table))
         return self.spark.read.table(self.name(table))
@@ -57,7 +78,12 @@ class Tables:
         if database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt}")
+        layout = ""
+        if table in self.by_day:
+            if TIME not in schema.names:
+                raise ValueError(f"{name} has no column {TIME} to be laid out by")
+            columns, layout = f"{columns}, `{DAY}` date", f" PARTITIONED BY (`{DAY}`)"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt}{layout}")
 
     def append(self, df: DataFrame, table: str, evolve: bool = False) -> int:
         """Append by column name and return the number of rows written.
@@ -82,11 +108,14 @@ class Tables:
             target = self.spark.read.table(name).schema
         aligned = df.select([
             F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target.fields
+            for f in target.fields if f.name != DAY
         ])
+        folders = [DAY] if DAY in target.names else []
+        if folders:
+            aligned = aligned.withColumn(DAY, F.to_date(TIME))
         written = Observation()
         counted = aligned.observe(written, F.count(F.lit(1)).alias("rows"))
-        counted.write.format(self.fmt).mode("append").saveAsTable(name)
+        counted.write.format(self.fmt).mode("append").partitionBy(*folders).saveAsTable(name)
         return written.get["rows"]
 
     def replace(self, df: DataFrame, table: str) -> None:

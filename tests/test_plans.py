@@ -45,6 +45,17 @@ def test_landing_is_incremental_per_search_term(spark, tables):
     assert [r[2] for r in audit(tables)] == [2, 0, 2, 1]
 
 
+def test_plans_on_tables_by_day(spark, tables):
+    """Bronze in folders per day: the same rows land and are refined."""
+    own = Tables(spark, prefix=tables.prefix, by_day=[HACKERNEWS.bronze_table])
+    for day in range(3):
+        hits = [(str(i), f"2025-01-0{i + 1}T00:00:00Z", "We use Claude daily") for i in range(day + 1)]
+        assert land_hackernews(own, pages(spark, *hits), RUN + timedelta(days=day)) == 1
+        assert refine_source(own, HACKERNEWS, AI_TOOLS, RUN) == 1
+    assert own.read(HACKERNEWS.bronze_table).schema.names == schemas.HN_RAW.names
+    assert "_ingested_day" in spark.read.table(own.name(HACKERNEWS.bronze_table)).columns
+
+
 def test_late_comment_does_not_hide_older_posts(spark, tables):
     def page(i, created, comment_created):
         comment = ((f"c{i}", "body", comment_created, None),)

@@ -9,11 +9,11 @@ import __spark_entry__ as driver
 from tests import oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
 @pytest.fixture(scope="module")
 def con():
+    assert Path(SF_DIR).exists(), f"no test tables in {SF_DIR}"
     return oracle.connect(SF_DIR)
 
 

@@ -160,6 +160,17 @@ def test_a_batch_opens_its_own_files_only(spark, tables):
         assert files and all(f"/_batch={batch}/" in f[0] for f in files)
 
 
+def test_only_the_tried_batches_are_stored(spark, tables):
+    """Few rows to a batch: one file each; batches beyond the limit are not written."""
+    from mentionkit.operators.scoring import _by_batch
+
+    stored = _by_batch(silver(spark), batches=5, tried=2, total=200)
+    folders = sorted(f.split("/_batch=")[1].split("/")[0] for f in stored.inputFiles())
+    assert folders == ["0", "1"]
+    whole = _by_batch(silver(spark), batches=5, tried=5, total=200)
+    assert whole.count() == 200 and 0 < stored.count() < 200
+
+
 @pytest.mark.parametrize("store_unparsed", [True, False])
 def test_each_row_is_asked_once(spark, tables, store_unparsed):
     asked = spark.sparkContext.accumulator(0)

@@ -1,5 +1,6 @@
 import threading
 import uuid
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,39 @@ def test_replace_switches_at_once(spark, tables):
         tables.replace(spark.range(1).withColumnRenamed("id", "x"), "a")
 
 
+def at(day):
+    return datetime(2025, 6, day, 12, tzinfo=timezone.utc)
+
+
+def test_layout_by_day(spark, tables):
+    """A mark leaves the folders of earlier days unopened; columns are those of the rows."""
+    own = Tables(spark, prefix=tables.prefix, by_day=["a"])
+    schema = "i int, ingested_at timestamp"
+    for day in (1, 2, 5, 6):
+        assert own.append(spark.createDataFrame([(day, at(day))], schema), "a") == 1
+    assert own.append(spark.createDataFrame([(7, at(6), "n")], f"{schema}, new string"), "a", evolve=True) == 1
+    assert own.append(spark.createDataFrame([(0, None)], schema), "a") == 1
+
+    assert own.read("a").schema.names == ["i", "ingested_at", "new"]
+    assert sorted(r["i"] for r in own.read("a").collect()) == [0, 1, 2, 5, 6, 7]
+    assert own.read_since("a", None).count() == 6
+    since = own.read_since("a", at(6))
+    assert sorted(map(tuple, since.select("i", "new").collect())) == [(6, None), (7, "n")]
+    plan = since._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingested_day" in plan
+    opened = {f.split("_ingested_day=")[1][:10] for f in since.inputFiles()}
+    assert "2025-06-06" in opened and not opened & {"2025-06-01", "2025-06-02"}
+
+    # who does not know the layout reads and writes it all the same
+    assert tables.append(spark.createDataFrame([(8, at(7))], schema), "a") == 1
+    assert [r["i"] for r in tables.read_since("a", at(7)).collect()] == [8]
+    # a table without folders is read by its column alone
+    tables.append(spark.createDataFrame([(1, at(1)), (2, at(2))], schema), "b")
+    assert [r["i"] for r in tables.read_since("b", at(2)).collect()] == [2]
+    with pytest.raises(ValueError, match="no column ingested_at"):
+        Tables(spark, prefix=tables.prefix, by_day=["c"]).ensure("c", spark.range(1).schema)
+
+
 def test_database_prefix(spark):
     name = f"db_{uuid.uuid4().hex[:8]}"
     own = Tables(spark, prefix=f"{name}.")

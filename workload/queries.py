@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +46,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _fresh_tables(spark: SparkSession) -> Tables:
+def _fresh_tables(spark: SparkSession, **layout) -> Tables:
     """Tables of their own for one call, so that calls do not meet."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return Tables(spark, prefix=f"mk_{uuid.uuid4().hex[:12]}_")
+    return Tables(spark, prefix=f"mk_{uuid.uuid4().hex[:12]}_", **layout)
 
 
 def _kept(tables: Tables, result: DataFrame) -> DataFrame:
@@ -1039,6 +1039,18 @@ def _(spark, sf):
     return _kept(tables, tables.read("docs"))
 
 
+@query(
+    "read_since_mark",
+    f"SELECT object_id, ingested_at FROM ({frames.PRODUCTHUNT_BRONZE}) WHERE ingested_at >= TIMESTAMP '2025-01-01 06:00:00'",
+)
+def _(spark, sf):
+    """A table laid out by day, read from a mark on: earlier days' folders are not opened."""
+    tables = _fresh_tables(spark, by_day=["posts"])
+    tables.append(frames.producthunt_bronze(spark, sf), "posts")
+    since = datetime(2025, 1, 1, 6, tzinfo=timezone.utc)
+    return _kept(tables, tables.read_since("posts", since).select("object_id", "ingested_at"))
+
+
 _LINKED = "'*See* [' || url || '](' || url || ') and [' || page_id || '](#a) [] (' || url || ')'"
 
 
