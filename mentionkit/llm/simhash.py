@@ -163,14 +163,15 @@ def group_report(docs: DataFrame) -> DataFrame:
     return near_groups(docs).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
+def one_per_group(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The document of least doc_id of each group. Of rows that share that doc_id one stays, the one of least text hash.
 
-    Only narrow rows are grouped; the texts are shuffled once, to meet the list of kept ids. Documents without an id have nothing to be kept by and go.
+    ``groups``: rows ``doc_id, root``, those of the fingerprints if not given. Only narrow rows are grouped; the texts are shuffled once,
+    to meet the list of kept ids. Documents without an id have nothing to be kept by and go.
     """
-    groups = near_groups(docs)
+    groups = near_groups(docs).select("doc_id", F.col("component_id").alias("root")) if groups is None else groups
     rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = store(groups.where("doc_id = component_id").select("doc_id").distinct().join(rows, "doc_id"), "simhash-kept")
+    kept = store(groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct().join(rows, "doc_id"), "simhash-kept")
     own = docs.columns
     # one plan at every size: the ids to keep are nearly as many as the documents, so both sides are shuffled once
     ids = kept.select(F.col("doc_id").alias("_id"), "_n").hint("merge")

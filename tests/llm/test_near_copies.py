@@ -1,0 +1,73 @@
+import random
+from itertools import combinations
+
+import corpus_pipeline as p
+from mentionkit.llm import near_copies
+from tests.llm.test_simhash import groups
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def planted(similarities, size=400):
+    """Pairs of texts of those similarities and some more, by words replaced far from each other."""
+    random.seed(11)
+    rows, pairs = [], []
+    for i, s in enumerate(similarities):
+        base = [f"v{random.randrange(900)}" for _ in range(size)]
+        copy, at = list(base), 10
+        while at < size - 10:
+            trial = list(copy)
+            trial[at] = f"new{at}"
+            if similarity(plain_set(" ".join(base)), plain_set(" ".join(trial))) < s:
+                break
+            copy, at = trial, at + 9
+        rows += [(10 * i, " ".join(base)), (10 * i + 5, " ".join(copy))]
+        pairs.append(similarity(plain_set(rows[-2][1]), plain_set(rows[-1][1])))
+    return rows, pairs
+
+
+def plain_roots(rows):
+    sets = {i: plain_set(t) for i, (_, t) in enumerate(rows)}
+    return groups([(a, b) for a, b in combinations(sets, 2) if similarity(sets[a], sets[b]) >= 0.8], sets)
+
+
+def partition(ids, roots):
+    out = {}
+    for i, r in zip(ids, roots):
+        out.setdefault(r, []).append(-1 if i is None else i)
+    return sorted(sorted(v) for v in out.values())
+
+
+def test_stage_drops_planted_copies(spark):
+    rows, pairs = planted([0.8, 0.82, 0.84, 0.86, 0.88, 0.9, 0.92, 0.95] * 3 + [0.7, 0.6])
+    assert sum(s >= 0.8 for s in pairs) == 24
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in p.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted([10 * i for i in range(26)] + [245, 255])
+
+
+def test_groups_against_brute_force(spark):
+    random.seed(2)
+    rows, _ = planted([0.79, 0.8, 0.9], 120)
+    base = [f"v{random.randrange(900)}" for _ in range(300)]
+    for i in range(40):  # copies that are near the first one, and less so each other
+        words = list(base)
+        for at in random.sample(range(5, 290, 6), random.randrange(0, 9)):
+            words[at] = f"x{i}_{at}"
+        rows.append((1000 + i, " ".join(words)))
+    rows += [(2000 + i, " ".join(base[i * 20 :] + [f"y{j}" for j in range(i * 20)])) for i in range(8)]
+    rows += [(900, None), (901, " \t"), (902, "one two"), (903, "One  two"), (904, "one three"), (905, "a b c d e"), (906, "a b c d e f")]
+    got = near_copies.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = plain_roots(rows)
+    assert partition([r["doc_id"] for r in got], [r["root"] for r in got]) == partition([d for d, _ in rows], [want[i] for i in range(len(rows))])
+
+
+def test_no_documents(spark):
+    assert near_copies.near_groups(spark.createDataFrame([], "doc_id long, text string")).collect() == []
