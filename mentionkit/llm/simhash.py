@@ -163,20 +163,28 @@ def group_report(docs: DataFrame) -> DataFrame:
     return near_groups(docs).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def by_fingerprint(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id, hash, root``, the text's hash and its group of fingerprints."""
+    prints = with_fingerprint(docs.select("doc_id", "text")).select("doc_id", F.xxhash64(text_of()).alias("hash"), "fp")
+    prints = store(prints, "simhash-prints")
+    roots = components(store(links(prints.select("fp").distinct()), "simhash-links"))
+    rows = prints.join(roots, F.col("fp") == F.col("node"), "left")
+    return store(rows.select("doc_id", "hash", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+
+
 def one_per_group(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """The document of least doc_id of each group. Of rows that share that doc_id one stays, the one of least text hash.
+    """One row of each group: of least doc_id, those without an id last, then of least text hash. Of rows alike in both one stays, by the hash of all columns.
 
-    ``groups``: rows ``doc_id, root``, those of the fingerprints if not given. Only narrow rows are grouped; the texts are shuffled once,
-    to meet the list of kept ids. Documents without an id have nothing to be kept by and go.
+    ``groups``: rows ``doc_id, hash, root``, one per document; those of the fingerprints if not given. A row is known by its id and its text's
+    hash, so neither a missing nor a shared id loses a group. Only narrow rows are grouped; the texts are shuffled once, to meet the list of kept rows.
     """
-    groups = near_groups(docs).select("doc_id", F.col("component_id").alias("root")) if groups is None else groups
-    rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = store(groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct().join(rows, "doc_id"), "simhash-kept")
-    own = docs.columns
-    # one plan at every size: the ids to keep are nearly as many as the documents, so both sides are shuffled once
-    ids = kept.select(F.col("doc_id").alias("_id"), "_n").hint("merge")
-    out = docs.alias("d").join(ids, F.col("doc_id") == F.col("_id"))
-    single = out.where("_n = 1").select("d.*")
-    ties = out.where("_n > 1").select("d.*").groupBy("doc_id").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("_r"))
-    return single.unionAll(ties.select("_r.*"))
-
+    groups = by_fingerprint(docs) if groups is None else groups
+    rows = groups.groupBy("root", "doc_id", "hash").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "n")).alias("k")
+    kept = store(rows.groupBy("root").agg(least).select(F.col("k.doc_id").alias("_id"), F.col("k.hash").alias("_hash"), F.col("k.n").alias("_n")), "simhash-kept")
+    own = [F.col(f"d.`{c}`") for c in docs.columns]
+    # one plan at every size: the rows to keep are nearly as many as the documents, so both sides are shuffled once
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_of()) == F.col("_hash"))
+    out = docs.alias("d").join(kept.hint("merge"), same)
+    ties = out.where("_n > 1").groupBy("_id", "_hash").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("_r"))
+    return out.where("_n = 1").select("d.*").unionAll(ties.select("_r.*"))
