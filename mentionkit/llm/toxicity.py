@@ -7,8 +7,9 @@ of segment scores in clean text is that of an extreme-value law: lambda solves s
 greatest segments of clean texts. A text's evidence is the least p-value over the sums of its best r segments, each
 corrected for the text's length (Karlin and Altschul); a logistic curve turns it into a score.
 
-Counts and calibration are learned on disjoint parts of at most ``SAMPLE`` labelled rows, chosen by hash among those not held out; at most ``VOCABULARY``
-words and as many stems that speak for toxicity, the most frequent ones, are kept, so what is broadcast is bounded. Scoring reads whole texts and nothing but them.
+Counts and calibration are learned on disjoint parts of at most ``SAMPLE`` labelled rows, chosen by hash among those not held out. A word or stem is
+left out where the stem it falls back to scores the same; beyond ``VOCABULARY`` of them whole families of the same first four letters are left out, the
+rarest first, so what is broadcast is bounded and no clean word is left to a toxic stem. Scoring reads whole texts and nothing but them.
 
 Defined results: NULL and empty texts have no evidence and the score of the curve at zero; without labels of both classes every score is 0;
 repeated rows are scored alike; no documents give no rows.
@@ -31,13 +32,16 @@ from mentionkit.llm.quality import labelled_sample
 from mentionkit.sources.shared import store
 
 SAMPLE = 20_000
-VOCABULARY = 200_000
+VOCABULARY = 1_000_000
+"""Words and stems together that a model holds."""
 STEMS = (4, 5, 6, 7, 8)
 TOXIC = 0.7
 DRIFT = 1.0
 """Taken off each token's score, so that a segment has to be dense in telling tokens."""
 _PRIOR = 4.0
 """Documents that a prior weighs as much as."""
+_SAME = 0.05
+"""Scores closer than this are one; the calibration rounds to quarters."""
 _MOST_SEGMENTS = 64
 _TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -141,11 +145,8 @@ def passages(model: Model, text: str, least: float = 3.0) -> list[tuple[int, int
     return out
 
 
-def _counts(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, float | None]:
-    """Words and stems, ``w, n, k``: documents and toxic documents they occur in; and the share of toxic ones over all words.
-
-    Only those above that share are kept: to the others an average word's score does no harm, as a segment never gains by them.
-    """
+def _counts(sample: DataFrame) -> tuple[DataFrame | None, float | None]:
+    """Words, ``w, n, k``: documents and toxic documents they occur in; and the share of toxic ones over all words."""
 
     @F.pandas_udf("array<string>")
     def distinct(texts: pd.Series) -> pd.Series:
@@ -155,43 +156,75 @@ def _counts(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, float | None
     words = store(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")), "toxic-words")
     seen, toxic = words.agg(F.sum("n"), F.sum("k")).first()
     if not toxic or toxic == seen:
-        return None, None, None
-    prefixes = F.explode(F.array_distinct(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.substr("w", F.lit(1), n))))
-    stems = words.select(prefixes.alias("w"), "n", "k").groupBy("w").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    above = F.col("k") > F.col("n") * F.lit(toxic / seen)
-    top = lambda df: df.where(above).orderBy(F.desc("n"), "w").limit(VOCABULARY).toPandas()
-    # a word of one document says no more than its stem
-    return top(words.where("n > 1")), top(stems), toxic / seen
+        return None, None
+    return words, toxic / seen
 
 
 def _log_odds(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def family(rows: list[tuple[str, int, int]], rate: float) -> tuple[dict[str, float], dict[str, float]]:
+    """Scores of the words and stems that share their first letters, from ``w, n, k`` of all of them.
+
+    One is left out only if what it falls back to, the longest stem that is kept or else zero, differs by less than ``_SAME``.
+    """
+    counts: dict[str, list[int]] = {}
+    for w, n, k in rows:
+        for stem in {w[:m] for m in STEMS}:
+            c = counts.setdefault(stem, [0, 0])
+            c[0] += n
+            c[1] += k
+    smoothed = lambda k, n, prior: (k + _PRIOR * prior) / (n + _PRIOR)
+    base, rates, out = _log_odds(rate), {}, Model({}, {})
+    for stem in sorted(counts, key=len):
+        n, k = counts[stem]
+        rates[stem] = smoothed(k, n, rates[stem[:-1]] if len(stem) > STEMS[0] else rate)
+        s = _log_odds(rates[stem]) - base
+        if abs(s - (out.of_stem(stem[:-1]) if len(stem) > STEMS[0] else 0.0)) >= _SAME:
+            out.stems[stem] = s
+    for w, n, k in rows:
+        # a word of one document says no more than its stem
+        if n > 1:
+            s = _log_odds(smoothed(k, n, rates[w[: STEMS[-1]]] if len(w) >= STEMS[0] else rate)) - base
+            if abs(s - out.of_stem(w)) >= _SAME:
+                out.words[w] = s
+    return out.words, out.stems
+
+
+def _scored(words: DataFrame, rate: float) -> Model:
+    """The scores to keep, worked out family by family on the executors."""
+
+    def scored(batches):
+        for batch in batches:
+            out = []
+            for first, members in zip(batch["first"], batch["members"]):
+                rows = [(m["w"], m["n"], m["k"]) for m in members]
+                found, stems = family(rows, rate)
+                seen = sum(n for _, n, _ in rows)
+                out += [(first, seen, True, w, s) for w, s in found.items()] + [(first, seen, False, w, s) for w, s in stems.items()]
+            yield pd.DataFrame(out, columns=["first", "seen", "word", "w", "s"])
+
+    grouped = words.groupBy(F.substr("w", F.lit(1), F.lit(STEMS[0])).alias("first")).agg(F.collect_list(F.struct("w", "n", "k")).alias("members"))
+    kept = store(grouped.mapInPandas(scored, "first string, seen long, word boolean, w string, s double"), "toxic-scores")
+    if kept.count() > VOCABULARY:
+        # whole families go, so that no word is left to a stem that scores higher
+        sizes = kept.groupBy("first", "seen").count().toPandas().sort_values(["seen", "first"], ascending=[False, True])
+        fits = sizes["first"][sizes["count"].cumsum() <= VOCABULARY].tolist()
+        kept = kept.join(kept.sparkSession.createDataFrame([(f,) for f in fits], "first string"), "first")
+    read = lambda word: dict(kept.where(F.col("word") == word).select("w", "s").toPandas().itertuples(index=False, name=None))
+    return Model(read(True), read(False))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     small_batches(docs.sparkSession)
     learn = labels.where(~held_out(F.col("doc_id")))
     sample = labelled_sample(docs, learn, "toxic", SAMPLE).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     part = F.xxhash64(F.lit("part"), "doc_id") % 3 == 0
-    words, stems, rate = _counts(sample.where(~part))
+    words, rate = _counts(sample.where(~part))
     if rate is None:
         return None
-    smoothed = lambda k, n, prior: (k + _PRIOR * prior) / (n + _PRIOR)
-    rates: dict[str, float] = {}
-
-    def known(stem: str) -> float:
-        """The rate of the longest known stem."""
-        for n in reversed(STEMS):
-            if n <= len(stem) and stem[:n] in rates:
-                return rates[stem[:n]]
-        return rate
-
-    for w, n, k in sorted(stems[["w", "n", "k"]].itertuples(index=False, name=None), key=lambda r: len(r[0])):
-        rates[w] = smoothed(k, n, known(w[:-1]))
-    base = _log_odds(rate)
-    word_score = {w: _log_odds(smoothed(k, n, known(w))) - base for w, n, k in words[["w", "n", "k"]].itertuples(index=False, name=None)}
-    model = Model(word_score, {w: _log_odds(p) - base for w, p in rates.items()})
-    return _calibrated(model, sample.where(part))
+    return _calibrated(_scored(words, rate), sample.where(part))
 
 
 def _calibrated(model: Model, sample: DataFrame) -> Model:

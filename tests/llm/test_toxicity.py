@@ -90,3 +90,31 @@ def test_edge_cases(spark):
     labels = spark.createDataFrame([(i, None, i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity_report(spark.createDataFrame(train, "doc_id long, text string").unionByName(docs.select("doc_id", "text")), labels).collect()
     assert len(got) == 305 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_a_clean_word_under_a_toxic_stem_keeps_its_score(spark):
+    rows = [("cock", 50, 50), ("cockpit", 100, 10), ("cockpits", 40, 0), ("plain", 3000, 300)]
+    words = spark.createDataFrame(rows, "w string, n long, k long")
+    model = toxicity._scored(words, 0.12)
+    cock, pit, pits, plain = (model.scores([w])[0] + toxicity.DRIFT for w in ("cock", "cockpit", "cockpits", "plain"))
+    assert cock > 2 and abs(pit) < 0.3 and pits < 0 and -0.3 < plain < 0
+
+
+def test_clean_words_of_the_learned_table(spark):
+    """A word often seen and never toxic is not scored by a toxic stem."""
+    rows = [(i, "grimface grim" if i % 10 == 0 else "grimsby harbour and quay" if i % 10 < 5 else "harbour and quay") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, None, int(i % 10 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    grim, sby = model.scores(["grim"])[0], model.scores(["grimsby"])[0]
+    assert grim > 0 and sby < -toxicity.DRIFT
+
+
+def test_a_full_model_drops_whole_families(spark, monkeypatch):
+    rows = [("cock", 50, 50), ("cockpit", 100, 10), ("vile", 9, 9), ("vilely", 8, 1)]
+    words = spark.createDataFrame(rows, "w string, n long, k long")
+    whole = toxicity._scored(words, 0.12)
+    monkeypatch.setattr(toxicity, "VOCABULARY", len(whole.words) + len(whole.stems) - 1)
+    cut = toxicity._scored(words, 0.12)
+    first = lambda d: {w: s for w, s in d.items() if w.startswith("cock")}
+    assert cut.words == first(whole.words) and cut.stems == first(whole.stems)
