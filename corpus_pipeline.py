@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionkit.llm import decontamination, mixing, near_copies, quality, secrets, simhash
+from mentionkit.llm import decontamination, mixing, quality, secrets, simhash
 from mentionkit.llm.common import read
 from mentionkit.sources.shared import store
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id of each group of five-word similarity 0.8 or more."""
-    return simhash.one_per_group(docs, near_copies.near_groups(docs))
+    """Keep one document of each group of linked fingerprints, the one of least id."""
+    return simhash.one_per_group(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
