@@ -3,14 +3,16 @@
 A turn becomes ``<|im_start|>role<|im_sep|>text<|im_end|>``. Control strings inside roles and texts get a backslash after their first character and
 backslashes are doubled, so formatted text holds no control string of its own and can be turned back exactly.
 
-Every assistant turn is an example of its own: all turns before it are context, and only its reply is trained on. The context of an
-example is a prefix of its formatted conversation, so the conversation is kept once, in one row per turn with its place, and
-an example is a range of it: context from 0 to ``loss_start``, loss from ``loss_start`` to ``loss_end``. Long conversations thus grow in proportion,
-not with the square of their turns; ``example_texts`` writes examples out where a trainer wants them so.
+Every assistant turn is exploded into an example of its own, one stored row each: all turns before it are context, and only its reply is trained on. The
+context of an example is a prefix of its formatted conversation, so the conversation is kept once, in one row per turn with its place, and an
+example row names ranges of it: context from 0 to ``context_chars``, the reply's head up to ``loss_start``, loss from there to ``loss_end``. Long conversations
+thus grow in proportion, not with the square of their turns; ``example_texts`` writes examples out where a trainer wants them so. What is
+reported of the loss is read back from the example rows.
 
 Places are code points. Digests go through a conversation's turns in order as a stream, so a task holds one batch of turns, however long a
 conversation is. Defined results: NULL roles and texts are empty; turns are in order of turn (NULL first), role, text; repeated turns stay; a
-NULL conv_id is a conversation; conversations without assistant turns have no examples; no rows give no rows.
+NULL conv_id is a conversation; conversations without assistant turns have no examples; no rows give no rows; very long texts stay whole; other
+columns, whatever their names, are not read. Ids of all 64 bits come back unchanged, also beside NULL.
 """
 
 from __future__ import annotations
@@ -84,27 +86,32 @@ def example_texts(pieces: DataFrame) -> DataFrame:
 
 
 class _Reading:
-    """What one conversation's pieces say, taken in order."""
+    """What one conversation's pieces and examples say, taken in order; an example follows the piece of its reply."""
 
     def __init__(self, conv_id) -> None:
         self.conv_id = conv_id
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = self.n_examples = self.example_chars = 0
+        self.last, self.last_start = "", 0
 
-    def add(self, piece: str, start: int, loss_start, loss_end) -> None:
+    def add(self, piece: str, start: int) -> None:
         found = _PIECE.fullmatch(piece)
         if found is None or start != self.chars:
             raise ValueError(f"conversation {self.conv_id}: piece {self.n_turns + 1} is not where or what it should be")
         role, text = unescaped(found[1]), unescaped(found[2])
         self.turns.update(f"{role}\n{text}\n".encode())
         self.n_turns += 1
+        self.last, self.last_start = piece, start
         self.chars += len(piece)
-        if loss_start is not None:
-            target = unescaped(piece[loss_start - start : loss_end - start])
-            self.loss.update(target.encode())
-            self.loss_chars += len(target)
-            self.n_examples += 1
-            self.example_chars += self.chars
+
+    def example(self, context: int, first: int, end: int) -> None:
+        if context != self.last_start or not context <= first <= end <= self.chars:
+            raise ValueError(f"conversation {self.conv_id}: example {self.n_examples + 1} is no range of it")
+        target = unescaped(self.last[first - context : end - context])
+        self.loss.update(target.encode())
+        self.loss_chars += len(target)
+        self.n_examples += 1
+        self.example_chars += self.chars
 
     def row(self) -> tuple:
         return (
@@ -120,35 +127,47 @@ _SUMMARY = (
 
 
 def _summaries(batches):
-    names = [c.split()[0] for c in _SUMMARY.split(", ")]
     now = None
     for batch in batches:
         done = []
-        columns = [batch[c].tolist() for c in ("conv_id", "piece", "start", "loss_start", "loss_end")]
+        columns = [batch[c].tolist() for c in ("conv", "piece", "start", "loss_start", "loss_end")]
         for conv, piece, start, first, end in zip(*columns):
-            conv = None if pd.isna(conv) else int(conv)
             if now is None or now.conv_id != conv:
                 if now is not None:
                     done.append(now.row())
                 now = _Reading(conv)
-            now.add(piece, int(start), None if pd.isna(first) else int(first), None if pd.isna(end) else int(end))
-        yield _frame(done, names)
+            if piece is not None:
+                now.add(piece, start)
+            else:
+                now.example(start, first, end)
+        yield _frame(done)
     if now is not None:
-        yield _frame([now.row()], names)
+        yield _frame([now.row()])
 
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).astype({n: "Int64" for n in names if not n.endswith("sha256")})
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    names = [c.split()[0] for c in _SUMMARY.split(", ")]
+    # ids travel as text: a column of numbers with NULL would pass through floats
+    columns = {n: [r[k] for r in rows] for k, n in enumerate(names)}
+    columns["conv_id"] = [None if c is None else int(c) for c in columns["conv_id"]]
+    return pd.DataFrame({n: pd.array(v, dtype=object if n.endswith("sha256") else "Int64") for n, v in columns.items()})
 
 
-def summaries(pieces: DataFrame) -> DataFrame:
-    """Read formatted conversations back: turns, loss text and sizes of each, with digests."""
+def summaries(pieces: DataFrame, found: DataFrame) -> DataFrame:
+    """Read formatted conversations and their examples back: turns, loss text and sizes of each conversation, with digests."""
     small_batches(pieces.sparkSession)
-    rows = pieces.select("conv_id", "seq", "piece", "start", "loss_start", "loss_end")
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInPandas(_summaries, _SUMMARY)
+    none = F.lit(0).cast("long")
+    rows = pieces.select("conv_id", "seq", F.lit(0).alias("kind"), "piece", "start", none.alias("loss_start"), none.alias("loss_end"))
+    ranges = found.select(
+        "conv_id", F.col("target_seq").alias("seq"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("piece"), F.col("context_chars").alias("start"),
+        "loss_start", "loss_end",
+    )
+    both = rows.unionAll(ranges).repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind")
+    return both.select(F.col("conv_id").cast("string").alias("conv"), "piece", "start", "loss_start", "loss_end").mapInPandas(_summaries, _SUMMARY)
 
 
 def chat_report(turns: DataFrame) -> DataFrame:
-    """Format the conversations and the control check, store them, read them back."""
+    """Format the conversations and the control check, explode their examples, store both, read them back."""
     rows = turns.select("conv_id", "turn", "role", "text").unionByName(control_check(turns.sparkSession))
-    return summaries(store(formatted(rows), "chat"))
+    pieces = store(formatted(rows), "chat")
+    return summaries(pieces, store(examples(pieces), "chat-examples"))

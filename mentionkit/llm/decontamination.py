@@ -1,20 +1,20 @@
 """Find benchmark passages in documents by greedy string tiling, also where their parts were put in another order.
 
-Both sides become lower-case words, and every five words a running hash (Karp and Rabin). A bit table of fixed size, filled from the
-benchmark's hashes, drops nearly all of a document's hashes where they arise; it is the only thing broadcast. What is left is joined with the
-benchmark's hashes, and per document and item the shared seeds are tiled: seeds on one diagonal form matches, the longest
-match is marked, others lose what it covers, and so on until no match of five words is left. An item's coverage is the share of its
-words under tiles.
-
-Defined results: NULL and empty texts and items of fewer than five words match nothing; of documents that share an id each is compared by itself
-and the best coverage counts; repeated rows give one row; empty tables give no rows. A seed of 64 bits stands for its words.
+Both sides become lower-case words, a character of a script without spaces being a word of its own, and every five words a running hash (Karp and
+Rabin); an item of fewer words has one hash, of all its words. A bit table of fixed size, filled from the benchmark's hashes, drops nearly all of a
+document's hashes where they arise; it is the only thing broadcast. What is left meets the benchmark's distinct hashes, and per document and item the
+shared seeds are tiled: the longest run of words that both hold is marked, then the longest of what is left unmarked, until none of five words is
+left (or of the whole item, if it is shorter). Runs are found by running hashes of seeds, so places that repeat are never paired with each
+other. An item's coverage is the share of its words under tiles.
+
+Defined results: NULL and empty texts and items without words match nothing; ids may be of any type and come back unchanged, NULL too; of documents that
+share an id each is compared by itself and the best coverage counts; repeated rows give one row; empty tables give no rows; very long and very
+repetitive texts are compared whole; other columns, whatever their names, are not read. A seed of 64 bits stands for its words.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
-from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,10 @@ COVERAGE = 0.5
 """Share of an item's words from which a document counts as contaminated."""
 TABLE_BITS = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_TOKEN = re.compile(r"\w+")
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+# Thai, Lao, Myanmar, Khmer; kana; Han: scripts written without spaces
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_TOKEN = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _CACHE_MOST = 200_000
 
 
@@ -38,9 +41,9 @@ def words(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
-def seeds(found: list[str], cache: dict[str, int]) -> np.ndarray:
-    """The running hash of every five words, signed 64 bits."""
-    n = len(found) - SEED_WORDS + 1
+def seeds(found: list[str], cache: dict[str, int], width: int = SEED_WORDS) -> np.ndarray:
+    """The running hash of every ``width`` words, signed 64 bits."""
+    n = len(found) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64)
     if len(cache) > _CACHE_MOST:
@@ -49,8 +52,9 @@ def seeds(found: list[str], cache: dict[str, int]) -> np.ndarray:
         if w not in cache:
             cache[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 5)
     h = np.fromiter((cache[w] for w in found), dtype=np.uint64, count=len(found))
-    out = np.zeros(n, dtype=np.uint64)
-    for j in range(SEED_WORDS):
+    # hashes of different widths have nothing to do with each other
+    out = np.full(n, SEED_WORDS - width, dtype=np.uint64)
+    for j in range(width):
         out = out * _BASE + h[j : j + n]
     out ^= out >> np.uint64(32)
     out *= _BASE
@@ -62,8 +66,11 @@ def _place(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
 
 
-def _seed_rows(df: DataFrame, key: str, table=None) -> DataFrame:
-    """``key, version, n_words, pos, seed``; with a table only seeds whose bit is set. ``version`` tells texts of one key apart."""
+def _seed_rows(df: DataFrame, key: str, widths: list[int] | None, table=None) -> DataFrame:
+    """``key`` as text, ``version``, ``n_words``, and arrays ``pos, seed``; without ``widths`` of five words or all there are, with a table only seeds whose bit is set.
+
+    ``version`` tells texts of one key apart.
+    """
     small_batches(df.sparkSession)
 
     @F.pandas_udf("struct<n: int, pos: array<int>, seed: array<long>>")
@@ -73,81 +80,118 @@ def _seed_rows(df: DataFrame, key: str, table=None) -> DataFrame:
         out = []
         for t in texts:
             w = words(t)
-            h = seeds(w, cache)
-            pos = np.arange(len(h)) if bits is None else np.flatnonzero(bits[_place(h, bits)])
-            out.append((len(w), pos.astype(np.int32), h[pos]))
+            parts = []
+            for width in widths or [max(1, min(SEED_WORDS, len(w)))]:
+                h = seeds(w, cache, width)
+                pos = np.arange(len(h)) if bits is None else np.flatnonzero(bits[_place(h, bits)])
+                parts.append((pos.astype(np.int32), h[pos]))
+            out.append((len(w), *(np.concatenate(x) for x in zip(*parts))))
         return pd.DataFrame(out, columns=["n", "pos", "seed"])
 
-    rows = df.select(key, F.xxhash64("text").alias("version"), found.asNondeterministic()(text_of()).alias("f"))
-    pairs = F.explode(F.arrays_zip(F.col("f.pos").alias("pos"), F.col("f.seed").alias("seed")))
-    return rows.select(key, "version", F.col("f.n").alias("n_words"), pairs.alias("p")).select(key, "version", "n_words", "p.pos", "p.seed")
-
-
-def tiles(pairs: np.ndarray) -> list[tuple[int, int, int]]:
-    """Greedy tiling of shared seeds, rows (item position, document position): tiles (item start, document start, words).
-
-    The longest match first; of equals the one that starts first in the item, then in the document.
-    """
-    pairs = np.unique(pairs, axis=0)
-    diagonal = pairs[:, 1] - pairs[:, 0]
-    order = np.lexsort((pairs[:, 0], diagonal))
-    i, d = pairs[order, 0], diagonal[order]
-    breaks = np.flatnonzero((np.diff(d) != 0) | (np.diff(i) != 1)) + 1
-    heap = []
-    for a, b in zip(np.r_[0, breaks], np.r_[breaks, len(i)]):
-        heap.append((-(int(b - a) + SEED_WORDS - 1), int(i[a]), int(i[a] + d[a])))
-    heapq.heapify(heap)
-    item_taken: set[int] = set()
-    doc_taken: set[int] = set()
+    rows = df.select(F.col(key).cast("string").alias(key), F.xxhash64("text").alias("version"), found.asNondeterministic()(text_of()).alias("f"))
+    return rows.select(key, "version", F.col("f.n").alias("n_words"), "f.pos", "f.seed")
+
+
+class _Runs:
+    """Seeds in a row, some of them taken, with hashes of any number that follow each other."""
+
+    def __init__(self, seed: np.ndarray, place: np.ndarray) -> None:
+        self.place, self.free = place, np.ones(len(seed), dtype=bool)
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(max(0, len(seed) - 1), _BASE)])[: len(seed)]
+        self.back = np.cumprod(np.r_[np.uint64(1), np.full(max(0, len(seed) - 1), _INVERSE)])[: len(seed)]
+        self.sums = np.r_[np.uint64(0), np.cumsum(seed.view(np.uint64) * powers, dtype=np.uint64)]
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``n`` free seeds follow each other without a gap, and the hashes of those."""
+        last = len(self.place) - n + 1
+        if last <= 0:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+        taken = np.r_[0, np.cumsum(~self.free)]
+        whole = (self.place[n - 1 :] - self.place[:last] == n - 1) & (taken[n:] == taken[:last])
+        at = np.flatnonzero(whole)
+        return at, (self.sums[at + n] - self.sums[at]) * self.back[at]
+
+    def take(self, start: int, end: int) -> None:
+        self.free[np.searchsorted(self.place, start) : np.searchsorted(self.place, end)] = False
+
+
+def _longest(item: _Runs, doc: _Runs) -> tuple[int, int, int] | None:
+    """The longest common run: its place in the item, in the document, and its seeds. Of equals the first in the item, then in the document."""
+
+    def common(n: int):
+        (i, a), (j, b) = item.of(n), doc.of(n)
+        shared = np.flatnonzero(np.isin(a, b))
+        return (i, a, j, b, shared[0]) if len(shared) else None
+
+    found = common(1)
+    if found is None:
+        return None
+    low, step = 1, 1
+    # a run of n holds one of n - 1
+    while (more := common(low + step)) is not None:
+        low, found, step = low + step, more, 2 * step
+    high = low + step
+    while high - low > 1:
+        middle = (low + high) // 2
+        more = common(middle)
+        if more is None:
+            high = middle
+        else:
+            low, found = middle, more
+    i, a, j, b, first = found
+    return int(item.place[i[first]]), int(doc.place[j[np.flatnonzero(b == a[first])[0]]]), low
+
+
+def tiles(item: np.ndarray, pos: np.ndarray, doc: np.ndarray, width: int = SEED_WORDS) -> list[tuple[int, int, int]]:
+    """Greedy tiling of an item's seeds and a document's seeds at ``pos``: tiles (item start, document start, words)."""
+    order = np.argsort(pos, kind="stable")
+    ours, theirs = _Runs(item, np.arange(len(item))), _Runs(doc[order], pos[order].astype(np.int64))
     out = []
-    while heap:
-        size, i0, j0 = heapq.heappop(heap)
-        free = [k for k in range(-size) if i0 + k not in item_taken and j0 + k not in doc_taken]
-        if len(free) == -size:
-            out.append((i0, j0, -size))
-            item_taken.update(range(i0, i0 - size))
-            doc_taken.update(range(j0, j0 - size))
-            continue
-        run = 0
-        for at, k in enumerate(free):
-            run += 1
-            if at + 1 == len(free) or free[at + 1] != k + 1:
-                if run >= SEED_WORDS:
-                    heapq.heappush(heap, (-run, i0 + k - run + 1, j0 + k - run + 1))
-                run = 0
+    while (best := _longest(ours, theirs)) is not None:
+        i, j, run = best
+        size = run + width - 1
+        out.append((i, j, size))
+        # seeds that hold a marked word are gone
+        ours.take(i - width + 1, i + size)
+        theirs.take(j - width + 1, j + size)
     return out
 
 
 def _tiled(batches):
     for batch in batches:
         out = []
-        for doc, item, n, pairs in zip(batch["doc_id"], batch["item_id"], batch["n_words"], batch["pairs"]):
-            raw = np.asarray(pairs, dtype=np.int64)
-            found = tiles(np.stack([raw >> 32, raw & 0xFFFFFFFF], axis=1))
-            covered = sum(size for _, _, size in found)
-            out.append((doc, item, covered / n, len(found), max(size for _, _, size in found), covered))
+        for doc, item, n, pos, found, own in zip(*(batch[c] for c in ("doc_id", "item_id", "n_words", "pos", "seed", "own"))):
+            marked = tiles(np.asarray(own), np.asarray(pos), np.asarray(found), min(SEED_WORDS, int(n)))
+            covered = sum(size for _, _, size in marked)
+            out.append((doc, item, covered / n, len(marked), max(size for _, _, size in marked), covered))
         yield pd.DataFrame(out, columns=["doc_id", "item_id", "coverage", "n_tiles", "longest", "words"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage, n_tiles, longest, words`` of every pair with a shared seed, best version of each."""
     spark = docs.sparkSession
-    items = store(_seed_rows(benchmark.select("item_id", "text"), "item_id"), "bench-seeds")
+    items = store(_seed_rows(benchmark.select("item_id", "text"), "item_id", None).distinct().where("n_words > 0"), "bench-seeds")
+    own = items.select("item_id", F.col("version").alias("item_version"), F.explode("seed").alias("seed")).distinct()
     # at most 2^TABLE_BITS small numbers, whatever the benchmark's size
-    places = items.select(F.shiftrightunsigned("seed", 64 - TABLE_BITS).cast("int").alias("p")).distinct()
+    places = own.select(F.shiftrightunsigned("seed", 64 - TABLE_BITS).cast("int").alias("p")).distinct()
     bits = np.zeros(1 << TABLE_BITS, dtype=bool)
     bits[places.toPandas()["p"].to_numpy(dtype=np.int64)] = True
-    found = _seed_rows(docs.select("doc_id", "text"), "doc_id", spark.sparkContext.broadcast(bits))
-    found = found.select("doc_id", F.col("version").alias("doc_version"), F.col("pos").alias("doc_pos"), "seed")
-    shared = found.join(items.withColumnRenamed("version", "item_version"), "seed")
-    pair = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("doc_pos").cast("long"))
-    # a document and an item meet in one row, as long as the seeds that both hold
-    grouped = shared.groupBy("doc_id", "doc_version", "item_id", "item_version", "n_words").agg(F.collect_set(pair).alias("pairs"))
-    # one item's seeds in one document at one time
-    schema = "doc_id long, item_id long, coverage double, n_tiles int, longest int, words int"
-    tiled = grouped.select("doc_id", "item_id", "n_words", "pairs").mapInPandas(_tiled, schema)
+    widths = sorted(r[0] for r in items.select(F.least("n_words", F.lit(SEED_WORDS))).distinct().collect()) or [SEED_WORDS]
+    found = _seed_rows(docs.select("doc_id", "text"), "doc_id", widths, spark.sparkContext.broadcast(bits))
+    pairs = F.explode(F.arrays_zip("pos", F.col("seed").alias("seed"))).alias("p")
+    found = found.select("doc_id", F.col("version").alias("doc_version"), pairs).select("doc_id", "doc_version", F.col("p.pos").alias("pos"), F.col("p.seed").alias("seed"))
+    shared = found.join(own, "seed")
+    # a document and an item meet in one row, as long as the document's seeds that the item has
+    keys = ["doc_id", "doc_version", "item_id", "item_version"]
+    grouped = shared.groupBy(*keys).agg(F.collect_set(F.struct("pos", "seed")).alias("p"))
+    packed = items.select(F.col("item_id").alias("_item"), F.col("version").alias("_version"), "n_words", F.col("seed").alias("own"))
+    met = grouped.join(packed, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_version") == F.col("_version")))
+    met = met.select("doc_id", "item_id", "n_words", F.col("p.pos").alias("pos"), F.col("p.seed").alias("seed"), "own")
+    tiled = met.mapInPandas(_tiled, "doc_id string, item_id string, coverage double, n_tiles int, longest int, words int")
     best = F.max_by(F.struct("coverage", "n_tiles", "longest", "words"), F.struct("coverage", "longest", -F.col("n_tiles"))).alias("b")
-    return tiled.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
+    best = tiled.groupBy("doc_id", "item_id").agg(best)
+    ids = [F.col(c).cast(df.schema[c].dataType).alias(c) for c, df in (("doc_id", docs), ("item_id", benchmark))]
+    return best.select(*ids, "b.*")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE) -> DataFrame:

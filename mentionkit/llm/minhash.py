@@ -39,6 +39,9 @@ PERCENT = 80
 SHORT_LIST = 32
 """Members up to which a list's pairs are made; longer lists are compared in tiles."""
 TILE_SETS, TILE_SHINGLES = 1024, 500_000
+GROUP_SETS = 1024
+"""Sets that one task compares with the same set."""
+TABLE_BITS = 22
 _DEVIATIONS = 5.5
 _CHUNK = 1 << 16
 _DENSE = 16
@@ -123,9 +126,10 @@ def union_estimate(a: str, b: str, sketch: int) -> tuple[Column, Column]:
 
 def _filtered(pairs: DataFrame, classes: DataFrame, sketch: int, percent: int) -> DataFrame:
     """Pairs ``a, b`` that the sketches do not rule out, with ``sure`` where both sketches are whole sets."""
-    first = classes.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")).hint("merge")
-    second = classes.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")).hint("merge")
-    both = pairs.join(second, "b").join(first, "a")
+    # stored pairs are known by their bytes: few are broadcast to the sketches, many meet them in a shuffle
+    first = classes.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")).join(pairs, "a")
+    second = classes.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")).join(pairs, "b")
+    both = first.join(second.hint("merge"), ["a", "b"])
     whole = F.greatest("na", "nb") <= sketch
     shared, seen = union_estimate("sa", "sb", sketch)
     meet = F.size(F.array_intersect("sa", "sb"))
@@ -134,28 +138,68 @@ def _filtered(pairs: DataFrame, classes: DataFrame, sketch: int, percent: int) -
     return store(both.where(likely).select("a", "b", whole.alias("sure")), "minhash-filtered")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b``: the sure pairs, and those of the rest that hold on whole sets. Sets of ``b`` travel, the set of ``a`` stays where its pairs come."""
-    first = sets.select(F.col("set").alias("a"), F.col("found").alias("fa")).hint("merge")
-    second = sets.select(F.col("set").alias("b"), F.col("found").alias("fb")).hint("merge")
-    both = pairs.where("NOT sure").join(second, "b").join(first, "a")
-    both = both.select("a", "b", (F.size("fa") + F.size("fb")).alias("n"), F.size(F.array_intersect("fa", "fb")).alias("shared"))
-    links = both.where(F.col("shared") * 100 >= (F.col("n") - F.col("shared")) * percent)
-    return store(pairs.where("sure").select("a", "b").unionAll(links.select("a", "b")), "minhash-links")
+def _placed_sets(docs: DataFrame, classes: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
+    """``places`` (rows of ``set`` and where it is wanted) with ``found``, the set's shingles, read from the one document that stands for it.
 
+    A set travels once per place and is never stored. A table of bits of fixed size, filled from the documents wanted, keeps most others where they lie; when
+    it is full, at a size far beyond its own, all texts travel.
+    """
+    spark = docs.sparkSession
+    where = places.groupBy("set").agg(F.collect_list(F.struct(*[c for c in places.columns if c != "set"])).alias("places"))
+    ids = classes.select("set", F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).join(where, "set")
+    ids = store(ids, "minhash-wanted")
+    spots = ids.select(F.shiftrightunsigned("_hash", 64 - TABLE_BITS).cast("int").alias("p")).distinct()
+    table = np.zeros(1 << TABLE_BITS, dtype=bool)
+    table[spots.toPandas()["p"].to_numpy(dtype=np.int64)] = True
+    shared = spark.sparkContext.broadcast(np.packbits(table))
 
-def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``set, found``: the shingles of the classes wanted, each read from the one document that stands for it."""
+    @F.pandas_udf("boolean")
+    def wanted(hashes: pd.Series) -> pd.Series:
+        spot = hashes.to_numpy(dtype=np.int64).view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+        return pd.Series((shared.value[spot >> np.uint64(3)] >> (7 - (spot & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
 
     @F.pandas_udf("array<long>")
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([shingles(t, shingle) for t in texts])
 
-    ids = wanted.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "set").hint("merge")
-    texts = docs.select("doc_id", text_of().alias("text"))
-    met = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-    one = met.groupBy("set").agg(F.first("text").alias("text"))
-    return store(one.select("set", found.asNondeterministic()(F.encode("text", "UTF-8")).alias("found")), "minhash-sets")
+    texts = docs.select("doc_id", text_of().alias("text")).withColumn("_own", F.xxhash64("text"))
+    texts = texts.where(wanted(F.col("_own")))
+    met = texts.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
+    # repeated rows of one id and text
+    one = met.groupBy("set").agg(F.first("text").alias("text"), F.first("places").alias("places"))
+    sets = one.select("set", "places", found.asNondeterministic()(F.encode("text", "UTF-8")).alias("found"))
+    return sets.select("set", "found", F.explode("places").alias("p")).select("set", "found", "p.*")
+
+
+def _compared(batches, percent: int):
+    """Rows in order, a group's own set before those to compare it with, to links."""
+    own, a, b = None, [], []
+    for batch in batches:
+        for group, is_own, node, found in zip(batch["a"].tolist(), batch["own"].tolist(), batch["set"].tolist(), batch["found"]):
+            if is_own:
+                own = (group, found)
+                continue
+            if own is None or own[0] != group:
+                raise ValueError(f"set {group} is not there to be compared with")
+            shared = len(np.intersect1d(own[1], found, assume_unique=True))
+            if shared * 100 >= (len(own[1]) + len(found) - shared) * percent:
+                a.append(group)
+                b.append(node)
+        yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+        a, b = [], []
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``a, b``: the sure pairs, and those of the rest that hold on whole sets. Pairs of one ``a`` are dealt to parts of bounded size."""
+    open_pairs = pairs.where("NOT sure").select("a", "b")
+    sizes = open_pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).cast("int").alias("parts"))
+    own = sizes.select(F.col("a").alias("set"), F.col("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("own"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    other = open_pairs.join(sizes.hint("merge"), "a").select(F.col("b").alias("set"), "a", part.alias("part"), F.lit(False).alias("own"))
+    rows = _placed_sets(docs, classes, own.unionAll(other), shingle)
+    dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("own").desc())
+    links = dealt.select("a", "own", "set", "found").mapInPandas(lambda batches: _compared(batches, percent), "a long, b long")
+    return store(pairs.where("sure").select("a", "b").unionAll(links), "minhash-links")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -214,43 +258,39 @@ def _joined(batches, percent: int):
         yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _tiled(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Blocks, ``lead, set, n, root``, to links between different roots, confirmed on whole sets."""
+def _tiled(blocks: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Blocks, ``lead, set, n, root, lead_root``, to links between different roots, confirmed on whole sets."""
     # sizes of a link differ by at most one step of the scale
     step = math.log(100 / percent) if percent < 100 else 1.0
-    rows = blocks.withColumn("scale", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    sums = rows.groupBy("lead", "scale").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
+    # sets of the lead's root have tiles of their own, as they need not be compared with each other
+    rows = blocks.withColumn("scale", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")).withColumn("main", F.col("root") == F.col("lead_root"))
+    keys = ["lead", "scale", "main"]
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
     parts = F.greatest(F.ceil(F.col("k") / TILE_SETS), F.ceil(F.col("s") / TILE_SHINGLES)).cast("int")
-    sums = sums.select("lead", "scale", parts.alias("parts"))
     place = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
-    placed = rows.join(sums.hint("merge"), ["lead", "scale"]).select("lead", "scale", "set", "root", place.alias("part"))
-    member = F.struct("set", "root", "found")
-    tiles = placed.join(sets.hint("merge"), "set").groupBy("lead", "scale", "part").agg(
-        F.collect_list(member).alias("members"), F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    tiles = store(tiles, "minhash-tiles")
-    left = tiles.select("lead", "scale", "part", F.col("members").alias("left"), F.col("low").alias("l0"), F.col("high").alias("l1"))
-    # each tile meets those of its own step from itself on, and all of the next step
-    right = tiles.select(
-        "lead", F.explode(F.array(F.col("scale"), F.col("scale") - 1)).alias("scale"), F.col("scale").alias("own"), F.col("part").alias("p"),
-        F.col("members").alias("right"), F.col("low").alias("r0"), F.col("high").alias("r1"),
-    )
-    met = left.hint("merge").join(right, ["lead", "scale"]).where("own > scale OR p >= part").where("least(l0, r0) < greatest(l1, r1)")
-    return met.select("left", "right").mapInPandas(lambda batches: _joined(batches, percent), "a long, b long")
+    placed = rows.join(sums.select(*keys, parts.alias("parts")).hint("merge"), keys).select(*keys, "set", "root", place.alias("part"))
+    tiles = _placed_sets(docs, classes, placed, shingle).groupBy(*keys, "part").agg(F.collect_list(F.struct("set", "root", "found")).alias("members"))
+    tiles = tiles.withColumn("tile", F.struct("scale", "main", "part")).select("lead", "tile", "members")
+    left, right = tiles.alias("l"), tiles.alias("r").hint("merge")
+    # each tile meets itself and, once, every other of its own or the next step, unless all sets of both have the lead's root
+    near = (F.col("l.tile") <= F.col("r.tile")) & (F.col("r.tile.scale") - F.col("l.tile.scale") <= 1) & ~(F.col("l.tile.main") & F.col("r.tile.main"))
+    met = left.join(right, (F.col("l.lead") == F.col("r.lead")) & near).select(F.col("l.members").alias("left"), F.col("r.members").alias("right"))
+    return met.mapInPandas(lambda batches: _joined(batches, percent), "a long, b long")
 
 
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, sketch: int, percent: int) -> DataFrame:
     lists = _lists(classes, sketch, percent)
     degrees = store(lists.groupBy("set").agg(F.sum("m").alias("degree")), "minhash-degrees")
-    wanted = classes.join(degrees.select("set").hint("merge"), "set", "left_semi")
-    sets = _sets(docs, wanted, shingle)
     leads = lists.join(degrees.hint("merge"), "set").groupBy("value").agg(F.max(F.struct("degree", "set", "n")).alias("lead"))
     led = store(lists.join(leads.hint("merge"), "value").select("value", "set", "n", "m", F.col("lead.set").alias("lead"), F.col("lead.n").alias("ln")), "minhash-led")
     pairs = led.where(_similar_size(F.col("n"), F.col("ln"), percent) & (F.col("set") != F.col("lead")))
     pairs = store(pairs.select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct(), "minhash-pairs")
-    first = _verified(_filtered(pairs, classes, sketch, percent), sets, percent)
-    roots = components(first)
-    named = led.join(roots.hint("merge"), F.col("set") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set")).drop("node", "ln")
+    first = _verified(_filtered(pairs, classes, sketch, percent), docs, classes, shingle, percent)
+    roots = store(components(first), "minhash-first-roots")
+    own = roots.select(F.col("node").alias("set"), "root").hint("merge")
+    theirs = roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")).hint("merge")
+    named = led.drop("ln").join(own, "set", "left").join(theirs, "lead", "left")
+    named = named.withColumn("root", F.coalesce("root", "set")).withColumn("lead_root", F.coalesce("lead_root", "lead"))
     named = store(named, "minhash-named")
 
     open_lists = named.where(F.col("m") <= SHORT_LIST)
@@ -261,12 +301,12 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, sketch: int, perce
     cross = left.join(right, apart & _similar_size(F.col("l.n"), F.col("r.n"), percent)).select(F.col("l.set").alias("a"), F.col("r.set").alias("b"))
     known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).hint("merge")
     cross = store(cross.distinct().join(known, ["a", "b"], "left_anti"), "minhash-cross")
-    second = _verified(_filtered(cross, classes, sketch, percent), sets, percent)
+    second = _verified(_filtered(cross, classes, sketch, percent), docs, classes, shingle, percent)
 
-    crowded = named.where(F.col("m") > SHORT_LIST).select("lead", "set", "n", "root").distinct()
-    several = crowded.groupBy("lead").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("lead")
+    crowded = named.where(F.col("m") > SHORT_LIST).select("lead", "set", "n", "root", "lead_root").distinct()
+    several = crowded.where("root <> lead_root").select("lead").distinct()
     blocks = store(crowded.join(several.hint("merge"), "lead", "left_semi"), "minhash-blocks")
-    third = store(_tiled(blocks, sets, percent), "minhash-tiled")
+    third = store(_tiled(blocks, docs, classes, shingle, percent), "minhash-tiled")
     return first.unionAll(second).unionAll(third)
 
 

@@ -13,7 +13,8 @@ task never holds more than the sums of one source and the few rows that share al
 Defined results: NULL text has size 0 and takes 0 words; a NULL source is a source of its own,
 after all others; draws follow from doc_id, source and text, so reruns agree; rows that agree in
 all three are told apart by place, and which of such equal rows is taken does not show; a source
-of size 0 has target 0; an empty table gives an empty mix. Other columns are not read.
+of size 0 has target 0; an empty table gives an empty mix; very long texts count whole. ``mix`` reads no other
+column; ``mixed_documents`` hands all of them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -195,15 +196,24 @@ def mix(docs: DataFrame, seed: int = 10, weights=WEIGHTS, share=SHARE, propensit
 
 
 def mixed_documents(docs: DataFrame, seed: int = 10, weights=WEIGHTS, share=SHARE) -> DataFrame:
-    """The documents of the mix with their texts, one row per copy, numbered in ``copy_no``.
+    """The documents of the mix with their texts, one row per copy: all their columns, then ``size, source_size, target, copies, copy_no``.
 
-    Texts are not shuffled: a row's rank is computed where it lies and compared with its source's cut.
-    Rows that agree in doc_id, source and text are taken or left together here.
+    Texts are not shuffled: a row's rank is computed where it lies and compared with its source's cut. Rows that agree in all columns are told apart by
+    their place in the stored documents, so that some of them can be taken and others left. Where the documents have a column of one of the added
+    names, theirs keeps it and the added one is called ``mix_...``.
     """
-    narrow = store(ranked(docs, seed, None).select("source", "_size", "_u", "_g", F.lit(0).cast("long").alias("_v")), "mix-rows")
-    own = docs.select(*[F.col(c) for c in docs.columns if not c.startswith("_")])
-    rows = ranked(own, seed, None).withColumn("_v", F.lit(0).cast("long"))
-    out = apply_plan(rows.select(F.struct(*own.columns).alias("doc"), "source", "_size", "_u", "_g", "_v"), plan(narrow, weights, share))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = ranked(docs.select(own, "doc_id", "source", "text"), seed, None)
+    # the place of a row is written down once, beside the row, so that both readings agree on it
+    placed = store(rows.select("doc", "source", "_size", "_u", "_g", F.xxhash64(F.monotonically_increasing_id()).alias("_v")), "mix-documents")
+    out = apply_plan(placed, plan(placed.select("source", "_size", "_u", "_g", "_v"), weights, share))
     out = out.where("copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    added = [c for c in ("size", "source_size", "target", "copies", "copy_no") if c not in own.columns]
+    taken = {c.lower() for c in docs.columns}
+    added = []
+    for c in ("size", "source_size", "target", "copies", "copy_no"):
+        name = c
+        while name in taken:
+            name = f"mix_{name}"
+        taken.add(name)
+        added.append(F.col(c).alias(name))
     return out.select("doc.*", *added)

@@ -48,7 +48,7 @@ def op9_url_filter(spark, sf):
 
 def op10_source_mix(spark, sf):
     rows = mixing.mix(read(spark, sf, "documents"))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def op11_minhash(spark, sf):

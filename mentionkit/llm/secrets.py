@@ -5,14 +5,17 @@ inferred from the characters it holds; its characters become numbers by their pl
 whether the numbers could be independent and uniform: chi-squared over the alphabet, runs above and below the middle,
 and correlation of neighbours. Their p-values are combined by Fisher's method; a candidate that fails is no secret.
 
-Short tokens pass such tests too easily, so passing is not enough. Ordinary tokens keep to one class of character
-(lower, upper, digit, other) for long stretches; the number of changes gives a p-value against them, by Chernoff's
-bound, that no short token can make small. Over all candidates of all documents these p-values are put through
-Benjamini and Hochberg's step-up rule, separately per length class and with the p-values rounded up to a grid, so that
-the share of ordinary tokens among the finds is held in each class.
+Short tokens pass such tests too easily, so passing is not enough: it has to be unlikely that an ordinary token looks so random. What ordinary tokens
+look like is learned from all candidates of all documents that the battery does not take for random: how often each character follows each other one, mixed
+with a chain of classes of character (lower, upper, digit, other) that changes class seldom. The likelihood of a candidate under that
+chain, over its likelihood under its encoding's uniform alphabet, is a p-value against ordinary tokens (Markov's inequality), and a low p-value of the battery
+raises it in proportion, which keeps it one. These combined p-values are put through Benjamini and Hochberg's step-up rule over all candidates,
+separately per length class and rounded up to a grid, so that the share of ordinary tokens among the finds is held in each class. Tokens of
+digits alone look the same either way and are rarely found; candidates have 20 characters or more.
 
 Positions are code points, ends exclusive. Defined results: NULL and empty texts have no spans; repeated rows are judged
-alike and count as often as they occur; no documents give no rows. Added spans never overlap a pattern's span.
+alike and count as often as they occur; no documents give no rows; very long texts and runs are judged whole; other columns, whatever their names, are
+not read. Added spans never overlap a pattern's span.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionkit.llm.common import text_of
+from mentionkit.sources.shared import store
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -35,8 +39,11 @@ RANDOM = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 
 DIGITS, LOW, UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = (
+    ("digits", "[0-9]+", DIGITS),
     ("hex", "[0-9a-f]+", DIGITS + "abcdef"),
     ("HEX", "[0-9A-F]+", DIGITS + "ABCDEF"),
+    ("lower", "[a-z]+", LOW),
+    ("upper", "[A-Z]+", UP),
     ("base32", "[A-Z2-7]+", UP + "234567"),
     ("base36", "[a-z0-9]+", DIGITS + LOW),
     ("BASE36", "[A-Z0-9]+", DIGITS + UP),
@@ -46,8 +53,12 @@ ENCODINGS = (
 )
 UNIFORM_P = 0.001
 """A candidate is taken for random unless the battery's combined p-value is below this."""
+ORDINARY_P = 0.05
+"""Candidates whose combined p-value is below this teach what ordinary tokens look like; above it, it does not count against a candidate."""
+CHARACTERS = UP + LOW + DIGITS + "+/_-"
 CHANGE_RATE = 0.10
-"""How often the class of character changes inside an ordinary token."""
+"""How often the class of character changes inside an ordinary token, as far as nothing has been learned."""
+_PRIOR_PAIRS, _PRIOR_SHARE = 50.0, 0.15
 FALSE_DISCOVERIES = 0.01
 LENGTH_CLASSES = (20, 28, 36, 48, 64, 96)
 """Least length of each class in which false discoveries are held apart."""
@@ -121,7 +132,7 @@ def _steps(values: Column, *steps) -> Column:
 
 
 def battery(spans: Column) -> Column:
-    """Spans (structs with ``match``) to the same with ``n``, ``p_uniform`` and ``p_ordinary``; see the module text.
+    """Spans (structs with ``match``) to the same with ``n``, ``k`` and ``p_uniform``; see the module text.
 
     One field per step, so that nothing is computed twice.
     """
@@ -133,15 +144,14 @@ def battery(spans: Column) -> Column:
 
     def inferred(s: Column) -> Column:
         place = F.coalesce(*[F.when(s["match"].rlike(f"^{pattern}$"), F.lit(i)) for i, (_, pattern, _) in enumerate(ENCODINGS)])
-        kinds = F.translate(s["match"], DIGITS + LOW + UP, "0" * 10 + "a" * 26 + "A" * 26)
-        return with_fields(s, carried, alphabet=F.get(alphabets, place), classes=F.split(kinds, ""))
+        return with_fields(s, carried, alphabet=F.get(alphabets, place))
 
     def numbered(s: Column) -> Column:
         x = F.transform(F.split(s["match"], ""), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double"))
-        return with_fields(s, (*carried, "classes"), x=x, k=F.length(s["alphabet"]).cast("double"))
+        return with_fields(s, carried, x=x, k=F.length(s["alphabet"]).cast("double"))
 
     def counted(s: Column) -> Column:
-        x, k, classes = s["x"], s["k"], s["classes"]
+        x, k = s["x"], s["k"]
         pairs = F.sequence(F.lit(1), F.size(x) - 1)
         return with_fields(
             s, (*carried, "x", "k"),
@@ -152,7 +162,6 @@ def battery(spans: Column) -> Column:
             high=F.size(F.filter(x, lambda v: v * 2 >= k)).cast("double"),
             runs=1 + F.size(F.filter(pairs, lambda i: (F.get(x, i) * 2 >= k) != (F.get(x, i - 1) * 2 >= k))),
             total=F.aggregate(x, F.lit(0.0), lambda a, v: a + v),
-            changes=F.size(F.filter(pairs, lambda i: F.get(classes, i) != F.get(classes, i - 1))),
         )
 
     def moments(s: Column) -> Column:
@@ -160,7 +169,7 @@ def battery(spans: Column) -> Column:
         pairs = F.sequence(F.lit(1), F.size(x) - 1)
         mean = s["total"] / n
         return with_fields(
-            s, (*carried, "n", "k", "squares", "runs", "high", "changes"),
+            s, (*carried, "n", "k", "squares", "runs", "high"),
             mean_runs=2 * s["high"] * (n - s["high"]) / n + 1,
             spread=F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)),
             lagged=F.aggregate(pairs, F.lit(0.0), lambda a, i: a + (F.get(x, i) - mean) * (F.get(x, i - 1) - mean)),
@@ -170,27 +179,70 @@ def battery(spans: Column) -> Column:
         n, k = s["n"], s["k"]
         var_runs = (s["mean_runs"] - 1) * (s["mean_runs"] - 2) / (n - 1)
         return with_fields(
-            s, (*carried, "n"),
+            s, (*carried, "n", "k"),
             chi=(s["squares"] * k / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n),
             by_runs=F.abs(F.when(var_runs > 0, (s["runs"] - s["mean_runs"]) / F.sqrt(var_runs)).otherwise(F.sqrt(n))),
             by_serial=F.abs(F.when(s["spread"] > 0, (s["lagged"] / s["spread"] + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))),
-            rate=F.least(F.lit(1 - 1e-9), s["changes"] / (n - 1)),
         )
 
     def combined(s: Column) -> Column:
         # half of Fisher's statistic; it has 6 degrees of freedom
         logs = F.log(_tail(s["chi"])) + F.log(2 * _tail(s["by_runs"])) + F.log(2 * _tail(s["by_serial"]))
-        bound = s["rate"] * F.log(s["rate"] / CHANGE_RATE) + (1 - s["rate"]) * F.log((1 - s["rate"]) / (1 - CHANGE_RATE))
-        ordinary = F.when(s["rate"] > CHANGE_RATE, F.exp(-(s["n"] - 1) * bound)).otherwise(1.0)
-        return with_fields(s, (*carried, "n"), half=-logs, p_ordinary=ordinary)
+        return with_fields(s, (*carried, "n", "k"), half=-logs)
 
     def closed(s: Column) -> Column:
         half = s["half"]
-        return with_fields(s, (*carried, "n", "p_ordinary"), p_uniform=F.exp(-half) * (1 + half + half * half / 2))
+        return with_fields(s, (*carried, "n", "k"), p_uniform=F.exp(-half) * (1 + half + half * half / 2))
 
     return _steps(spans, inferred, numbered, counted, moments, normal, combined, closed)
 
 
+def _prior() -> list[list[float]]:
+    """How likely each character follows each other one if only the classes of both count."""
+    classes = {c: alphabet for alphabet in (UP, LOW, DIGITS, "+/_-") for c in alphabet}
+    rows = []
+    for a in CHARACTERS:
+        own = classes[a]
+        rows.append([(1 - CHANGE_RATE) / len(own) if b in own else CHANGE_RATE / (len(CHARACTERS) - len(own)) for b in CHARACTERS])
+    return rows
+
+
+def chain(counts: dict[tuple[str, str], int]) -> list[float]:
+    """Logarithms of the chances of each pair, pair by pair, then of each first character, from how often pairs occur in ordinary tokens."""
+    out, firsts = [], [1.0] * len(CHARACTERS)
+    for i, (a, prior) in enumerate(zip(CHARACTERS, _prior())):
+        seen = [counts.get((a, b), 0) for b in CHARACTERS]
+        total = sum(seen) + _PRIOR_PAIRS
+        firsts[i] += sum(seen)
+        learned = [(n + _PRIOR_PAIRS * p) / total for n, p in zip(seen, prior)]
+        out += [math.log((1 - _PRIOR_SHARE) * q + _PRIOR_SHARE * p) for q, p in zip(learned, prior)]
+    return out + [math.log(f / sum(firsts)) for f in firsts]
+
+
+def p_values(spans: Column, table: list[float]) -> Column:
+    """Spans of ``battery`` with ``p``: how likely an ordinary token is as random as this one, by the chain and the battery together."""
+    size = len(CHARACTERS)
+    # folded into one constant, however many numbers it has
+    logs = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
+
+    def placed(s: Column) -> Column:
+        x = F.transform(F.split(s["match"], ""), lambda c: F.instr(F.lit(CHARACTERS), c) - 1)
+        return F.struct(*[s[f].alias(f) for f in ("start", "kind", "end", "match", "n", "k", "p_uniform")], x.alias("x"))
+
+    def tested(s: Column) -> Column:
+        x = s["x"]
+        likely = F.aggregate(
+            F.sequence(F.lit(1), F.size(x) - 1), F.get(logs, F.get(x, F.lit(0)) + size * size),
+            lambda a, i: a + F.get(logs, F.get(x, i - 1) * size + F.get(x, i)),
+        )
+        over = F.least(F.lit(0.0), likely + s["n"] * F.log(s["k"]))
+        weight = F.greatest(F.lit(1e-12), F.least(F.lit(1.0), s["p_uniform"] / ORDINARY_P))
+        p = F.least(F.lit(1.0), F.exp(over) / weight)
+        return F.struct(*[s[f].alias(f) for f in ("start", "kind", "end", "match", "n", "p_uniform")], p.alias("p"))
+
+    return _steps(spans, placed, tested)
+
+
 def _class(n: Column) -> Column:
     return sum((n >= least).cast("int") for least in LENGTH_CLASSES)
 
@@ -201,20 +253,28 @@ def _bin(p: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Every candidate of every document with its tests."""
+    """Every candidate of every document with its battery, an array per document."""
     matches = F.regexp_extract_all(text_of(), F.lit(RANDOM), F.lit(0))
     spans = F.transform(matches, lambda m: F.struct(F.lit(0).alias("start"), F.lit(3).alias("kind"), F.length(m).alias("end"), m.alias("match")))
-    return docs.select(spans.alias("spans")).where("size(spans) > 0").select(F.inline(battery(F.col("spans")))).drop("start", "kind", "end")
+    return docs.select(spans.alias("spans")).where("size(spans) > 0").select(battery(F.col("spans")).alias("spans"))
+
+
+def learned(found: DataFrame) -> list[float]:
+    """The chain of ordinary tokens, from all candidates that the battery does not take for random. Only counts of pairs leave the executors, at most 66 x 66."""
+    token = found.select(F.explode("spans").alias("s")).where(F.col("s.p_uniform") < ORDINARY_P).select(F.col("s.match").alias("m"))
+    pairs = token.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("m") - 1), lambda i: F.substring("m", i, F.lit(2)))).alias("pair"))
+    return chain({(r["pair"][0], r["pair"][1]): r["count"] for r in pairs.groupBy("pair").count().collect()})
 
 
-def thresholds(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[int, int]:
+def thresholds(found: DataFrame, table: list[float], level: float = FALSE_DISCOVERIES) -> dict[int, int]:
     """Per length class the least grid place that is still a discovery.
 
     The step-up rule needs, for each p-value, how many are as small: counts per class and place, of which there are
     fewer than a thousand per class. Only those counts leave the executors.
     """
-    counts = candidates(docs).groupBy(_class(F.col("n")).alias("c"), _bin(F.col("p_ordinary")).alias("b")).count()
-    found: dict[int, int] = {}
+    rows = found.select(F.inline(p_values(F.col("spans"), table)))
+    counts = rows.groupBy(_class(F.col("n")).alias("c"), _bin(F.col("p")).alias("b")).count()
+    out: dict[int, int] = {}
     by_class: dict[int, list[tuple[int, int]]] = {}
     for c, b, n in counts.collect():
         by_class.setdefault(c, []).append((b, n))
@@ -223,13 +283,15 @@ def thresholds(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[int, i
         for b, n in sorted(rows, reverse=True):
             rank += n
             if 10 ** (-b / _GRID) <= level * rank / total:
-                found[c] = b
-    return found
+                out[c] = b
+    return out
 
 
 def find_secrets(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
     """Add ``base_spans`` and ``spans`` to the documents, both in order of start and kind."""
-    limits = thresholds(docs, level)
+    found_tokens = store(candidates(docs), "secret-candidates")
+    table = learned(found_tokens)
+    limits = thresholds(found_tokens, table, level)
     df = docs.withColumn("_t", text_of())
     df = _with_spans(df, "_assign", "_t", ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_LEAST, (":", "="))
     df = _with_spans(df, "_access", "_t", ACCESS, 1, holds=("AKIA",))
@@ -242,11 +304,11 @@ def find_secrets(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame
     def found(s: Column) -> Column:
         verdict = F.lit(False)
         for c, b in limits.items():
-            verdict = verdict | ((_class(s["n"]) == c) & (_bin(s["p_ordinary"]) >= b))
+            verdict = verdict | ((_class(s["n"]) == c) & (_bin(s["p"]) >= b))
         return verdict & (s["p_uniform"] >= UNIFORM_P)
 
     if limits:
-        tested = F.filter(battery(free), found)
+        tested = F.filter(p_values(battery(free), table), found)
         plain = F.transform(tested, lambda s: F.struct(*[s[n].alias(n) for n in ("start", "kind", "end", "match")]))
         df = df.withColumn("_random", F.when(F.size("_random") > 0, plain).otherwise(F.col("_random")))
     else:
@@ -266,9 +328,10 @@ def secret_report(docs: DataFrame) -> DataFrame:
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return df.select(
         "doc_id",
-        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)],
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS[:3])],
         F.sha2(spelled(F.col("base_spans")), 256).alias("base_sha256"),
         spelled(F.col("spans")).alias("spans"),
+        count(3).alias("n_random"),
     )
 
 

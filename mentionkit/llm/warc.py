@@ -7,7 +7,8 @@ The reader loads that dictionary, decodes frame by frame and validates version,
 Archives are rows of name and content, which Spark writes and commits like any table; ``save`` puts such a table out as files and ``load`` reads
 files. A task holds one archive. Defined results: NULL html is an empty payload; a NULL url leaves the target out; line ends in a url are percent-encoded;
 rows that share both page id and payload are all responses if that id is the largest; a payload whose pages have no id refers to none and is a
-response; no pages give no archives.
+response; no pages give no archives; very long payloads stay whole, in an archive of their own; other columns, whatever their names, are not read. Ids of all
+64 bits come back unchanged, also beside NULL.
 """
 
 from __future__ import annotations
@@ -176,7 +177,9 @@ def records(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.select("*", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha1("payload").alias("sha1"))
     groups = rows.where(F.col("n_bytes") >= LEAST).groupBy("sha1").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n"))
-    joined = rows.join(groups.where("n > 1").select("sha1", "kept"), "sha1", "left")
+    # small payloads have no group: they go by page, so that equal ones, such as all empty pages, do not meet in one task
+    key = F.when(F.col("n_bytes") >= LEAST, F.col("sha1")).otherwise(F.concat_ws(" ", F.lit("page"), "page_id", "url"))
+    joined = rows.withColumn("key", key).join(groups.where("n > 1").select(F.col("sha1").alias("key"), "kept"), "key", "left")
     again = F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(F.col("page_id"))
     return joined.select(
         "page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "n_bytes", "sha1", F.when(again, F.col("kept")).alias("refers_to")
@@ -190,8 +193,7 @@ def _write(batches):
     part = TaskContext.get().partitionId()
     for batch in batches:
         for row in batch.itertuples(index=False):
-            page, refers = (None if pd.isna(x) else int(x) for x in (row.page_id, row.refers_to))
-            waiting.append(record(page, row.url, row.payload, int(row.n_bytes), row.sha1, refers))
+            waiting.append(record(row.page_id, row.url, row.payload, int(row.n_bytes), row.sha1, row.refers_to))
             size += len(waiting[-1])
             if size >= ARCHIVE_BYTES:
                 yield pd.DataFrame({"name": [f"pages-{part:06d}-{number:06d}.warc.zst"], "content": [archive(waiting)]})
@@ -203,7 +205,9 @@ def _write(batches):
 def write_archives(pages: DataFrame) -> DataFrame:
     """Pages to archives, ``name, content``."""
     small_batches(pages.sparkSession)
-    return records(pages).mapInPandas(_write, "name string, content binary")
+    # ids travel as text: a column of numbers with NULL would pass through floats
+    rows = records(pages).withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    return rows.mapInPandas(_write, "name string, content binary")
 
 
 _PAGES = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -213,9 +217,11 @@ _FLUSH = 8 << 20
 def _reader(payloads: bool, strict: bool):
     names = [c.split()[0] for c in _PAGES.split(", ")] + ["archive", "problem"]
 
+    numbers = ("page_id", "payload_bytes", "refers_to")
+
     def frame(rows):
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
+        columns = {n: [r[k] for r in rows] for k, n in enumerate(names)}
+        return pd.DataFrame({n: pd.array(v, dtype="Int64" if n in numbers else object) for n, v in columns.items()})
 
     def read(batches):
         for batch in batches:

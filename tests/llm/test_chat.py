@@ -59,3 +59,17 @@ def test_long_conversation_is_read_in_batches(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(5000)]
     got = chat.chat_report(spark.createDataFrame(rows, COLUMNS).repartition(7)).where("conv_id = 1").first()
     assert (got["n_turns"], got["turns_sha256"], got["loss_chars"], got["loss_sha256"]) == plain(rows)[1]
+
+
+def test_ids_stay_whole_beside_null(spark):
+    rows = [(2**60 + 1, 0, "user", "a"), (None, 0, "user", "b"), (2**60 + 3, 0, "assistant", "c")]
+    got = {r["conv_id"]: r["n_examples"] for r in chat.chat_report(spark.createDataFrame(rows, COLUMNS).coalesce(1)).collect()}
+    assert got == {2**60 + 1: 0, None: 0, 2**60 + 3: 1, -7: 1}
+
+
+def test_report_reads_the_loss_from_example_rows(spark):
+    pieces = chat.formatted(spark.createDataFrame(ROWS, COLUMNS))
+    found = chat.examples(pieces)
+    assert found.count() == sum(r[2] == "assistant" for r in ROWS)
+    none = {r["conv_id"]: (r["n_examples"], r["loss_chars"]) for r in chat.summaries(pieces, found.where("false")).collect()}
+    assert set(none.values()) == {(0, 0)}

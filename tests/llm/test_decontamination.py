@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+import numpy as np
 
 from mentionkit.llm import decontamination as d
 
@@ -14,7 +17,7 @@ def plain_tiles(item, doc):
                 k = 0
                 while i + k < len(item) and j + k < len(doc) and not a[i + k] and not b[j + k] and item[i + k] == doc[j + k]:
                     k += 1
-                if k >= 5 and (best is None or k > best[2]):
+                if k >= min(5, len(item)) and k and (best is None or k > best[2]):
                     best = (i, j, k)
         if best is None:
             return out
@@ -24,7 +27,7 @@ def plain_tiles(item, doc):
 
 
 def words(text):
-    return re.findall(r"\w+", (text or "").lower())
+    return re.findall(r"\w+", (text or "").lower())  # no unspaced scripts in these
 
 
 def plain(docs, bench, least):
@@ -98,3 +101,34 @@ def test_full_bit_table_changes_nothing(spark, monkeypatch):
     want = got(d.contaminated(docs, bench))
     monkeypatch.setattr(d, "TABLE_BITS", 1)
     assert got(d.contaminated(docs, bench)) == want == {(1, 1): 1.0}
+
+
+def test_items_of_few_words_and_scripts_without_spaces(spark):
+    """An item of fewer than five words matches where all of it stands; characters of unspaced scripts are words."""
+    bench = [(1, "Tokyo tower"), (2, "one"), (3, "今日は天気がいいですね"), (4, "สวัสดีครับ"), (5, "...")]
+    docs = [(1, "the Tokyo, tower is tall"), (2, "tower Tokyo"), (3, "彼は今日は天気がいいですねと言った"), (4, "One!"), (5, "สวัสดีครับ"), (6, None)]
+    assert set(got(d.contaminated(*frames(spark, docs, bench)))) == {(1, 1), (4, 2), (3, 3), (5, 4)}
+
+
+def test_repetitive_texts_are_tiled_in_proportion():
+    five = [f"r{i}" for i in range(5)]
+    cache = {}
+    item, doc = d.seeds(five * 4000, cache), d.seeds(five * 4000, cache)
+    began = time.time()
+    assert d.tiles(item, np.arange(len(doc)), doc) == [(0, 0, 20_000)]
+    assert time.time() - began < 5
+
+
+def test_ids_of_any_type_come_back_unchanged(spark):
+    text = " ".join(f"w{i}" for i in range(9))
+    docs = spark.createDataFrame([(2**60 + 1, text), (None, text), (2**60 + 3, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([("item-é", text), (None, text)], "item_id string, text string")
+    out = d.contaminated(docs, bench)
+    assert out.schema["doc_id"].dataType.simpleString() == "bigint" and out.schema["item_id"].dataType.simpleString() == "string"
+    assert sorted(map(str, got(out))) == sorted(map(str, {(a, b) for a in (2**60 + 1, None) for b in ("item-é", None)}))
+
+
+def test_very_long_text_with_one_passage(spark):
+    item = " ".join(f"q{i}" for i in range(40))
+    long = "lorem ipsum dolor sit amet " * 60_000
+    assert got(d.contaminated(*frames(spark, [(1, f"{long}{item} {long}"), (2, long)], [(1, item)]))) == {(1, 1): 1.0}

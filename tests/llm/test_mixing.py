@@ -105,3 +105,19 @@ def test_documents_of_the_mix(spark):
         copies.setdefault(r["doc_id"], []).append(r["copy_no"])
     assert {k: len(v) for k, v in copies.items()} == {k: v for k, v in plan.items() if v}
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in copies.values())
+
+
+def test_columns_of_any_name_are_handed_on(spark):
+    rows = [(i, f"w{i} " * (1 + i % 7), "ab"[i % 2], f"l{i}", i, i + 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _lang string, size int, mix_size int")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == [*docs.columns, "mix_mix_size", "source_size", "target", "copies", "copy_no"]
+    taken = {tuple(r)[:6] for r in out.collect()}
+    assert taken and taken <= set(rows)
+
+
+def test_repeated_rows_are_taken_one_by_one(spark):
+    """A source of one text, repeated, still meets its target: some rows are taken once, others twice."""
+    docs = spark.createDataFrame([(1, "a b c", "s")] * 1000 + [(2, "x " * 3000, "t")], "doc_id long, text string, source string")
+    words = {r["source"]: r for r in mixing.mixed_documents(docs).groupBy("source").agg(mixing.F.sum("size").alias("n"), mixing.F.first("target").alias("t")).collect()}
+    assert abs(words["s"]["n"] - words["s"]["t"]) <= 3

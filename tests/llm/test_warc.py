@@ -85,3 +85,13 @@ def test_files(spark, tmp_path):
 
 def test_no_pages(spark):
     assert warc.archive_report(spark.createDataFrame([], COLUMNS)).count() == 0
+
+
+def test_ids_stay_whole_beside_null(spark):
+    big, small = "x" * 2000, "y"
+    rows = [(2**60 + 1, "u", big), (2**60 + 3, "u", big), (None, "u", small), (2**60 + 5, None, None)]
+    out = warc.archive_report(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in out}
+    assert got == {
+        2**60 + 1: ("revisit", 2**60 + 3), 2**60 + 3: ("response", None), None: ("response", None), 2**60 + 5: ("response", None),
+    }
