@@ -262,7 +262,9 @@ def candidates(docs: DataFrame) -> DataFrame:
 def learned(found: DataFrame) -> list[float]:
     """The chain of ordinary tokens, from all candidates that the battery does not take for random. Only counts of pairs leave the executors, at most 66 x 66."""
     token = found.select(F.explode("spans").alias("s")).where(F.col("s.p_uniform") < ORDINARY_P).select(F.col("s.match").alias("m"))
-    pairs = token.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("m") - 1), lambda i: F.substring("m", i, F.lit(2)))).alias("pair"))
+    token = token.select(F.split("m", "").alias("x"))
+    neighbours = F.zip_with(F.slice("x", 1, F.size("x") - 1), F.slice("x", 2, F.size("x") - 1), lambda a, b: F.concat(a, b))
+    pairs = token.select(F.explode(neighbours).alias("pair"))
     return chain({(r["pair"][0], r["pair"][1]): r["count"] for r in pairs.groupBy("pair").count().collect()})
 
 

@@ -96,7 +96,7 @@ def test_documents_of_the_mix(spark):
     rows = [(i, random.choice(["a", "b", "c"]), "w " * random.randrange(1, 40), "kept") for i in range(900)]
     docs = spark.createDataFrame(rows, COLUMNS + ", copies string").repartition(4)
     out = mixing.mixed_documents(docs)
-    assert out.columns == [*docs.columns, "size", "source_size", "target", "copy_no"]
+    assert out.columns == [*docs.columns, "size", "source_size", "target", "mix_copies", "copy_no"]
     got = out.collect()
     plan = {r["doc_id"]: r["copies"] for r in mixing.mix(docs.drop("copies")).collect()}
     copies = {}
