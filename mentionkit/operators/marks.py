@@ -2,6 +2,10 @@
 
 Marks are kept per source key (for example per search term). A single mark over
 all keys would skip the rows of a key whose last delivery failed.
+
+Rows that a mark does not settle are compared with what has landed, by key. A key filter says beforehand on which days of
+ingestion a key may have landed: per day a table of bits, of which each key sets two. A key whose bits are not set on a day has
+not landed on it, so only days with both bits are opened, and the comparison there is exact.
 """
 
 from __future__ import annotations
@@ -51,30 +55,57 @@ def newer_than_marks(
     return joined.filter(fresh).drop("mark")
 
 
-def unlanded(
-    df: DataFrame,
-    landed: DataFrame,
-    marks: DataFrame,
-    mark_keys: Sequence[str],
-    time: Column,
-    keys: Sequence[str],
-) -> DataFrame:
-    """Rows of ``df`` that ``landed`` does not hold, with the marks as a short cut.
-
-    What lies after the mark of its own key cannot have landed. The rest - at the mark, late or undated - is compared by
-    ``keys``, and a row without its first key by all columns but those that a run adds. No row is left out for its time.
-    """
-    marked = lookup(df, marks, mark_keys).withColumn("_after", F.col("mark").isNull() | F.coalesce(time > F.col("mark"), F.lit(False)))
-    marked = marked.drop("mark")
-    before = marked.filter(~F.col("_after"))
+FILTER_WORDS = 1 << 20
+"""Words of 64 bits in a day's filter; a day that fills most of them is opened for every key, which costs time only."""
+_HASHES = 2
+
+
+def row_key(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """The hash of what tells a row apart: its keys, or all that a source gives, ``columns``, if it has no first key."""
+    content = [c for c in columns if c != "ingested_at"]
+    return F.when(F.col(keys[0]).isNotNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(*content))
+
+
+def _bits(key: Column) -> Column:
+    """Where a key's bits lie: structs of number, word and mask."""
+
+    def place(k: int) -> Column:
+        h = F.xxhash64(key, F.lit(k))
+        mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
+        return F.struct(F.lit(k).alias("k"), F.pmod(F.shiftright(h, 6), F.lit(FILTER_WORDS)).cast("int").alias("word"), mask.alias("bits"))
+
+    return F.array(*[place(k) for k in range(_HASHES)])
+
+
+def key_filter(df: DataFrame, key: Column) -> DataFrame:
+    """``day, word, bits`` of rows with ``ingested_at``; filters of the same day are used together."""
+    rows = df.select(F.to_date("ingested_at").alias("day"), F.explode(_bits(key)).alias("b"))
+    return rows.groupBy("day", F.col("b.word").alias("word")).agg(F.bit_or("b.bits").alias("bits"))
+
+
+def days_of_keys(keyed: DataFrame, filters: DataFrame) -> DataFrame:
+    """``_key, day``: the days on which a key of ``keyed``, column ``_key``, may have landed. Filters are read, not shuffled, if the keys are few."""
+    wanted = keyed.select("_key").distinct().select("_key", F.explode(_bits(F.col("_key"))).alias("b")).select("_key", "b.*")
+    met = filters.withColumnRenamed("bits", "_set").join(wanted, "word").filter(F.col("_set").bitwiseAND(F.col("bits")) != 0)
+    hits = met.groupBy("_key", "day").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("k"))).alias("all"))
+    return hits.filter(F.col("all") == (1 << _HASHES) - 1).select("_key", "day")
+
+
+def unsettled(df: DataFrame, marks: DataFrame, mark_keys: Sequence[str], time: Column) -> DataFrame:
+    """``df`` with ``_after``: true for rows after the mark of their own key, which cannot have landed; the rest is at the mark, late or undated."""
+    marked = lookup(df, marks, mark_keys)
+    return marked.withColumn("_after", F.col("mark").isNull() | F.coalesce(time > F.col("mark"), F.lit(False))).drop("mark")
+
+
+def unlanded(before: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that ``landed`` does not hold: compared by ``keys``, and a row without its first key by all columns but those that a run adds."""
     identified = F.col(keys[0]).isNotNull()
-    content = [c for c in df.columns if c != "ingested_at"]
+    content = [c for c in before.columns if c != "ingested_at"]
     parts = [
-        marked.filter("_after"),
         not_yet_landed(before.filter(identified), landed, keys),
         not_yet_landed(before.filter(~identified), landed.filter(~identified), content),
     ]
-    return reduce(DataFrame.unionByName, parts).drop("_after")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def not_yet_landed(df: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionkit.operators.aggregates import SCORE, scored_only
-from mentionkit.operators.keys import MENTION_KEY
+from mentionkit.operators.keys import MENTION_KEY, SCORED_KEY, keep_first
 from mentionkit.sources.shared import store
 
 # Posts per tool and end, labels, rows per scoring batch.
@@ -27,6 +28,11 @@ def top_bottom_posts(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
     limit: every task sends at most k rows per tool to the shuffle, also for a tool
     that holds most of the rows. Equal scores are ordered by post and source.
     """
+    return top_bottom_ends(scored, k).drop("post_id")
+
+
+def top_bottom_ends(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
+    """``top_bottom_posts`` with the id of the post: at most 2 k rows per tool, of which any number of sets can be merged."""
     posts = scored_only(scored).select(*_TOP_COLUMNS)
 
     def end(order: Column, category: str) -> DataFrame:
@@ -38,7 +44,13 @@ def top_bottom_posts(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
             .withColumn("category", F.lit(category))
         )
 
-    return end(F.desc(SCORE), MOST_POSITIVE).unionByName(end(F.asc(SCORE), MOST_NEGATIVE)).drop("post_id")
+    return end(F.desc(SCORE), MOST_POSITIVE).unionByName(end(F.asc(SCORE), MOST_NEGATIVE))
+
+
+def merge_ends(*ends: DataFrame, k: int = TOP_POSTS) -> DataFrame:
+    """The k best and worst posts of all that any of the frames holds; a post that several hold, or that is at both ends, counts once."""
+    rows = reduce(DataFrame.unionByName, [e.select(*_TOP_COLUMNS) for e in ends])
+    return top_bottom_ends(keep_first(rows, SCORED_KEY), k)
 
 
 def in_batches(pending: DataFrame, rows: int = BATCH_ROWS, keys: Sequence[str] = MENTION_KEY) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mentionkit import schemas
@@ -33,27 +33,92 @@ def lexicon_scorer(positive: Sequence[str], negative: Sequence[str]) -> Scorer:
     return lambda df: df.withColumn(SCORE, lexicon_score(F.col("text"), positive, negative))
 
 
-def model_scorer(
-    reply_to: Callable[[list[str]], list[str]],
-    max_chars: int | None = None,
-) -> Scorer:
-    """Score by asking a model: ``reply_to`` answers a list of prompts, once per Arrow batch.
+REPLIES = "model_replies"
+CALL_PROMPTS = 64
+"""Prompts handed to the model at once; a time limit is looked at between two calls."""
 
-    It is pickled to the executors and should open its client on first use.
-    """
 
-    @F.pandas_udf("string")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for prompts in batches:
-            yield pd.Series(reply_to(prompts.tolist()), dtype=object)
+class ModelScorer:
+    """Score by asking a model: ``reply_to`` answers a list of prompts.
 
-    # a model is no function of its prompt, and each call costs: a filter on the score must not make a second one
-    ask = ask.asNondeterministic()
+    Each distinct prompt is asked once. With ``tables``, replies are kept there under a digest of prompt and ``model``, so later batches and runs, and
+    copies of a post, do not pay for them again. If a call fails, its prompts are asked one by one; one that fails alone has no reply, is not kept and is
+    asked again by a later run if rows without a score are not stored. Prompts that a time limit does not reach give no rows.
 
-    def score(df: DataFrame) -> DataFrame:
-        return df.withColumn(SCORE, parse_score(ask(build_prompt(F.col("text"), F.col("tool"), max_chars))))
+    ``reply_to`` is pickled to the executors and should open its client on first use.
+    """
 
-    return score
+    def __init__(
+        self, reply_to: Callable[[list[str]], list[str]], max_chars: int | None = None, tables: Tables | None = None, model: str = "",
+        deadline: float | None = None,
+    ) -> None:
+        self.reply_to, self.max_chars, self.tables, self.model, self.deadline = reply_to, max_chars, tables, model, deadline
+
+    def until(self, deadline: float) -> ModelScorer:
+        """The same scorer with a time, in seconds since 1970, after which no call is begun."""
+        return ModelScorer(self.reply_to, self.max_chars, self.tables, self.model, deadline)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        prompt = build_prompt(F.col("text"), F.col("tool"), self.max_chars)
+        digest = F.sha2(F.concat(F.lit(f"{self.model}\n"), prompt), 256)
+        asked = df.withColumn("_prompt", prompt).withColumn("_digest", digest)
+        open_prompts = asked.filter(F.col("_prompt").isNotNull()).select("_digest", "_prompt")
+        known = None
+        if self.tables is not None:
+            self.tables.ensure(REPLIES, schemas.REPLY_SCHEMA)
+            known = self.tables.read(REPLIES).withColumnRenamed("digest", "_digest")
+            open_prompts = open_prompts.join(known.select("_digest"), "_digest", "left_anti")
+        answers = self._answers().asNondeterministic()
+        new = open_prompts.dropDuplicates(["_digest"]).select("_digest", answers(F.col("_prompt")).alias("a")).select("_digest", "a.*")
+        # a model is no function of its prompt, and each call costs: what comes after must not make a second one
+        new = store(new, "replies").filter("reached").select("_digest", "reply")
+        if self.tables is not None:
+            kept = new.filter(F.col("reply").isNotNull())
+            self.tables.append(kept.select(F.col("_digest").alias("digest"), "reply"), REPLIES)
+            # replies of two runs at once may both be kept
+            known = among(known, asked.filter(F.col("_digest").isNotNull()), ["_digest"]).dropDuplicates(["_digest"])
+            new = new.unionByName(known)
+        met = asked.withColumnRenamed("_digest", "_own").join(new, F.col("_own") == F.col("_digest"), "left")
+        # no prompt, no reply; a prompt that was not reached gives no row
+        reached = F.col("_own").isNull() | F.col("_digest").isNotNull()
+        return met.filter(reached).select(*df.columns, parse_score(F.col("reply")).alias(SCORE))
+
+    def _answers(self):
+        reply_to, deadline = self.reply_to, self.deadline
+
+        def one_by_one(prompts: list[str]) -> list[str | None]:
+            out: list[str | None] = []
+            for p in prompts:
+                try:
+                    out.append(reply_to([p])[0])
+                except Exception:  # the model's own errors, of whatever kind, cost this prompt only
+                    out.append(None)
+            return out
+
+        def called(prompts: list[str]) -> list[str | None]:
+            try:
+                replies = list(reply_to(prompts))
+            except Exception:
+                return one_by_one(prompts)
+            return replies if len(replies) == len(prompts) else one_by_one(prompts)
+
+        @F.pandas_udf("reply string, reached boolean")
+        def answers(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                prompts, out = batch.tolist(), []
+                for at in range(0, len(prompts), CALL_PROMPTS):
+                    part = prompts[at : at + CALL_PROMPTS]
+                    late = deadline is not None and time.time() >= deadline
+                    out += [(None, False)] * len(part) if late else [(r, True) for r in called(part)]
+                yield pd.DataFrame(out, columns=["reply", "reached"])
+
+        return answers
+
+
+def model_scorer(
+    reply_to: Callable[[list[str]], list[str]], max_chars: int | None = None, tables: Tables | None = None, model: str = ""
+) -> ModelScorer:
+    return ModelScorer(reply_to, max_chars, tables, model)
 
 
 def _scorable(silver: DataFrame) -> DataFrame:
@@ -110,6 +175,7 @@ def score_pending(
     max_batches: int | None = None,
     max_minutes: float | None = None,
     store_unparsed: bool = True,
+    before: Callable[[DataFrame], object] | None = None,
 ) -> ScoringRun:
     """Score what is pending and append it batch by batch.
 
@@ -117,27 +183,37 @@ def score_pending(
     batch opens its own files only. A run that stops, or dies, leaves the rest pending for the next one. All batches
     are run unless ``max_batches`` or ``max_minutes`` is given.
 
+    A time limit is looked at between batches, and by scorers with a method ``until`` inside their tasks as well: rows that they
+    do not reach come back as no rows and stay pending. ``before`` is called with all rows to be tried before any is scored.
+
     ``store_unparsed=False`` leaves rows without a usable score out of the table, so
     that they are tried again.
     """
-    started = time.monotonic()
+    deadline = None if max_minutes is None else time.time() + max_minutes * 60
     tables.ensure(scored_table, schemas.SCORED)
     wanted = store(open_keys(silver, tables.read(scored_table)), "open-keys")
     # one pending row per open key
     total = wanted.count()
     batches = math.ceil(total / batch_rows)
-    done = batch = 0
+    done = reached = batch = 0
     tried = batches if max_batches is None else min(batches, max_batches)
     todo = _by_batch(pending_by_key(silver, wanted), batches, tried, total) if tried else None
+    if before is not None and todo is not None:
+        before(todo.drop("_batch"))
+    if deadline is not None and hasattr(scorer, "until"):
+        scorer = scorer.until(deadline)
     while batch < tried:
-        if max_minutes is not None and time.monotonic() - started >= max_minutes * 60:
+        if deadline is not None and time.time() >= deadline:
             break
-        scored = as_scored(scorer(todo.filter(F.col("_batch") == batch)))
+        given_back = Observation()
+        scored = as_scored(scorer(todo.filter(F.col("_batch") == batch))).observe(given_back, F.count(F.lit(1)).alias("rows"))
         if not store_unparsed:
             scored = scored.filter(F.col(SCORE).isNotNull())
         done += tables.append(scored, scored_table)
+        reached += given_back.get["rows"]
         batch += 1
-    return ScoringRun(scored=done, remaining=total - done, batches=batch, complete=batch == batches)
+    # a limit inside a batch leaves rows of it behind
+    return ScoringRun(scored=done, remaining=total - done, batches=batch, complete=reached == total)
 
 
 def _by_batch(rows: DataFrame, batches: int, tried: int, total: int) -> DataFrame:

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
+from mentionkit.functions.times import post_date
 from mentionkit.operators import aggregates as agg
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
 from mentionkit.operators.keys import SCORED_KEY
 from mentionkit.operators.quality import issue_summary, quality_report
-from mentionkit.operators.ranking import top_bottom_posts
+from mentionkit.operators.ranking import merge_ends, top_bottom_ends, top_bottom_posts
 from mentionkit.operators.refine import HACKERNEWS, REDDIT, Source, union_sources
 from mentionkit.operators.scoring import Scorer, ScoringRun, score_pending
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 SCORED_TABLE = "sentiment_scored"
+ROLLUP_TABLE, TOP_STATE, REPORT_DAYS = "sentiment_rollup", "top_posts_state", "report_days"
+OPEN, FOLDED = "open", "folded"
 GOLD, QUALITY, ALL_SOURCES = "gold", "gold_dq_check", "all"
 # sources scored unless others are named
 SCORED_SOURCES = (HACKERNEWS, REDDIT)
@@ -38,7 +44,7 @@ def score_sources(
             tables.ensure(scored_table, schemas.SCORED)
             return ScoringRun(scored=0, remaining=0, batches=0)
         silver = union_sources(*there)
-        run = score_pending(silver, tables, scored_table, scorer, **limits)
+        run = score_pending(silver, tables, scored_table, scorer, before=lambda rows: open_days(tables, rows), **limits)
         step.rows = run.scored
     return run
 
@@ -58,19 +64,75 @@ def report_frames(scored: DataFrame) -> dict[str, DataFrame]:
     Four follow from the daily roll-up, which is stored once; it has one row per
     (tool, source, day). The best and worst posts need the rows themselves.
     """
-    rollup = store(agg.daily_rollup(scored), "rollup")
+    return _from_rollup(store(agg.daily_rollup(scored), "rollup"), top_bottom_posts(scored))
+
+
+def _from_rollup(rollup: DataFrame, top: DataFrame) -> dict[str, DataFrame]:
     return {
         "sentiment_by_tool_daily": agg.daily_from_rollup(rollup),
         "sentiment_by_tool_source": agg.by_source_from_rollup(rollup),
         "tool_leaderboard": agg.leaderboard_from_rollup(rollup),
         "sentiment_trend_weekly": agg.weekly_from_rollup(rollup),
-        "top_posts_by_tool": top_bottom_posts(scored),
+        "top_posts_by_tool": top,
     }
 
 
-def rebuild_reports(tables: Tables, scored_table: str = SCORED_TABLE) -> DataFrame:
-    """Replace the report tables and return their row counts."""
-    frames = report_frames(tables.read(scored_table))
+def _replace_reports(tables: Tables, frames: dict[str, DataFrame]) -> DataFrame:
     for name, frame in frames.items():
         tables.replace(frame, name)
     return agg.table_counts({name: tables.read(name) for name in frames})
+
+
+def rebuild_reports(tables: Tables, scored_table: str = SCORED_TABLE) -> DataFrame:
+    """Replace the report tables, from all scored rows, and return their row counts."""
+    return _replace_reports(tables, report_frames(tables.read(scored_table)))
+
+
+# -- reports by increment ---------------------------------------------------------------
+
+
+def open_days(tables: Tables, pending: DataFrame) -> str:
+    """Note the days that a run is about to score rows of, before it appends any. Returns the run's name.
+
+    A day stays open until a fold has taken it in, so a run that dies, at any place, leaves no row out of the reports.
+    """
+    run = uuid.uuid4().hex
+    tables.ensure(REPORT_DAYS, schemas.REPORT_DAY_SCHEMA)
+    days = pending.select(post_date(F.col("created_at")).alias("day")).distinct()
+    tables.append(_noted(days, run, OPEN), REPORT_DAYS)
+    return run
+
+
+def _noted(days: DataFrame, run: str, state: str) -> DataFrame:
+    now = datetime.now(timezone.utc)
+    return days.select(F.lit(run).alias("run"), F.col("day"), F.lit(state).alias("state"), F.lit(now).alias("run_timestamp"))
+
+
+def fold_reports(tables: Tables, scored_table: str = SCORED_TABLE) -> DataFrame:
+    """Bring the report tables up to date with the days that runs have touched since the last fold, and return their row counts.
+
+    The roll-up is a table with a folder per day. The touched days are summed up again from their scored rows, and take the place of what the
+    roll-up has for them, so a fold that is repeated, or that finds half the work done, gives the same. The best and worst posts are a state of a few
+    rows per tool that is merged with those of the touched days. Four reports follow from the roll-up, the fifth from the state; scored rows of other days
+    are not read if the scored table is laid out by the day of ``created_at``, and skipped by statistics if not. The first fold takes in all rows.
+    """
+    tables.ensure(REPORT_DAYS, schemas.REPORT_DAY_SCHEMA)
+    log = tables.read(REPORT_DAYS)
+    folded = log.filter(F.col("state") == FOLDED).select("run").distinct()
+    todo = store(log.filter(F.col("state") == OPEN).join(folded, "run", "left_anti").select("run", "day"), "report-days")
+    first = not (tables.exists(ROLLUP_TABLE) and tables.exists(TOP_STATE))
+    if first:
+        touched = tables.read(scored_table)
+    else:
+        # at most one per day of the reports' life
+        days = [r["day"] for r in todo.select("day").distinct().collect()]
+        touched = tables.read_days(scored_table, days, "created_at")
+    tables.replace_days(agg.daily_rollup(touched), ROLLUP_TABLE, "post_date")
+    ends = top_bottom_ends(touched) if first else merge_ends(tables.read(TOP_STATE), top_bottom_ends(touched))
+    # written first, as it is read from the table that it replaces
+    tables.replace(store(ends, "top-state"), TOP_STATE)
+    counts = _replace_reports(tables, _from_rollup(tables.read(ROLLUP_TABLE), tables.read(TOP_STATE).drop("post_id")))
+    done = todo.select("run").distinct().select(F.col("run"), F.lit(None).cast("date").alias("day"))
+    now = F.lit(datetime.now(timezone.utc))
+    tables.append(done.select("run", "day", F.lit(FOLDED).alias("state"), now.alias("run_timestamp")), REPORT_DAYS)
+    return counts

@@ -1,4 +1,9 @@
-"""Landed payloads to bronze tables: what is new, appended once, logged."""
+"""Landed payloads to bronze tables: what is new, appended once, logged.
+
+Beside the bronze tables stand the marks, the key filters (which days may hold a key) and the lines that are no payload. A run writes the filter of its
+rows before the rows: if it dies in between, a day is opened that need not be, and nothing lands twice. Bronze tables are therefore written through this
+module, or by ``note_keys`` and an append.
+"""
 
 from __future__ import annotations
 
@@ -11,43 +16,74 @@ from pyspark.sql import types as T
 
 from mentionkit import schemas
 from mentionkit.functions.times import parse_iso
-from mentionkit.operators.audit import AuditLog
-from mentionkit.operators.keys import keep_first
-from mentionkit.operators.marks import marks_by_key, not_yet_landed, read_mark, unlanded
+from mentionkit.operators.audit import FAILED, AuditLog
+from mentionkit.operators.keys import keep_first, not_in
+from mentionkit.operators.marks import days_of_keys, key_filter, marks_by_key, not_yet_landed, read_mark, row_key, unlanded, unsettled
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, Source
 from mentionkit.sources import landing
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
-BRONZE = "bronze"
+BRONZE, BRONZE_REJECTED = "bronze", "bronze_rejected"
 LANDING_MARKS = "landing_marks"
+KEY_FILTERS = "landing_filters"
+REJECTED_LINES = "bronze_rejected_lines"
+
+# what tells a source's rows apart; the first is its id
+ROW_KEYS = {
+    HACKERNEWS.name: ("object_id", "query_tool", "hn_created_at"),
+    REDDIT.name: ("object_id", "query_tool", "subreddit", "reddit_created_utc"),
+    # a post stands for its comments
+    PRODUCTHUNT.name: ("object_id",),
+}
+_RAW = {HACKERNEWS.name: schemas.HN_RAW, REDDIT.name: schemas.REDDIT_RAW}
 
 
 def land_hackernews(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
-    time, keys = parse_iso(F.col("hn_created_at")), ["object_id", "query_tool", "hn_created_at"]
+    time, keys = parse_iso(F.col("hn_created_at")), ROW_KEYS[HACKERNEWS.name]
+    pages = keep_rejected(tables, pages, HACKERNEWS, ingested_at)
     rows = _once(landing.hn_rows(pages, ingested_at), keys)
     return _append(tables, _new(tables, rows, HACKERNEWS, ["query_tool"], time, keys), schemas.HN_RAW, HACKERNEWS)
 
 
 def land_reddit(tables: Tables, submissions: DataFrame, ingested_at: datetime | None = None) -> int:
-    time, keys = F.col("reddit_created_utc"), ["object_id", "query_tool", "subreddit", "reddit_created_utc"]
+    time, keys = F.col("reddit_created_utc"), ROW_KEYS[REDDIT.name]
+    submissions = keep_rejected(tables, submissions, REDDIT, ingested_at)
     rows = _once(landing.reddit_rows(submissions, ingested_at), keys)
     return _append(tables, _new(tables, rows, REDDIT, ["subreddit", "query_tool"], time, keys), schemas.REDDIT_RAW, REDDIT)
 
 
 def land_producthunt(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
     """New posts with their comments; the post alone decides, as comments are younger than what they belong to."""
+    pages = keep_rejected(tables, pages, PRODUCTHUNT, ingested_at)
     posts = store(_once(landing.producthunt_posts(pages), ["id"]), "payload")
-    landed = tables.read_if_exists(PRODUCTHUNT.bronze_table)
-    if landed is not None:
+    if tables.exists(PRODUCTHUNT.bronze_table):
         is_post = F.col("object_type") == "post"
         mark = read_mark(landing_marks(tables, PRODUCTHUNT, [], parse_iso(F.col("ph_created_at")), is_post), F.col("mark"))
         after = F.lit(False) if mark is None else F.coalesce(parse_iso(F.col("createdAt")) > F.lit(mark), F.lit(False))
-        known = landed.filter(is_post).select(F.col("object_id").alias("id"))
-        posts = posts.filter(after).unionByName(not_yet_landed(posts.filter(~after), known, ["id"]))
+        before = posts.filter(~after).withColumn("_key", F.xxhash64("id"))
+        new, known, landed = _opened(tables, before, PRODUCTHUNT)
+        ids = landed.filter(is_post).select(F.col("object_id").alias("id"))
+        posts = posts.filter(after).unionByName(new).unionByName(not_yet_landed(known, ids, ["id"]))
     return _append(tables, landing.producthunt_rows(posts, ingested_at), schemas.PRODUCTHUNT_RAW, PRODUCTHUNT)
 
 
+def keep_rejected(tables: Tables, payload: DataFrame, source: Source, ingested_at: datetime | None = None) -> DataFrame:
+    """Put the lines that are no payload in their table, each once per file, and log their number. Returns the payload, parsed once."""
+    if landing.rejected_lines(payload, source.name) is None:
+        return payload
+    payload = store(payload, "payload-lines")
+    lines = landing.rejected_lines(payload, source.name, ingested_at)
+    tables.ensure(REJECTED_LINES, schemas.REJECTED)
+    # a line may come twice in a file; that it is broken is known by then
+    lines = lines.dropDuplicates(["source", "file", "line"])
+    known = tables.read(REJECTED_LINES).filter(F.col("source") == source.name)
+    count = tables.append(not_in(lines, known, ["source", "file", "line"], nulls_equal=True), REJECTED_LINES)
+    if count:
+        AuditLog(tables).log(source.name, BRONZE_REJECTED, count, FAILED, f"{count} lines that are no payload")
+    return payload
+
+
 def _once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A payload may hold a row twice; rows without an id are told apart by content.
 
@@ -70,8 +106,43 @@ def _new(
     if marks is None:
         return rows
     # the parts of a payload are judged apart: it is parsed once
-    rows = store(rows, "payload")
-    return unlanded(rows, tables.read(source.bronze_table), marks, mark_keys, time, keys)
+    judged = store(unsettled(rows, marks, mark_keys, time), "payload")
+    before = judged.filter(~F.col("_after")).withColumn("_key", row_key(keys, _RAW[source.name].names)).drop("_after")
+    new, known, landed = _opened(tables, before, source)
+    return judged.filter("_after").drop("_after").unionByName(new).unionByName(unlanded(known, landed, keys))
+
+
+def _opened(tables: Tables, before: DataFrame, source: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with ``_key`` whose key has landed on no day, the other ones, and what has landed on the days that may hold these."""
+    hits = store(days_of_keys(before, key_filters(tables, source)), "filter-hits")
+    # at most one per day of the table's life
+    days = [r["day"] for r in hits.select("day").distinct().collect()]
+    keys = hits.select(F.col("_key").alias("_hit")).distinct()
+    same = F.col("_key") == F.col("_hit")
+    new = before.join(keys, same, "left_anti").drop("_key")
+    known = before.join(keys, same, "left_semi").drop("_key")
+    return new, known, tables.read_days(source.bronze_table, days)
+
+
+def key_filters(tables: Tables, source: Source) -> DataFrame:
+    """``day, word, bits`` of the source; built from the whole bronze table where that is older than its filter."""
+    tables.ensure(KEY_FILTERS, schemas.KEY_FILTER_SCHEMA)
+    own = tables.read(KEY_FILTERS).filter(F.col("source") == source.name)
+    if own.isEmpty():
+        note_keys(tables, tables.read(source.bronze_table), source)
+        own = tables.read(KEY_FILTERS).filter(F.col("source") == source.name)
+    return own.drop("source")
+
+
+def note_keys(tables: Tables, rows: DataFrame, source: Source) -> None:
+    """Write the filter of bronze rows that are about to be appended."""
+    if source.name == PRODUCTHUNT.name:
+        rows = rows.filter(F.col("object_type") == "post")
+        key = F.xxhash64("object_id")
+    else:
+        key = row_key(ROW_KEYS[source.name], _RAW[source.name].names)
+    tables.ensure(KEY_FILTERS, schemas.KEY_FILTER_SCHEMA)
+    tables.append(key_filter(rows, key).withColumn("source", F.lit(source.name)), KEY_FILTERS)
 
 
 def landing_marks(
@@ -103,5 +174,7 @@ def landing_marks(
 def _append(tables: Tables, rows: DataFrame, schema: T.StructType, source: Source) -> int:
     with AuditLog(tables).step(source.name, BRONZE) as step:
         tables.ensure(source.bronze_table, schema)
+        rows = store(rows, "landing")
+        note_keys(tables, rows, source)
         step.rows = tables.append(rows, source.bronze_table, evolve=True)
     return step.rows

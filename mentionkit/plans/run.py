@@ -14,9 +14,9 @@ from mentionkit.operators.audit import AuditLog
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, SOURCES, Source
 from mentionkit.operators.scoring import Scorer, ScoringRun
 from mentionkit.plans import gold
-from mentionkit.plans.land import LANDING_MARKS, land_hackernews, land_producthunt, land_reddit
+from mentionkit.plans.land import KEY_FILTERS, LANDING_MARKS, REJECTED_LINES, land_hackernews, land_producthunt, land_reddit
 from mentionkit.plans.silver import MARK_TABLE, refine_source
-from mentionkit.schemas import LANDING_MARK_SCHEMA, MARK_SCHEMA
+from mentionkit.schemas import KEY_FILTER_SCHEMA, LANDING_MARK_SCHEMA, MARK_SCHEMA, REJECTED
 from mentionkit.sources.tables import Tables
 
 LAND: Mapping[str, Callable[[Tables, DataFrame, datetime | None], int]] = {
@@ -63,6 +63,8 @@ def run_all(
     AuditLog(tables).ensure()
     tables.ensure(MARK_TABLE, MARK_SCHEMA)
     tables.ensure(LANDING_MARKS, LANDING_MARK_SCHEMA)
+    tables.ensure(KEY_FILTERS, KEY_FILTER_SCHEMA)
+    tables.ensure(REJECTED_LINES, REJECTED)
 
     def branch(source: Source) -> tuple[int, int]:
         landed = LAND[source.name](tables, payloads[source.name], run_time)
@@ -77,5 +79,5 @@ def run_all(
         refined={name: refined for name, (_, refined) in done.items()},
         scoring=scoring,
         quality=gold.check_quality(tables, catalog),
-        counts=gold.rebuild_reports(tables) if scoring.complete or partial_reports else None,
+        counts=gold.fold_reports(tables) if scoring.complete or partial_reports else None,
     )

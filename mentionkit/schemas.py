@@ -104,6 +104,10 @@ MARK_SCHEMA = table(source="string", layer="string", mark="timestamp", run_times
 LANDING_MARK_SCHEMA = table(
     source="string", subreddit="string", query_tool="string", mark="timestamp", covered_until="timestamp",
 )
+REJECTED = table(required="source line", source="string", file="string", line="string", ingested_at="timestamp")
+KEY_FILTER_SCHEMA = table(source="string", day="date", word="int", bits="bigint")
+REPORT_DAY_SCHEMA = table(run="string", day="date", state="string", run_timestamp="timestamp")
+REPLY_SCHEMA = table(digest="string", reply="string")
 ALIAS_SCHEMA = table(tool="string", alias="string", tier="string")
 START_DATE_SCHEMA = table(tool="string", launch_date="date")
 

@@ -3,6 +3,9 @@
 The readers take explicit schemas, so a batch in which a field is always null
 reads like any other. Flattening runs on the executors, one payload line at a
 time.
+
+A line that is no JSON, or does not fit the schema, is no payload: its fields are NULL, so it gives no rows, and it stays in
+``REJECTED_LINE`` with the name of its file. The landing plans keep such lines in a table and log their number.
 """
 
 from __future__ import annotations
@@ -22,12 +25,40 @@ from mentionkit.operators.marks import newer_than, newer_than_marks
 REDDIT_SITE = "https://reddit.com"
 
 
+REJECTED_LINE, PAYLOAD_FILE = "_rejected_line", "_payload_file"
+
+
 def read_payload(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return _parsed(spark.read.text(path), schema)
 
 
 def stream_payload(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).json(path)
+    return _parsed(spark.readStream.text(path), schema)
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines of JSON to the schema's columns, with the line itself and its file where it does not fit."""
+    with_line = T.StructType([*schema.fields, T.StructField(REJECTED_LINE, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED_LINE}
+    # a blank line is neither a payload nor a reject
+    filled = lines.filter(F.col("value").rlike(r"\S"))
+    rows = filled.select(F.from_json("value", with_line, options).alias("p"), F.col("value"), F.col("_metadata.file_path").alias("_at"))
+    # "null" parses to no struct at all; what fits in part only is not taken in part
+    bad = F.col("p").isNull() | F.col(f"p.{REJECTED_LINE}").isNotNull()
+    return rows.select(
+        *[F.when(~bad, F.col(f"p.`{f.name}`")).alias(f.name) for f in schema.fields],
+        F.when(bad, F.col("value")).alias(REJECTED_LINE),
+        F.when(bad, F.col("_at")).alias(PAYLOAD_FILE),
+    )
+
+
+def rejected_lines(payload: DataFrame, source: str, ingested_at: datetime | Column | None = None) -> DataFrame | None:
+    """The lines that are no payload, as rows of ``schemas.REJECTED``; None for a frame that was not read from lines."""
+    if REJECTED_LINE not in payload.columns:
+        return None
+    return payload.filter(F.col(REJECTED_LINE).isNotNull()).select(
+        F.lit(source).alias("source"), F.col(PAYLOAD_FILE).alias("file"), F.col(REJECTED_LINE).alias("line"), _run_time(ingested_at).alias("ingested_at")
+    )
 
 
 def _run_time(ingested_at: datetime | Column | None) -> Column:

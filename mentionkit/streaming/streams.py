@@ -20,7 +20,8 @@ from mentionkit.catalog import EntityCatalog
 from mentionkit.functions.scores import exact, is_positive, percent, rounded_mean
 from mentionkit.operators.aggregates import SCORE, daily_rollup, scored_only
 from mentionkit.operators.keys import MENTION_KEY, SALTS, keep_first, not_in, not_in_history
-from mentionkit.operators.refine import Source, find_mentions, normalise, refine
+from mentionkit.operators.refine import SOURCES, Source, find_mentions, normalise, refine
+from mentionkit.plans.land import keep_rejected, note_keys
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
@@ -83,13 +84,20 @@ def land_stream(
     keys: list[str],
     checkpoint: str,
 ) -> StreamingQuery:
-    """Append the flattened payload lines whose key the table does not have yet."""
+    """Append the flattened payload lines whose key the table does not have yet; lines that are no payload go to their own table."""
     tables.ensure(table, schema)
+    source = next((s for s in SOURCES if s.bronze_table == table), None)
 
     def write(batch: DataFrame, _: int) -> None:
         own = tables.on(batch.sparkSession)
+        if source is not None:
+            batch = keep_rejected(own, batch, source)
         rows = store(keep_first(flatten(batch), keys, [F.desc("ingested_at")]), "landed")
-        own.append(not_in_history(rows, own.read(table), keys), table, evolve=True)
+        new = not_in_history(rows, own.read(table), keys)
+        if source is not None:
+            new = store(new, "landing")
+            note_keys(own, new, source)
+        own.append(new, table, evolve=True)
 
     return _run(payload, write, checkpoint)
 

@@ -116,3 +116,17 @@ def test_no_date_is_null_not_an_error(spark):
     assert [tuple(r) for r in got] == [
         (datetime(2024, 1, 1), 1704067200), (datetime(2023, 12, 31, 22, 0, 0, 500000), 1704060000), (None, None), (None, None),
     ]
+
+
+def test_lines_that_are_no_payload(spark, tmp_path):
+    good = json.dumps({"query_tool": "v0", "id": "a", "score": 3})
+    bad = ["{\"query_tool\": \"v0\"", "plain words", "[1, 2]", "null", "7", json.dumps({"id": "b", "score": "many"})]
+    path = tmp_path / "landed.json"
+    path.write_text("\n".join([good, "", "  \t", *bad, good]))
+    read = landing.read_payload(spark, str(path), schemas.REDDIT_SUBMISSION)
+    rows = landing.rejected_lines(read, "reddit", RUN).collect()
+    assert sorted(r["line"] for r in rows) == sorted(bad)
+    assert {r["source"] for r in rows} == {"reddit"} and all(r["file"].endswith("landed.json") for r in rows)
+    # nothing of a rejected line is taken in part
+    assert [(r["id"], r["score"]) for r in read.collect() if r["id"] is not None] == [("a", 3)] * 2
+    assert landing.rejected_lines(read.select("id"), "reddit") is None

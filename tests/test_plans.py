@@ -1,3 +1,4 @@
+import random
 import uuid
 from datetime import datetime, timedelta
 
@@ -6,13 +7,15 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.catalog import AI_TOOLS
+from mentionkit.operators import marks
 from mentionkit.operators.audit import AUDIT_TABLE
 from mentionkit.operators.refine import HACKERNEWS, SOURCES
 from mentionkit.operators.scoring import lexicon_scorer
 from mentionkit.plans import gold
-from mentionkit.plans.land import land_hackernews, land_producthunt
+from mentionkit.plans.land import REJECTED_LINES, land_hackernews, land_producthunt
 from mentionkit.plans.run import run_all
 from mentionkit.plans.silver import MARK_TABLE, refine_source, stored_mark
+from mentionkit.sources import landing
 from mentionkit.sources.tables import Tables
 
 RUN = datetime(2025, 6, 1)
@@ -209,3 +212,123 @@ def test_reports_use_a_stored_rollup(spark, tables):
     frames = gold.report_frames(df)
     assert all("/rollup-" in f.inputFiles()[0] for n, f in frames.items() if n != "top_posts_by_tool")
     assert frames["tool_leaderboard"].select(F.col("total_mentions")).first()[0] == 1
+
+
+def test_days_without_a_key_are_not_opened(spark, tables, monkeypatch):
+    own = Tables(spark, prefix=tables.prefix, by_day=[HACKERNEWS.bronze_table])
+    seen = []
+    reader = Tables.read_days
+
+    def watched(self, table, days, *more):
+        seen.append(sorted(d.day for d in days))
+        return reader(self, table, days, *more)
+
+    monkeypatch.setattr(Tables, "read_days", watched)
+    for day in range(4):
+        hits = [(f"{day}-{i}", f"2025-02-0{5 - day}T00:00:00Z", "x") for i in range(50)]
+        # all but the first delivery are late: older than the mark
+        assert land_hackernews(own, pages(spark, *hits), RUN + timedelta(days=day)) == 50
+    assert seen == [[], [], []]
+    late = [("1-7", "2025-02-04T00:00:00Z", "x"), ("new", "2025-01-01T00:00:00Z", "x"), (None, None, "no id"), (None, None, "no id")]
+    assert land_hackernews(own, pages(spark, *late), RUN + timedelta(days=9)) == 2
+    assert seen[-1] == [2]
+    assert land_hackernews(own, pages(spark, *late), RUN + timedelta(days=10)) == 0
+    assert seen[-1] == [2, 10]
+
+
+def test_a_full_filter_opens_all_days_and_changes_nothing(spark, tables, monkeypatch):
+    monkeypatch.setattr(marks, "FILTER_WORDS", 1)
+    monkeypatch.setattr(marks, "_HASHES", 1)
+    first = [(str(i), "2025-01-05T00:00:00Z", "x") for i in range(500)]
+    assert land_hackernews(tables, pages(spark, *first), RUN) == 500
+    more = [*first[::7], *[(f"n{i}", "2025-01-01T00:00:00Z", "x") for i in range(30)], (None, None, "no id")]
+    assert land_hackernews(tables, pages(spark, *more), RUN + timedelta(days=1)) == 31
+    assert land_hackernews(tables, pages(spark, *more), RUN + timedelta(days=2)) == 0
+
+
+def test_filters_are_built_for_an_older_table(spark, tables):
+    rows = pages(spark, ("1", "2025-01-02T00:00:00Z", "x"), ("2", "2025-01-01T00:00:00Z", "x"))
+    tables.append(landing.hn_rows(rows, RUN), HACKERNEWS.bronze_table)
+    late = pages(spark, ("1", "2025-01-02T00:00:00Z", "x"), ("2", "2025-01-01T00:00:00Z", "x"), ("3", "2024-01-01T00:00:00Z", "x"))
+    assert land_hackernews(tables, late, RUN + timedelta(days=1)) == 1
+
+
+def test_rejected_lines_are_kept_and_logged_once(spark, tables, tmp_path):
+    good = '{"query_tool": "v0", "hits": [{"objectID": "1", "created_at": "2025-01-01T00:00:00Z", "title": "t"}]}'
+    (tmp_path / "a.json").write_text("\n".join([good, "broken", "broken", "{"]))
+    for _ in range(2):
+        land_hackernews(tables, landing.read_payload(spark, str(tmp_path), schemas.HN_PAGE), RUN)
+    (tmp_path / "b.json").write_text("broken")
+    land_hackernews(tables, landing.read_payload(spark, str(tmp_path), schemas.HN_PAGE), RUN)
+    rows = sorted((r["file"][-6:], r["line"], r["ingested_at"]) for r in tables.read(REJECTED_LINES).collect())
+    assert rows == [("a.json", "broken", RUN), ("a.json", "{", RUN), ("b.json", "broken", RUN)]
+    assert [r[1:4] for r in audit(tables)] == [
+        ("bronze_rejected", 2, "failed"), ("bronze", 1, "success"), ("bronze", 0, "success"), ("bronze_rejected", 1, "failed"), ("bronze", 0, "success"),
+    ]
+
+
+def _scored(spark, *rows):
+    """rows of (post_id, tool, day, score)"""
+    full = [
+        {"post_id": p, "source": "hackernews", "tool": t, "title": p, "url": p, "sentiment_score": s, "created_at": None if d is None else datetime(2025, 5, d, 7)}
+        for p, t, d, s in rows
+    ]
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schemas.SCORED) for r in full], schemas.SCORED)
+
+
+REPORTS = ("sentiment_by_tool_daily", "sentiment_by_tool_source", "tool_leaderboard", "sentiment_trend_weekly", "top_posts_by_tool")
+
+
+def _contents(tables):
+    return {name: sorted(map(str, tables.read(name).collect())) for name in REPORTS}
+
+
+def test_folded_reports_are_those_of_a_rebuild(spark, tables, monkeypatch):
+    rng = random.Random(3)
+    runs = [
+        [(f"{run}-{i}", rng.choice("ab"), rng.choice([None, *range(1, 9 + run)]), rng.choice([-1.0, -0.5, 0.0, 0.3, 1.0, None])) for i in range(40)]
+        for run in range(3)
+    ]
+    whole = Tables(spark, prefix=f"{tables.prefix}w_")
+    for k, rows in enumerate(runs):
+        gold.open_days(tables, _scored(spark, *rows))
+        tables.append(_scored(spark, *rows), gold.SCORED_TABLE)
+        if k == 1:  # dies between the roll-up and the reports
+            with monkeypatch.context() as m, pytest.raises(RuntimeError, match="died"):
+                m.setattr(gold, "merge_ends", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+                gold.fold_reports(tables)
+        gold.fold_reports(tables)
+        gold.fold_reports(tables)  # nothing is open
+        whole.append(_scored(spark, *rows), gold.SCORED_TABLE)
+        gold.rebuild_reports(whole)
+        assert _contents(tables) == _contents(whole)
+
+
+def test_a_fold_reads_the_touched_days_only(spark, tables, monkeypatch):
+    own = Tables(spark, prefix=tables.prefix, by_day={gold.SCORED_TABLE: "created_at"})
+    seen = []
+    reader = Tables.read_days
+
+    def watched(self, table, days, *more):
+        seen.append(sorted(d.day for d in days))
+        return reader(self, table, days, *more)
+
+    monkeypatch.setattr(Tables, "read_days", watched)
+    for day in (1, 2, 3, 2):
+        rows = _scored(spark, *[(f"{day}-{len(seen)}-{i}", "a", day, 0.5) for i in range(5)])
+        gold.open_days(own, rows)
+        own.append(rows, gold.SCORED_TABLE)
+        gold.fold_reports(own)
+    assert seen == [[2], [3], [2]]
+    assert {r["post_date"].day: r["post_count"] for r in own.read("sentiment_by_tool_daily").collect()} == {1: 5, 2: 10, 3: 5}
+
+
+def test_run_time_is_now_unless_given(spark, tables):
+    """Rows and log entries of a run without a run time carry the present one."""
+    began = datetime.now().replace(microsecond=0)
+    land_hackernews(tables, pages(spark, ("1", "2025-01-01T00:00:00Z", "I like Claude AI a lot")))
+    refine_source(tables, HACKERNEWS, AI_TOOLS)
+    ended = datetime.now() + timedelta(seconds=1)
+    times = [tables.read(HACKERNEWS.bronze_table).first()["ingested_at"], tables.read(HACKERNEWS.silver_table).first()["cleaned_at"]]
+    times += [r["run_timestamp"] for r in tables.read(AUDIT_TABLE).collect()]
+    assert len(times) == 4 and all(began <= t <= ended for t in times)

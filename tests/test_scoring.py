@@ -190,3 +190,57 @@ def test_a_limited_run_says_so(spark, tables):
     assert not score_pending(silver(spark, 30), tables, "gold", scorer, max_minutes=0).complete
     rest = score_pending(silver(spark, 30), tables, "gold", scorer)
     assert rest.complete and rest.scored == first.remaining
+
+
+def copies(spark, n=30, texts=5):
+    """Posts that share texts."""
+    return silver(spark, n).withColumn("text", F.concat(F.lit("good text number "), (F.col("post_id").cast("int") % texts).cast("string")))
+
+
+def test_distinct_prompts_are_asked_once_across_runs(spark, tables):
+    asked = spark.sparkContext.accumulator(0)
+
+    def reply_to(prompts):
+        asked.add(len(prompts))
+        return ["0.5"] * len(prompts)
+
+    assert score_pending(copies(spark), tables, "gold", model_scorer(reply_to)).scored == 30 and asked.value == 5
+    kept = model_scorer(reply_to, tables=tables, model="m1")
+    for name in ("gold1", "gold2"):
+        assert score_pending(copies(spark), tables, name, kept, batch_rows=7).scored == 30
+        assert tables.read(name).filter("sentiment_score = 0.5").count() == 30
+    assert asked.value == 10
+    # another model, and another text, are other questions
+    score_pending(copies(spark, texts=6), tables, "gold3", model_scorer(reply_to, tables=tables, model="m2"))
+    score_pending(copies(spark, texts=6), tables, "gold4", kept)
+    assert asked.value == 10 + 6 + 1
+
+
+def test_a_failing_prompt_costs_its_own_score_only(spark, tables):
+    def reply_to(prompts):
+        if any(" 3</text>" in p for p in prompts):
+            raise RuntimeError("no answer")
+        return ["0.5"] * len(prompts)
+
+    run = score_pending(copies(spark), tables, "gold", model_scorer(reply_to, tables=tables), store_unparsed=False)
+    assert (run.scored, run.remaining) == (24, 6)
+    later = score_pending(copies(spark), tables, "gold", model_scorer(lambda ps: ["1"] * len(ps), tables=tables), store_unparsed=False)
+    assert (later.scored, later.remaining) == (6, 0)
+    assert tables.read("gold").filter("sentiment_score = 1").count() == 6
+
+
+def test_time_runs_out_inside_a_batch(spark, tables):
+    import time
+
+    def slow(prompts):
+        time.sleep(1)
+        return ["0.5"] * len(prompts)
+
+    frame = silver(spark, 3000).coalesce(1)
+    run = score_pending(frame, tables, "gold", model_scorer(slow).until(time.time() + 8))
+    assert 0 < run.scored < 3000 and run.scored + run.remaining == 3000 and not run.complete
+    rest = score_pending(frame, tables, "gold", SCORER)
+    assert rest.scored == run.remaining and rest.complete
+    assert _keys(tables.read("gold")) == _keys(frame)
+    # a limit given to the run reaches the scorer
+    assert not score_pending(silver(spark, 3000), tables, "gold2", model_scorer(slow), max_minutes=0.02).complete

@@ -171,3 +171,51 @@ def test_shared_folder(spark):
     cluster = StubSession("yarn")
     cluster.conf["spark.checkpoint.dir"] = "hdfs:///shared"
     assert shared_folder(cluster) == "hdfs:///shared"
+
+
+def test_evolution_inside_structs_arrays_and_numbers(spark, tables):
+    first = spark.createDataFrame([(1, (1, "x"), [(1,)], {"k": 1})], "i int, s struct<a: int, b: string>, l array<struct<x: int>>, m map<string, int>")
+    second = spark.createDataFrame(
+        [(2**40, ("y", 2**40, 7), [("z", 2**40)], {"k": 2**40}), (None, None, None, None)],
+        "i bigint, s struct<b: string, a: bigint, c: int>, l array<struct<y: string, x: bigint>>, m map<string, bigint>",
+    )
+    tables.append(first, "a")
+    with pytest.raises(ValueError, match="other fields in \\['s', 'l', 'm'\\]"):
+        tables.append(second, "a")
+    assert tables.append(second, "a", evolve=True) == 2
+    assert tables.append(first, "a", evolve=True) == 1
+    assert tables.read("a").schema.simpleString() == (
+        "struct<i:bigint,s:struct<a:bigint,b:string,c:int>,l:array<struct<x:bigint,y:string>>,m:map<string,bigint>>"
+    )
+    old = (1, (1, "x", None), [(1, None)], {"k": 1})
+    want = [old, old, (2**40, (2**40, "y", 7), [(2**40, "z")], {"k": 2**40}), (None, None, None, None)]
+    assert sorted(map(str, tables.read("a").collect())) == sorted(map(str, spark.createDataFrame(want, tables.read("a").schema).collect()))
+
+
+def test_wider_numbers_in_a_table_by_day(spark, tables):
+    own = Tables(spark, prefix=tables.prefix, by_day=["a"])
+    for n, kind in ((1, "int"), (2**40, "bigint")):
+        own.append(spark.createDataFrame([(n, at(1))], f"i {kind}, ingested_at timestamp"), "a", evolve=True)
+    assert sorted(r["i"] for r in own.read("a").collect()) == [1, 2**40]
+    assert sorted(r["i"] for r in own.read_since("a", at(1)).collect()) == [1, 2**40]
+
+
+def test_read_days(spark, tables):
+    own = Tables(spark, prefix=tables.prefix, by_day={"a": "created_at"})
+    rows = spark.createDataFrame([(d, at(d)) for d in (1, 2, 3, 5)] + [(0, None)], "i int, created_at timestamp")
+    own.append(rows, "a")
+    tables.append(rows, "b")
+    for days, want in (((at(2).date(), at(3).date(), at(4).date()), [2, 3]), ((at(1).date(), None), [0, 1]), ((), []), ((None,), [0])):
+        for name, reader in (("a", own), ("b", tables)):
+            assert sorted(r["i"] for r in reader.read_days(name, days, "created_at").collect()) == want, (name, days)
+    plan = own.read_days("a", [at(2).date()], "created_at")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(_ingested_day" in plan or "PartitionFilters: [isnotnull(_ingested_day" in plan
+
+
+def test_replace_days(spark, tables):
+    frame = lambda *rows: spark.createDataFrame(list(rows), "n int, day date")
+    tables.replace_days(frame((1, at(1).date()), (2, at(2).date()), (3, None)), "a", "day")
+    tables.replace_days(frame((9, at(2).date()), (8, at(2).date())), "a", "day")
+    assert sorted(r["n"] for r in tables.read("a").collect()) == [1, 3, 8, 9]
+    tables.replace_days(frame((7, None)), "a", "day")
+    assert sorted(r["n"] for r in tables.read("a").collect()) == [1, 7, 8, 9]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +21,10 @@ from mentionkit.operators.containment import mentions_by_table
 from mentionkit.operators.keys import MENTION_KEY, keep_first
 from mentionkit.operators.scoring import as_scored, lexicon_scorer, model_scorer, pending, score_pending
 from mentionkit.plans import gold
-from mentionkit.plans.land import land_hackernews
-from mentionkit.plans.run import run_all
+from mentionkit.plans.land import REJECTED_LINES, land_hackernews
+from mentionkit.plans.run import LAND, run_all
 from mentionkit.plans.silver import refine_source
+from mentionkit.schemas import HN_PAGE, REDDIT_RAW, REDDIT_SUBMISSION
 from mentionkit.sources import landing
 from mentionkit.sources.shared import new_folder, store
 from mentionkit.sources.tables import Tables
@@ -1039,18 +1040,113 @@ def _(spark, sf):
     return _kept(tables, tables.read("docs"))
 
 
+_SINCE_HOURS = 2
+
+
 @query(
     "read_since_mark",
-    f"SELECT object_id, ingested_at FROM ({frames.PRODUCTHUNT_BRONZE}) WHERE ingested_at >= TIMESTAMP '2025-01-01 06:00:00'",
+    f"""
+    SELECT object_id, ingested_at FROM ({frames.PRODUCTHUNT_BRONZE})
+    WHERE ingested_at >= (SELECT max(ingested_at) - INTERVAL {_SINCE_HOURS} HOUR FROM ({frames.PRODUCTHUNT_BRONZE}))
+    """,
 )
 def _(spark, sf):
-    """A table laid out by day, read from a mark on: earlier days' folders are not opened."""
+    """A table laid out by day, read from a mark on that lies before its last rows: earlier days' folders are not opened."""
     tables = _fresh_tables(spark, by_day=["posts"])
     tables.append(frames.producthunt_bronze(spark, sf), "posts")
-    since = datetime(2025, 1, 1, 6, tzinfo=timezone.utc)
+    since = marks.read_mark(tables.read("posts"), F.col("ingested_at")) - timedelta(hours=_SINCE_HOURS)
     return _kept(tables, tables.read_since("posts", since).select("object_id", "ingested_at"))
 
 
+_REJECT_EVERY = 9
+_BROKEN = "'{\"query_tool\": \"term' || doc_id % 12 || '\", \"hits\": [' || doc_id"
+
+
+@query(
+    "land_malformed",
+    f"""
+    WITH b AS (SELECT * FROM ({frames.HN_LANDED}) WHERE split_part(url, '/', 4)::BIGINT % {_REJECT_EVERY} <> 0),
+    r AS (SELECT {_BROKEN} AS line FROM documents WHERE doc_id % {_REJECT_EVERY} = 0)
+    SELECT 'bronze' AS place, item FROM (SELECT DISTINCT object_id || query_tool || hn_created_at AS item FROM b)
+    UNION ALL SELECT 'rejected', line FROM r
+    UNION ALL SELECT 'log', 'hackernews bronze_rejected failed ' || count(*) || ' lines that are no payload' FROM r
+    UNION ALL SELECT 'log', 'hackernews bronze success ' || (SELECT count(*) FROM (SELECT DISTINCT object_id, query_tool, hn_created_at FROM b))
+    UNION ALL SELECT 'log', 'hackernews bronze success 0'
+    """,
+)
+def _(spark, sf):
+    """Result pages as files of JSON lines, of which every ninth is cut off, landed twice: broken lines are kept and logged once."""
+    tables = _fresh_tables(spark)
+    folder = new_folder(spark, "pages")
+    number = F.element_at(F.split(F.element_at("hits", 1)["url"], "/"), -1).cast("bigint")
+    pages = frames.hn_pages(spark, sf)
+    whole = pages.filter(number % _REJECT_EVERY != 0).select(F.to_json(F.struct(*pages.columns)).alias("value"))
+    docs = table(spark, sf, "documents").filter(F.col("doc_id") % _REJECT_EVERY == 0)
+    term = F.concat(F.lit('{"query_tool": "term'), (F.col("doc_id") % 12).cast("string"), F.lit('", "hits": ['), F.col("doc_id").cast("string"))
+    whole.unionAll(docs.select(term)).write.text(folder)
+    for _ in range(2):
+        land_hackernews(tables, landing.read_payload(spark, folder, HN_PAGE), RUN_TIME)
+    log = AuditLog(tables).read()
+    entry = F.concat_ws(" ", "source", "layer", "status", F.coalesce("error_message", F.col("rows_processed").cast("string")))
+    parts = [
+        tables.read(refine.HACKERNEWS.bronze_table).select(F.lit("bronze").alias("place"), F.concat("object_id", "query_tool", "hn_created_at").alias("item")),
+        tables.read(REJECTED_LINES).select(F.lit("rejected").alias("place"), F.col("line").alias("item")),
+        log.select(F.lit("log").alias("place"), entry.alias("item")),
+    ]
+    return _kept(tables, refine.union_sources(*parts))
+
+
+@query("stream_land_malformed", f"SELECT object_id, query_tool FROM ({frames.REDDIT_LANDED}) UNION ALL SELECT 'no json ' || conv_id || '-' || turn, 'rejected' FROM conversations WHERE turn % 2 = 1")
+def _(spark, sf):
+    """Submissions as a stream of files, with a broken line for every second turn."""
+    tables = _fresh_tables(spark)
+    folder = new_folder(spark, "submissions")
+    given = frames.reddit_submissions(spark, sf)
+    c = table(spark, sf, "conversations").filter(F.col("turn") % 2 == 1)
+    broken = c.select(F.concat(F.lit("no json "), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("value"))
+    given.select(F.to_json(F.struct(*given.columns)).alias("value")).unionAll(broken).coalesce(2).write.text(folder)
+    streams.land_stream(
+        landing.stream_payload(spark, folder, REDDIT_SUBMISSION), lambda batch: landing.reddit_rows(batch, RUN_TIME), tables,
+        refine.REDDIT.bronze_table, REDDIT_RAW, ["object_id", "query_tool", "subreddit"], new_folder(spark, "checkpoint"),
+    ).awaitTermination()
+    landed = tables.read(refine.REDDIT.bronze_table).select("object_id", "query_tool")
+    rejected = tables.read(REJECTED_LINES).select(F.col("line").alias("object_id"), F.lit("rejected").alias("query_tool"))
+    return _kept(tables, landed.unionAll(rejected))
+
+
+def _folded(spark: SparkSession, sf: str) -> Tables:
+    """The scored rows in three runs, each folded into the reports, and the last one once more, as after a crash."""
+    tables = _fresh_tables(spark, by_day={gold.SCORED_TABLE: "created_at"})
+    rows = _faulty(spark, sf)
+    number = F.col("post_id").cast("bigint")
+    for run in range(3):
+        part = rows.filter(number % 3 == run)
+        gold.open_days(tables, part)
+        tables.append(part, gold.SCORED_TABLE)
+        gold.fold_reports(tables)
+    gold.open_days(tables, part)
+    gold.fold_reports(tables)
+    return tables
+
+
+@query("rollup_folded", _DAILY.format(_FAULTY))
+def _(spark, sf):
+    tables = _folded(spark, sf)
+    return _kept(tables, tables.read("sentiment_by_tool_daily"))
+
+
+@query("weekly_folded", _WEEKLY.format(_FAULTY))
+def _(spark, sf):
+    tables = _folded(spark, sf)
+    return _kept(tables, tables.read("sentiment_trend_weekly"))
+
+
+@query("top_folded", _TOP.format(_FAULTY))
+def _(spark, sf):
+    tables = _folded(spark, sf)
+    return _kept(tables, tables.read("top_posts_by_tool"))
+
+
 _LINKED = "'*See* [' || url || '](' || url || ') and [' || page_id || '](#a) [] (' || url || ')'"
 
 
@@ -1088,16 +1184,91 @@ def _(spark, sf):
     return _kept(tables, AuditLog(tables).read().drop("run_timestamp"))
 
 
+_REACHED = "left(md5(post_id), 1) < '8'"
+
+
+class _HalfInTime:
+    """Stands in for a scorer whose time runs out inside a batch: with a limit, half of the rows are not reached."""
+
+    def __init__(self, limited: bool = False) -> None:
+        self.limited = limited
+
+    def until(self, deadline: float) -> _HalfInTime:
+        return _HalfInTime(True)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return lexicon_scorer(POSITIVE, NEGATIVE)(df.filter(F.expr(_REACHED)) if self.limited else df)
+
+
 @query(
     "time_limited_scoring",
-    f"SELECT 0::BIGINT AS scored, count(*) AS remaining, 0::BIGINT AS batches, false AS complete FROM ({frames.SILVER_HN}) WHERE length(text) > 10",
+    f"""
+    WITH s AS (SELECT *, {_REACHED} AS reached FROM ({frames.SILVER_HN}) WHERE length(text) > 10)
+    SELECT 1 AS run, count(*) FILTER (reached) AS scored, count(*) FILTER (NOT reached) AS remaining, false AS complete, count(*) FILTER (reached) AS stored FROM s
+    UNION ALL SELECT 2, count(*) FILTER (NOT reached), 0, true, count(*) FROM s
+    """,
 )
 def _(spark, sf):
-    """A run whose time is up at once: nothing is scored, and it says so."""
+    """A limit that falls inside a batch: what is not reached stays pending, the run says so, and the next one scores it."""
     tables = _fresh_tables(spark)
-    run = score_pending(_silver_hn(spark, sf), tables, gold.SCORED_TABLE, lexicon_scorer(POSITIVE, NEGATIVE), max_minutes=0)
-    row = (run.scored, run.remaining, run.batches, run.complete)
-    return _kept(tables, spark.createDataFrame([row], "scored bigint, remaining bigint, batches bigint, complete boolean"))
+    silver = _silver_hn(spark, sf)
+    rows = []
+    for number, limit in ((1, 1000), (2, None)):
+        run = score_pending(silver, tables, gold.SCORED_TABLE, _HalfInTime(), max_minutes=limit)
+        rows.append((number, run.scored, run.remaining, run.complete, tables.read(gold.SCORED_TABLE).count()))
+    return _kept(tables, spark.createDataFrame(rows, "run int, scored bigint, remaining bigint, complete boolean, stored bigint"))
+
+
+@query(
+    "replies_kept",
+    f"""
+    WITH s AS (SELECT DISTINCT tool, text FROM ({frames.SILVER_LANDED}) WHERE length(text) > 10)
+    SELECT 'prompts asked' AS what, count(*) AS n FROM s
+    UNION ALL SELECT 'rows scored', count(*) FROM ({frames.SILVER_LANDED}) WHERE length(text) > 10
+    UNION ALL SELECT 'rows scored again', count(*) FROM ({frames.SILVER_LANDED}) WHERE length(text) > 10
+    """,
+)
+def _(spark, sf):
+    """A model asked for all sources' mentions, then for all of them under another table: every distinct prompt is asked once."""
+    tables = _fresh_tables(spark)
+    pages = {"hackernews": frames.hn_pages(spark, sf), "reddit": frames.reddit_submissions(spark, sf), "producthunt": frames.producthunt_pages(spark, sf)}
+    for source in refine.SOURCES:
+        LAND[source.name](tables, pages[source.name], RUN_TIME)
+        refine_source(tables, source, CATALOG, RUN_TIME)
+    asked = spark.sparkContext.accumulator(0)
+
+    def reply_to(prompts: list[str]) -> list[str]:
+        asked.add(len(prompts))
+        return ["0.5"] * len(prompts)
+
+    scorer = model_scorer(reply_to, tables=tables, model="stand-in")
+    runs = [gold.score_sources(tables, scorer, refine.SOURCES, scored_table=name) for name in ("first", "second")]
+    rows = [("prompts asked", asked.value), ("rows scored", runs[0].scored), ("rows scored again", runs[1].scored)]
+    return _kept(tables, spark.createDataFrame(rows, "what string, n bigint"))
+
+
+@query(
+    "append_nested",
+    """
+    SELECT doc_id, n_chars::BIGINT AS size, lang AS meta_lang, NULL::VARCHAR AS meta_source, lang AS item_a, NULL::BIGINT AS item_b FROM documents
+    UNION ALL SELECT doc_id, n_chars + 3000000000, lang, source, NULL, doc_id FROM documents
+    """,
+)
+def _(spark, sf):
+    """The second append brings a number beyond INT and new fields inside a struct and inside an array's structs."""
+    tables = _fresh_tables(spark)
+    docs = table(spark, sf, "documents")
+    first = docs.select("doc_id", F.col("n_chars").cast("int").alias("size"), F.struct("lang").alias("meta"), F.array(F.struct(F.col("lang").alias("a"))).alias("items"))
+    second = docs.select(
+        "doc_id", (F.col("n_chars") + 3_000_000_000).alias("size"), F.struct("source", "lang").alias("meta"),
+        F.array(F.struct(F.col("doc_id").alias("b"))).alias("items"),
+    )
+    tables.append(first, "docs")
+    tables.append(second, "docs", evolve=True)
+    item = F.element_at("items", 1)
+    return _kept(tables, tables.read("docs").select(
+        "doc_id", "size", F.col("meta.lang").alias("meta_lang"), F.col("meta.source").alias("meta_source"), item["a"].alias("item_a"), item["b"].alias("item_b")
+    ))
 
 
 @query(
@@ -1105,10 +1276,10 @@ def _(spark, sf):
     " UNION ALL ".join(
         f"SELECT '{name}' AS report, to_json(r)::VARCHAR AS content FROM (SELECT {columns} FROM ({sql.format(_FAULTY)})) r"
         for name, columns, sql in (
-            ("sentiment_by_tool_daily", "tool, post_date::VARCHAR AS day, post_count", _DAILY),
-            ("sentiment_by_tool_source", "tool, source, post_count", _BY_SOURCE),
-            ("tool_leaderboard", "tool, total_mentions, sentiment_rank", _LEADERBOARD),
-            ("sentiment_trend_weekly", "tool, week_start::DATE::VARCHAR AS week, post_count", _WEEKLY),
+            ("sentiment_by_tool_daily", "tool, post_date::VARCHAR AS day, post_count, round(avg_sentiment * 1000)::BIGINT AS avg_milli", _DAILY),
+            ("sentiment_by_tool_source", "tool, source, post_count, round(avg_sentiment * 1000)::BIGINT AS avg_milli, round(max_sentiment * 1000)::BIGINT AS max_milli", _BY_SOURCE),
+            ("tool_leaderboard", "tool, total_mentions, sentiment_rank, round(avg_sentiment * 1000)::BIGINT AS avg_milli", _LEADERBOARD),
+            ("sentiment_trend_weekly", "tool, week_start::DATE::VARCHAR AS week, post_count, round(avg_sentiment * 1000)::BIGINT AS avg_milli", _WEEKLY),
             ("top_posts_by_tool", "tool, category, url", _TOP),
         )
     ),
@@ -1119,11 +1290,12 @@ def _(spark, sf):
     tables.append(_faulty(spark, sf), gold.SCORED_TABLE)
     for _ in range(2):
         gold.rebuild_reports(tables)
+    milli = lambda c: F.round(F.col(f"{c}_sentiment") * 1000).cast("bigint").alias(f"{c}_milli")
     picked = {
-        "sentiment_by_tool_daily": ["tool", F.col("post_date").cast("string").alias("day"), "post_count"],
-        "sentiment_by_tool_source": ["tool", "source", "post_count"],
-        "tool_leaderboard": ["tool", "total_mentions", "sentiment_rank"],
-        "sentiment_trend_weekly": ["tool", F.to_date("week_start").cast("string").alias("week"), "post_count"],
+        "sentiment_by_tool_daily": ["tool", F.col("post_date").cast("string").alias("day"), "post_count", milli("avg")],
+        "sentiment_by_tool_source": ["tool", "source", "post_count", milli("avg"), milli("max")],
+        "tool_leaderboard": ["tool", "total_mentions", "sentiment_rank", milli("avg")],
+        "sentiment_trend_weekly": ["tool", F.to_date("week_start").cast("string").alias("week"), "post_count", milli("avg")],
         "top_posts_by_tool": ["tool", "category", "url"],
     }
     parts = [
