@@ -63,26 +63,27 @@ class ModelScorer:
         digest = F.sha2(F.concat(F.lit(f"{self.model}\n"), prompt), 256)
         asked = df.withColumn("_prompt", prompt).withColumn("_digest", digest)
         open_prompts = asked.filter(F.col("_prompt").isNotNull()).select("_digest", "_prompt")
-        known = None
         if self.tables is not None:
             self.tables.ensure(REPLIES, schemas.REPLY_SCHEMA)
-            known = self.tables.read(REPLIES).withColumnRenamed("digest", "_digest")
-            open_prompts = open_prompts.join(known.select("_digest"), "_digest", "left_anti")
+            open_prompts = open_prompts.join(self._kept().select("_digest"), "_digest", "left_anti")
         answers = self._answers().asNondeterministic()
         new = open_prompts.dropDuplicates(["_digest"]).select("_digest", answers(F.col("_prompt")).alias("a")).select("_digest", "a.*")
         # a model is no function of its prompt, and each call costs: what comes after must not make a second one
         new = store(new, "replies").filter("reached").select("_digest", "reply")
         if self.tables is not None:
-            kept = new.filter(F.col("reply").isNotNull())
-            self.tables.append(kept.select(F.col("_digest").alias("digest"), "reply"), REPLIES)
+            answered = F.col("reply").isNotNull()
+            self.tables.append(new.filter(answered).select(F.col("_digest").alias("digest"), "reply"), REPLIES)
             # replies of two runs at once may both be kept
-            known = among(known, asked.filter(F.col("_digest").isNotNull()), ["_digest"]).dropDuplicates(["_digest"])
-            new = new.unionByName(known)
+            kept = among(self._kept(), asked.filter(F.col("_digest").isNotNull()), ["_digest"]).dropDuplicates(["_digest"])
+            new = new.filter(~answered).unionByName(kept)
         met = asked.withColumnRenamed("_digest", "_own").join(new, F.col("_own") == F.col("_digest"), "left")
         # no prompt, no reply; a prompt that was not reached gives no row
         reached = F.col("_own").isNull() | F.col("_digest").isNotNull()
         return met.filter(reached).select(*df.columns, parse_score(F.col("reply")).alias(SCORE))
 
+    def _kept(self) -> DataFrame:
+        return self.tables.read(REPLIES).withColumnRenamed("digest", "_digest")
+
     def _answers(self):
         reply_to, deadline = self.reply_to, self.deadline
 

@@ -81,7 +81,7 @@ def keep_rejected(tables: Tables, payload: DataFrame, source: Source, ingested_a
     count = tables.append(not_in(lines, known, ["source", "file", "line"], nulls_equal=True), REJECTED_LINES)
     if count:
         AuditLog(tables).log(source.name, BRONZE_REJECTED, count, FAILED, f"{count} lines that are no payload")
-    return payload
+    return landing.payloads(payload)
 
 
 def _once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

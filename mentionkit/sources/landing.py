@@ -52,6 +52,13 @@ def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def payloads(read: DataFrame) -> DataFrame:
+    """What was read without the lines that are no payload."""
+    if REJECTED_LINE not in read.columns:
+        return read
+    return read.filter(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE, PAYLOAD_FILE)
+
+
 def rejected_lines(payload: DataFrame, source: str, ingested_at: datetime | Column | None = None) -> DataFrame | None:
     """The lines that are no payload, as rows of ``schemas.REJECTED``; None for a frame that was not read from lines."""
     if REJECTED_LINE not in payload.columns:
@@ -86,7 +93,7 @@ def hn_rows(pages: DataFrame, ingested_at: datetime | Column | None = None) -> D
 
 def reddit_rows(submissions: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
     """Submissions to rows: full permalink, epoch seconds to timestamp."""
-    return submissions.select(
+    return payloads(submissions).select(
         F.col("id").alias("object_id"),
         "query_tool",
         "subreddit",

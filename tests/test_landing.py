@@ -130,3 +130,10 @@ def test_lines_that_are_no_payload(spark, tmp_path):
     # nothing of a rejected line is taken in part
     assert [(r["id"], r["score"]) for r in read.collect() if r["id"] is not None] == [("a", 3)] * 2
     assert landing.rejected_lines(read.select("id"), "reddit") is None
+
+
+def test_rejected_submissions_give_no_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "a"}\nbroken')
+    read = landing.read_payload(spark, str(tmp_path), schemas.REDDIT_SUBMISSION)
+    assert [r["object_id"] for r in landing.reddit_rows(read, RUN).collect()] == ["a"]
+    assert landing.payloads(read).columns == schemas.REDDIT_SUBMISSION.names
