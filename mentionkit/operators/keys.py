@@ -54,9 +54,9 @@ def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], nulls_equal:
     return df.join(_theirs(existing.select(*keys).distinct(), keys), _same(keys, nulls_equal), "left_anti")
 
 
-def among(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``; keys are not NULL."""
-    return df.join(_theirs(wanted.select(*keys).distinct(), keys), _same(keys, False), "left_semi")
+def among(df: DataFrame, wanted: DataFrame, keys: Sequence[str], nulls_equal: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is in ``wanted``; keys that may be NULL need ``nulls_equal``."""
+    return df.join(_theirs(wanted.select(*keys).distinct(), keys), _same(keys, nulls_equal), "left_semi")
 
 
 def not_in_history(increment: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:

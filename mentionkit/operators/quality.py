@@ -1,7 +1,8 @@
 """Data-quality checks on scored mentions.
 
 Range, null rate, start dates and emptiness come from one aggregate over the
-table; only the uniqueness check needs a shuffle of its own.
+table; only the uniqueness check needs a shuffle of its own. Both can be kept as
+a state: counts per day, which add up, and the keys known to repeat.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
+from mentionkit.functions.times import post_date
 from mentionkit.operators.aggregates import SCORE
-from mentionkit.operators.keys import MENTION_KEY, lookup
+from mentionkit.operators.keys import MENTION_KEY, among, lookup, not_in
 
 # Score range and the share of missing scores that is still accepted.
 LOWEST, HIGHEST = -1, 1
@@ -54,15 +56,46 @@ def null_rate(scored: DataFrame) -> DataFrame:
     )
 
 
+def _metric_counts(catalog: EntityCatalog) -> dict[str, Column]:
+    s = F.col(SCORE)
+    return {
+        "total_rows": F.count(F.lit(1)),
+        "out_of_range": F.count_if(is_out_of_range(s)),
+        "null_scores": F.count_if(s.isNull()),
+        "before_launch": F.count_if(is_before_launch(catalog)),
+    }
+
+
+def _with_null_pct(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("null_pct", F.coalesce(F.round(F.try_divide(F.col("null_scores") * 100, "total_rows"), 2), F.lit(0.0)))
+
+
 def quality_metrics(scored: DataFrame, catalog: EntityCatalog) -> DataFrame:
     """One row with the counts behind the checks, from one pass."""
-    s = F.col(SCORE)
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(is_out_of_range(s)).alias("out_of_range"),
-        F.count_if(s.isNull()).alias("null_scores"),
-        F.count_if(is_before_launch(catalog)).alias("before_launch"),
-    ).withColumn("null_pct", F.coalesce(F.round(F.try_divide(F.col("null_scores") * 100, "total_rows"), 2), F.lit(0.0)))
+    return _with_null_pct(scored.agg(*[c.alias(name) for name, c in _metric_counts(catalog).items()]))
+
+
+def metrics_by_day(scored: DataFrame, catalog: EntityCatalog) -> DataFrame:
+    """The same counts per day of ``created_at``; they add up. Rows without a time have a day of their own, NULL."""
+    counts = [c.alias(name) for name, c in _metric_counts(catalog).items()]
+    return scored.groupBy(post_date(F.col("created_at")).alias("post_date")).agg(*counts)
+
+
+def summed_metrics(by_day: DataFrame) -> DataFrame:
+    """The row of ``quality_metrics`` from counts per day."""
+    names = ("total_rows", "out_of_range", "null_scores", "before_launch")
+    return _with_null_pct(by_day.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names]))
+
+
+def merge_repeated(before: DataFrame, scored: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, n`` of the keys that occur more than once, brought up to date.
+
+    ``before`` holds those known so far, ``touched`` the distinct keys, stored, of all rows added since. A key can only have become a repeated one if it
+    is touched, so the rows of these are counted again, and the rest stays as it was. The table's keys are cut to the touched ones first: few of them
+    are broadcast, by the size of their files, and earlier keys do not travel.
+    """
+    again = duplicate_keys(among(scored.select(*keys), touched, keys, nulls_equal=True), keys)
+    return not_in(before, touched, keys, nulls_equal=True).unionByName(again)
 
 
 def quality_report(
@@ -77,6 +110,17 @@ def quality_report(
     """
     missing = missing_scored_columns(scored)
     scored = scored.withColumns({c: F.lit(None).cast(schemas.SCORED[c].dataType) for c in missing})
+    return report_from(quality_metrics(scored, catalog), duplicate_keys(scored, keys), max_null_pct, keys, missing)
+
+
+def report_from(
+    metrics: DataFrame,
+    repeated: DataFrame,
+    max_null_pct: float = MAX_NULL_PCT,
+    keys: Sequence[str] = MENTION_KEY,
+    missing: Sequence[str] = (),
+) -> DataFrame:
+    """The report from the counts of ``quality_metrics`` and the repeated keys, which may come from the table or from a state."""
     share = F.concat(F.lit("rows without a score ("), "null_pct", F.lit(f" %), above {max_null_pct:g} %"))
     checks = [
         ("columns", "missing", F.col("missing") == 0, f"missing columns: {', '.join(missing)}"),
@@ -95,14 +139,14 @@ def quality_report(
         )
         for name, count, passed, issue in checks
     ]
-    metrics = quality_metrics(scored, catalog).withColumns({
+    metrics = metrics.withColumns({
         "empty": F.when(F.col("total_rows") == 0, 1).otherwise(0).cast("bigint"),
         "missing": F.lit(len(missing)).cast("bigint"),
     })
     one_pass = metrics.select(F.inline(F.array(*rows)))
 
-    repeated = duplicate_keys(scored, keys).agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    unique = repeated.select(
+    counted = repeated.agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    unique = counted.select(
         F.lit("unique_keys").alias("check"),
         "violations",
         "total",

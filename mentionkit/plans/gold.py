@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -13,9 +14,9 @@ from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
 from mentionkit.functions.times import post_date
 from mentionkit.operators import aggregates as agg
+from mentionkit.operators import quality
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
 from mentionkit.operators.keys import SCORED_KEY
-from mentionkit.operators.quality import issue_summary, quality_report
 from mentionkit.operators.ranking import merge_ends, top_bottom_ends, top_bottom_posts
 from mentionkit.operators.refine import HACKERNEWS, REDDIT, Source, union_sources
 from mentionkit.operators.scoring import Scorer, ScoringRun, score_pending
@@ -24,7 +25,8 @@ from mentionkit.sources.tables import Tables
 
 SCORED_TABLE = "sentiment_scored"
 ROLLUP_TABLE, TOP_STATE, REPORT_DAYS = "sentiment_rollup", "top_posts_state", "report_days"
-OPEN, FOLDED = "open", "folded"
+QUALITY_DAYS, REPEATED_KEYS = "quality_by_day", "repeated_keys"
+OPEN, FOLDED, CHECKED = "open", "folded", "checked"
 GOLD, QUALITY, ALL_SOURCES = "gold", "gold_dq_check", "all"
 # sources scored unless others are named
 SCORED_SOURCES = (HACKERNEWS, REDDIT)
@@ -50,10 +52,14 @@ def score_sources(
 
 
 def check_quality(tables: Tables, catalog: EntityCatalog, scored_table: str = SCORED_TABLE) -> DataFrame:
-    """Run the checks and log the outcome; a failed check is logged, not raised."""
-    report = store(quality_report(tables.read(scored_table), catalog, keys=SCORED_KEY), "quality")
+    """Run the checks over all scored rows and log the outcome; a failed check is logged, not raised."""
+    return _logged(tables, quality.quality_report(tables.read(scored_table), catalog, keys=SCORED_KEY))
+
+
+def _logged(tables: Tables, report: DataFrame) -> DataFrame:
+    report = store(report, "quality")
     total = report.filter("check = 'not_empty'").first()["total"]
-    issues = issue_summary(report).first()["issues"]
+    issues = quality.issue_summary(report).first()["issues"]
     AuditLog(tables).log(ALL_SOURCES, QUALITY, total, FAILED if issues else SUCCESS, issues)
     return report
 
@@ -116,23 +122,61 @@ def fold_reports(tables: Tables, scored_table: str = SCORED_TABLE) -> DataFrame:
     rows per tool that is merged with those of the touched days. Four reports follow from the roll-up, the fifth from the state; scored rows of other days
     are not read if the scored table is laid out by the day of ``created_at``, and skipped by statistics if not. The first fold takes in all rows.
     """
-    tables.ensure(REPORT_DAYS, schemas.REPORT_DAY_SCHEMA)
-    log = tables.read(REPORT_DAYS)
-    folded = log.filter(F.col("state") == FOLDED).select("run").distinct()
-    todo = store(log.filter(F.col("state") == OPEN).join(folded, "run", "left_anti").select("run", "day"), "report-days")
+    todo = _still_open(tables, FOLDED)
     first = not (tables.exists(ROLLUP_TABLE) and tables.exists(TOP_STATE))
-    if first:
-        touched = tables.read(scored_table)
-    else:
-        # at most one per day of the reports' life
-        days = [r["day"] for r in todo.select("day").distinct().collect()]
-        touched = tables.read_days(scored_table, days, "created_at")
+    touched = tables.read(scored_table) if first else _touched_rows(tables, scored_table, todo)
     tables.replace_days(agg.daily_rollup(touched), ROLLUP_TABLE, "post_date")
     ends = top_bottom_ends(touched) if first else merge_ends(tables.read(TOP_STATE), top_bottom_ends(touched))
     # written first, as it is read from the table that it replaces
     tables.replace(store(ends, "top-state"), TOP_STATE)
     counts = _replace_reports(tables, _from_rollup(tables.read(ROLLUP_TABLE), tables.read(TOP_STATE).drop("post_id")))
-    done = todo.select("run").distinct().select(F.col("run"), F.lit(None).cast("date").alias("day"))
-    now = F.lit(datetime.now(timezone.utc))
-    tables.append(done.select("run", "day", F.lit(FOLDED).alias("state"), now.alias("run_timestamp")), REPORT_DAYS)
+    _close(tables, todo, FOLDED)
     return counts
+
+
+def _still_open(tables: Tables, state: str) -> DataFrame:
+    """``run, day`` of the runs that have not come to ``state``."""
+    tables.ensure(REPORT_DAYS, schemas.REPORT_DAY_SCHEMA)
+    log = tables.read(REPORT_DAYS)
+    done = log.filter(F.col("state") == state).select("run").distinct()
+    return store(log.filter(F.col("state") == OPEN).join(done, "run", "left_anti").select("run", "day"), "report-days")
+
+
+def _touched_rows(tables: Tables, scored_table: str, todo: DataFrame) -> DataFrame:
+    # at most one per day of the reports' life
+    days = [r["day"] for r in todo.select("day").distinct().collect()]
+    return tables.read_days(scored_table, days, "created_at")
+
+
+def _close(tables: Tables, todo: DataFrame, state: str) -> None:
+    runs = todo.select("run", F.lit(None).cast("date").alias("day")).distinct()
+    tables.append(runs.select("run", "day", F.lit(state).alias("state"), F.lit(datetime.now(timezone.utc)).alias("run_timestamp")), REPORT_DAYS)
+
+
+def fold_quality(tables: Tables, catalog: EntityCatalog, scored_table: str = SCORED_TABLE) -> DataFrame:
+    """The checks of ``check_quality``, logged likewise, from a state that is brought up to date with the days touched since the last check.
+
+    Counts are kept per day: the touched days are counted again from their rows and take the place of what was there, so a check that died or is repeated
+    gives the same. Repeated keys are kept in a table: only keys of touched days are counted again. Of other days, key columns alone are read, and no
+    key of them is shuffled if the touched ones are few. The first check takes in all rows, and so does one after the start dates have changed.
+    """
+    if quality.missing_scored_columns(tables.read(scored_table)):
+        return check_quality(tables, catalog, scored_table)
+    todo = _still_open(tables, CHECKED)
+    starts = hashlib.sha256(repr(sorted((tool, day.isoformat()) for tool, day in catalog.starts.items())).encode()).hexdigest()
+    first = not (tables.exists(QUALITY_DAYS) and tables.exists(REPEATED_KEYS))
+    if not first:
+        first = not tables.read(QUALITY_DAYS).filter(F.col("starts") != starts).isEmpty()
+    scored = tables.read(scored_table)
+    touched = scored if first else _touched_rows(tables, scored_table, todo)
+    if first:
+        repeated = quality.duplicate_keys(scored, SCORED_KEY)
+    else:
+        keys = store(touched.select(*SCORED_KEY).distinct(), "touched-keys")
+        repeated = quality.merge_repeated(tables.read(REPEATED_KEYS), scored, keys, SCORED_KEY)
+    tables.replace_days(quality.metrics_by_day(touched, catalog).withColumn("starts", F.lit(starts)), QUALITY_DAYS, "post_date")
+    # written first, as it is read from the table that it replaces
+    tables.replace(store(repeated, "repeated-keys"), REPEATED_KEYS)
+    report = _logged(tables, quality.report_from(quality.summed_metrics(tables.read(QUALITY_DAYS)), tables.read(REPEATED_KEYS), keys=SCORED_KEY))
+    _close(tables, todo, CHECKED)
+    return report

@@ -78,6 +78,6 @@ def run_all(
         landed={name: landed for name, (landed, _) in done.items()},
         refined={name: refined for name, (_, refined) in done.items()},
         scoring=scoring,
-        quality=gold.check_quality(tables, catalog),
+        quality=gold.fold_quality(tables, catalog),
         counts=gold.fold_reports(tables) if scoring.complete or partial_reports else None,
     )

@@ -1,14 +1,16 @@
 import random
 import uuid
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from mentionkit import schemas
-from mentionkit.catalog import AI_TOOLS
+from mentionkit.catalog import AI_TOOLS, Entity, EntityCatalog
 from mentionkit.operators import marks
 from mentionkit.operators.audit import AUDIT_TABLE
+from mentionkit.operators.keys import SCORED_KEY, among
+from mentionkit.operators.quality import quality_report
 from mentionkit.operators.refine import HACKERNEWS, SOURCES
 from mentionkit.operators.scoring import lexicon_scorer
 from mentionkit.plans import gold
@@ -16,6 +18,7 @@ from mentionkit.plans.land import REJECTED_LINES, land_hackernews, land_producth
 from mentionkit.plans.run import run_all
 from mentionkit.plans.silver import MARK_TABLE, refine_source, stored_mark
 from mentionkit.sources import landing
+from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 RUN = datetime(2025, 6, 1)
@@ -323,6 +326,75 @@ def test_a_fold_reads_the_touched_days_only(spark, tables, monkeypatch):
     assert {r["post_date"].day: r["post_count"] for r in own.read("sentiment_by_tool_daily").collect()} == {1: 5, 2: 10, 3: 5}
 
 
+def _checks(report):
+    return sorted(map(str, report.collect()))
+
+
+def test_folded_checks_are_those_of_the_whole_table(spark, tables):
+    """Keys that repeat within a run, in a later one on another day, a third time, without a time, and without an id."""
+    runs = [
+        [("1", "a", 1, 0.5), ("2", "a", 1, 7.0), ("2", "a", 1, None), (None, "a", 2, 0.1)],
+        [("1", "a", 5, 0.5), ("3", "a", None, None)],
+        [("1", "a", None, 0.5), ("3", "a", 1, 0.0), ("4", "b", 2, -3.0), (None, "a", 6, 0.1)],
+        [],
+    ]
+    seen = []
+    for rows in runs:
+        part = _scored(spark, *rows)
+        gold.open_days(tables, part)
+        tables.append(part, gold.SCORED_TABLE)
+        whole = _checks(quality_report(tables.read(gold.SCORED_TABLE), AI_TOOLS, keys=SCORED_KEY))
+        assert _checks(gold.fold_quality(tables, AI_TOOLS)) == whole
+        seen.append({r["post_id"]: r["n"] for r in tables.read(gold.REPEATED_KEYS).collect()})
+    assert seen == [{"2": 2}, {"2": 2, "1": 2}, {"2": 2, "1": 3, "3": 2, None: 2}, {"2": 2, "1": 3, "3": 2, None: 2}]
+
+
+def test_folded_checks_survive_a_death_at_any_place(spark, tables, monkeypatch):
+    first, second = [("1", "a", 1, 0.5), ("2", "a", 2, 9.0)], [("1", "a", 3, 0.5), ("2", "a", 2, 9.0)]
+    for rows in (first, second):
+        part = _scored(spark, *rows)
+        gold.open_days(tables, part)
+        tables.append(part, gold.SCORED_TABLE)
+        for dies in ("replace", "append"):
+            with monkeypatch.context() as broken:
+                broken.setattr(Tables, dies, lambda *a, **k: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    gold.fold_quality(tables, AI_TOOLS)
+        report = gold.fold_quality(tables, AI_TOOLS)
+        assert _checks(report) == _checks(quality_report(tables.read(gold.SCORED_TABLE), AI_TOOLS, keys=SCORED_KEY))
+
+
+def test_a_check_counts_the_touched_days_only(spark, tables, monkeypatch):
+    own = Tables(spark, prefix=tables.prefix, by_day={gold.SCORED_TABLE: "created_at"})
+    seen = []
+    reader = Tables.read_days
+
+    def watched(self, table, days, *more):
+        seen.append(sorted(d.day for d in days))
+        return reader(self, table, days, *more)
+
+    monkeypatch.setattr(Tables, "read_days", watched)
+    for day in (1, 2, 3, 2):
+        rows = _scored(spark, *[(f"{day}-{len(seen)}-{i}", "a", day, 0.5) for i in range(5)])
+        gold.open_days(own, rows)
+        own.append(rows, gold.SCORED_TABLE)
+        gold.fold_quality(own, AI_TOOLS)
+    assert seen == [[2], [3], [2]]
+    # another start date changes the counts of all days
+    later = EntityCatalog((Entity("a", ("a",), (), date(2026, 1, 1)),))
+    report = {r["check"]: r["violations"] for r in gold.fold_quality(own, later).collect()}
+    assert seen == [[2], [3], [2]] and report["launch_dates"] == 20 and report["unique_keys"] == 0
+
+
+def test_history_keys_are_not_shuffled_for_few_touched_keys(spark, tables):
+    tables.append(_scored(spark, *[(str(i), "a", 1, 0.5) for i in range(50)]), gold.SCORED_TABLE)
+    touched = store(tables.read(gold.SCORED_TABLE).filter("post_id = '7'").select(*SCORED_KEY).distinct(), "touched")
+    cut = among(tables.read(gold.SCORED_TABLE).select(*SCORED_KEY), touched, SCORED_KEY, nulls_equal=True)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "ReadSchema: struct<post_id:string,source:string,tool:string>" in plan
+
+
 def test_run_time_is_now_unless_given(spark, tables):
     """Rows and log entries of a run without a run time carry the present one."""
     began = datetime.now().replace(microsecond=0)

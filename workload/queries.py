@@ -1147,6 +1147,21 @@ def _(spark, sf):
     return _kept(tables, tables.read("top_posts_by_tool"))
 
 
+@query("quality_folded", _REPORT.replace("GROUP BY post_id, tool", "GROUP BY source, post_id, tool").replace("(post_id, tool) pairs", "(source, post_id, tool) pairs"))
+def _(spark, sf):
+    """The checks after each of three runs, whose keys repeat within and across runs, and once more for the last run, as after a crash."""
+    tables = _fresh_tables(spark, by_day={gold.SCORED_TABLE: "created_at"})
+    number = F.col("post_id").cast("bigint")
+    rows = _faulty(spark, sf).withColumn("_run", number % 3).withColumn("post_id", F.col("author"))
+    for run in range(3):
+        part = rows.filter(F.col("_run") == run).drop("_run")
+        gold.open_days(tables, part)
+        tables.append(part, gold.SCORED_TABLE)
+        gold.fold_quality(tables, EVENT_CATALOG)
+    gold.open_days(tables, part)
+    return _kept(tables, gold.fold_quality(tables, EVENT_CATALOG))
+
+
 _LINKED = "'*See* [' || url || '](' || url || ') and [' || page_id || '](#a) [] (' || url || ')'"
 
 
