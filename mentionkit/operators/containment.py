@@ -3,6 +3,10 @@
 Substring containment has no join key of its own. It gets one: an alias can only
 occur in a text that holds the alias's first few characters, so texts and aliases
 meet on that anchor and the pairs that meet are checked for containment.
+
+A table of bits, set for the anchors of the aliases, is tested where the text lies, so only
+starts that can be an anchor reach the join. It has one size; when most of its bits are
+set it lets more through, which costs time only, as the join that follows is exact.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import functions as F
 from mentionkit.operators.keys import lookup
 
 ANCHOR_CHARS = 6
+TABLE_WORDS = 1 << 15
+"""Words of 64 bits in the table of anchors: 256 KiB, the size at any number of aliases."""
 
 
 def _anchors_in(text: Column, length: int) -> Column:
@@ -23,6 +29,32 @@ def _anchors_in(text: Column, length: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1)))
 
 
+def _place(anchor: Column) -> tuple[Column, Column]:
+    """The word and the mask of an anchor's bit."""
+    slot = F.pmod(F.xxhash64(anchor), F.lit(TABLE_WORDS * 64))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+    return F.shiftright(slot, 6).cast("int"), mask
+
+
+def _bit_table(anchored: DataFrame) -> Column:
+    """The bits of the column ``_anchor`` as an array of words: one value, computed once and sent to the tasks like a literal."""
+    word, mask = _place(F.col("_anchor"))
+    bits = anchored.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+    words = anchored.sparkSession.range(TABLE_WORDS).join(bits, F.col("id") == F.col("word"), "left")
+    numbered = F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))
+    return words.agg(F.transform(F.array_sort(numbered), lambda w: w["bits"])).scalar()
+
+
+def possible_anchors(texts: DataFrame, keys: Sequence[str], lowered: str, anchored: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``keys, _anchor``: the distinct substrings of each text, of the given lengths, that may be an anchor."""
+    grams = F.flatten(F.array(*[_anchors_in(F.col(lowered), n) for n in sorted(lengths)]))
+
+    # the outer form keeps the optimizer from cutting twice, for an inferred filter on the size; the test is generated code
+    starts = texts.select(*keys, F.explode_outer(grams).alias("_anchor"))
+    word, mask = _place(F.col("_anchor"))
+    return starts.filter(F.col("_anchor").isNotNull() & (F.get(_bit_table(anchored), word).bitwiseAND(mask) != 0))
+
+
 def alias_hits(
     texts: DataFrame,
     keys: Sequence[str],
@@ -36,12 +68,11 @@ def alias_hits(
     """
     anchored = aliases.withColumn("_anchor", F.left("alias", F.lit(ANCHOR_CHARS)))
     # at most ANCHOR_CHARS values
-    lengths = [r["n"] for r in anchored.select(F.length("_anchor").alias("n")).distinct().collect()]
+    lengths = [r["n"] for r in anchored.select(F.length("_anchor").alias("n")).distinct().collect()] or [ANCHOR_CHARS]
 
     hashed = texts.select(*keys, lowered, F.xxhash64(lowered).alias("_text"))
-    grams = F.flatten(F.array(*[_anchors_in(F.col(lowered), n) for n in sorted(lengths)]))
     # the text stays behind: only its hash travels with the anchors, and texts are shuffled once, to be checked
-    narrow = hashed.select(*keys, "_text", F.explode_outer(grams).alias("_anchor"))
+    narrow = possible_anchors(hashed, [*keys, "_text"], lowered, anchored, lengths)
     per_text = lookup(narrow, anchored, ["_anchor"], "inner").drop("_anchor").distinct()
     checked = hashed.join(per_text, [*keys, "_text"])
     return checked.filter(F.contains(F.col(lowered), F.col("alias"))).select(*keys, "tool", "alias", "tier").distinct()

@@ -16,7 +16,7 @@ from mentionkit.functions.times import post_date
 from mentionkit.operators import aggregates as agg
 from mentionkit.operators import quality
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
-from mentionkit.operators.keys import SCORED_KEY
+from mentionkit.operators.keys import SCORED_KEY, not_in
 from mentionkit.operators.ranking import merge_ends, top_bottom_ends, top_bottom_posts
 from mentionkit.operators.refine import HACKERNEWS, REDDIT, Source, union_sources
 from mentionkit.operators.scoring import Scorer, ScoringRun, score_pending
@@ -174,8 +174,11 @@ def fold_quality(tables: Tables, catalog: EntityCatalog, scored_table: str = SCO
     else:
         keys = store(touched.select(*SCORED_KEY).distinct(), "touched-keys")
         repeated = quality.merge_repeated(tables.read(REPEATED_KEYS), scored, keys, SCORED_KEY)
-    tables.replace_days(quality.metrics_by_day(touched, catalog).withColumn("starts", F.lit(starts)), QUALITY_DAYS, "post_date")
-    # written first, as it is read from the table that it replaces
+    days = store(quality.metrics_by_day(touched, catalog).withColumn("starts", F.lit(starts)), "quality-days")
+    if not first:
+        days = days.unionByName(not_in(tables.read(QUALITY_DAYS), days, ["post_date"], nulls_equal=True))
+    # written first, as both are read from the tables that they replace
+    tables.replace(store(days, "quality-days"), QUALITY_DAYS)
     tables.replace(store(repeated, "repeated-keys"), REPEATED_KEYS)
     report = _logged(tables, quality.report_from(quality.summed_metrics(tables.read(QUALITY_DAYS)), tables.read(REPEATED_KEYS), keys=SCORED_KEY))
     _close(tables, todo, CHECKED)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from mentionkit.catalog import AI_TOOLS, Entity, EntityCatalog
 from mentionkit.functions import matching
 from mentionkit.functions.matching import contains_any, explode_matches, with_matches
-from mentionkit.operators.containment import mentions_by_table
+from mentionkit.operators import containment
+from mentionkit.operators.containment import alias_hits, mentions_by_table, possible_anchors
 
 CASES = [
     # strong aliases need no context
@@ -114,6 +115,22 @@ def test_alias_table_equals_brute_force(spark, threshold):
     assert set(rows_got) == want and len(rows_got) == len(want)
 
 
+def test_few_starts_of_a_text_reach_the_join(spark, monkeypatch):
+    aliases = spark.createDataFrame([("A", "claude code", "strong"), ("B", "xy", "strong")], "tool string, alias string, tier string")
+    anchored = aliases.withColumn("_anchor", F.left("alias", F.lit(6)))
+    words = " ".join(f"word{i * 7919}" for i in range(500))
+    texts = spark.createDataFrame([(1, words + " claude code"), (2, words), (3, ""), (4, None), (5, "claude cod xy")], "id int, lowered string")
+    met = possible_anchors(texts, ["id"], "lowered", anchored, [2, 6]).collect()
+    assert {("claude", 1), ("claude", 5), ("xy", 5)} <= {(r["_anchor"], r["id"]) for r in met} and len(met) <= 6
+    want = {(1, "A"), (5, "B")}
+    assert {(r["id"], r["tool"]) for r in alias_hits(texts, ["id"], "lowered", aliases).collect()} == want
+    # a full table lets everything through, and the result is the same
+    monkeypatch.setattr(containment, "TABLE_WORDS", 1)
+    crowded = aliases.unionByName(spark.createDataFrame([("C", f"q{i:05d}", "strong") for i in range(2000)], aliases.schema))
+    assert {(r["id"], r["tool"]) for r in alias_hits(texts, ["id"], "lowered", crowded).collect()} == want
+    assert alias_hits(texts, ["id"], "lowered", aliases.limit(0)).collect() == []
+
+
 def test_expansion_runs_the_matcher_once(spark):
     """No inferred size filter below the projection that matches."""
     df = spark.createDataFrame([(1, "claude ai")], "i int, text string").withColumn("text", F.trim("text"))
