@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +133,42 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * self.evidence(parts, len(found)) + self.offset)))), significant
 
 
+def _columns(scores: dict[str, float]) -> pa.Table:
+    return pa.table({"w": pa.array(scores.keys(), pa.string()), "s": pa.array(scores.values(), pa.float64())})
+
+
+def _entries(scores: pa.Table) -> dict[str, float]:
+    return dict(zip(scores["w"].to_pylist(), scores["s"].to_pylist()))
+
+
+@dataclass
+class Learned:
+    """A model as the driver holds it: words and stems stay columns, and only tasks make dictionaries of them."""
+
+    words: pa.Table
+    stems: pa.Table
+    curve: Model
+    """Scale and curve; no words."""
+
+    def model(self) -> Model:
+        return Model(_entries(self.words), _entries(self.stems), self.curve.scale, self.curve.log_k, self.curve.slope, self.curve.offset)
+
+
+class _Opened:
+    """A broadcast model, of which each Python worker makes one dictionary."""
+
+    def __init__(self, learned: Learned | None) -> None:
+        self.learned, self._model = learned, None
+
+    def __getstate__(self) -> dict:
+        return {"learned": self.learned, "_model": None}
+
+    def model(self) -> Model | None:
+        if self._model is None and self.learned is not None:
+            self._model, self.learned = self.learned.model(), None
+        return self._model
+
+
 def passages(model: Model, text: str, least: float = 3.0) -> list[tuple[int, int, float]]:
     """Every significant toxic passage of a text as (start, end, evidence), in code points of the lower-cased text."""
     spans = [m.span() for m in _TOKEN.finditer(text.lower())]
@@ -193,6 +230,10 @@ def family(rows: list[tuple[str, int, int]], rate: float) -> tuple[dict[str, flo
 
 
 def _scored(words: DataFrame, rate: float) -> Model:
+    return _learned(words, rate).model()
+
+
+def _learned(words: DataFrame, rate: float) -> Learned:
     """The scores to keep, worked out family by family on the executors."""
 
     def scored(batches):
@@ -212,11 +253,16 @@ def _scored(words: DataFrame, rate: float) -> Model:
         sizes = kept.groupBy("first", "seen").count().toPandas().sort_values(["seen", "first"], ascending=[False, True])
         fits = sizes["first"][sizes["count"].cumsum() <= VOCABULARY].tolist()
         kept = kept.join(kept.sparkSession.createDataFrame([(f,) for f in fits], "first string"), "first")
-    read = lambda word: dict(kept.where(F.col("word") == word).select("w", "s").toPandas().itertuples(index=False, name=None))
-    return Model(read(True), read(False))
+    read = lambda word: kept.where(F.col("word") == word).select("w", "s").toArrow()
+    return Learned(read(True), read(False), Model({}, {}))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
+    learned = _fit(docs, labels)
+    return None if learned is None else learned.model()
+
+
+def _fit(docs: DataFrame, labels: DataFrame) -> Learned | None:
     small_batches(docs.sparkSession)
     learn = labels.where(~held_out(F.col("doc_id")))
     sample = labelled_sample(docs, learn, "toxic", SAMPLE).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
@@ -224,30 +270,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     words, rate = _counts(sample.where(~part))
     if rate is None:
         return None
-    return _calibrated(_scored(words, rate), sample.where(part))
+    return _calibrated(_learned(words, rate), sample.where(part))
 
 
-def _calibrated(model: Model, sample: DataFrame) -> Model:
+def _calibrated(learned: Learned, sample: DataFrame) -> Learned:
     """Lambda and K from clean texts, then the logistic curve, all on rows whose counts the model has not seen."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared, model = sample.sparkSession.sparkContext.broadcast(_Opened(learned)), learned.curve
 
     @F.pandas_udf("struct<n: bigint, bins: array<bigint>, places: array<bigint>, best: array<double>>")
     def digest(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
-            scores = shared.value.scores(tokens(t))
+            scores = shared.value.model().scores(tokens(t))
             places, counts = np.unique(np.round(np.array(scores) * 4).astype(np.int64), return_counts=True)
             best = heapq.nlargest(_MOST_SEGMENTS, (s for s, _, _ in segments(scores)))
             out.append((len(scores), counts.tolist(), places.tolist(), best))
         return pd.DataFrame(out, columns=["n", "bins", "places", "best"])
 
-    rows = sample.select("y", digest(text_of()).alias("d")).select("y", "d.*").collect()
-    counts: dict[int, int] = {}
-    for r in rows:
-        if not r["y"]:
-            for place, c in zip(r["places"], r["bins"]):
-                counts[place] = counts.get(place, 0) + c
-    model.scale = _lambda(counts)
+    digests = store(sample.select("y", digest(text_of()).alias("d")).select("y", "d.*"), "toxic-digests")
+    # no later task needs the model in this form
+    shared.destroy()
+    bins = digests.where("y = 0").select(F.explode(F.arrays_zip("places", "bins")).alias("b")).groupBy("b.places").agg(F.sum("b.bins").alias("n"))
+    model.scale = _lambda(dict(sorted((r["places"], r["n"]) for r in bins.collect())))
+    rows = digests.select("y", "n", "best").collect()
     gumbel = [model.scale * r["best"][0] - math.log(r["n"]) for r in rows if not r["y"] and r["best"]]
     if gumbel:
         # the mean of the greatest of n is (log(K n) + Euler's number) / lambda
@@ -255,7 +300,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     x = np.array([model.evidence([(s, 0, 0) for s in r["best"]], r["n"]) for r in rows])
     y = np.array([r["y"] for r in rows], dtype=float)
     model.slope, model.offset = _logistic(x, y)
-    return model
+    return learned
 
 
 def _lambda(counts: dict[int, int]) -> float:
@@ -292,12 +337,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, passages``, the last the number of significant ones."""
-    model = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(_Opened(_fit(docs, labels)))
 
     @F.pandas_udf("struct<score: double, passages: bigint>")
     def score(texts: pd.Series) -> pd.DataFrame:
-        model = shared.value
+        model = shared.value.model()
         return pd.DataFrame([model.score(t) if model else (0.0, 0) for t in texts], columns=["score", "passages"])
 
     rows = docs.select("doc_id", score.asNondeterministic()(text_of()).alias("s"))

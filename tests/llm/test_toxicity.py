@@ -118,3 +118,16 @@ def test_a_full_model_drops_whole_families(spark, monkeypatch):
     cut = toxicity._scored(words, 0.12)
     first = lambda d: {w: s for w, s in d.items() if w.startswith("cock")}
     assert cut.words == first(whole.words) and cut.stems == first(whole.stems)
+
+
+def test_the_driver_holds_columns_only(spark, tables):
+    """What is learned is kept and sent as columns; a dictionary of its words is made in the tasks."""
+    docs, labels = tables
+    learned = toxicity._fit(docs.where("doc_id < 3000"), labels)
+    assert not learned.curve.words and not learned.curve.stems
+    model = learned.model()
+    assert len(model.words) == learned.words.num_rows > 0 and len(model.stems) == learned.stems.num_rows > 0
+    entries = len(model.words) + len(model.stems)
+    assert learned.words.nbytes + learned.stems.nbytes < 40 * entries
+    opened = toxicity._Opened(learned)
+    assert opened.model().words == model.words and opened.model() is opened.model()
