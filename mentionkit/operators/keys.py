@@ -7,6 +7,7 @@ No function here starts a job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -68,6 +69,60 @@ def not_in_history(increment: DataFrame, history: DataFrame, keys: Sequence[str]
     return not_in(increment, among(history.select(*keys), increment, keys), keys)
 
 
+_SIEVE_BITS = 16
+"""Bits per key in the table of a sieve."""
+_SIEVE_WORDS = 1 << 20
+"""At most so many words of 64 bits, 8 MiB. A fuller table lets more through, which costs a shuffle of those rows only."""
+
+
+def may_be_in(listed: DataFrame, keys: Sequence[str], count: int) -> Column:
+    """Whether a row's key may be among the ``count`` keys of the stored frame ``listed``; false is certain.
+
+    The keys set one bit each in a table that is computed once and sent to the tasks like a literal, so no row is shuffled for the test.
+    """
+    if not count:
+        return F.lit(False)
+    words = min(_SIEVE_WORDS, 1 << math.ceil(math.log2(max(1, count * _SIEVE_BITS / 64))))
+
+    slot = F.pmod(F.xxhash64(*keys), F.lit(words * 64))
+    word, mask = F.shiftright(slot, 6).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+    bits = listed.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+    table = listed.sparkSession.range(words).join(bits, F.col("id") == F.col("word"), "left")
+    numbered = F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))
+    whole = table.agg(F.transform(F.array_sort(numbered), lambda w: w["bits"])).scalar()
+    return F.get(whole, word).bitwiseAND(mask) != 0
+
+
+def key_counts(df: DataFrame, keys: Sequence[str], existing: DataFrame | None = None, nulls_equal: bool = False) -> DataFrame:
+    """The keys of ``df``, their number of rows ``copies``, and ``wanted``: true if ``existing`` does not have the key. Key columns only are read."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return counts.withColumn("wanted", F.lit(True)) if existing is None else unless_in(counts, existing, keys, nulls_equal)
+
+
+def unless_in(counts: DataFrame, existing: DataFrame, keys: Sequence[str], nulls_equal: bool = False) -> DataFrame:
+    """``keys, copies, wanted``: keys that ``existing`` has are not wanted."""
+    theirs = _theirs(existing.select(*keys).distinct(), keys).withColumn("_there", F.lit(True))
+    return counts.join(theirs, _same(keys, nulls_equal), "left").select(*keys, "copies", F.col("_there").isNull().alias("wanted"))
+
+
+def pick(df: DataFrame, seen: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), nulls_equal: bool = False) -> DataFrame:
+    """One row per wanted key, the first by ``order`` as in ``keep_first``, without a shuffle of most rows.
+
+    ``seen`` is stored and has every key of ``df`` once, with its number of rows ``copies`` and whether it is ``wanted``. A row that cannot
+    be a copy or unwanted is taken where it lies, one that cannot be wanted is left there; only the others, which are few unless keys repeat, are
+    compared exactly. Counts ``seen``, so it starts a job. Rows whose key has a NULL are taken with ``nulls_equal`` only.
+    """
+    wanted = F.col("wanted")
+    doubtful = ~wanted | (F.col("copies") > 1)
+    asked, doubts = seen.agg(F.count_if(wanted), F.count_if(doubtful)).first()
+    in_doubt = may_be_in(seen.filter(doubtful), keys, doubts)
+    if not nulls_equal:
+        df = df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    at_once = df.filter(~in_doubt)
+    rest = df.filter(in_doubt & may_be_in(seen.filter(wanted), keys, asked))
+    return at_once.unionByName(keep_first(among(rest, seen.filter(wanted), keys, nulls_equal), keys, order))
+
+
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a looked-up table; a row without a key meets the entry without one."""
     if how not in ("left", "inner"):

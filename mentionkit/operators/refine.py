@@ -15,7 +15,8 @@ from mentionkit.catalog import EntityCatalog
 from mentionkit.functions.matching import explode_matches, with_matches
 from mentionkit.functions.text import clean_text
 from mentionkit.functions.times import parse_iso
-from mentionkit.operators.keys import MENTION_KEY, keep_first, lookup
+from mentionkit.operators.keys import MENTION_KEY, among, keep_first, key_counts, lookup, pick
+from mentionkit.sources.shared import store
 
 
 @dataclass(frozen=True)
@@ -134,6 +135,12 @@ def latest_copy(mentions: DataFrame) -> DataFrame:
     return keep_first(mentions, MENTION_KEY, [F.desc_nulls_last("ingested_at")])
 
 
+def new_mentions(mentions: DataFrame, silver: DataFrame) -> DataFrame:
+    """What ``latest_copy`` gives for stored mentions, without those that ``silver`` has; texts do not travel, but for copies."""
+    seen = store(key_counts(mentions, MENTION_KEY, among(silver.select(*MENTION_KEY), mentions, MENTION_KEY)), "mention-keys")
+    return pick(mentions, seen, MENTION_KEY, [F.desc_nulls_last("ingested_at")])
+
+
 def refine(
     bronze: DataFrame,
     source: Source,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mentionkit import schemas
 from mentionkit.functions.scores import build_prompt, is_scorable, lexicon_score, parse_score
 from mentionkit.operators.aggregates import SCORE
-from mentionkit.operators.keys import SALTS, SCORED_KEY, among, keep_first, not_in
+from mentionkit.operators.keys import SALTS, SCORED_KEY, among, key_counts, keep_first, not_in, pick
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
@@ -63,11 +63,14 @@ class ModelScorer:
         digest = F.sha2(F.concat(F.lit(f"{self.model}\n"), prompt), 256)
         asked = df.withColumn("_prompt", prompt).withColumn("_digest", digest)
         open_prompts = asked.filter(F.col("_prompt").isNotNull()).select("_digest", "_prompt")
+        known = None
         if self.tables is not None:
             self.tables.ensure(REPLIES, schemas.REPLY_SCHEMA)
-            open_prompts = open_prompts.join(self._kept().select("_digest"), "_digest", "left_anti")
+            known = self._kept()
         answers = self._answers().asNondeterministic()
-        new = open_prompts.dropDuplicates(["_digest"]).select("_digest", answers(F.col("_prompt")).alias("a")).select("_digest", "a.*")
+        # digests alone travel, and the prompts of copies
+        unique = pick(open_prompts, store(key_counts(open_prompts, ["_digest"], known), "prompts"), ["_digest"])
+        new = unique.select("_digest", answers(F.col("_prompt")).alias("a")).select("_digest", "a.*")
         # a model is no function of its prompt, and each call costs: what comes after must not make a second one
         new = store(new, "replies").filter("reached").select("_digest", "reply")
         if self.tables is not None:
@@ -141,15 +144,15 @@ def open_keys(silver: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def pending_by_key(silver: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``pending``, picked by stored open keys.
-
-    Most mentions have been scored by an earlier run. The few open keys are broadcast, by the size of their files, and
-    one scan picks their texts without a shuffle of the others; many keys (a first run) meet the texts in a shuffle
-    that the reduction of copies uses as well.
-    """
+    """The rows of ``pending``, picked by open keys."""
     return _one_copy(among(_scorable(silver), wanted, SCORED_KEY))
 
 
+def _picked(silver: DataFrame, seen: DataFrame) -> DataFrame:
+    """The rows of ``pending``, picked by the stored ``key_counts`` of the scorable mentions: texts do not travel, but for copies."""
+    return pick(_scorable(silver), seen, SCORED_KEY, [F.desc_nulls_last("ingested_at")])
+
+
 def _one_copy(mentions: DataFrame) -> DataFrame:
     return keep_first(mentions, SCORED_KEY, [F.desc_nulls_last("ingested_at")])
 
@@ -192,13 +195,13 @@ def score_pending(
     """
     deadline = None if max_minutes is None else time.time() + max_minutes * 60
     tables.ensure(scored_table, schemas.SCORED)
-    wanted = store(open_keys(silver, tables.read(scored_table)), "open-keys")
+    seen = store(key_counts(_scorable(silver), SCORED_KEY, tables.read(scored_table)), "open-keys")
     # one pending row per open key
-    total = wanted.count()
+    total = seen.filter("wanted").count()
     batches = math.ceil(total / batch_rows)
     done = reached = batch = 0
     tried = batches if max_batches is None else min(batches, max_batches)
-    todo = _by_batch(pending_by_key(silver, wanted), batches, tried, total) if tried else None
+    todo = _by_batch(_picked(silver, seen), batches, tried, total) if tried else None
     if before is not None and todo is not None:
         before(todo.drop("_batch"))
     if deadline is not None and hasattr(scorer, "until"):
@@ -220,7 +223,8 @@ def score_pending(
 def _by_batch(rows: DataFrame, batches: int, tried: int, total: int) -> DataFrame:
     """The rows of the batches that this run tries, stored with one folder per batch.
 
-    A batch is written by as many tasks as give files of about ``FILE_ROWS`` rows, ``SALTS`` at most.
+    A small batch is gathered to one file. Rows of larger ones are written from where they lie, unless there are more than ``SALTS`` batches: then
+    a batch is written by as many tasks as give files of about ``FILE_ROWS`` rows, ``SALTS`` at most.
     """
     hashed = F.xxhash64(*SCORED_KEY)
     batch = F.pmod(hashed, F.lit(batches)).cast("int")
@@ -229,4 +233,6 @@ def _by_batch(rows: DataFrame, batches: int, tried: int, total: int) -> DataFram
     dealt = rows.withColumn("_batch", batch)
     if tried < batches:
         dealt = dealt.filter(F.col("_batch") < tried)
-    return store(dealt.repartition("_batch", part), "pending", partition_by=["_batch"])
+    if files == 1 or tried > SALTS:
+        dealt = dealt.repartition("_batch", part)
+    return store(dealt, "pending", partition_by=["_batch"])

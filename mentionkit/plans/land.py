@@ -7,7 +7,7 @@ module, or by ``note_keys`` and an append.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from mentionkit import schemas
 from mentionkit.functions.times import parse_iso
 from mentionkit.operators.audit import FAILED, AuditLog
-from mentionkit.operators.keys import keep_first, not_in
+from mentionkit.operators.keys import among, keep_first, key_counts, not_in, pick, unless_in
 from mentionkit.operators.marks import days_of_keys, key_filter, marks_by_key, not_yet_landed, read_mark, row_key, unlanded, unsettled
 from mentionkit.operators.refine import HACKERNEWS, PRODUCTHUNT, REDDIT, Source
 from mentionkit.sources import landing
@@ -42,15 +42,14 @@ _RAW = {HACKERNEWS.name: schemas.HN_RAW, REDDIT.name: schemas.REDDIT_RAW}
 def land_hackernews(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
     time, keys = parse_iso(F.col("hn_created_at")), ROW_KEYS[HACKERNEWS.name]
     pages = keep_rejected(tables, pages, HACKERNEWS, ingested_at)
-    rows = _once(landing.hn_rows(pages, ingested_at), keys)
-    return _append(tables, _new(tables, rows, HACKERNEWS, ["query_tool"], time, keys), schemas.HN_RAW, HACKERNEWS)
+    return _append(tables, lambda: _new(tables, landing.hn_rows(pages, ingested_at), HACKERNEWS, ["query_tool"], time, keys), schemas.HN_RAW, HACKERNEWS)
 
 
 def land_reddit(tables: Tables, submissions: DataFrame, ingested_at: datetime | None = None) -> int:
     time, keys = F.col("reddit_created_utc"), ROW_KEYS[REDDIT.name]
     submissions = keep_rejected(tables, submissions, REDDIT, ingested_at)
-    rows = _once(landing.reddit_rows(submissions, ingested_at), keys)
-    return _append(tables, _new(tables, rows, REDDIT, ["subreddit", "query_tool"], time, keys), schemas.REDDIT_RAW, REDDIT)
+    rows = landing.reddit_rows(submissions, ingested_at)
+    return _append(tables, lambda: _new(tables, rows, REDDIT, ["subreddit", "query_tool"], time, keys), schemas.REDDIT_RAW, REDDIT)
 
 
 def land_producthunt(tables: Tables, pages: DataFrame, ingested_at: datetime | None = None) -> int:
@@ -62,10 +61,10 @@ def land_producthunt(tables: Tables, pages: DataFrame, ingested_at: datetime | N
         mark = read_mark(landing_marks(tables, PRODUCTHUNT, [], parse_iso(F.col("ph_created_at")), is_post), F.col("mark"))
         after = F.lit(False) if mark is None else F.coalesce(parse_iso(F.col("createdAt")) > F.lit(mark), F.lit(False))
         before = posts.filter(~after).withColumn("_key", F.xxhash64("id"))
-        new, known, landed = _opened(tables, before, PRODUCTHUNT)
+        hits, landed = _opened(tables, before, PRODUCTHUNT)
         ids = landed.filter(is_post).select(F.col("object_id").alias("id"))
-        posts = posts.filter(after).unionByName(new).unionByName(not_yet_landed(known, ids, ["id"]))
-    return _append(tables, landing.producthunt_rows(posts, ingested_at), schemas.PRODUCTHUNT_RAW, PRODUCTHUNT)
+        posts = posts.filter(after).unionByName(_unmet(before, hits)).unionByName(not_yet_landed(_met(before, hits), ids, ["id"]))
+    return _append(tables, lambda: store(landing.producthunt_rows(posts, ingested_at), "landing"), schemas.PRODUCTHUNT_RAW, PRODUCTHUNT)
 
 
 def keep_rejected(tables: Tables, payload: DataFrame, source: Source, ingested_at: datetime | None = None) -> DataFrame:
@@ -102,26 +101,42 @@ def _new(
     time: Column,
     keys: Sequence[str],
 ) -> DataFrame:
+    """The rows to land, one per key; ``rows`` are stored first, so a payload is parsed once.
+
+    The marks are kept by key columns, and so is the time: keys alone are judged, and texts do not travel, but for copies and rows without an id.
+    """
+    rows = store(rows, "landing")
     marks = landing_marks(tables, source, mark_keys, time)
-    if marks is None:
-        return rows
-    # the parts of a payload are judged apart: it is parsed once
-    judged = store(unsettled(rows, marks, mark_keys, time), "payload")
-    before = judged.filter(~F.col("_after")).withColumn("_key", row_key(keys, _RAW[source.name].names)).drop("_after")
-    new, known, landed = _opened(tables, before, source)
-    return judged.filter("_after").drop("_after").unionByName(new).unionByName(unlanded(known, landed, keys))
-
-
-def _opened(tables: Tables, before: DataFrame, source: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with ``_key`` whose key has landed on no day, the other ones, and what has landed on the days that may hold these."""
-    hits = store(days_of_keys(before, key_filters(tables, source)), "filter-hits")
+    identified = F.col(keys[0]).isNotNull()
+    counts, nameless = key_counts(rows.filter(identified), keys), _once(rows.filter(~identified), keys)
+    if marks is not None:
+        judged = store(unsettled(counts.select(*keys, "copies"), marks, mark_keys, time), "payload-keys")
+        nameless = store(unsettled(nameless, marks, mark_keys, time), "payload")
+        key = row_key(keys, _RAW[source.name].names)
+        # the key of identified rows, as in the filter
+        named_before = judged.filter(~F.col("_after")).withColumn("_key", F.xxhash64(*keys))
+        before = nameless.filter(~F.col("_after")).withColumn("_key", key).drop("_after")
+        hits, landed = _opened(tables, named_before.select("_key").unionAll(before.select("_key")), source)
+        counts = unless_in(judged, among(landed.select(*keys), _met(named_before, hits), keys, nulls_equal=True), keys, nulls_equal=True)
+        nameless = nameless.filter("_after").drop("_after").unionByName(_unmet(before, hits)).unionByName(unlanded(_met(before, hits), landed, keys))
+    return pick(rows.filter(identified), store(counts, "payload-keys"), keys, nulls_equal=True).unionByName(nameless)
+
+
+def _opened(tables: Tables, keyed: DataFrame, source: Source) -> tuple[DataFrame, DataFrame]:
+    """Which of the column ``_key`` may have landed on some day, and what has landed on these days."""
+    hits = store(days_of_keys(keyed, key_filters(tables, source)), "filter-hits")
     # at most one per day of the table's life
     days = [r["day"] for r in hits.select("day").distinct().collect()]
-    keys = hits.select(F.col("_key").alias("_hit")).distinct()
-    same = F.col("_key") == F.col("_hit")
-    new = before.join(keys, same, "left_anti").drop("_key")
-    known = before.join(keys, same, "left_semi").drop("_key")
-    return new, known, tables.read_days(source.bronze_table, days)
+    return hits.select(F.col("_key").alias("_hit")).distinct(), tables.read_days(source.bronze_table, days)
+
+
+def _met(before: DataFrame, hits: DataFrame) -> DataFrame:
+    return before.join(hits, F.col("_key") == F.col("_hit"), "left_semi").drop("_key")
+
+
+def _unmet(before: DataFrame, hits: DataFrame) -> DataFrame:
+    """Rows whose key has landed on no day."""
+    return before.join(hits, F.col("_key") == F.col("_hit"), "left_anti").drop("_key")
 
 
 def key_filters(tables: Tables, source: Source) -> DataFrame:
@@ -171,10 +186,10 @@ def landing_marks(
     return marks_by_key(tables.read(LANDING_MARKS).filter(own), keys, F.col("mark"))
 
 
-def _append(tables: Tables, rows: DataFrame, schema: T.StructType, source: Source) -> int:
+def _append(tables: Tables, found: Callable[[], DataFrame], schema: T.StructType, source: Source) -> int:
     with AuditLog(tables).step(source.name, BRONZE) as step:
+        rows = found()
         tables.ensure(source.bronze_table, schema)
-        rows = store(rows, "landing")
         note_keys(tables, rows, source)
         step.rows = tables.append(rows, source.bronze_table, evolve=True)
     return step.rows

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from mentionkit import schemas
 from mentionkit.catalog import EntityCatalog
 from mentionkit.operators.audit import FAILED, AuditLog
-from mentionkit.operators.keys import MENTION_KEY, not_in_history
 from mentionkit.operators.marks import read_mark
-from mentionkit.operators.refine import Source, refine, without_id
+from mentionkit.operators.refine import Source, as_silver, find_mentions, new_mentions, normalise, without_id
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
@@ -64,9 +63,8 @@ def refine_source(
         rejected = without_id(fresh.filter(time > F.lit(mark)) if mark is not None else fresh, source).count()
         if rejected:
             AuditLog(tables).log(source.name, REJECTED, rejected, FAILED, f"{rejected} rows without an id")
-        silver = refine(fresh, source, catalog, cleaned_at, **options)
-        increment = store(silver, "increment")
-        new = not_in_history(increment, tables.read(source.silver_table), MENTION_KEY)
+        mentions = store(find_mentions(normalise(fresh, source), catalog, **options), "increment")
+        new = as_silver(new_mentions(mentions, tables.read(source.silver_table)), cleaned_at)
         step.rows = tables.append(new, source.silver_table, evolve=True)
         row = (source.name, SILVER, upper, cleaned_at)
         tables.append(tables.spark.createDataFrame([row], schemas.MARK_SCHEMA), MARK_TABLE)

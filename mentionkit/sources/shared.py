@@ -30,5 +30,5 @@ def store(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Data
     """Write a frame to the shared folder and read it back: cut lineage, computed once."""
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 # formats whose tables are folders of files without a log of versions
 _FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
+CODEC = "zstd"
+"""How parquet files of tables are compressed."""
+
 TIME, DAY = "ingested_at", "_ingested_day"
 
 
@@ -109,7 +112,10 @@ class Tables:
             if self.by_day[table] not in schema.names:
                 raise ValueError(f"{name} has no column {self.by_day[table]} to be laid out by")
             columns, layout = f"{columns}, `{DAY}` date", f" PARTITIONED BY (`{DAY}`)"
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt}{layout}")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt}{self._options()}{layout}")
+
+    def _options(self) -> str:
+        return f" OPTIONS (compression '{CODEC}')" if self.fmt == "parquet" else ""
 
     def append(self, df: DataFrame, table: str, evolve: bool = False) -> int:
         """Append by column name and return the number of rows written.
@@ -154,6 +160,10 @@ class Tables:
         counted.write.format(self.fmt).mode("append").partitionBy(*folders).saveAsTable(name)
         return written.get["rows"]
 
+    def _writer(self, df: DataFrame) -> DataFrameWriter:
+        writer = df.write.format(self.fmt)
+        return writer.option("compression", CODEC) if self.fmt == "parquet" else writer
+
     def _widen(self, table: str, types: Mapping[str, T.DataType]) -> None:
         """Give columns wider types. Files hold the old ones, so the rows are written once more and the table is exchanged for one with the wider types.
 
@@ -167,11 +177,11 @@ class Tables:
         ])
         folder = f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
         folders = [DAY] if DAY in old.columns else []
-        rows.write.format(self.fmt).partitionBy(*folders).save(folder)
+        self._writer(rows).partitionBy(*folders).save(folder)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
         layout = f" PARTITIONED BY (`{DAY}`)" if folders else ""
         staged = f"{name}_{uuid.uuid4().hex[:8]}"
-        self.spark.sql(f"CREATE TABLE {staged} ({columns}) USING {self.fmt}{layout} LOCATION '{folder}'")
+        self.spark.sql(f"CREATE TABLE {staged} ({columns}) USING {self.fmt}{self._options()}{layout} LOCATION '{folder}'")
         if folders:
             self.spark.sql(f"MSCK REPAIR TABLE {staged}")
         before = f"{name}_before_{uuid.uuid4().hex[:8]}"
@@ -194,7 +204,7 @@ class Tables:
         if self.spark.read.table(name).schema.simpleString() != df.schema.simpleString():
             raise ValueError(f"{name} has other columns than the rows that replace it")
         folder = f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
-        df.write.format(self.fmt).save(folder)
+        self._writer(df).save(folder)
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(name)
 
@@ -211,7 +221,7 @@ class Tables:
                 if database:
                     self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
                 columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt} PARTITIONED BY (`{day}`)")
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.fmt}{self._options()} PARTITIONED BY (`{day}`)")
             target = self.spark.read.table(name)
             rows = df.select(*target.columns)
             # a setting of the session, as an insert into a table takes no option for it

@@ -20,7 +20,7 @@ from mentionkit.catalog import EntityCatalog
 from mentionkit.functions.scores import exact, is_positive, percent, rounded_mean
 from mentionkit.operators.aggregates import SCORE, daily_rollup, scored_only
 from mentionkit.operators.keys import MENTION_KEY, SALTS, keep_first, not_in, not_in_history
-from mentionkit.operators.refine import SOURCES, Source, find_mentions, normalise, refine
+from mentionkit.operators.refine import SOURCES, Source, as_silver, find_mentions, new_mentions, normalise
 from mentionkit.plans.land import keep_rejected, note_keys
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
@@ -115,8 +115,8 @@ def refine_stream(
 
     def write(batch: DataFrame, _: int) -> None:
         own = tables.on(batch.sparkSession)
-        silver = store(refine(batch, source, catalog, **options), "refined")
-        own.append(not_in_history(silver, own.read(source.silver_table), MENTION_KEY), source.silver_table)
+        mentions = store(find_mentions(normalise(batch, source), catalog, **options), "refined")
+        own.append(as_silver(new_mentions(mentions, own.read(source.silver_table))), source.silver_table)
 
     return _run(bronze, write, checkpoint)
 

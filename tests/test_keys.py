@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentionkit.operators import marks
-from mentionkit.operators.keys import keep_first, lookup, not_in, not_in_history
+from mentionkit.operators.keys import keep_first, key_counts, lookup, not_in, not_in_history, pick
 
 
 @pytest.fixture
@@ -121,3 +121,26 @@ def test_history_is_cut_to_the_increment(spark, skewed, threshold):
     fresh = not_in_history(increment, skewed, ["post_id", "tool"])
     assert sorted(r["v"] for r in fresh.collect()) == [2, 3, 4]
     assert "LeftSemi" in _plan(fresh)
+
+
+def test_pick_moves_only_copies(spark):
+    """Unwanted and unique rows are told apart where they lie; what is compared exactly are copies."""
+    rows = spark.range(4000).select(F.concat(F.lit("k"), (F.col("id") % 3990).cast("string")).alias("k"), F.col("id").alias("n"), F.repeat(F.lit("text "), 50).alias("text"))
+    old = rows.filter("n < 1000").select("k")
+    seen = key_counts(rows, ["k"], old).localCheckpoint()
+    got = pick(rows, seen, ["k"], [F.desc("n")])
+    want = keep_first(not_in(rows, old, ["k"]), ["k"], [F.desc("n")])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 2990
+    none = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, n int")
+    both = key_counts(none, ["k"]).localCheckpoint()
+    assert [r.n for r in pick(none, both, ["k"]).collect()] == [3]
+    assert sorted(r.n for r in pick(none, both, ["k"], nulls_equal=True).collect()) == [1, 3]
+    assert pick(rows.filter("false"), seen.filter("false"), ["k"]).count() == 0
+
+
+def test_first_seen_rows_are_not_shuffled(spark):
+    rows = spark.range(2000).select(F.col("id").alias("k"), F.repeat(F.lit("text "), 50).alias("text"))
+    seen = key_counts(rows, ["k"]).localCheckpoint()
+    plan = pick(rows, seen, ["k"])._jdf.queryExecution().executedPlan().toString()
+    # no copies: the exact branch is known to be empty
+    assert "Exchange" not in plan.split("Subqueries")[0], plan
