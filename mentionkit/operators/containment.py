@@ -4,15 +4,17 @@ Substring containment has no join key of its own. It gets one: an alias can only
 occur in a text that holds the alias's first few characters, so texts and aliases
 meet on that anchor and the pairs that meet are checked for containment.
 
-A table of bits, set for the anchors of the aliases, is tested where the text lies, so only
-starts that can be an anchor reach the join. It has one size; when most of its bits are
+A table of bits, set for the anchors of the aliases, is tested where the text lies, in numpy
+over all positions of a text at once, so only starts that can be an anchor are cut out and reach the join. It has one size; when most of its bits are
 set it lets more through, which costs time only, as the join that follows is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,38 +23,60 @@ from mentionkit.operators.keys import lookup
 ANCHOR_CHARS = 6
 TABLE_WORDS = 1 << 15
 """Words of 64 bits in the table of anchors: 256 KiB, the size at any number of aliases."""
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_SLICE = 1 << 18
+"""Characters of a text that are looked at together."""
 
 
-def _anchors_in(text: Column, length: int) -> Column:
-    """All distinct substrings of one length, as an array."""
-    # a lookahead consumes nothing, so every position gives a match
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1)))
+def _hashes(text: str, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A hash of each substring of ``n`` characters, in slices of bounded size: first position, hashes."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    for at in range(0, len(codes) - n + 1, _SLICE):
+        part = codes[at : at + _SLICE + n - 1].astype(np.uint64)
+        h = np.zeros(len(part) - n + 1, np.uint64)
+        for k in range(n):
+            h = h * _FACTOR + part[k : k + len(h)]
+        yield at, ((h ^ (h >> np.uint64(32))) * _FACTOR) >> np.uint64(24)
 
 
-def _place(anchor: Column) -> tuple[Column, Column]:
-    """The word and the mask of an anchor's bit."""
-    slot = F.pmod(F.xxhash64(anchor), F.lit(TABLE_WORDS * 64))
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
-    return F.shiftright(slot, 6).cast("int"), mask
+def _bit_table(anchored: DataFrame) -> np.ndarray:
+    """The bits of the column ``_anchor`` as words, set on the executors; at most ``TABLE_WORDS`` values are collected."""
 
+    @F.pandas_udf("long")
+    def hashed(anchors: pd.Series) -> pd.Series:
+        return pd.Series([int(next(_hashes(a, len(a)))[1][0]) if a else None for a in anchors], dtype="Int64")
 
-def _bit_table(anchored: DataFrame) -> Column:
-    """The bits of the column ``_anchor`` as an array of words: one value, computed once and sent to the tasks like a literal."""
-    word, mask = _place(F.col("_anchor"))
-    bits = anchored.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
-    words = anchored.sparkSession.range(TABLE_WORDS).join(bits, F.col("id") == F.col("word"), "left")
-    numbered = F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))
-    return words.agg(F.transform(F.array_sort(numbered), lambda w: w["bits"])).scalar()
+    place = F.pmod(hashed(F.col("_anchor")), F.lit(TABLE_WORDS * 64))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("slot", F.lit(64)).cast("int"))
+    slots = anchored.select(place.alias("slot")).filter("slot IS NOT NULL")
+    bits = np.zeros(TABLE_WORDS, np.int64)
+    for r in slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(mask).alias("bits")).collect():
+        bits[r["word"]] = r["bits"]
+    return bits.view(np.uint64)
 
 
 def possible_anchors(texts: DataFrame, keys: Sequence[str], lowered: str, anchored: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """``keys, _anchor``: the distinct substrings of each text, of the given lengths, that may be an anchor."""
-    grams = F.flatten(F.array(*[_anchors_in(F.col(lowered), n) for n in sorted(lengths)]))
-
-    # the outer form keeps the optimizer from cutting twice, for an inferred filter on the size; the test is generated code
-    starts = texts.select(*keys, F.explode_outer(grams).alias("_anchor"))
-    word, mask = _place(F.col("_anchor"))
-    return starts.filter(F.col("_anchor").isNotNull() & (F.get(_bit_table(anchored), word).bitwiseAND(mask) != 0))
+    bits, wanted = _bit_table(anchored), sorted(n for n in lengths if n)
+    slots_mask = np.uint64(len(bits) * 64 - 1)
+    always = [""] if 0 in lengths else []
+
+    def starts(text: str) -> list[str]:
+        found = set(always)
+        for n in wanted:
+            for at, hashes in _hashes(text, n):
+                slots = hashes & slots_mask
+                hit = (bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
+                found.update(text[at + i : at + i + n] for i in np.flatnonzero(hit).tolist())
+        return sorted(found)
+
+    @F.pandas_udf("array<string>")
+    def candidates(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([[] if t is None else starts(t) for t in batch], dtype=object)
+
+    cut = texts.select(*keys, F.explode_outer(candidates(F.col(lowered))).alias("_anchor"))
+    return cut.filter(F.col("_anchor").isNotNull())
 
 
 def alias_hits(

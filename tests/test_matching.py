@@ -131,6 +131,19 @@ def test_few_starts_of_a_text_reach_the_join(spark, monkeypatch):
     assert alias_hits(texts, ["id"], "lowered", aliases.limit(0)).collect() == []
 
 
+def test_anchors_over_slices_and_code_points(spark, monkeypatch):
+    """Starts are found by whole characters, also across the slices that a long text is looked at in, and no start is made a row that cannot be an anchor."""
+    aliases = spark.createDataFrame([("A", "\U0001f600é日本語x", "strong"), ("B", "zq", "strong")], "tool string, alias string, tier string")
+    anchored = aliases.withColumn("_anchor", F.left("alias", F.lit(6)))
+    long = "ab" * (containment._SLICE // 2 - 2) + "\U0001f600é日本語x" + "c" * (containment._SLICE - 3) + "zq"
+    texts = spark.createDataFrame([(1, long), (2, "é日本語x"), (3, "z q")], "id int, lowered string")
+    met = possible_anchors(texts, ["id"], "lowered", anchored, [2, 6])
+    assert {("\U0001f600é日本語x", 1), ("zq", 1)} <= {(r["_anchor"], r["id"]) for r in met.collect()}
+    # cut in numpy, not by a pattern per position
+    assert "regexp" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["id"], r["tool"]) for r in alias_hits(texts, ["id"], "lowered", aliases).collect()} == {(1, "A"), (1, "B")}
+
+
 def test_expansion_runs_the_matcher_once(spark):
     """No inferred size filter below the projection that matches."""
     df = spark.createDataFrame([(1, "claude ai")], "i int, text string").withColumn("text", F.trim("text"))
