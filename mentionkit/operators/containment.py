@@ -11,7 +11,7 @@ set it lets more through, which costs time only, as the join that follows is exa
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,23 +28,29 @@ _SLICE = 1 << 18
 """Characters of a text that are looked at together."""
 
 
-def _hashes(text: str, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """A hash of each substring of ``n`` characters, in slices of bounded size: first position, hashes."""
-    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    for at in range(0, len(codes) - n + 1, _SLICE):
-        part = codes[at : at + _SLICE + n - 1].astype(np.uint64)
-        h = np.zeros(len(part) - n + 1, np.uint64)
-        for k in range(n):
-            h = h * _FACTOR + part[k : k + len(h)]
-        yield at, ((h ^ (h >> np.uint64(32))) * _FACTOR) >> np.uint64(24)
+def _hasher() -> Callable[[str, int], Iterator[tuple[int, np.ndarray]]]:
+    """A function of its own, so that it travels with the tasks and they need not import this module."""
+
+    def hashes(text: str, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """A hash of each substring of ``n`` characters, in slices of bounded size: first position, hashes."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        for at in range(0, len(codes) - n + 1, _SLICE):
+            part = codes[at : at + _SLICE + n - 1].astype(np.uint64)
+            h = np.zeros(len(part) - n + 1, np.uint64)
+            for k in range(n):
+                h = h * _FACTOR + part[k : k + len(h)]
+            yield at, ((h ^ (h >> np.uint64(32))) * _FACTOR) >> np.uint64(24)
+
+    return hashes
 
 
 def _bit_table(anchored: DataFrame) -> np.ndarray:
     """The bits of the column ``_anchor`` as words, set on the executors; at most ``TABLE_WORDS`` values are collected."""
+    hashes = _hasher()
 
     @F.pandas_udf("long")
     def hashed(anchors: pd.Series) -> pd.Series:
-        return pd.Series([int(next(_hashes(a, len(a)))[1][0]) if a else None for a in anchors], dtype="Int64")
+        return pd.Series([int(next(hashes(a, len(a)))[1][0]) if a else None for a in anchors], dtype="Int64")
 
     place = F.pmod(hashed(F.col("_anchor")), F.lit(TABLE_WORDS * 64))
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("slot", F.lit(64)).cast("int"))
@@ -59,13 +65,13 @@ def possible_anchors(texts: DataFrame, keys: Sequence[str], lowered: str, anchor
     """``keys, _anchor``: the distinct substrings of each text, of the given lengths, that may be an anchor."""
     bits, wanted = _bit_table(anchored), sorted(n for n in lengths if n)
     slots_mask = np.uint64(len(bits) * 64 - 1)
-    always = [""] if 0 in lengths else []
+    always, hashes = [""] if 0 in lengths else [], _hasher()
 
     def starts(text: str) -> list[str]:
         found = set(always)
         for n in wanted:
-            for at, hashes in _hashes(text, n):
-                slots = hashes & slots_mask
+            for at, found_hashes in hashes(text, n):
+                slots = found_hashes & slots_mask
                 hit = (bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
                 found.update(text[at + i : at + i + n] for i in np.flatnonzero(hit).tolist())
         return sorted(found)
