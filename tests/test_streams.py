@@ -116,3 +116,26 @@ def test_a_long_history_is_cut_to_the_micro_batch(spark, tables, tmp_path, monke
     _write_bronze(spark, path, ("1", "chatgpt", T))
     streams.refine_stream(_stream(spark, path), HACKERNEWS, AI_TOOLS, tables, str(tmp_path / "c")).awaitTermination()
     assert len(seen) == 1 and "LeftSemi" in seen[0] and "LeftAnti" in seen[0]
+
+
+def test_a_micro_batch_is_as_many_files_as_its_share_of_splits(spark, tmp_path):
+    """The files that a table is streamed from do not grow with it; rows equal in a column stay in one micro-batch."""
+    from workload import queries
+
+    rows = spark.range(4000).select("id", F.concat(F.lit("text "), (F.col("id") % 300).cast("string")).alias("text"))
+    rows.repartition(24).write.parquet(f"{tmp_path}/documents.parquet")
+    folder = f"{tmp_path}/seen"
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        stream = queries._stream(spark, str(tmp_path), "documents", 4, "text")
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    seen = []
+    stream.writeStream.foreachBatch(lambda batch, _: seen.append((batch.select(F.input_file_name()).distinct().count(), [r["text"] for r in batch.select("text").distinct().collect()], batch.count()))).option(
+        "checkpointLocation", folder
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert sum(n for _, _, n in seen) == 4000 and len(seen) == 4
+    texts = [t for _, found, _ in seen for t in found]
+    assert len(texts) == len(set(texts)) == 300
+    assert sum(files for files, _, _ in seen) > 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
@@ -823,15 +824,17 @@ STREAM_FILES = 4
 
 
 def _stream(spark: SparkSession, sf: str, name: str, files: int, by: str | None) -> DataFrame:
-    """A table as a stream, one micro-batch per file; rows that are equal in ``by`` come together."""
+    """A table as a stream of ``files`` micro-batches; rows that are equal in ``by`` come together. A micro-batch is as many files as the table has splits for it."""
     if files == 1:
         schema = table(spark, sf, name).schema
         # the glob names one file; file streams list folders
         return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
     given = table(spark, sf, name)
     folder = new_folder(spark, "stream-input")
-    given.repartition(files, *([by] if by else [])).write.parquet(folder)
-    return spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    each = max(1, math.ceil(given.rdd.getNumPartitions() / files))
+    dealt = given.repartition(files * each, *([by] if by else []))
+    dealt.write.parquet(folder)
+    return spark.readStream.schema(given.schema).option("maxFilesPerTrigger", each).parquet(folder)
 
 
 class _Streaming:
