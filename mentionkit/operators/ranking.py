@@ -18,6 +18,9 @@ MOST_POSITIVE = "most_positive"
 MOST_NEGATIVE = "most_negative"
 BATCH_ROWS = 500
 
+_PARTS_PER_POST = 16
+"""Parts of the rows per post of an end; more of them let fewer rows through that are not at an end."""
+
 _TOP_COLUMNS = ("tool", "source", "title", "url", SCORE, "created_at", "post_id")
 
 
@@ -33,7 +36,7 @@ def top_bottom_posts(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
 
 def top_bottom_ends(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
     """``top_bottom_posts`` with the id of the post: at most 2 k rows per tool, of which any number of sets can be merged."""
-    posts = scored_only(scored).select(*_TOP_COLUMNS)
+    posts = near_the_ends(scored, k)
 
     def end(order: Column, category: str) -> DataFrame:
         window = Window.partitionBy("tool").orderBy(order, "post_id", "source")
@@ -47,6 +50,22 @@ def top_bottom_ends(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
     return end(F.desc(SCORE), MOST_POSITIVE).unionByName(end(F.asc(SCORE), MOST_NEGATIVE))
 
 
+def near_the_ends(scored: DataFrame, k: int = TOP_POSTS) -> DataFrame:
+    """The rows that may be among the k best or worst of their tool, so that these alone are sorted; all rows of a tool that has few.
+
+    Posts are dealt out by a hash of their id. The best rows of k parts are k rows, so no row below the k-th best of them can be among the k best.
+    """
+    posts = scored_only(scored).select(*_TOP_COLUMNS)
+    part = F.pmod(F.xxhash64("post_id"), F.lit(_PARTS_PER_POST * k)).alias("_part")
+    parts = posts.groupBy("tool", part).agg(F.max(SCORE).alias("high"), F.min(SCORE).alias("low"))
+    kth = [F.get(F.sort_array(F.collect_list(c), asc=c == "low"), F.lit(k - 1)).alias(f"_{c}") for c in ("high", "low")]
+    # one row per catalog entity, which is null-safe as rows without one are ranked, too
+    limits = F.broadcast(parts.groupBy(F.col("tool").alias("_their_tool")).agg(*kth))
+    s, high, low = F.col(SCORE), F.col("_high"), F.col("_low")
+    met = posts.join(limits, F.col("tool").eqNullSafe(F.col("_their_tool")), "left")
+    return met.filter(high.isNull() | (s >= high) | (s <= low)).select(*_TOP_COLUMNS)
+
+
 def merge_ends(*ends: DataFrame, k: int = TOP_POSTS) -> DataFrame:
     """The k best and worst posts of all that any of the frames holds; a post that several hold, or that is at both ends, counts once."""
     rows = reduce(DataFrame.unionByName, [e.select(*_TOP_COLUMNS) for e in ends])

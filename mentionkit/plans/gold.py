@@ -17,14 +17,14 @@ from mentionkit.operators import aggregates as agg
 from mentionkit.operators import quality
 from mentionkit.operators.audit import FAILED, SUCCESS, AuditLog
 from mentionkit.operators.keys import SCORED_KEY, not_in
-from mentionkit.operators.ranking import merge_ends, top_bottom_ends, top_bottom_posts
+from mentionkit.operators.ranking import merge_ends, near_the_ends, top_bottom_ends, top_bottom_posts
 from mentionkit.operators.refine import HACKERNEWS, REDDIT, Source, union_sources
 from mentionkit.operators.scoring import Scorer, ScoringRun, score_pending
 from mentionkit.sources.shared import store
 from mentionkit.sources.tables import Tables
 
 SCORED_TABLE = "sentiment_scored"
-ROLLUP_TABLE, TOP_STATE, REPORT_DAYS = "sentiment_rollup", "top_posts_state", "report_days"
+ROLLUP_TABLE, TOP_STATE, REPORT_DAYS = "rollup_by_day", "top_posts_state", "report_days"
 QUALITY_DAYS, REPEATED_KEYS = "quality_by_day", "repeated_keys"
 OPEN, FOLDED, CHECKED = "open", "folded", "checked"
 GOLD, QUALITY, ALL_SOURCES = "gold", "gold_dq_check", "all"
@@ -117,16 +117,23 @@ def _noted(days: DataFrame, run: str, state: str) -> DataFrame:
 def fold_reports(tables: Tables, scored_table: str = SCORED_TABLE) -> DataFrame:
     """Bring the report tables up to date with the days that runs have touched since the last fold, and return their row counts.
 
-    The roll-up is a table with a folder per day. The touched days are summed up again from their scored rows, and take the place of what the
-    roll-up has for them, so a fold that is repeated, or that finds half the work done, gives the same. The best and worst posts are a state of a few
+    The roll-up is a table of a few rows per day. The touched days are summed up again from their scored rows, and take the place of what the
+    roll-up has for them, so a fold that is repeated, or that finds half the work done, gives the same. It is written whole, as the reports read it
+    whole, since folders of a few rows each cost far more than the rows. The best and worst posts are a state of a few
     rows per tool that is merged with those of the touched days. Four reports follow from the roll-up, the fifth from the state; scored rows of other days
     are not read if the scored table is laid out by the day of ``created_at``, and skipped by statistics if not. The first fold takes in all rows.
     """
     todo = _still_open(tables, FOLDED)
     first = not (tables.exists(ROLLUP_TABLE) and tables.exists(TOP_STATE))
     touched = tables.read(scored_table) if first else _touched_rows(tables, scored_table, todo)
-    tables.replace_days(agg.daily_rollup(touched), ROLLUP_TABLE, "post_date")
-    ends = top_bottom_ends(touched) if first else merge_ends(tables.read(TOP_STATE), top_bottom_ends(touched))
+    rollup = store(agg.daily_rollup(touched), "rollup")
+    if not first:
+        rollup = rollup.unionByName(not_in(tables.read(ROLLUP_TABLE), rollup, ["post_date"], nulls_equal=True))
+    tables.replace(rollup, ROLLUP_TABLE)
+    # the few rows that both ends are taken from
+    ends = top_bottom_ends(store(near_the_ends(touched), "near-ends"))
+    if not first:
+        ends = merge_ends(tables.read(TOP_STATE), ends)
     # written first, as it is read from the table that it replaces
     tables.replace(store(ends, "top-state"), TOP_STATE)
     counts = _replace_reports(tables, _from_rollup(tables.read(ROLLUP_TABLE), tables.read(TOP_STATE).drop("post_id")))

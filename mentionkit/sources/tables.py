@@ -78,7 +78,9 @@ class Tables:
         rows = self._with_day(table)
         known = sorted(d for d in days if d is not None)
         if DAY in rows.columns and self.by_day.get(table, TIME) == time:
-            wanted = F.col(DAY).isin(known) if known else F.lit(False)
+            gapless = known and (known[-1] - known[0]).days + 1 == len(set(known))
+            # a day each is a literal each
+            wanted = F.col(DAY).between(known[0], known[-1]) if gapless else F.col(DAY).isin(known) if known else F.lit(False)
             return rows.filter(wanted | F.col(DAY).isNull() if None in days else wanted).drop(DAY)
         spans: list[list[date]] = []
         for d in known:
@@ -154,7 +156,11 @@ class Tables:
         ])
         folders = [DAY] if DAY in target.names else []
         if folders:
-            aligned = aligned.withColumn(DAY, F.to_date(self.by_day.get(table, TIME)))
+            time = self.by_day.get(table, TIME)
+            aligned = aligned.withColumn(DAY, F.to_date(time))
+            if time != TIME:
+                # rows of one ingestion have a day or two, but any number of other days: each task would write a file for each of them
+                aligned = aligned.hint("rebalance", DAY)
         written = Observation()
         counted = aligned.observe(written, F.count(F.lit(1)).alias("rows"))
         counted.write.format(self.fmt).mode("append").partitionBy(*folders).saveAsTable(name)

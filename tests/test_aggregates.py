@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from mentionkit import schemas
 from mentionkit.operators import aggregates as agg
-from mentionkit.operators.ranking import in_batches, in_report_order, top_bottom_posts
+from mentionkit.operators.ranking import in_batches, in_report_order, near_the_ends, top_bottom_posts
 
 NAN = float("nan")
 
@@ -103,6 +103,22 @@ def test_top_posts_limit_groups_before_the_shuffle(posts):
     assert plan.count("WindowGroupLimit") == 4
 
 
+def test_only_rows_near_the_ends_are_ranked(spark):
+    """Many posts of a tool, few of another, some without a tool, and one whose scores are mostly equal."""
+    rows = [("A", "x", "2024-01-01", (i * 7919 % 2003) / 2003 - 0.5) for i in range(2000)]
+    rows += [("B", "x", "2024-01-01", 0.5)] * 3 + [(None, "x", "2024-01-01", i / 200 - 0.5) for i in range(200)]
+    rows += [("C", "x", "2024-01-01", 1.0)] * 300 + [("C", "x", "2024-01-01", -0.0), ("C", "x", "2024-01-01", 0.0), ("C", "x", None, NAN), ("C", "x", None, None)]
+    df = scored(spark, rows).repartition(5)
+    near = {r.tool: r["count"] for r in near_the_ends(df).groupBy("tool").count().collect()}
+    assert near["B"] == 3 and 10 <= near["A"] < 100 and 10 <= near[None] < 100
+    want = []
+    for tool in ("A", "B", "C", None):
+        own = [(v, f"t{i}") for i, (t, _, _, v) in enumerate(rows) if t == tool and v is not None and v == v]
+        want += [(tool, t, "most_positive") for _, t in sorted(own, key=lambda r: -r[0])[:5]] + [(tool, t, "most_negative") for _, t in sorted(own, key=lambda r: r[0])[:5]]
+    got = [(r.tool, r.title, r.category) for r in top_bottom_posts(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_report_order(posts):
     daily = in_report_order(agg.sentiment_daily(posts.filter("created_at is not null")), "sentiment_by_tool_daily").collect()
     assert [(str(r.post_date), r.tool) for r in daily][:3] == [("2024-01-15", "A"), ("2024-01-07", "A"), ("2024-01-02", "B")]

@@ -326,6 +326,20 @@ def test_a_fold_reads_the_touched_days_only(spark, tables, monkeypatch):
     assert {r["post_date"].day: r["post_count"] for r in own.read("sentiment_by_tool_daily").collect()} == {1: 5, 2: 10, 3: 5}
 
 
+def test_days_are_no_files_of_their_own_in_a_rollup(spark, tables):
+    """Days of all lengths of history fit the same few files, and a scored table has a file per day, not one per task and day."""
+    own = Tables(spark, prefix=tables.prefix, by_day={gold.SCORED_TABLE: "created_at"})
+    for run in range(2):
+        rows = _scored(spark, *[(f"{run}-{i}", "a", None if i % 32 == 0 else i % 32, 0.5) for i in range(320)]).repartition(8)
+        gold.open_days(own, rows)
+        own.append(rows, gold.SCORED_TABLE)
+        gold.fold_reports(own)
+    assert len(own.read(gold.SCORED_TABLE).inputFiles()) == 2 * 32
+    assert len(own.read(gold.ROLLUP_TABLE).inputFiles()) <= 16
+    assert {r["post_count"] for r in own.read("sentiment_by_tool_daily").collect()} == {20}
+    assert own.read("sentiment_by_tool_daily").count() == 32
+
+
 def _checks(report):
     return sorted(map(str, report.collect()))
 
